@@ -26,10 +26,15 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Cal
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
-    """Round float columns so that both engines' summation orders agree; -0.0 becomes 0.0."""
-    return df.withColumns({c: F.round(F.col(c), places) + F.lit(0.0) for c in columns})
+    """Round float columns so that both engines' summation orders agree; -0.0 becomes 0.0.
+
+    A thousandth of the last place is added first, so that exact ties (common among means of cents) round up on
+    both sides.
+    """
+    nudge = 10.0 ** -(places + 3)
+    return df.withColumns({c: F.round(F.col(c) + nudge, places) + F.lit(0.0) for c in columns})
 
 
 def r(expr: str, alias: str, places: int = 6) -> str:
     """The same in DuckDB text."""
-    return f"round({expr}, {places}) + 0.0::DOUBLE AS {alias}"
+    return f"round(({expr}) + 1e-{places + 3}, {places}) + 0.0::DOUBLE AS {alias}"

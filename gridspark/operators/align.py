@@ -6,36 +6,44 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from gridspark.functions import timefn
 from gridspark.operators import grid
 
 
-def calendar(spans: DataFrame, keys: list[str], size: int = grid.CHUNK) -> DataFrame:
-    """Every slot from `lo` to `hi` per series; chunk numbers are spread over the cluster before slots are made."""
-    first, last = grid.chunk_of(F.col("lo"), size), grid.chunk_of(F.col("hi"), size)
-    chunks = (spans.select(*keys, "lo", "hi", F.explode(F.sequence(first, last)).alias("chunk"))
-              .repartition(*keys, "chunk"))
-    begin = F.greatest("lo", F.col("chunk") * size)
-    end = F.least("hi", F.col("chunk") * size + (size - 1))
-    return chunks.select(*keys, F.explode(F.sequence(begin, end)).alias("slot"))
-
-
 def calendar_fill(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts", step: int = timefn.HOUR,
                   common: bool = False, size: int = grid.CHUNK) -> DataFrame:
     """Put each series on a regular calendar; missing steps become rows with NULL values.
 
     Run this before any lag, block or cleaning operator: those count rows, so a gap would shift them.
     `common=True` gives all series the calendar from the overall first to the overall last step.
-    Output: keys, slot, ts, values.
+
+    The rows are shuffled once, by (series, chunk). Inside a chunk each row also produces the empty steps since
+    the row before it, and the last one those up to the chunk's end; chunks without rows come from the spans.
+    Output: keys, chunk number, slot, ts, values.
     """
-    facts = df.select(*keys, timefn.slot_of(ts, step).alias("slot"), *values)
-    spans = facts.groupBy(*keys).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
+    chunk = grid.chunk_col(size)
+    facts = df.select(*keys, timefn.slot_of(ts, step).alias("at"), *values)
+    spans = facts.groupBy(*keys).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     if common:
-        spans = spans.select(*keys, facts.agg(F.min("slot")).scalar().alias("lo"),
-                             facts.agg(F.max("slot")).scalar().alias("hi"))
-    full = calendar(spans, keys, size).join(facts, [*keys, "slot"], "left")
-    return full.select(*keys, "slot", timefn.slot_ts("slot", step).alias(ts), *values)
+        spans = spans.select(*keys, facts.agg(F.min("at")).scalar().alias("lo"),
+                             facts.agg(F.max("at")).scalar().alias("hi"))
+    bounds = grid.spread(spans, size).select(
+        *keys, chunk, F.greatest("lo", F.col(chunk) * size).alias("begin"),
+        F.least("hi", F.col(chunk) * size + (size - 1)).alias("end"))
+    rows = facts.withColumn(chunk, grid.chunk_of(F.col("at"), size)).join(
+        bounds.hint("shuffle_hash"), [*keys, chunk], "right")
+    inside = W.partitionBy(*keys, chunk).orderBy("at")
+    previous, following = F.lag("at").over(inside), F.lead("at").over(inside)
+    # least() keeps repeated rows of one step as they are
+    begin = F.when(previous.isNull(), F.col("begin")).otherwise(F.least(previous + 1, F.col("at")))
+    rows = (rows.withColumn("from", begin)
+            .withColumn("to", F.when(following.isNull(), F.col("end")).otherwise(F.col("at"))))
+    rows = rows.withColumn("slot", F.explode(F.sequence("from", "to")))
+    here = F.col("slot") == F.col("at")
+    return rows.select(*keys, chunk, "slot", timefn.slot_ts("slot", step).alias(ts),
+                       *[F.when(here, F.col(v)).alias(v) for v in values])
 
 
 def star(fact: DataFrame, *lookups: tuple[DataFrame, str, dict[str, str]]) -> DataFrame:

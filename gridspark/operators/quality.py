@@ -38,10 +38,9 @@ def _carry(df: DataFrame, keys: list[str], val: str, window: int, size: int, fil
     Within one residue class of slots (slot mod window) this is the last kept value. Before the first kept row
     of a class the look-back wraps around to the raw end of the series, as negative positions do.
     """
-    v, slot, keep = F.col(val), F.col("slot"), F.col("keep")
-    df = (df.withColumn("residue", F.pmod(slot, F.lit(window)))
-          .withColumn("chunk", grid.chunk_of(slot, size)))
-    parts = df.groupBy(*keys, "residue", "chunk").agg(
+    v, slot, keep, chunk = F.col(val), F.col("slot"), F.col("keep"), grid.chunk_col(size)
+    df = grid.with_chunk(df, size).withColumn("residue", F.pmod(slot, F.lit(window)))
+    parts = df.groupBy(*keys, chunk, "residue").agg(
         F.max_by(v, F.when(keep, slot)).alias("kept"),
         F.max(F.when(keep, slot)).alias("kept_slot"),
         F.max_by(v, slot).alias("end_val"),
@@ -49,7 +48,7 @@ def _carry(df: DataFrame, keys: list[str], val: str, window: int, size: int, fil
         F.sum(v).alias("total"), F.count(v).alias("n"),
     )
     whole, cls = W.partitionBy(*keys), W.partitionBy(*keys, "residue")
-    earlier = cls.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    earlier = cls.orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
     parts = (
         parts
         .withColumn("carry", F.last(F.when(F.col("kept_slot").isNotNull(), F.struct(F.col("kept").alias("v"))),
@@ -59,21 +58,24 @@ def _carry(df: DataFrame, keys: list[str], val: str, window: int, size: int, fil
         .withColumn("hi", F.max("last_slot").over(whole))
         .withColumn("position", F.min("first_slot").over(cls) - F.col("lo"))
         .withColumn("class_end", F.max("last_slot").over(cls))
+        # the last `window` slots, one per class: where each is found from, counted from the start that wraps onto it
+        .withColumn("tail", F.when(F.col("last_slot") == F.col("class_end"), F.struct(
+            (F.col("class_end") - (F.col("hi") + 1 - window)).alias("position"), F.col("end_val").alias("v"))))
+        .withColumn("tails", F.map_from_entries(F.collect_list("tail").over(whole)))
     )
-    # the last `window` slots of a series, one per class, keyed by the start position that wraps onto them
-    tails = (parts.where(F.col("last_slot") == F.col("class_end"))
-             .select(*keys, (F.col("class_end") - (F.col("hi") + 1 - window)).alias("position"),
-                     F.col("end_val").alias("wrapped")))
-    wrapped = F.coalesce("wrapped", "mean") if fill_mean else F.col("wrapped")
-    seeds = (parts.join(tails, [*keys, "position"], "left")
-             .select(*keys, "residue", "chunk",
-                     F.coalesce("carry", F.struct(wrapped.alias("v"))).alias("seed")))
-    inside = (W.partitionBy(*keys, "residue", "chunk").orderBy("slot")
+    wrapped = F.element_at("tails", F.col("position"))
+    if fill_mean:
+        wrapped = F.coalesce(wrapped, "mean")
+    seed = F.coalesce("carry", F.struct(wrapped.alias("v")))
+    # `window` entries per chunk
+    seeds = parts.select(*keys, chunk, F.struct("residue", seed.alias("seed")).alias("entry")).groupBy(
+        *keys, chunk).agg(F.map_from_entries(F.collect_list("entry")).alias("seeds"))
+    inside = (W.partitionBy(*keys, chunk, "residue").orderBy("slot")
               .rowsBetween(W.unboundedPreceding, W.currentRow))
     last_kept = F.last(F.when(keep, F.struct(v.alias("v"))), ignorenulls=True).over(inside)
-    return (df.join(seeds, [*keys, "residue", "chunk"])
-            .withColumn(val, F.coalesce(last_kept, F.col("seed"))["v"])
-            .drop("residue", "chunk", "keep", "seed"))
+    rows = df.join(seeds.hint("shuffle_hash"), [*keys, chunk])
+    fixed = F.coalesce(last_kept, F.element_at("seeds", F.col("residue")))["v"]
+    return rows.withColumn(val, fixed).drop("residue", "keep", "seeds")
 
 
 def remove_na(df: DataFrame, keys: list[str], val: str = "val", window: int = 2,
@@ -93,7 +95,7 @@ def avg_extremes(df: DataFrame, keys: list[str], val: str = "val", window: int =
     v = F.col(val)
     stats = grid.series_stats(df, keys, F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
     bad = high_or_zero(v, F.col("mean"), F.col("std"), sigmas)
-    marked = grid.attach(df, stats, keys, size).withColumn("keep", ~bad).drop("mean", "std", "lo", "hi", "chunk")
+    marked = grid.attach(df, stats, keys, size, windowed=True).withColumn("keep", ~bad).drop("mean", "std", "lo", "hi")
     return _carry(marked, keys, val, window, size, fill_mean=False)
 
 

@@ -48,7 +48,7 @@ def row_slice(df: DataFrame, keys: list[str], start: int, end: int | None, size:
     cond = F.col("rn") >= start
     if end is not None:
         cond = cond & (F.col("rn") < end)
-    return rows.where(cond).drop("chunk", "lo", "hi")
+    return rows.where(cond).drop("lo", "hi")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: Column, columns: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ def lagged(df: DataFrame, keys: list[str], val: str, lags: list[int], prefix: st
            size: int = grid.CHUNK) -> DataFrame:
     """Add `{prefix}{k}`: the value k steps earlier, NULL before the start."""
     rows = grid.with_halo(df, before=max(lags), size=size)
-    w = grid.halo_window(keys)
+    w = grid.halo_window(keys, size)
     rows = rows.select("*", *[F.lag(val, k).over(w).alias(f"{prefix}{k}") for k in lags])
     return grid.own_rows(rows)
 
@@ -24,9 +24,9 @@ def moving_avg(df: DataFrame, keys: list[str], val: str = "val", width: int = 2,
                size: int = grid.CHUNK) -> DataFrame:
     """Mean of positions i-width+1 .. i+width; 0 for i < width and i >= n - width."""
     spans = grid.series_stats(df, keys)
-    rows = grid.attach(df, spans, keys, size).drop("chunk")
-    rows = grid.with_halo(rows, before=width - 1, after=width, size=size)
-    w = grid.halo_window(keys).rowsBetween(-(width - 1), width)
+    rows = grid.with_halo(df, before=width - 1, after=width, size=size)
+    rows = grid.attach(rows, spans, keys, size, before=width - 1, after=width, windowed=True)
+    w = grid.halo_window(keys, size).rowsBetween(-(width - 1), width)
     inner = (F.col("slot") - F.col("lo") >= width) & (F.col("hi") - F.col("slot") >= width)
     rows = rows.withColumn(out, F.when(inner, F.sum(val).over(w) / (2 * width)).otherwise(F.lit(0.0)))
     return grid.own_rows(rows).drop("lo", "hi")
@@ -36,7 +36,7 @@ def _trend(df: DataFrame, keys: list[str], val: str, period: int, size: int) ->
     """Trailing mean over one period; an even period takes period+1 taps with half weight at both ends."""
     taps = period if period % 2 == 0 else period - 1
     rows = grid.with_halo(df, before=taps, size=size)
-    w = grid.halo_window(keys)
+    w = grid.halo_window(keys, size)
     frame = w.rowsBetween(-taps, 0)
     total = F.sum(val).over(frame)
     if period % 2 == 0:
@@ -75,7 +75,7 @@ def compact_index(df: DataFrame, keys: list[str], val: str = "val", size: int =
     """Drop NULLs and renumber `slot` without holes, as the correlation functions expect."""
     rows = df.where(F.col(val).isNotNull())
     rows = grid.row_index(rows, keys, ["slot"], grid.chunk_of(F.col("slot"), size), out="rn")
-    return rows.drop("slot").withColumnRenamed("rn", "slot")
+    return rows.drop("slot", grid.chunk_col(size)).withColumnRenamed("rn", "slot")
 
 
 def _lag_products(df: DataFrame, keys: list[str], val: str, nlags: int, size: int) -> DataFrame:
@@ -85,10 +85,10 @@ def _lag_products(df: DataFrame, keys: list[str], val: str, nlags: int, size: in
     """
     rows = compact_index(df, keys, val, size)
     stats = grid.series_stats(rows, keys, F.avg(val).alias("mean"))
-    rows = grid.attach(rows, stats, keys, size).drop("chunk")
-    rows = rows.select(*keys, "slot", "lo", "hi", "mean", (F.col(val) - F.col("mean")).alias("c"))
-    rows = grid.with_halo(rows, before=nlags, size=size)
-    w = grid.halo_window(keys)
+    rows = grid.with_halo(rows.select(*keys, "slot", val), before=nlags, size=size)
+    rows = grid.attach(rows, stats, keys, size, before=nlags, windowed=True)
+    rows = rows.withColumn("c", F.col(val) - F.col("mean"))
+    w = grid.halo_window(keys, size)
     lags = [F.col("c") * (F.col("c") if k == 0 else F.lag("c", k).over(w)) for k in range(nlags + 1)]
     rows = grid.own_rows(rows.select("*", *[p.alias(f"p{k}") for k, p in enumerate(lags)]))
     pair = F.struct("slot", "c")
@@ -158,20 +158,21 @@ def persistence(df: DataFrame, keys: list[str], val: str = "val", horizon: int =
                 size: int = grid.CHUNK) -> DataFrame:
     """Forecast = value `horizon` steps before, within the first (train) or second (test) half of each series."""
     rows = lagged(df, keys, val, [horizon], "back_", size)
-    rows = split_half(rows, keys, size)
+    rows = split_half(rows, keys, size, spans=grid.series_stats(df, keys))
     in_half = (F.col("part") == "train") | (F.col("rn") >= F.col("half") + horizon)
     return rows.withColumn("persist", F.when(in_half, F.col(f"back_{horizon}"))).drop(f"back_{horizon}", "half")
 
 
-def split_half(df: DataFrame, keys: list[str], size: int = grid.CHUNK, ratio: float = 0.5) -> DataFrame:
+def split_half(df: DataFrame, keys: list[str], size: int = grid.CHUNK, ratio: float = 0.5,
+               spans: DataFrame | None = None) -> DataFrame:
     """Position split: `rn`, `half` = floor(n * ratio) and `part` = train before it, test after."""
-    spans = grid.series_stats(df, keys)
+    spans = grid.series_stats(df, keys) if spans is None else spans
     half = F.floor((F.col("hi") - F.col("lo") + 1) * ratio)
     return (grid.attach(df, spans, keys, size)
             .withColumn("rn", F.col("slot") - F.col("lo"))
             .withColumn("half", half)
             .withColumn("part", F.when(F.col("rn") < F.col("half"), F.lit("train")).otherwise(F.lit("test")))
-            .drop("chunk", "lo", "hi"))
+            .drop("lo", "hi"))
 
 
 def day_block(steps: int = 24, offset: int = 0) -> Column:
@@ -179,21 +180,26 @@ def day_block(steps: int = 24, offset: int = 0) -> Column:
     return F.floor((F.col("slot") - offset) / steps)
 
 
-def _block_window(keys: list[str]) -> W:
-    # a block holds `steps` rows, so these windows stay small whatever the series' length
-    return W.partitionBy(*keys, "block").orderBy("slot").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+def _block_window(keys: list[str], steps: int, size: int) -> W:
+    """A block holds `steps` rows, so these windows stay small whatever the series' length. Blocks that never
+    straddle two chunks are found inside the chunks the rows are already partitioned by."""
+    inside = [grid.chunk_col(size)] if size % steps == 0 else []
+    return W.partitionBy(*keys, *inside, "block").orderBy("slot").rowsBetween(
+        W.unboundedPreceding, W.unboundedFollowing)
 
 
-def day_level(df: DataFrame, keys: list[str], val: str = "val", steps: int = 24, out: str = "level") -> DataFrame:
+def day_level(df: DataFrame, keys: list[str], val: str = "val", steps: int = 24, out: str = "level",
+              size: int = grid.CHUNK) -> DataFrame:
     """First value of each day, repeated."""
-    rows = df.withColumn("block", day_block(steps))
-    return rows.withColumn(out, F.first(val).over(_block_window(keys))).drop("block")
+    rows = grid.with_chunk(df, size).withColumn("block", day_block(steps))
+    return rows.withColumn(out, F.first(val).over(_block_window(keys, steps, size))).drop("block")
 
 
-def day_grad(df: DataFrame, keys: list[str], val: str = "val", steps: int = 24, out: str = "grad") -> DataFrame:
+def day_grad(df: DataFrame, keys: list[str], val: str = "val", steps: int = 24, out: str = "grad",
+             size: int = grid.CHUNK) -> DataFrame:
     """(last - first) / (steps - 1) of each day, times the position in the day."""
-    w = _block_window(keys)
-    rows = df.withColumn("block", day_block(steps))
+    w = _block_window(keys, steps, size)
+    rows = grid.with_chunk(df, size).withColumn("block", day_block(steps))
     slope = (F.last(val).over(w) - F.first(val).over(w)) / (steps - 1)
     return rows.withColumn(out, slope * F.pmod(F.col("slot"), F.lit(steps))).drop("block")
 
@@ -205,17 +211,18 @@ def run_boundaries(df: DataFrame, label: str, order: list[str], chunk: Column) -
     are counted per chunk and summed up: only one row per chunk meets in one task.
     """
     df = df.withColumn("chunk", chunk)
-    position = F.struct(*order)
-    ends = df.groupBy("chunk").agg(F.max_by(label, position).alias("end_label"))
-    ends = ends.withColumn("before", F.lag("end_label").over(W.orderBy("chunk"))).drop("end_label")
+    this = F.struct(F.col(label).alias("label"))
+    ends = df.groupBy("chunk").agg(F.max_by(this, F.struct(*order)).alias("end"))
+    ends = ends.withColumn("before", F.lag("end").over(W.orderBy("chunk"))).drop("end")
     inside = W.partitionBy("chunk").orderBy(*order)
-    previous = F.coalesce(F.lag(label).over(inside), F.col("before"))
-    marked = df.join(ends, "chunk").withColumn("starts", (~F.col(label).eqNullSafe(previous)).cast("int"))
+    previous = F.coalesce(F.lag(this).over(inside), F.col("before"))
+    same = previous.isNotNull() & previous["label"].eqNullSafe(F.col(label))
+    marked = df.join(ends.hint("shuffle_hash"), "chunk").withColumn("starts", (~same).cast("int"))
     counts = marked.groupBy("chunk").agg(F.sum("starts").alias("n_starts"))
     up_to = W.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("runs_before", F.coalesce(F.sum("n_starts").over(up_to), F.lit(0))).drop("n_starts")
     running = F.sum("starts").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return (marked.join(counts, "chunk")
+    return (marked.join(counts.hint("shuffle_hash"), "chunk")
             .withColumn("run_id", F.col("runs_before") + running - 1)
             .drop("chunk", "before", "runs_before"))
 
@@ -253,9 +260,9 @@ def seq_windows(df: DataFrame, keys: list[str], inputs: str, label: str, length:
     label_length = label_length or length
     ahead = max(length, offset + label_length) - 1
     spans = grid.series_stats(df, keys)
-    rows = grid.attach(df, spans, keys, size).drop("chunk")
-    rows = grid.with_halo(rows, before=0, after=ahead, size=size)
-    w = grid.halo_window(keys)
+    rows = grid.with_halo(df, before=0, after=ahead, size=size)
+    rows = grid.attach(rows, spans, keys, size, after=ahead, windowed=True)
+    w = grid.halo_window(keys, size)
     # NULLs must keep their place, so values travel inside structs
     x = F.collect_list(F.struct(F.col(inputs).alias("v"))).over(w.rowsBetween(0, length - 1))
     y = F.collect_list(F.struct(F.col(label).alias("v"))).over(w.rowsBetween(offset, offset + label_length - 1))
@@ -284,10 +291,11 @@ def sample_windows(df: DataFrame, keys: list[str], n_samples: int, length: int,
     return cover.join(df, [*keys, "slot"])
 
 
-def blocks(df: DataFrame, keys: list[str], columns: list[str], steps: int = 24) -> DataFrame:
+def blocks(df: DataFrame, keys: list[str], columns: list[str], steps: int = 24, size: int = grid.CHUNK) -> DataFrame:
     """One row per (series, block of `steps` rows) with an array per column in slot order."""
-    rows = df.withColumn("block", day_block(steps))
-    packed = rows.groupBy(*keys, "block").agg(F.sort_array(F.collect_list(F.struct("slot", *columns))).alias("r"))
+    rows = grid.with_chunk(df, size).withColumn("block", day_block(steps))
+    inside = [grid.chunk_col(size)] if size % steps == 0 else []
+    packed = rows.groupBy(*keys, *inside, "block").agg(F.sort_array(F.collect_list(F.struct("slot", *columns))).alias("r"))
     return packed.select(*keys, "block", F.size("r").alias("n"), *[F.col(f"r.{c}").alias(c) for c in columns])
 
 
@@ -317,7 +325,7 @@ def minmax_train(df: DataFrame, keys: list[str], val: str = "val", ratio: float
     rows = split_half(df, keys, size, ratio)
     train = F.when(F.col("part") == "train", F.col(val))
     stats = grid.series_stats(rows, keys, F.min(train).alias("train_min"), F.max(train).alias("train_max"))
-    rows = grid.attach(rows, stats, keys, size).drop("chunk", "lo", "hi", "half")
+    rows = grid.attach(rows, stats, keys, size).drop("lo", "hi", "half")
     span = F.col("train_max") - F.col("train_min")
     return rows.withColumn("scaled", F.when(span != 0, (F.col(val) - F.col("train_min")) / span))
 

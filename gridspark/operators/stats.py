@@ -65,7 +65,7 @@ def mape(pred: Column, actual: Column, eps: float = 0.0) -> Column:
 def scale_by_max(df: DataFrame, keys: list[str], val: str = "val") -> DataFrame:
     """val divided by its series maximum. Needs `slot`; the maxima are aggregated first and joined back."""
     top = grid.series_stats(df, keys, F.max(val).alias("max_val"))
-    return (grid.attach(df, top, keys).drop("chunk", "lo", "hi")
+    return (grid.attach(df, top, keys).drop("lo", "hi")
             .withColumn("scaled", F.when(F.col("max_val") != 0, F.col(val) / F.col("max_val"))))
 
 

@@ -17,7 +17,7 @@ from gridspark.session import get_spark  # noqa: E402
 
 
 def main(sf: str, names: list[str]) -> int:
-    spark = get_spark("oracle", "local[8]", 8, **{"spark.driver.memory": "16g"})
+    spark = get_spark("oracle", "local[8]", 8, **{"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     failed = 0
