@@ -117,8 +117,7 @@ def dim_enrich(spark, sf):
     docs = fx.docs(spark, sf)
     wanted = docs.select(text.series_id_parts("series_id")["source"].alias("abbr")).unionByName(
         fx.table(spark, sf, "nation").select(F.col("n_name").alias("abbr")))
-    dim = spark.createDataFrame([(i, n, a) for i, (a, n) in enumerate(vocab.EXTRA_REGIONS.items(), start=1)],
-                                "id int, full_name string, abbr string")
+    dim = vocab.extra_region_dim(spark)
     pairs = docs.select("name").distinct().select(F.explode(text.name_abbr_pairs("name")).alias("p")).select("p.*")
     out, unknown = align.dim_enrich(wanted, dim, pairs)
     return out.select(F.lit("dim").alias("what"), "id", "full_name", "abbr").unionByName(

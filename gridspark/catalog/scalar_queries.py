@@ -173,7 +173,7 @@ def scale_by_max(spark, sf):
     (VALUES {', '.join(f"('{a}', '{n}', {d}::DOUBLE)" for a, (n, d) in vocab.STATES.items())}) d(state, name, density)
     ON d.state = s.state""", ("fx_station",))
 def state_density(spark, sf):
-    return fx.station(spark, sf).join(F.broadcast(vocab.state_dim(spark)), "state").select(
+    return fx.station(spark, sf).join(vocab.state_dim(spark), "state").select(
         "callsign", "state", "state_name", "density")
 
 

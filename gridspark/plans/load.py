@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridspark import vocab
 from gridspark.functions import text
 from gridspark.operators import align, grid, select
+from gridspark.session import materialize
 from gridspark.sources import listing, series_json, warehouse, weather
 
 
@@ -15,7 +16,7 @@ def source_dim(docs: DataFrame, order: Column | None = None) -> DataFrame:
     """(id, full_name, abbr) of the reporting regions: category names plus the regions outside."""
     spark = docs.sparkSession
     named = series_json.category_names(docs, F.col("category_id") if order is None else order)
-    extra = spark.createDataFrame([(a, n) for a, n in vocab.EXTRA_REGIONS.items()], "abbr string, full_name string")
+    extra = vocab.extra_region_dim(spark).select("abbr", "full_name")
     merged = named.unionByName(extra).groupBy("abbr").agg(F.max("full_name").alias("full_name"))
     return grid.dense_ids(merged, "abbr").select("id", "full_name", "abbr")
 
@@ -32,25 +33,29 @@ def eba_rows(docs: DataFrame, n_series: int | None = None, zero_as_null: bool =
 
 
 def eba_with_ids(docs: DataFrame, zero_as_null: bool = False) -> dict[str, DataFrame]:
-    """Both facts with dimension ids, the completed source dimension, and what could not be resolved."""
-    rows = eba_rows(docs, zero_as_null=zero_as_null)
-    pairs = (docs.where(F.col("series_id").isNotNull()).select("name").distinct()
+    """Both facts with dimension ids, the completed source dimension, and what could not be resolved.
+
+    Titles and ids are written once without the observations, so that building the dimensions does not read the
+    documents' data again; the dimension is written too, which gives the star joins its true size.
+    """
+    heads = materialize(docs.withColumn("data", F.slice("data", 1, 1)), "series-heads")
+    pairs = (heads.where(F.col("series_id").isNotNull()).select("name").distinct()
              .select(F.explode(text.name_abbr_pairs("name")).alias("p")).select("p.abbr", "p.full_name"))
-    ids = (select.route_series(docs).select("series_id").distinct()
-           .select(text.series_id_parts("series_id").alias("p"), F.col("series_id")))
+    ids = (select.route_series(heads).select("series_id").distinct()
+           .select("series_id", text.series_id_parts("series_id").alias("p")))
     used = ids.select(F.explode(F.array("p.source", "p.dest")).alias("abbr")).where("abbr <> 'ALL'")
-    sources, unknown = align.dim_enrich(used, source_dim(docs), pairs)
+    enriched, unknown = align.dim_enrich(used, source_dim(heads), pairs)
+    sources = materialize(enriched, "sources")
     measures = vocab.measure_dim(docs.sparkSession)
-    facts = rows.where("target = 'eba'")
-    eba = align.star(facts.join(sources.select("abbr", F.col("id").alias("source_id")), facts["source"] == F.col("abbr")
-                                ).drop("abbr")
-                     .join(measures.select(F.col("abbr").alias("measure"), F.col("id").alias("measure_id")), "measure"))
-    inter = rows.where("target = 'eba_inter'")
+    rows = eba_rows(docs, zero_as_null=zero_as_null)
     src = sources.select(F.col("abbr").alias("source"), F.col("id").alias("source_id"))
     dst = sources.select(F.col("abbr").alias("dest"), F.col("id").alias("dest_id"))
+    tag = measures.select(F.col("abbr").alias("measure"), F.col("id").alias("measure_id"))
     return {
-        "eba": eba.select("ts", "source_id", "measure_id", "val"),
-        "eba_inter": inter.join(src, "source").join(dst, "dest").select("ts", "source_id", "dest_id", "val"),
+        "eba": rows.where("target = 'eba'").join(src, "source").join(tag, "measure").select(
+            "ts", "source_id", "measure_id", "val"),
+        "eba_inter": rows.where("target = 'eba_inter'").join(src, "source").join(dst, "dest").select(
+            "ts", "source_id", "dest_id", "val"),
         "eba_meta": sources, "eba_measure": measures, "unknown": unknown,
         "rejects": ids.where("p is null").select("series_id"),
     }

@@ -34,7 +34,7 @@ def station_frame(wide: DataFrame, stations: DataFrame) -> DataFrame:
 def region_map(stations: DataFrame) -> DataFrame:
     regions = vocab.region_dim(stations.sparkSession)
     return (stations.withColumn("city_state", F.concat_ws(", ", "city", "state"))
-            .join(F.broadcast(regions), "state", "left"))  # 50 fixed rows
+            .join(regions, "state", "left"))
 
 
 def to_long(wide: DataFrame, measures: list[str] | None = None, zero_as_null: bool = False) -> DataFrame:

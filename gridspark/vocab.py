@@ -117,28 +117,41 @@ def measure_names() -> dict[str, str]:
     return MEASURES | {f"NG-{code}": name for code, name in GENERATION.items()}
 
 
-def _dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def _literal(value: str | int | float) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A fixed table inside the plan: Spark knows its exact size, so joins with it need no hint."""
+    body = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
+def extra_region_dim(spark: SparkSession) -> DataFrame:
+    rows = [(i, name, abbr) for i, (abbr, name) in enumerate(EXTRA_REGIONS.items(), start=1)]
+    return literal_table(spark, rows, ["id", "full_name", "abbr"])
 
 
 def measure_dim(spark: SparkSession) -> DataFrame:
     rows = [(i, name, abbr) for i, (abbr, name) in enumerate(measure_names().items(), start=1)]
-    return _dim(spark, rows, "id int, full_name string, abbr string")
+    return literal_table(spark, rows, ["id", "full_name", "abbr"])
 
 
 def isd_measure_dim(spark: SparkSession) -> DataFrame:
-    return _dim(spark, list(enumerate(ISD_MEASURES)), "id int, measure string")
+    return literal_table(spark, list(enumerate(ISD_MEASURES)), ["id", "measure"])
 
 
 def region_dim(spark: SparkSession) -> DataFrame:
-    return _dim(spark, list(STATE_REGION.items()), "state string, region string")
+    return literal_table(spark, list(STATE_REGION.items()), ["state", "region"])
 
 
 def state_dim(spark: SparkSession) -> DataFrame:
     rows = [(abbr, name, density) for abbr, (name, density) in STATES.items()]
-    return _dim(spark, rows, "state string, state_name string, density double")
+    return literal_table(spark, rows, ["state", "state_name", "density"])
 
 
 def city_dim(spark: SparkSession) -> DataFrame:
     rows = [(st, i + 1, city) for st, cities in STATE_CITIES.items() for i, city in enumerate(cities)]
-    return _dim(spark, rows, "state string, city_rank int, city string")
+    return literal_table(spark, rows, ["state", "city_rank", "city"])
