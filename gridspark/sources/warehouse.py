@@ -8,6 +8,8 @@ from gridspark.operators import upsert
 from gridspark.schemas import WAREHOUSE
 from gridspark.session import materialize
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def create_table(spark: SparkSession, table: str, database: str = "default") -> str:
     """CREATE TABLE IF NOT EXISTS for a known table; returns the statement."""
@@ -49,7 +51,13 @@ def replace_partitions(df: DataFrame, table: str, database: str = "default") ->
     """Overwrite only the partitions present in `df`."""
     spark = df.sparkSession
     rows = df.select(*spark.table(f"{database}.{table}").columns)
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(f"{database}.{table}", overwrite=True)
+    # insertInto takes the mode from the session, not from a writer option
+    previous = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        rows.write.insertInto(f"{database}.{table}", overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, previous)
 
 
 def upsert_table(new: DataFrame, table: str, keys: list[str], value: str, database: str = "default",
