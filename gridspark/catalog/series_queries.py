@@ -51,6 +51,19 @@ def avg_extremes_neighbour(spark, sf):
     return rounded(quality.avg_extremes(fx.dirty(spark, sf), K, window=2).select("series", "ts", "val"), "val")
 
 
+def _both_sql(w: int) -> str:
+    back = f"last_value(val IGNORE NULLS) OVER (PARTITION BY series, rn % {w} ORDER BY rn ROWS UNBOUNDED PRECEDING)"
+    ahead = f"""first_value(val IGNORE NULLS) OVER (PARTITION BY series, rn % {w} ORDER BY rn
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+    return f"""SELECT series, ts, {r('(coalesce(a, b) + coalesce(b, a)) / 2', 'val')} FROM (
+        SELECT series, ts, {back} AS a, {ahead} AS b FROM fx_dirty)"""
+
+
+@query("remove_na_both", _both_sql(24), ("fx_dirty",))
+def remove_na_both(spark, sf):
+    return rounded(quality.remove_na(fx.dirty(spark, sf), K, window=24, side="both").select("series", "ts", "val"), "val")
+
+
 @query("moving_avg", f"""SELECT series, ts, {r('''CASE WHEN rn >= 6 AND rn < n - 6 THEN sum(val) OVER (PARTITION BY series ORDER BY rn
     ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING) / 12 ELSE 0 END''', 'smooth')} FROM fx_joint""", ("fx_joint",))
 def moving_avg(spark, sf):
@@ -197,6 +210,20 @@ def sample_windows(spark, sf):
     return series.sample_windows(fx.joint(spark, sf), K, 200, 48).select("series", "sample", "step", "ts", "val", "temp")
 
 
+@query("sample_days", """WITH p AS (SELECT series, min(slot) AS lo, max(slot) AS hi FROM fx_joint
+        WHERE ts > TIMESTAMP '2024-01-03 05:00:00' AND ts <= TIMESTAMP '2024-01-27' GROUP BY series),
+    q AS (SELECT series, hi, CAST(ceil(lo / 24.0) * 24 AS BIGINT) AS f FROM p),
+    s AS (SELECT series, k AS sample, f + CAST('0x' || md5(concat_ws('-', series, k, 11))[1:8] AS BIGINT) % ((hi + 1 - 24 - f + 23) // 24) * 24 AS start
+          FROM q, (SELECT unnest(range(0, 40)) AS k))
+    SELECT s.series, CAST(sample AS INTEGER) AS sample, min(ts) AS first_ts, count(*) AS n FROM s
+    JOIN fx_joint j ON j.series = s.series AND j.slot >= start AND j.slot < start + 24 GROUP BY ALL""", ("fx_joint",))
+def sample_days(spark, sf):
+    """The dataset definition: a date span, a seed, and whole days drawn from it."""
+    out = series.sample_windows(fx.joint(spark, sf), K, 40, 24, seed=11, every=24, after="2024-01-03 05:00:00",
+                                until="2024-01-27")
+    return out.groupBy("series", "sample").agg(F.min("ts").alias("first_ts"), F.count(F.lit(1)).alias("n"))
+
+
 @query("block_score", f"""SELECT series, ts, {r('0.5 * val + 0.5 * avg(val) OVER (PARTITION BY series, slot // 24) + 0.1 * temp', 'pred')}
     FROM fx_joint""", ("fx_joint",))
 def block_score(spark, sf):

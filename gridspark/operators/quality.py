@@ -78,25 +78,59 @@ def _carry(df: DataFrame, keys: list[str], val: str, window: int, size: int, fil
     return rows.withColumn(val, fixed).drop("residue", "keep", "seeds")
 
 
-def remove_na(df: DataFrame, keys: list[str], val: str = "val", window: int = 2,
+def _both_sides(df: DataFrame, keys: list[str], val: str, window: int, size: int) -> DataFrame:
+    """Replace rows with `keep` false by the mean of the nearest kept rows before and after, a multiple of
+    `window` steps away; one of them alone at the edges, NULL if there is none."""
+    v, slot, keep, chunk = F.col(val), F.col("slot"), F.col("keep"), grid.chunk_col(size)
+    df = grid.with_chunk(df, size).withColumn("residue", F.pmod(slot, F.lit(window)))
+    kept = F.when(keep & v.isNotNull(), v)
+    kept_slot = F.when(keep & v.isNotNull(), slot)
+    parts = df.groupBy(*keys, chunk, "residue").agg(
+        F.max_by(v, kept_slot).alias("end_kept"), F.min_by(v, kept_slot).alias("start_kept"))
+    cls = W.partitionBy(*keys, "residue").orderBy(chunk)
+    before = F.last("end_kept", ignorenulls=True).over(cls.rowsBetween(W.unboundedPreceding, -1))
+    after = F.first("start_kept", ignorenulls=True).over(cls.rowsBetween(1, W.unboundedFollowing))
+    entry = F.struct("residue", F.struct(before.alias("before"), after.alias("after")).alias("seed"))
+    seeds = parts.select(*keys, chunk, entry.alias("entry")).groupBy(*keys, chunk).agg(
+        F.map_from_entries(F.collect_list("entry")).alias("seeds"))
+    inside = W.partitionBy(*keys, chunk, "residue").orderBy("slot")
+    seed = F.element_at("seeds", F.col("residue"))
+    left = F.coalesce(F.last(kept, ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)),
+                      seed["before"])
+    right = F.coalesce(F.first(kept, ignorenulls=True).over(inside.rowsBetween(W.currentRow, W.unboundedFollowing)),
+                       seed["after"])
+    rows = df.join(seeds.hint("shuffle_hash"), [*keys, chunk])
+    mean = (F.coalesce(left, right) + F.coalesce(right, left)) / 2
+    return rows.withColumn(val, F.when(keep, v).otherwise(mean)).drop("residue", "keep", "seeds")
+
+
+def _repair(df: DataFrame, keys: list[str], val: str, window: int, side: str, size: int, fill_mean: bool) -> DataFrame:
+    if side == "both":
+        return _both_sides(df, keys, val, window, size)
+    return _carry(df, keys, val, window, size, fill_mean)
+
+
+def remove_na(df: DataFrame, keys: list[str], val: str = "val", window: int = 2, side: str = "back",
               size: int = grid.CHUNK) -> DataFrame:
     """Fill NULLs with the value `window` steps earlier (24 = the day before), in order; the first steps wrap to
-    the series' end, whose NULLs count as the series mean. Needs consecutive `slot`s, `window` of them at least.
+    the series' end, whose NULLs count as the series mean. `side='both'` takes the mean of the nearest values
+    before and after instead. Needs consecutive `slot`s, `window` of them at least.
     """
-    return _carry(df.withColumn("keep", F.col(val).isNotNull()), keys, val, window, size, fill_mean=True)
+    return _repair(df.withColumn("keep", F.col(val).isNotNull()), keys, val, window, side, size, fill_mean=True)
 
 
 def avg_extremes(df: DataFrame, keys: list[str], val: str = "val", window: int = 2, sigmas: float = 4.0,
-                 size: int = grid.CHUNK) -> DataFrame:
+                 side: str = "back", size: int = grid.CHUNK) -> DataFrame:
     """Replace zeros and values above mean + 4 deviations by the value `window` steps earlier, in order.
 
-    The mask is taken once from the raw series. NULLs are neither masked nor filled. Needs consecutive `slot`s.
+    The mask is taken once from the raw series. NULLs are neither masked nor filled. `side` as in `remove_na`.
+    Needs consecutive `slot`s.
     """
     v = F.col(val)
     stats = grid.series_stats(df, keys, F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
     bad = high_or_zero(v, F.col("mean"), F.col("std"), sigmas)
     marked = grid.attach(df, stats, keys, size, windowed=True).withColumn("keep", ~bad).drop("mean", "std", "lo", "hi")
-    return _carry(marked, keys, val, window, size, fill_mean=False)
+    return _repair(marked, keys, val, window, side, size, fill_mean=False)
 
 
 def identity_residual(df: DataFrame, index: list[str], demand: str, generation: str, interchange: str,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from gridspark.functions import timefn
 from gridspark.operators import grid
 
 
@@ -271,21 +272,30 @@ def seq_windows(df: DataFrame, keys: list[str], inputs: str, label: str, length:
     return grid.own_rows(rows.where(starts)).select(*keys, "slot", "x", "y")
 
 
-def sample_starts(spans: DataFrame, keys: list[str], n_samples: int, length: int, seed: int = 7653) -> DataFrame:
-    """`n_samples` start slots per series drawn from md5(keys, i, seed): repeatable on any cluster."""
+def sample_starts(spans: DataFrame, keys: list[str], n_samples: int, length: int, seed: int = 7653,
+                  every: int = 1) -> DataFrame:
+    """`n_samples` start slots per series drawn from md5(keys, i, seed): repeatable on any cluster.
+
+    `every=24` draws among midnights only.
+    """
     text = F.concat_ws("-", *keys, F.col("sample"), F.lit(seed))
     draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    room = F.col("hi") - F.col("lo") + 1 - length
+    first = F.ceil(F.col("lo") / every) * every
+    room = F.floor((F.col("hi") + 1 - length - first + every - 1) / every)
     return (spans.where(room > 0).withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
-            .select(*keys, "sample", (F.col("lo") + draw % room).alias("start")))
+            .select(*keys, "sample", (first + draw % room * every).alias("start")))
 
 
-def sample_windows(df: DataFrame, keys: list[str], n_samples: int, length: int, seed: int = 7653) -> DataFrame:
+def sample_windows(df: DataFrame, keys: list[str], n_samples: int, length: int, seed: int = 7653, every: int = 1,
+                   after: str | None = None, until: str | None = None) -> DataFrame:
     """Random training windows in long form: keys, sample, step (0..length-1) and the sampled row's columns.
 
-    Each window is spelled out as the slots it covers and equi-joined, so no range join is needed.
+    Windows lie within `(after, until]` when given. Each window is spelled out as the slots it covers and
+    equi-joined, so no range join is needed.
     """
-    starts = sample_starts(grid.series_stats(df, keys), keys, n_samples, length, seed)
+    if after and until:
+        df = df.where(timefn.half_open("ts", after, until))
+    starts = sample_starts(grid.series_stats(df, keys), keys, n_samples, length, seed, every)
     cover = (starts.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(length - 1))))
              .select(*keys, "sample", "step", (F.col("start") + F.col("step")).alias("slot")))
     return cover.join(df, [*keys, "slot"])

@@ -32,14 +32,17 @@ def type_counts(df: DataFrame, name: str = "name") -> DataFrame:
 
 
 def type_counts_containing(df: DataFrame, name: str = "name") -> DataFrame:
-    """As the notebooks count it: how many first levels contain the type as a substring.
+    """As the notebooks count it: series whose first level contains the type as a substring.
 
-    Types are counted first, so only distinct types meet in the containment join.
+    Types are counted first; each then lists its own substrings, so that containment becomes an equality join.
     """
     types = type_counts(df, name).withColumnRenamed("series_type", "t")
-    a, b = types.alias("a"), types.alias("b")
-    return (a.join(b, F.col("b.t").contains(F.col("a.t")))
-            .groupBy(F.col("a.t").alias("series_type")).agg(F.sum("b.n").alias("n")))
+    last = F.length("t")
+    inner = F.flatten(F.transform(F.sequence(F.lit(1), last), lambda i: F.transform(
+        F.sequence(F.lit(1), last - i + 1), lambda n: F.substring(F.col("t"), i, n))))
+    parts = types.where(last > 0).select("n", F.explode(F.array_distinct(inner)).alias("series_type"))
+    wanted = types.select(F.col("t").alias("series_type"))
+    return parts.join(wanted, "series_type").groupBy("series_type").agg(F.sum("n").alias("n"))
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

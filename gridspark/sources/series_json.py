@@ -57,3 +57,8 @@ def explode_observations(docs: DataFrame, zero_as_null: bool = False) -> DataFra
         timefn.parse_hour(F.get("d", F.lit(0))).alias("ts"),
         F.col("p.source").alias("source"), F.col("p.dest").alias("dest"), F.col("p.tag").alias("measure"),
         (numeric.zero_to_null(val) if zero_as_null else val).alias("val"), "series_id", "name")
+
+
+def store_documents(docs: DataFrame, path: str) -> None:
+    """Every document as it is, as parquet: the document store behind `select.regex_find` and `find_one`."""
+    docs.write.mode("errorifexists").parquet(path)

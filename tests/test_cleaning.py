@@ -78,3 +78,20 @@ def test_wall_clock_does_not_depend_on_the_session_zone(spark):
         assert row.s == (19792 * 24 + 2) and row.t == "2024-03-10 02:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("window,size", [(2, 7), (24, 24), (5, 16128)])
+def test_remove_na_both_sides(spark, window, size):
+    data = random_series(window + size)
+    want = {}
+    for k, x in data.items():
+        y = list(x)
+        for i, v in enumerate(x):
+            if v is None:
+                before = next((x[j] for j in range(i, -1, -window) if x[j] is not None), None)
+                after = next((x[j] for j in range(i, len(x), window) if x[j] is not None), None)
+                have = [n for n in (before, after) if n is not None]
+                y[i] = sum(have) / len(have) if have else None
+        want[k] = y
+    got = quality.remove_na(frame(spark, data), K, window=window, side="both", size=size)
+    same(values(got, "val"), want)
