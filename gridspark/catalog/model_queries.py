@@ -61,6 +61,13 @@ def fourier_predict(spark, sf):
     return rounded(out.select("series", "ts", "fourier"), "fourier", places=5)
 
 
+def rate_grid(base: Params) -> list[Params]:
+    from dataclasses import replace
+
+    return [replace(base, alpha=a, beta=b, g00=g, g11=g) for a in (0.05, 0.15, 0.4) for b in (0.0, 0.05, 0.15)
+            for g in (0.02, 0.1, 0.3)]
+
+
 _T = "{a0} + 0.4 * greatest(temp - 200, 0) + 0.6 * greatest(150 - temp, 0)"
 
 
@@ -91,7 +98,34 @@ def temp_gradient(spark, sf):
     return rounded(rounded(out, "d_ap", "d_an", places=4), "cost", places=3)
 
 
-@query("temp_fit")
+def _descent_sql(alpha: float, nmax: int, rtol: float = 1e-6) -> str:
+    def total(expr: str) -> str:
+        return f"list_sum(list_transform(range(1, len(t) + 1), lambda i: {expr}))"
+
+    hot, cold = "greatest(t[i] - tp, 0)", "greatest(tn - t[i], 0)"
+    return f"""WITH RECURSIVE g AS (SELECT series, CAST(temp AS DOUBLE) AS t, count(*) AS n, sum(val) AS y, sum(val * val) AS y2,
+        min(val) AS lo, max(val) AS hi FROM fx_joint GROUP BY series, temp),
+    p AS (SELECT series, list(t ORDER BY t) AS t, list(n ORDER BY t) AS n, list(y ORDER BY t) AS y, CAST(sum(n) AS DOUBLE) AS m, sum(y2) AS y2,
+        sum(y) / sum(n) AS a0, 0.5 * (max(hi) - min(lo)) / greatest(max(t) - min(t), 1) AS slope, sum(n * t) / sum(n) AS mt FROM g GROUP BY series),
+    w AS (SELECT series, t, n, y, m, y2, 0 AS steps, a0, slope AS ap, slope AS an, mt AS tp, mt AS tn, NULL::DOUBLE AS previous,
+            NULL::DOUBLE AS cost, false AS done FROM p
+        UNION ALL
+        SELECT series, t, n, y, m, y2, steps + 1, a0 - {alpha} * da0, ap - {alpha} * dap, an - {alpha} * dan, tp - {alpha} * dtp, tn - {alpha} * dtn,
+            now, NULL::DOUBLE, CASE WHEN previous IS NULL THEN false ELSE abs(1 - previous / now) < {rtol} END
+        FROM (SELECT *, (list_sum(list_transform(range(1, len(t) + 1), lambda i: n[i] * q[i] * q[i] - 2 * q[i] * y[i])) + y2) / m AS now,
+            {total('err[i]')} / m AS da0, {total(f'{hot} * err[i]')} / m AS dap, {total(f'{cold} * err[i]')} / m AS dan,
+            {total('CASE WHEN t[i] > tp THEN -ap * err[i] ELSE 0 END')} / m AS dtp,
+            {total('CASE WHEN t[i] < tn THEN an * err[i] ELSE 0 END')} / m AS dtn
+            FROM (SELECT *, list_transform(range(1, len(t) + 1), lambda i: n[i] * q[i] - y[i]) AS err FROM (
+                SELECT *, list_transform(range(1, len(t) + 1), lambda i: a0 + ap * {hot} + an * {cold}) AS q
+                FROM w WHERE NOT done AND steps <= {nmax}))))
+    -- a row holds the parameters after `steps` steps and the cost before its last step; the step that sees the stop
+    -- is one too many, so the row before it is the answer
+    SELECT a.series, {", ".join(r(f'a.{c}', c, 4) for c in ('a0', 'ap', 'an', 'tp', 'tn'))}, {r('b.previous', 'cost', 4)}, a.steps
+    FROM w a JOIN w b ON b.series = a.series AND b.steps = a.steps + 1 WHERE b.done OR b.steps = {nmax + 1}"""
+
+
+@query("temp_fit", _descent_sql(1e-4, 200), ("fx_joint",))
 def temp_fit(spark, sf):
     out = temp_response.fit(fx.joint(spark, sf), K, alpha=1e-4, nmax=200)
     return rounded(out, *temp_response.PARAMS, "cost", places=4)
@@ -135,40 +169,64 @@ _STATE0 = """st AS (SELECT series, any_value(lv) AS lv, any_value(b) AS b, list(
     list(s ORDER BY hour) FILTER (weekend = 1) AS s1 FROM i2 GROUP BY series)"""
 
 
-def _walk_sql(p: Params, temp: bool) -> str:
+def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None) -> str:
+    """`d`: whole days as lists; `walk`: state after each day, with that day's prediction and trend. With `cands`
+    every series is walked once per candidate, whose rates are carried along as columns."""
     tpart = "0.4 * greatest(temp - 200, 0) + 0.6 * greatest(150 - temp, 0)" if temp else "0.0::DOUBLE"
     el = "eps[1]" if temp else "list_avg(eps)"
-    return f"""WITH RECURSIVE {_init_sql(temp)}, {_STATE0},
+    rates = {n: f"{getattr(p, n)}::DOUBLE" for n in ("alpha", "beta", "g00", "g01", "g10", "g11")}
+    carry, carry_w, source = "", "", "st"
+    if cands:
+        carry = "cand, alpha, beta, g00, g11, "
+        carry_w = "w.cand, w.alpha, w.beta, w.g00, w.g11, "
+        rates |= {n: n for n in ("alpha", "beta", "g00", "g11")}
+        rows = ", ".join(f"({i}, {c.alpha}::DOUBLE, {c.beta}::DOUBLE, {c.g00}::DOUBLE, {c.g11}::DOUBLE)"
+                         for i, c in enumerate(cands))
+        source = f"st, (VALUES {rows}) c(cand, alpha, beta, g00, g11)"
+    flat = "(eps[i] - el - eb * (i - 1))"
+    return f"""{_init_sql(temp)}, {_STATE0},
     d AS (SELECT series, rn // 24 AS day, list(val - ({tpart}) ORDER BY rn) AS y, list(({tpart}) ORDER BY rn) AS tt,
         list(ts ORDER BY rn) AS tss, list(val ORDER BY rn) AS vs, any_value(isodow(ts) >= 6) AS we FROM fx_joint GROUP BY ALL HAVING count(*) = 24),
     walk AS (
-        SELECT series, CAST({NINIT // 24 - 1} AS BIGINT) AS day, lv, b, s0, s1, CAST([] AS DOUBLE[]) AS pred FROM st
+        SELECT series, {carry}CAST({NINIT // 24 - 1} AS BIGINT) AS day, lv, b, s0, s1, CAST([] AS DOUBLE[]) AS pred, CAST([] AS DOUBLE[]) AS trend
+        FROM {source}
         UNION ALL
-        SELECT series, day, lv + {p.alpha} * el AS lv, b + {p.beta} * eb AS b,
-            list_transform(range(1, 25), lambda i: s0[i] + (CASE WHEN we THEN {p.g01} ELSE {p.g00} END) * (eps[i] - el - eb * (i - 1))) AS s0,
-            list_transform(range(1, 25), lambda i: s1[i] + (CASE WHEN we THEN {p.g11} ELSE {p.g10} END) * (eps[i] - el - eb * (i - 1))) AS s1, pred
+        SELECT series, {carry}day, lv + {rates['alpha']} * el AS lv, b + {rates['beta']} * eb AS b,
+            list_transform(range(1, 25), lambda i: s0[i] + (CASE WHEN we THEN {rates['g01']} ELSE {rates['g00']} END) * {flat}) AS s0,
+            list_transform(range(1, 25), lambda i: s1[i] + (CASE WHEN we THEN {rates['g11']} ELSE {rates['g10']} END) * {flat}) AS s1, pred, trend
         FROM (SELECT *, (eps[24] - eps[1]) / 24 AS eb FROM (SELECT *, {el} AS el FROM (
             SELECT *, list_transform(range(1, 25), lambda i: y[i] - pred[i]) AS eps FROM (
-            SELECT w.series, d.day, w.lv, w.b, w.s0, w.s1, d.y, d.we,
+            SELECT w.series, {carry_w}d.day, w.lv, w.b, w.s0, w.s1, d.y, d.we,
+                list_transform(range(1, 25), lambda i: w.lv + w.b * (i - 1)) AS trend,
                 list_transform(range(1, 25), lambda i: w.lv + w.b * (i - 1) + (CASE WHEN d.we THEN w.s1[i] ELSE w.s0[i] END)) AS pred
-            FROM walk w JOIN d ON d.series = w.series AND d.day = w.day + 1)))))
-    SELECT w.series, d.tss[i] AS ts, d.vs[i] AS val, {r('w.pred[i] + d.tt[i]', 'pred', 5)} FROM walk w
-    JOIN d ON d.series = w.series AND d.day = w.day, (SELECT unnest(range(1, 25)) AS i) WHERE w.day >= {NINIT // 24}"""
+            FROM walk w JOIN d ON d.series = w.series AND d.day = w.day + 1)))))"""
+
 
+_HOURS = "(SELECT unnest(range(1, 25)) AS i)"
 
-@query("walk_forward", _walk_sql(RATES, False), ("fx_joint",))
+
+def _walk_sql(p: Params, temp: bool, columns: str) -> str:
+    return f"""WITH RECURSIVE {_walk_ctes(p, temp)} SELECT w.series, d.tss[i] AS ts, {columns} FROM walk w
+    JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS} WHERE w.day >= {NINIT // 24}"""
+
+
+_PRED = f"d.vs[i] AS val, {r('w.pred[i] + d.tt[i]', 'pred', 5)}"
+
+
+@query("walk_forward", _walk_sql(RATES, False, _PRED), ("fx_joint",))
 def walk_forward(spark, sf):
     out = smoothing.walk_forward(fx.joint(spark, sf), K, RATES, ninit=NINIT)
     return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "pred"), "pred", places=5)
 
 
-@query("walk_forward_temp", _walk_sql(TEMP_RATES, True), ("fx_joint",))
+@query("walk_forward_temp", _walk_sql(TEMP_RATES, True, _PRED), ("fx_joint",))
 def walk_forward_temp(spark, sf):
     out = smoothing.walk_forward(fx.joint(spark, sf), K, TEMP_RATES, temp="temp", ninit=NINIT)
     return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "pred"), "pred", places=5)
 
 
-@query("walk_components")
+@query("walk_components", _walk_sql(TEMP_RATES, True, ", ".join([
+    r("w.trend[i]", "trend", 5), r("w.pred[i]", "trend_season", 5), r("d.y[i]", "net", 5)])), ("fx_joint",))
 def walk_components(spark, sf):
     """Trend, trend with season, and demand less its temperature response, as the update loop leaves them."""
     out = smoothing.walk_forward(fx.joint(spark, sf), K, TEMP_RATES, temp="temp", ninit=NINIT)
@@ -193,14 +251,17 @@ def onestep(spark, sf):
     return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "pred"), "pred", places=4)
 
 
-def rate_grid(base: Params) -> list[Params]:
-    from dataclasses import replace
-
-    return [replace(base, alpha=a, beta=b, g00=g, g11=g) for a in (0.05, 0.15, 0.4) for b in (0.0, 0.05, 0.15)
-            for g in (0.02, 0.1, 0.3)]
+def _search_sql() -> str:
+    grid = rate_grid(RATES)
+    fixed = ", ".join(f"{getattr(RATES, n)}::DOUBLE AS \"{n}\"" for n in ("g01", "g10", "An", "Ap", "Tn", "Tp"))
+    return f"""WITH RECURSIVE {_walk_ctes(RATES, False, grid)},
+    e AS (SELECT w.series, w.cand, w.alpha, w.beta, w.g00, w.g11, sqrt(sum((w.pred[i] - d.vs[i]) ** 2) / count(*)) AS e FROM walk w
+        JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS} WHERE w.day >= {NINIT // 24} GROUP BY ALL)
+    SELECT series, cand, {r('e', 'rmse', 4)}, alpha, beta, g00, g11, {fixed} FROM e
+    QUALIFY row_number() OVER (PARTITION BY series ORDER BY e, cand) = 1"""
 
 
-@query("rate_search")
+@query("rate_search", _search_sql(), ("fx_joint",))
 def rate_search(spark, sf):
     out = smoothing.rate_search(fx.joint(spark, sf), K, rate_grid(RATES), ninit=NINIT)
     return rounded(out, "rmse", places=4)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridspark import fixtures as fx
 from gridspark.catalog.base import query, r, rounded
-from gridspark.catalog.model_queries import NINIT, RATES
+from gridspark.catalog.model_queries import NINIT, RATES, _walk_ctes
 from gridspark.models import smoothing
 from gridspark.operators import grid
 from gridspark.session import materialize, scratch_path
@@ -41,7 +41,10 @@ def stream_refresh(spark, sf):
     return refresh.read_current(spark, path, ["ts", "event_type"], "val", "event_id")
 
 
-@query("stream_dayahead")
+@query("stream_dayahead", f"""WITH RECURSIVE {_walk_ctes(RATES, False)}, z AS (SELECT min(ts) AS origin FROM fx_joint)
+    SELECT series, origin + to_days(CAST(day + 1 AS INTEGER)) + to_hours(i - 1) AS ts, {r('''lv + b * (i - 1) +
+        CASE WHEN isodow(origin + to_days(CAST(day + 1 AS INTEGER))) >= 6 THEN s1[i] ELSE s0[i] END''', 'pred', 5)}
+    FROM walk, z, (SELECT unnest(range(1, 25)) AS i) WHERE day >= {NINIT // 24}""", ("fx_joint",))
 def stream_dayahead(spark, sf):
     """Day-ahead predictions emitted by the online model over the hours after the initial stretch."""
     rows = fx.joint(spark, sf)
