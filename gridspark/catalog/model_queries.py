@@ -287,7 +287,45 @@ def rate_gradient(spark, sf):
     return rounded(out, "d_alpha", "d_beta", "d_Ap", "d_An", places=4)
 
 
-@query("fft_detrend")
+def _detrend_sql(segment: int, width: float, smooth: int) -> str:
+    """The same filter with a plain discrete transform per segment (even lengths), one step per peak."""
+    wave = f"2 * {pi!r}::DOUBLE * (((j - n // 2) * m) % n) / n"
+    sign = "(CASE WHEN abs(j - n // 2) % 2 = 0 THEN 1 ELSE -1 END)"
+    steps, last = [], "p0"
+    centres = [0.0] + [s * f for f in [1.0, 2.0] + [i / 7 for i in range(1, 6)] for s in (1, -1)]
+    for i, f in enumerate(centres, start=1):
+        dist, w = f"abs(j - n // 2 - ({f!r}::DOUBLE * n / 24))", f"({width}::DOUBLE * n / 24)"
+
+        def part(c: str) -> str:
+            return f"(CASE WHEN {dist} < {w} - 1e-9 THEN {c}[j + 1] - m{c} ELSE 0 END)"
+
+        steps.append(f"""q{i} AS (SELECT *, list_avg(list_transform(ring, lambda j: rr[j + 1])) AS mrr,
+                list_avg(list_transform(ring, lambda j: ri[j + 1])) AS mri FROM (
+                SELECT *, list_filter(range(0, n), lambda j: {dist} < 1.5 * {w} - 1e-9 AND {dist} >= {w} - 1e-9) AS ring FROM {last})),
+            p{i} AS (SELECT series, g, n, x, tss, list_transform(range(0, n), lambda j: rr[j + 1] - {part('rr')}) AS rr,
+                list_transform(range(0, n), lambda j: ri[j + 1] - {part('ri')}) AS ri,
+                list_transform(range(0, n), lambda j: tr[j + 1] + {part('rr')}) AS tr,
+                list_transform(range(0, n), lambda j: ti[j + 1] + {part('ri')}) AS ti FROM q{i})""")
+        last = f"p{i}"
+
+    def smoothed(t: str, rest: str) -> str:
+        return f"""list_transform(range(0, n), lambda j: {t}[j + 1] + CASE WHEN j >= {smooth} AND j < n - {smooth}
+            THEN list_sum({rest}[j - {smooth} + 2 : j + {smooth} + 1]) / {2 * smooth} ELSE 0 END)"""
+
+    return f"""WITH seg AS (SELECT series, slot // {segment} AS g, count(*) AS n, list(val ORDER BY slot) AS x, list(ts ORDER BY slot) AS tss
+        FROM fx_joint GROUP BY ALL),
+    p0 AS (SELECT *, list_transform(range(0, n), lambda j: {sign} * list_sum(list_transform(range(0, n), lambda m: x[m + 1] * cos({wave})))) AS rr,
+        list_transform(range(0, n), lambda j: -{sign} * list_sum(list_transform(range(0, n), lambda m: x[m + 1] * sin({wave})))) AS ri,
+        list_transform(range(0, n), lambda j: 0.0::DOUBLE) AS tr, list_transform(range(0, n), lambda j: 0.0::DOUBLE) AS ti FROM seg),
+    {", ".join(steps)},
+    f AS (SELECT *, {smoothed('tr', 'rr')} AS fr, {smoothed('ti', 'ri')} AS fi FROM {last}),
+    o AS (SELECT *, list_transform(range(0, n), lambda m: list_sum(list_transform(range(0, n), lambda j:
+        {sign} * (fr[j + 1] * cos({wave}) - fi[j + 1] * sin({wave})))) / n) AS trend FROM f)
+    SELECT series, tss[i + 1] AS ts, x[i + 1] AS val, {r('trend[i + 1]', 'trend', 5)}, {r('x[i + 1] - trend[i + 1]', 'detrend', 5)}
+    FROM (SELECT *, unnest(range(0, n)) AS i FROM o)"""
+
+
+@query("fft_detrend", _detrend_sql(720, 0.2, 10), ("fx_joint",))
 def fft_detrend(spark, sf):
     out = spectral.fft_detrend(fx.joint(spark, sf), K, width=0.2, smooth=10, segment=720)
     return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "trend", "detrend"), "trend", "detrend", places=5)
@@ -305,7 +343,25 @@ def power_bins(spark, sf):
     return rounded(rounded(out, "freq"), "power", places=8)
 
 
-@query("lag_regression")
+def _regression_sql() -> str:
+    """Least squares by Gram-Schmidt: each regressor is removed from all later columns with weights from the training
+    rows, on every row; what is left of the target is the prediction's error."""
+    cols = ["one", *features.FEATURES, "y"]
+    steps = [f"""g0 AS (SELECT *, part = 'train' AS fit, 1.0::DOUBLE AS one, val AS y FROM (SELECT series, val, rn,
+        CASE WHEN rn < n // 2 THEN 'train' ELSE 'test' END AS part, hour(ts) / 23.0::DOUBLE AS hour_frac,
+        (isodow(ts) - 1) / 6.0::DOUBLE AS week_frac, dayofyear(ts) / (364.0::DOUBLE + CASE WHEN year(ts) % 4 = 0 AND
+        (year(ts) % 100 <> 0 OR year(ts) % 400 = 0) THEN 1 ELSE 0 END) AS year_frac, CAST(temp AS DOUBLE) AS temp,
+        lag(val, 24) OVER p AS l_day, lag(val, 24) OVER p - lag(val, 25) OVER p AS d_day, lag(val, 168) OVER p AS l_week
+        FROM fx_joint WINDOW p AS (PARTITION BY series ORDER BY rn)) WHERE l_week IS NOT NULL)"""]
+    for i, c in enumerate(cols[:-1], start=1):
+        left = ", ".join(f"""{o} - {c} * (sum({o} * {c}) FILTER (fit) OVER (PARTITION BY series)
+            / sum({c} * {c}) FILTER (fit) OVER (PARTITION BY series)) AS {o}""" for o in cols[i:])
+        steps.append(f"g{i} AS (SELECT series, part, fit, val, {left} FROM g{i - 1})")
+    return f"""WITH {", ".join(steps)} SELECT series, part, count(*) AS n, {r('sqrt(sum(y * y) / count(*))', 'rmse', 4)},
+        {r('avg(abs(y / val)) FILTER (val <> 0)', 'mape', 4)} FROM g{len(cols) - 1} GROUP BY ALL"""
+
+
+@query("lag_regression", _regression_sql(), ("fx_joint",))
 def lag_regression(spark, sf):
     rows = features.lag_regression(fx.joint(spark, sf), K).where("pred is not null")
     out = rows.groupBy("series", "part").agg(F.count(F.lit(1)).alias("n"),
@@ -339,11 +395,32 @@ def scoreboard_by_hour(spark, sf):
     return rounded(score.scoreboard(rows, ["hour"], "val", _METHODS), "rmse", "mape")
 
 
-@query("forecast_pipeline")
+def _pipeline_sql() -> str:
+    from gridspark.catalog.series_queries import _extremes_sql, _remove_na_sql
+
+    filled = _remove_na_sql(24).replace("fx_dirty", "fx_common")
+    averaged = _extremes_sql(24).replace("fx_dirty", "filled_at")
+    walk = _walk_ctes(RATES, False).replace("fx_joint", "clean")
+    return f"""WITH RECURSIVE filled AS ({filled}),
+    filled_at AS (SELECT f.series, f.ts, f.val, c.rn, c.n FROM filled f JOIN fx_common c ON c.series = f.series AND c.ts = f.ts),
+    averaged AS ({averaged}),
+    clean AS (SELECT a.series, a.ts, a.val, c.rn, c.n, 0 AS temp FROM averaged a JOIN fx_common c ON c.series = a.series AND c.ts = a.ts),
+    {walk},
+    model AS (SELECT w.series, d.tss[i] AS ts, w.pred[i] AS pred FROM walk w JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS}
+        WHERE w.day >= {NINIT // 24}),
+    base AS (SELECT *, CASE WHEN rn < n // 2 THEN 'train' ELSE 'test' END AS part,
+        CASE WHEN rn < n // 2 OR rn >= n // 2 + 24 THEN lag(val, 24) OVER (PARTITION BY series ORDER BY rn) END AS persist FROM clean),
+    l AS (SELECT b.series, part, val, 'persistence' AS method, persist AS pred FROM base b WHERE rn >= {NINIT}
+        UNION ALL SELECT b.series, part, val, 'smoothing', m.pred FROM base b JOIN model m ON m.series = b.series AND m.ts = b.ts)
+    SELECT series, part, method, count(*) AS n, {r('sqrt(sum((pred - val) ** 2) / count(*))', 'rmse', 4)},
+        {r('avg(abs(1 - pred / val)) FILTER (val <> 0)', 'mape', 4)} FROM l WHERE pred IS NOT NULL GROUP BY ALL"""
+
+
+@query("forecast_pipeline", _pipeline_sql(), ("fx_common",))
 def forecast_pipeline(spark, sf):
     """Raw hourly rows cleaned, forecast and scored in one plan."""
     from gridspark.plans import forecast
 
-    clean = forecast.clean(fx.hourly(spark, sf), K, {"val": 24})
+    clean = forecast.clean(fx.hourly(spark, sf), K, {"val": 24}, common=True)
     out = forecast.day_ahead_scores(clean, K, RATES, NINIT)
     return rounded(out, "rmse", "mape", places=4)

@@ -106,7 +106,24 @@ def acf(spark, sf):
     return rounded(series.acf(fx.dirty(spark, sf), K, nlags=24), "acf", "band")
 
 
-@query("pacf")
+def _pacf_sql(nlags: int) -> str:
+    """For each lag k, remove 1 and lags 1..k-1 from lag k over t >= k; the coefficient is what is left against x."""
+    lags = ", ".join(f"lag(val, {k}) OVER p AS l{k}" for k in range(1, nlags + 1))
+    ctes = [f"""x AS (SELECT series, val AS y, 1.0::DOUBLE AS l0, row_number() OVER p - 1 AS i, {lags} FROM fx_dirty
+        WHERE val IS NOT NULL WINDOW p AS (PARTITION BY series ORDER BY rn))"""]
+    out = ["SELECT DISTINCT series, 0 AS lag, 1.0::DOUBLE AS pacf FROM x"]
+    for k in range(1, nlags + 1):
+        source = f"(SELECT * FROM x WHERE i >= {k})"
+        for j in range(k):
+            left = ", ".join(f"""l{c} - l{j} * (sum(l{c} * l{j}) OVER (PARTITION BY series)
+                / sum(l{j} * l{j}) OVER (PARTITION BY series)) AS l{c}""" for c in range(j + 1, k + 1))
+            ctes.append(f"k{k}_{j} AS (SELECT series, y, {left} FROM {source})")
+            source = f"k{k}_{j}"
+        out.append(f"SELECT series, {k}, {r(f'sum(y * l{k}) / sum(l{k} * l{k})', 'pacf')} FROM {source} GROUP BY series")
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(out)}"
+
+
+@query("pacf", _pacf_sql(12), ("fx_dirty",))
 def pacf(spark, sf):
     return rounded(series.pacf(fx.dirty(spark, sf), K, nlags=12), "pacf")
 

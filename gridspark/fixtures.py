@@ -208,6 +208,12 @@ VIEW_SQL: dict[str, tuple[list[str], str]] = {
         FROM (SELECT series, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts
               FROM fx_hourly GROUP BY series) c
         LEFT JOIN fx_hourly h ON h.series = c.series AND h.ts = c.ts"""),
+    "fx_common": (["fx_hourly"], """SELECT c.series, c.ts, h.val, CAST(epoch(c.ts) / 3600 AS BIGINT) AS slot,
+            row_number() OVER (PARTITION BY c.series ORDER BY c.ts) - 1 AS rn,
+            count(*) OVER (PARTITION BY c.series) AS n
+        FROM (SELECT s.series, r.ts FROM (SELECT DISTINCT series FROM fx_hourly) s, (
+              SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM fx_hourly) r) c
+        LEFT JOIN fx_hourly h ON h.series = c.series AND h.ts = c.ts"""),
     "fx_dirty": (["fx_cal"], """SELECT series, ts, slot, rn, n, CASE WHEN rn % 97 = 0 THEN 0.0::DOUBLE
         WHEN rn % 113 = 0 THEN val * 100 WHEN rn % 53 = 0 THEN NULL ELSE val END AS val FROM fx_cal"""),
     "fx_daily": ([], f"""SELECT o_orderdate AS ts, o_orderpriority AS series, {_sum('o_totalprice')} AS val

@@ -10,9 +10,10 @@ from gridspark.models import score, smoothing
 from gridspark.operators import align, quality, series
 
 
-def clean(df: DataFrame, keys: list[str], values: dict[str, int], ts: str = "ts", step: int = timefn.HOUR) -> DataFrame:
+def clean(df: DataFrame, keys: list[str], values: dict[str, int], ts: str = "ts", step: int = timefn.HOUR,
+          common: bool = False) -> DataFrame:
     """Regular calendar, then fill NULLs and average extremes down; `values` maps column -> look-back steps."""
-    rows = align.calendar_fill(df, keys, list(values), ts, step)
+    rows = align.calendar_fill(df, keys, list(values), ts, step, common)
     for col, window in values.items():
         rows = quality.remove_na(rows, keys, col, window)
         rows = quality.avg_extremes(rows, keys, col, window)
