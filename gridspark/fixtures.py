@@ -67,12 +67,13 @@ def calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf: str) -> DataFrame:
     """The hourly calendar with zeros, spikes and holes put in."""
-    rows = calendar(spark, sf)
-    spans = grid.series_stats(rows, ["series"])
+    raw = hourly(spark, sf)
+    spans = grid.series_stats(grid.with_slot(raw), ["series"])
     rn = F.col("slot") - F.col("lo")
     val = (F.when(rn % 97 == 0, F.lit(0.0)).when(rn % 113 == 0, F.col("val") * 100)
            .when(rn % 53 == 0, F.lit(None).cast("double")).otherwise(F.col("val")))
-    return grid.attach(rows, spans, ["series"]).select("series", "slot", "ts", val.alias("val"))
+    rows = align.calendar_fill(raw, ["series"], ["val"])
+    return grid.attach(rows, spans, ["series"]).select("series", grid.chunk_col(), "slot", "ts", val.alias("val"))
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:

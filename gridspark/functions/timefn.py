@@ -16,20 +16,22 @@ def _c(col: Column | str) -> Column:
 
 def wall_seconds(ts: Column | str) -> Column:
     """Seconds since 1970-01-01 on the column's own wall clock (long)."""
-    ts = _c(ts)
+    if isinstance(ts, str):
+        return F.expr(f"unix_date(to_date({ts})) * {DAY}L + hour({ts}) * {HOUR} + minute({ts}) * 60 + second({ts})")
     days = F.unix_date(F.to_date(ts)).cast("long")
     return days * DAY + F.hour(ts) * HOUR + F.minute(ts) * 60 + F.second(ts)
 
 
 def slot_of(ts: Column | str, step: int = HOUR) -> Column:
     """Number of the grid step that holds `ts`; consecutive steps have consecutive numbers."""
-    return F.floor(wall_seconds(ts) / step).cast("long")
+    return F.floor(wall_seconds(ts) / step)
 
 
 def slot_ts(slot: Column | str, step: int = HOUR) -> Column:
     """Start of a grid step as timestamp_ntz."""
-    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("SECOND", _c(slot) * step, origin)
+    if isinstance(slot, str):
+        return F.expr(f"timestampadd(SECOND, {slot} * {step}, TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+    return F.timestamp_add("SECOND", slot * step, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def parse_hour(text: Column | str) -> Column:

@@ -49,20 +49,15 @@ def _carry(df: DataFrame, keys: list[str], val: str, window: int, size: int, fil
     )
     whole, cls = W.partitionBy(*keys), W.partitionBy(*keys, "residue")
     earlier = cls.orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
-    parts = (
-        parts
-        .withColumn("carry", F.last(F.when(F.col("kept_slot").isNotNull(), F.struct(F.col("kept").alias("v"))),
-                                    ignorenulls=True).over(earlier))
-        .withColumn("mean", F.sum("total").over(whole) / F.sum("n").over(whole))
-        .withColumn("lo", F.min("first_slot").over(whole))
-        .withColumn("hi", F.max("last_slot").over(whole))
-        .withColumn("position", F.min("first_slot").over(cls) - F.col("lo"))
-        .withColumn("class_end", F.max("last_slot").over(cls))
-        # the last `window` slots, one per class: where each is found from, counted from the start that wraps onto it
-        .withColumn("tail", F.when(F.col("last_slot") == F.col("class_end"), F.struct(
-            (F.col("class_end") - (F.col("hi") + 1 - window)).alias("position"), F.col("end_val").alias("v"))))
-        .withColumn("tails", F.map_from_entries(F.collect_list("tail").over(whole)))
-    )
+    carried = F.last(F.when(F.col("kept_slot").isNotNull(), F.struct(F.col("kept").alias("v"))), ignorenulls=True)
+    parts = parts.withColumns({
+        "carry": carried.over(earlier), "mean": F.sum("total").over(whole) / F.sum("n").over(whole),
+        "lo": F.min("first_slot").over(whole), "hi": F.max("last_slot").over(whole),
+        "class_start": F.min("first_slot").over(cls), "class_end": F.max("last_slot").over(cls)})
+    # the last `window` slots, one per class: where each is found from, counted from the start that wraps onto it
+    tail = F.struct((F.col("class_end") - (F.col("hi") + 1 - window)).alias("position"), F.col("end_val").alias("v"))
+    tails = F.collect_list(F.when(F.col("last_slot") == F.col("class_end"), tail)).over(whole)
+    parts = parts.withColumns({"position": F.col("class_start") - F.col("lo"), "tails": F.map_from_entries(tails)})
     wrapped = F.element_at("tails", F.col("position"))
     if fill_mean:
         wrapped = F.coalesce(wrapped, "mean")

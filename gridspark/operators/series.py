@@ -85,7 +85,9 @@ def _lag_products(df: DataFrame, keys: list[str], val: str, nlags: int, size: in
     `head` and `tail` hold the first and last rows, nlags and 2*nlags of them, for edge corrections.
     """
     rows = compact_index(df, keys, val, size)
-    stats = grid.series_stats(rows, keys, F.avg(val).alias("mean"))
+    # positions run from 0 to n - 1, so the spans need no look at the numbered rows
+    stats = df.groupBy(*keys).agg(F.avg(val).alias("mean"), F.count(val).alias("hi")).where("hi > 0").select(
+        *keys, F.lit(0).cast("long").alias("lo"), (F.col("hi") - 1).alias("hi"), "mean")
     rows = grid.with_halo(rows.select(*keys, "slot", val), before=nlags, size=size)
     rows = grid.attach(rows, stats, keys, size, before=nlags, windowed=True)
     rows = rows.withColumn("c", F.col(val) - F.col("mean"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import timefn
 from gridspark.models import score, smoothing
 from gridspark.operators import align, quality, series
+from gridspark.session import materialize
 
 
 def clean(df: DataFrame, keys: list[str], values: dict[str, int], ts: str = "ts", step: int = timefn.HOUR,
@@ -23,7 +24,10 @@ def clean(df: DataFrame, keys: list[str], values: dict[str, int], ts: str = "ts"
 def day_ahead_scores(df: DataFrame, keys: list[str], params: smoothing.Params, ninit: int, val: str = "val",
                      temp: str | None = None, forecast: str | None = None) -> DataFrame:
     """Walk the smoothing model forward and score it against persistence and, if given, the utility's forecast,
-    on the first and second half of each series. `df` must be clean (see `clean`)."""
+    on the first and second half of each series. `df` must be clean (see `clean`); it is written once, since both
+    forecasts read it."""
+    needed = [*keys, "slot", val] + [c for c in (temp, forecast) if c]
+    df = materialize(df.select(*needed), "clean")
     columns = [*keys, "slot", "rn", "part", "persist", val] + ([forecast] if forecast else [])
     base = series.persistence(df, keys, val).select(*columns)
     model = smoothing.walk_forward(df, keys, params, val, temp, ninit).select(*keys, "slot", "pred")
