@@ -1,4 +1,4 @@
-"""Every query with SQL text must give exactly DuckDB's rows; the others must give rows."""
+"""Every named query must give exactly the rows of its SQL text in DuckDB."""
 
 import pytest
 from compare import compare, connect
@@ -16,13 +16,8 @@ def test_matches_sql(spark, sf, con, name):
     assert compare(QUERIES[name](spark, sf), ORACLES[name], con) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_gives_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).limit(1).collect()
-
-
 def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries())
