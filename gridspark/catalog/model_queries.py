@@ -395,7 +395,7 @@ def scoreboard_by_hour(spark, sf):
     return rounded(score.scoreboard(rows, ["hour"], "val", _METHODS), "rmse", "mape")
 
 
-def _pipeline_sql() -> str:
+def _clean_forecast_sql() -> str:
     from gridspark.catalog.series_queries import _extremes_sql, _remove_na_sql
 
     filled = _remove_na_sql(24).replace("fx_dirty", "fx_common")
@@ -416,8 +416,8 @@ def _pipeline_sql() -> str:
         {r('avg(abs(1 - pred / val)) FILTER (val <> 0)', 'mape', 4)} FROM l WHERE pred IS NOT NULL GROUP BY ALL"""
 
 
-@query("forecast_pipeline", _pipeline_sql(), ("fx_common",))
-def forecast_pipeline(spark, sf):
+@query("clean_forecast_scores", _clean_forecast_sql(), ("fx_common",))
+def clean_forecast_scores(spark, sf):
     """Raw hourly rows cleaned, forecast and scored in one plan."""
     from gridspark.plans import forecast
 
