@@ -23,7 +23,7 @@ from gridspark.llm._text import utf8
 
 SAFE = re.compile(r"(?<=\w)[ \n]")
 PIECE = 1 << 16
-OUT_BYTES = 16 << 20
+OUT_BYTES = 2 << 20
 
 
 @lru_cache(maxsize=4)
@@ -58,12 +58,11 @@ def _encode(batches: Iterator[pa.RecordBatch], rank_file: str, pattern: str, pie
     enc = encoding(rank_file, pattern)
     for batch in batches:
         data, offsets = utf8(batch.column("_text"))
-        raw = data.tobytes()
         first = 0
         arrays: list[np.ndarray] = []
         size = 0
         for i in range(batch.num_rows):
-            text = raw[offsets[i]:offsets[i + 1]].decode("utf-8", "replace")
+            text = data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace")
             arrays.append(np.array(encode_text(enc, text, piece), np.int32))
             size += 4 * len(arrays[-1])
             if size >= OUT_BYTES or i + 1 == batch.num_rows:
@@ -110,10 +109,20 @@ def decode(tokens: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     return tokens.mapInArrow(partial(_decode, rank_file=rank_file, pattern=pattern), f"{kinds}, decoded binary")
 
 
+def _round_trip(batches: Iterator[pa.RecordBatch], rank_file: str, pattern: str, piece: int) -> Iterator[pa.RecordBatch]:
+    yield from _decode(_encode(batches, rank_file, pattern, piece), rank_file, pattern)
+
+
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, piece: int = PIECE) -> DataFrame:
+    """(doc_id, token_ids, decoded): `encode`, then `decode`, in one Python worker instead of two."""
+    rows = docs.select("doc_id", F.col("text").alias("_text"))
+    return rows.mapInArrow(partial(_round_trip, rank_file=rank_file, pattern=pattern, piece=piece),
+                           f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, token_ids array<int>, decoded binary")
+
+
 def digests(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode every whole text, decode the ids again."""
-    back = decode(encode(docs, rank_file, pattern), rank_file, pattern)
-    return back.select(
+    return round_trip(docs, rank_file, pattern).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
