@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, html, sharding
+from gridspark.llm import archive, bpe, html, sharding, toxicity
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_html")
 def op8_html(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract(parquet(spark, sf, "pages"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.classify(parquet(spark, sf, "documents"), parquet(spark, sf, "labels"))
