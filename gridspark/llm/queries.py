@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, html, sharding, toxicity
+from gridspark.llm import archive, bpe, html, sharding, suffix, toxicity
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op8_html(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.classify(parquet(spark, sf, "documents"), parquet(spark, sf, "labels"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix.remove_repeats(parquet(spark, sf, "documents"), length=100)
