@@ -110,7 +110,7 @@ def iso_time(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:]}Z"
 
 
-CONVERTED = ("version int, url string, warc_date string, record_id string, content_type string, block_digest string, "
+CONVERTED = ("path string, seq int, version int, url string, warc_date string, record_id string, content_type string, block_digest string, "
              "payload_digest string, payload_bytes long, whole boolean, page_id long")
 
 
@@ -149,10 +149,12 @@ def _batches(rows: Iterator[dict], schema: pa.Schema, size_of) -> Iterator[pa.Re
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bytes]]:
+    """(the other columns, the inflated bytes) of each file."""
     for batch in batches:
-        for content in batch.column("content"):
-            yield _inflate(content.as_py())
+        rest = batch.drop_columns(["content"])
+        for i, content in enumerate(batch.column("content")):
+            yield {n: rest.column(n)[i].as_py() for n in rest.schema.names}, _inflate(content.as_py())
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -162,11 +164,39 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def _convert(batches: Iterator[pa.RecordBatch], ddl: str) -> Iterator[pa.RecordBatch]:
     schema = _arrow(ddl)
-    rows = (convert_record(r) for data in _contents(batches) for r in parse_arc(data))
+    rows = (convert_record(r) | {"path": file["path"], "seq": i}
+            for file, data in _contents(batches) for i, r in enumerate(parse_arc(data)))
     yield from _batches(({k: row[k] for k in schema.names} for row in rows), schema,
                         lambda row: 200 + len(row.get("block", b"")))
 
 
+def warc_record(row: dict, kept: dict | None) -> bytes:
+    """A WARC record without the two line ends behind it; a revisit of `kept` (record_id, url) if that is given."""
+    body = row["block"] if kept is None else row["header"]
+    fields = [("WARC-Type", "response" if kept is None else "revisit"), ("WARC-Record-ID", row["record_id"]),
+              ("WARC-Date", row["warc_date"]), ("WARC-Target-URI", row["url"]),
+              ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}")]
+    if kept is None:
+        fields.append(("WARC-Block-Digest", f"sha1:{row['block_digest']}"))
+    else:
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", kept["record_id"]),
+                   ("WARC-Refers-To-Target-URI", kept["url"])]
+    if not row["whole"]:
+        fields.append(("WARC-Truncated", "length"))
+    fields += [("Content-Type", row["content_type"]), ("Content-Length", str(len(body)))]
+    return "".join(["WARC/1.1\r\n", *(f"{k}: {v}\r\n" for k, v in fields), "\r\n"]).encode() + body
+
+
+def _render_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records() -> Iterator[dict]:
+        for file, data in _contents(batches):
+            revisits = {x["seq"]: x for x in file["revisits"] or ()}
+            for i, r in enumerate(parse_arc(data)):
+                yield {"record": warc_record(convert_record(r), revisits.get(i))}
+
+    yield from _batches(records(), _arrow("record binary"), lambda row: len(row["record"]))
+
+
 def _render_arc(batches: Iterator[pa.RecordBatch], date: str, per_file: int) -> Iterator[pa.RecordBatch]:
     n, out, size = 0, [], 0
     for batch in batches:
@@ -194,7 +224,7 @@ def _write(records: DataFrame, path: str, gap: str, per_file: int) -> None:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", per_file: int = RECORDS_PER_FILE) -> None:
@@ -217,26 +247,15 @@ def write_warc(spark: SparkSession, arc_path: str, warc_path: str, min_payload:
     Of records with equal payloads of at least `min_payload` bytes the one with the largest page_id (null: lowest) becomes a
     response, the others revisits of it; records that tie for the largest id are all responses.
     """
-    first = (convert(spark, arc_path, blocks=False).where(F.col("payload_bytes") >= min_payload)
-             .groupBy(F.col("payload_digest").alias("digest"))
+    small = convert(spark, arc_path, blocks=False).select("path", "seq", "page_id", "payload_digest", "payload_bytes", "record_id", "url")
+    first = (small.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest")
              .agg(F.count("*").alias("n"), F.max(F.struct("page_id", "record_id", "url")).alias("kept"))
-             .where("n > 1").select("digest", "kept"))
-    rows = convert(spark, arc_path).join(first, F.col("payload_digest") == F.col("digest"), "left")
-    revisit = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
-    body = F.when(revisit, F.col("header")).otherwise(F.col("block"))
-    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", F.col("record_id")), line("WARC-Date", F.col("warc_date")),
-        line("WARC-Target-URI", F.col("url")), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        F.when(revisit, F.concat(line("WARC-Profile", F.lit(REVISIT_PROFILE)),
-                                 line("WARC-Refers-To", F.col("kept.record_id")),
-                                 line("WARC-Refers-To-Target-URI", F.col("kept.url"))))
-        .otherwise(line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.col("block_digest")))),
-        F.when(F.col("whole"), F.lit("")).otherwise(F.lit("WARC-Truncated: length\r\n")),
-        line("Content-Type", F.col("content_type")), line("Content-Length", F.octet_length(body).cast("string")),
-        F.lit("\r\n"))
-    _write(rows.select(F.concat(F.encode(head, "UTF-8"), body).alias("record")), warc_path, "\r\n\r\n", per_file)
+             .where("n > 1").select("payload_digest", "kept"))
+    # one list a file, of at most `per_file` records: whole files are joined, in compressed form, not their records
+    revisits = (small.join(first, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("kept.page_id")))
+                .groupBy("path").agg(F.collect_list(F.struct("seq", "kept.record_id", "kept.url")).alias("revisits")))
+    rows = _files(spark, arc_path).join(revisits, "path", "left").select("content", "revisits")
+    _write(rows.mapInArrow(_render_warc, "record binary"), warc_path, "\r\n\r\n", per_file)
 
 
 WARC_ROW = ("record_type string, record_id string, refers_to_id string, url string, warc_date string, "
@@ -255,7 +274,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[bytes, bytes]]:
 
 def _read(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.RecordBatch]:
     def rows():
-        for data in _contents(batches):
+        for _, data in _contents(batches):
             for header, block in parse_warc(data):
                 http, payload = split_http(block)
                 kind, page = header_field(header, b"WARC-Type"), header_field(http, b"X-Page-Id")
