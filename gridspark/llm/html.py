@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAIR_ROWS = 1000
+PAIR_ROWS, MOST_FOLDERS = 250, 5000
 OUT_BYTES = 16 << 20
 FRAME, OPEN, ARTICLE = 0, 1, 2
 
@@ -195,20 +195,22 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame, pair_rows: int = PAIR_ROWS) -> DataFrame:
     """(page_id, url, text, n_chars, n_lines, n_shared) of every row of (page_id, url, html).
 
-    Null or empty html gives the empty text; a null url is a host of its own. Hosts are cut into folders, and folders of
-    over about `pair_rows` pages into pieces by a hash of path and page_id; only pages of one piece are paired, so no task
-    holds a host. Repeated rows stay. A page without a partner loses no lines to differencing.
+    Null or empty html gives the empty text; a null url is a host of its own. Hosts are cut into folders, and large folders
+    (over `pair_rows` pages and a 5000th of all) into pieces of about `pair_rows` pages by a hash of path and page_id;
+    only pages of one piece are paired, so no task holds a host. Repeated rows stay. A page without a partner loses no lines to differencing.
     """
     url = F.coalesce(F.col("url"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z][\w+.-]*://[^/?#]*", ""), r"[?#].*$", "")
     folder = F.regexp_extract(path, r"^(.*/)[^/]+/?$", 1)
     keyed = [host.alias("host"), folder.alias("folder")]
-    sizes = pages.select(*keyed).groupBy("host", "folder").agg(
-        F.ceil(F.count("*") / pair_rows).cast("int").alias("pieces"))
-    rows = (pages.select("page_id", "url", "html", *keyed, path.alias("path")).join(sizes, ["host", "folder"])
+    sizes = pages.select(*keyed).groupBy("host", "folder").count()
+    # fewer than MOST_FOLDERS folders can hold more than this share of all pages, which bounds what is broadcast
+    large = sizes.where(F.col("count") > max(pair_rows, -(-pages.count() // MOST_FOLDERS)))
+    large = F.broadcast(large.withColumn("pieces", F.ceil(F.col("count") / pair_rows)).drop("count"))
+    rows = (pages.select("page_id", "url", "html", *keyed, path.alias("path")).join(large, ["host", "folder"], "left")
             .select("page_id", "url", "host", "folder", "path",
-                    F.pmod(F.xxhash64("path", "page_id"), F.col("pieces")).cast("int").alias("piece"), "html"))
+                    F.pmod(F.xxhash64("path", "page_id"), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece"), "html"))
     order = ["host", "folder", "piece", "path", "url", "page_id"]
     return (rows.mapInArrow(_lines, LINES).repartition("host", "folder", "piece").sortWithinPartitions(*order)
             .mapInArrow(_difference, TEXT)
