@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, html, sharding, suffix, toxicity
+from gridspark.llm import archive, bpe, html, jaccard, sharding, suffix, toxicity
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix.remove_repeats(parquet(spark, sf, "documents"), length=100)
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(parquet(spark, sf, "documents"), n=5, threshold=0.8)
