@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, html, jaccard, sharding, suffix, toxicity
+from gridspark.llm import archive, bpe, decontaminate, html, jaccard, sharding, suffix, toxicity
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join(parquet(spark, sf, "documents"), n=5, threshold=0.8)
+
+
+@query("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find(parquet(spark, sf, "documents"), parquet(spark, sf, "benchmark"), rate=0.1)
