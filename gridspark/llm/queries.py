@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, decontaminate, html, jaccard, sharding, suffix, toxicity
+from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, sharding, suffix, toxicity
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find(parquet(spark, sf, "documents"), parquet(spark, sf, "benchmark"), rate=0.1)
+
+
+@query("op7_neighbours")
+def op7_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(parquet(spark, sf, "embeddings"), every=20, k=20)
