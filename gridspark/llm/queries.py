@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, sharding, suffix, toxicity
+from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, quality, sharding, suffix, toxicity
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_neighbours")
 def op7_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(parquet(spark, sf, "embeddings"), every=20, k=20)
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(parquet(spark, sf, "documents"), parquet(spark, sf, "labels"))
