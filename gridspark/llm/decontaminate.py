@@ -201,33 +201,42 @@ def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def indexes(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator:
+    """Broadcast indexes of the items, a block of about `block_bytes` of text each."""
+    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    for block in range(blocks):
+        part = benchmark.where(F.col("text").isNotNull()).where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        items = [(r["item_id"], r["text"]) for r in part.select("item_id", "text").distinct().collect()]
+        items.sort(key=lambda x: (str(x[0]), x[1]))
+        yield benchmark.sparkSession.sparkContext.broadcast(pickle.dumps(Index(items, rate)))
+
+
+def all_matches(index: Index, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
+    """`matches` of a column's texts, slice by slice."""
+    data, offsets = utf8(column)
+    out = []
+    for lo, hi in slices(offsets):
+        base = offsets[lo]
+        out += [(a + lo, *rest) for a, *rest in matches(index, data[base:offsets[hi]], offsets[lo:hi + 1] - base)]
+    return out
+
+
 def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, edits, budget, first_byte, end_byte) of every document and every item met in it, the best place of each.
 
     Clean documents give no row. Null and blank texts and items meet nothing. Rows that repeat a document give rows again;
     items with equal texts are met alike. A null id stays null.
     """
-    spark = docs.sparkSession
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
     ids = (docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString())
-    item_kind = pa.int64() if ids[1] == "bigint" else pa.int32() if ids[1] == "int" else pa.string()
+    item_kind = {"bigint": pa.int64(), "int": pa.int32()}.get(ids[1], pa.string())
     kinds = f"doc_id {ids[0]}, item_id {ids[1]}, edits int, budget int, first_byte long, end_byte long"
     out = None
-    for block in range(blocks):
-        part = benchmark.where(F.col("text").isNotNull()).where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = [(r["item_id"], r["text"]) for r in part.select("item_id", "text").distinct().collect()]
-        items.sort(key=lambda x: (str(x[0]), x[1]))
-        shared = spark.sparkContext.broadcast(pickle.dumps(Index(items, rate)))
-
+    for shared in indexes(benchmark, rate, block_bytes):
         def met(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = pickle.loads(shared.value)
             for batch in batches:
-                data, offsets = utf8(batch.column("text"))
-                rows = []
-                for lo, hi in slices(offsets):
-                    base = offsets[lo]
-                    rows += [(a + lo, *rest) for a, *rest in matches(index, data[base:offsets[hi]], offsets[lo:hi + 1] - base)]
+                rows = all_matches(index, batch.column("text"))
                 if rows:
                     row, item, edits, first, end = (np.array(c) for c in zip(*rows))
                     yield pa.RecordBatch.from_arrays(
@@ -238,3 +247,17 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes:
         found = docs.select("doc_id", "text").mapInArrow(met, kinds)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows, with all their columns, in which no item is met."""
+    for shared in indexes(benchmark, rate, block_bytes):
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = pickle.loads(shared.value)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[a for a, *_ in all_matches(index, batch.column("text"))]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

@@ -18,7 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm._graph import components
@@ -200,10 +200,11 @@ def _link(batches: Iterator[pa.RecordBatch], n: int, threshold: float) -> Iterat
 
 def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL,
          block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(doc_id, class_id, n_links, n_copies) of every row of (doc_id, text).
+    """(doc_id, class_id, n_links, n_copies, text_md5, kept) of every row of (doc_id, text).
 
     class_id is the smallest doc_id of the class (null if all are), n_links the number of other rows that are linked to this
-    one, equal texts among them, n_copies the number of rows with this very text. Texts without words (null, empty, blank) are
+    one, equal texts among them, n_copies the number of rows with this very text, kept marks the row that stands for its class
+    (and its exact repetitions, id and text). Texts without words (null, empty, blank) are
     linked to none and form a class by themselves for each row; equal short texts are linked.
     """
     bands, rows = plan(threshold, recall)
@@ -238,10 +239,22 @@ def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     placed = (nodes.select("id", "copies", "least").join(root.withColumnRenamed("node", "id"), "id", "left")
               .join(links, "id", "left").withColumn("root", F.coalesce("root", "id")))
-    classes = placed.groupBy("root").agg(F.min("least").alias("class_id"))
+    classes = (placed.groupBy("root").agg(F.min(F.struct("least", "id")).alias("first"))
+               .select("root", F.col("first.least").alias("class_id"), F.col("first.id").alias("kept_id")))
     named = placed.join(classes, "root").select(
-        "id", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "id", "class_id", "kept_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = signed.select("doc_id", "id", (F.size("bands") > 0).alias("worded")).join(named, "id", "left")
+    kept = (F.col("id") == F.col("kept_id")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
     return out.select("doc_id", F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"))
+                      F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
+                      F.lower(F.hex("id")).alias("text_md5"), F.when(F.col("worded"), kept).otherwise(True).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows, with all their columns, that stand for their classes, one for each; exact repetitions of a row go too."""
+    kept = join(docs, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5")).distinct()
+    rows = docs.withColumn("_text_md5", F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    once = F.row_number().over(Window.partitionBy("doc_id", "_text_md5").orderBy("doc_id"))
+    return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_md5") == F.col("_md5")), "left_semi")
+            .withColumn("_once", once).where("_once = 1").select(*docs.columns))

@@ -54,7 +54,7 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffix.remove_repeats(parquet(spark, sf, "documents"), length=100)
+    return suffix.report(parquet(spark, sf, "documents"), length=100)
 
 
 @query("op10_jaccard_join")

@@ -374,37 +374,43 @@ def covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[new], ends[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(ends) - 1]])]
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int, texts: bool) -> Iterator[pa.RecordBatch]:
+def kept_bytes(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(bytes, bytes removed, spans removed, remaining bytes) of each row of (text, ranges)."""
+    data, offsets = utf8(batch.column("text"))
+    lists = batch.column("ranges")
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    fields = lists.flatten()
+    starts = fields.field("start").to_numpy()
+    ends = starts + fields.field("size").to_numpy() + length - 1
+    at = np.append(0, np.cumsum(sizes))
+    for i in range(batch.num_rows):
+        text, removed, spans = data[offsets[i]:offsets[i + 1]], 0, 0
+        if sizes[i]:
+            lo, hi = covered(starts[at[i]:at[i + 1]], ends[at[i]:at[i + 1]])
+            removed, spans = int((hi - lo).sum()), len(lo)
+            keep = np.ones(len(text), bool)
+            keep[spread(lo, hi - lo)] = False
+            text = text[keep]
+        yield int(offsets[i + 1] - offsets[i]), removed, spans, text
+
+
+def _report(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        lists = batch.column("ranges")
-        sizes = lists.value_lengths().fill_null(0).to_numpy()
-        fields = lists.flatten()
-        starts = fields.field("start").to_numpy()
-        ends = starts + fields.field("size").to_numpy() + length - 1
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        removed, spans = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-        digests, kept = [], []
-        for i in range(batch.num_rows):
-            text = data[offsets[i]:offsets[i + 1]]
-            if sizes[i]:
-                lo, hi = covered(starts[at[i]:at[i + 1]], ends[at[i]:at[i + 1]])
-                spans[i], removed[i] = len(lo), (hi - lo).sum()
-                keep = np.ones(len(text), bool)
-                keep[spread(lo, hi - lo)] = False
-                text = text[keep]
-            digests.append(hashlib.sha256(text).hexdigest())
-            if texts:
-                kept.append(text.tobytes().decode("utf-8", "ignore"))
-        columns = {"doc": batch.column("doc"), "tie": batch.column("tie"), "doc_id": batch.column("doc_id"),
-                   "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed), "n_spans": pa.array(spans),
-                   "kept_sha256": pa.array(digests)}
-        if texts:
-            columns["kept"] = pa.array(kept, pa.string())
-        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
+        rows = [(n, removed, spans, hashlib.sha256(text).hexdigest()) for n, removed, spans, text in kept_bytes(batch, length)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in zip(*rows))],
+                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = [(removed, text.tobytes().decode("utf-8", "ignore")) for _, removed, _, text in kept_bytes(batch, length)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array([r for r, _ in kept], pa.int64()), pa.array([t for _, t in kept], pa.string())],
+            ["row", "removed", "kept"])
+
+
+def keyed(docs: DataFrame, *more) -> DataFrame:
     """doc and tie order the documents: null ids first; rows with one id and different texts by a checksum."""
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"),
                        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("tie"), F.col("doc_id").cast("long").alias("doc_id"),
@@ -437,16 +443,27 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(repeats).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "size")).alias("ranges"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every row of (doc_id, text).
+def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of (doc_id, text).
 
     A null text is empty. Texts under `length` bytes lose nothing. Rows equal in id and text count as one document and get the
-    same result; rows with one id and different texts are ordered by a checksum of the text; a null id comes
-    first. `kept` is the remaining text; a character of which only some bytes remain is left out there, not in the digest.
+    same result; rows with one id and different texts are ordered by a checksum of the text; a null id comes first.
     """
     rows = keyed(docs)
-    ranges = repeated_ranges(rows, length)
-    kinds = "doc long, tie long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    out = rows.join(ranges, ["doc", "tie"], "left").mapInArrow(
-        partial(_cut, length=length, texts=texts), kinds + (", kept string" if texts else ""))
-    return out.drop("doc", "tie")
+    return (rows.join(repeated_ranges(rows, length), ["doc", "tie"], "left").select("doc_id", "text", "ranges")
+            .mapInArrow(partial(_report, length=length),
+                        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows, with all their columns, with the text that remains and its number of characters in `n_chars` if there is such a
+    column. Documents of which nothing remains go; texts that lost nothing stay as they were, null and empty ones too.
+    A character of which only some bytes remain is left out."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = keyed(docs, row.alias("row"))
+    cut = (rows.join(repeated_ranges(rows, length), ["doc", "tie"], "left").select("row", "text", "ranges")
+           .mapInArrow(partial(_texts, length=length), f"row {rows.schema['row'].dataType.simpleString()}, removed long, kept string"))
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return (cut.where("removed = 0 or kept <> ''")
+            .select(*(F.when(F.col("removed") > 0, changed[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in changed
+                      else F.col(f"row.`{c}`").alias(c) for c in docs.columns)))
