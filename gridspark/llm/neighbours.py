@@ -28,7 +28,7 @@ LIST_SIZE, FIT_ROWS, FIT_ROWS_PER_LIST = 128, 100_000, 16
 REPLICAS, REPLICA_RATIO, ASSIGN_BEAM = 2, 1.05, 24
 LEAST_LISTS, PROBE_RATIO, LEAST_VECTORS, PROBE_BEAM = 8, 1.18, 400, 64
 DEGREE, ENTRIES = 16, 16
-PIECE = 4096
+PIECE, HELD_ROWS = 4096, 1_000_000
 
 
 def halve(sample: np.ndarray, lists: int, seed: int = 3) -> np.ndarray:
@@ -130,6 +130,38 @@ def probes(graph: Graph, x: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+class Best:
+    """The k best found so far of each query, over all lists that one task scans."""
+
+    def __init__(self, k: int) -> None:
+        self.k, self.parts, self.size = k, [], 0
+
+    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.parts.append((np.full(len(ids), query), ids, scores))
+        self.size += len(ids)
+
+    def prune(self) -> int:
+        if self.parts:
+            query, ids, scores = (np.concatenate(c) for c in zip(*self.parts))
+            order = np.lexsort((ids, -scores, query))
+            query, ids, scores = query[order], ids[order], scores[order]
+            # a vector that stands in two lists has one score, so its rows are neighbours
+            new = np.ones(len(ids), bool)
+            new[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
+            query, ids, scores = query[new], ids[new], scores[new]
+            heads = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+            rank = np.arange(len(query)) - np.repeat(heads, np.diff(np.append(heads, len(query))))
+            self.parts = [(query[rank < self.k], ids[rank < self.k], scores[rank < self.k])]
+            self.size = int((rank < self.k).sum())
+        return self.size
+
+    def give(self) -> pa.RecordBatch:
+        none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        columns = [np.concatenate(c) for c in zip(*(self.parts or [none]))]
+        self.parts, self.size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+
 def augmented(x: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(0, most - (x ** 2).sum(axis=1)))[:, None]], axis=1)
 
@@ -231,7 +263,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
                 ["list", "pieces", "vec_id", "vector"])
 
     queries = (usable.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-               .mapInArrow(asked, "list int, pieces int, vec_id long, vector binary")
+               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id").mapInArrow(asked, "list int, pieces int, vec_id long, vector binary")
                .select("list", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(True).alias("query"),
                        "vec_id", "vector"))
     # lists of over `piece` vectors are few (their number is bounded by the number of lists): literals, no join
@@ -241,18 +273,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
                           "vec_id", "vector")
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def scan(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        best = Best(k)
+
+        def scan(parts: list[pa.RecordBatch]) -> None:
             rows = pa.Table.from_batches(parts)
             ask = rows.column("query").to_numpy()
-            if not ask.any() or ask.all():
-                return None
             ids = rows.column("vec_id").to_numpy()
             x = np.frombuffer(b"".join(rows.column("vector").to_pylist()), np.float64).reshape(-1, size)
-            found = list(top(x[~ask], ids[~ask], x[ask], ids[ask], k))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found])),
-                 pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))],
-                ["query_id", "vec_id", "score"])
+            if ask.any() and not ask.all():
+                for found in top(x[~ask], ids[~ask], x[ask], ids[ask], k):
+                    best.add(*found)
 
         held, name = [], None
         for batch in batches:
@@ -260,13 +290,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
             heads = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), batch.num_rows] if batch.num_rows else []
             for lo, hi in zip(heads, heads[1:]):
                 if key[lo] != name and held:
-                    if (out := scan(held)) is not None:
-                        yield out
+                    scan(held)
                     held = []
                 name = key[lo]
                 held.append(batch.slice(lo, hi - lo))
-        if held and (out := scan(held)) is not None:
-            yield out
+            if best.size > HELD_ROWS and best.prune() > HELD_ROWS // 2:
+                yield best.give()
+        if held:
+            scan(held)
+        best.prune()
+        yield best.give()
 
     found = (posts.unionByName(queries).repartition("list", "piece").sortWithinPartitions("list", "piece", "query")
              .mapInArrow(scanned, "query_id long, vec_id long, score double")
