@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -105,5 +106,14 @@ def words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = ASCII_SPACE,
     return starts, ends, mix((right - left) * scale), np.searchsorted(starts, offsets)
 
 
+def row_slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of at most `size` bytes, or of one row."""
+    lo, rows = 0, len(offsets) - 1
+    while lo < rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
+        yield lo, min(hi, rows)
+        lo = hi
+
+
 def parquet(spark, sf_dir: str, table: str):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import ASCII_SPACE, BASE, U64, utf8
+from gridspark.llm._text import ASCII_SPACE, BASE, U64, row_slices, utf8
 
 RATE, MOST_Q = 0.1, 8
 BLOCK_BYTES = 16 << 20
@@ -193,14 +193,6 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[i
     return out
 
 
-def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
-    lo, rows = 0, len(offsets) - 1
-    while lo < rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
-        yield lo, min(hi, rows)
-        lo = hi
-
-
 def indexes(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator:
     """Broadcast indexes of the items, a block of about `block_bytes` of text each."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -216,7 +208,7 @@ def all_matches(index: Index, column: pa.Array) -> list[tuple[int, int, int, int
     """`matches` of a column's texts, slice by slice."""
     data, offsets = utf8(column)
     out = []
-    for lo, hi in slices(offsets):
+    for lo, hi in row_slices(offsets, SLICE):
         base = offsets[lo]
         out += [(a + lo, *rest) for a, *rest in matches(index, data[base:offsets[hi]], offsets[lo:hi + 1] - base)]
     return out

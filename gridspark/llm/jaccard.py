@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm._graph import components
-from gridspark.llm._text import U64, mix, utf8, words
+from gridspark.llm._text import U64, mix, row_slices, utf8, words
 from gridspark.session import materialize
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 128
@@ -64,14 +64,6 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int = N) -> tuple[np.ndar
     return mix(out), out_first
 
 
-def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
-    lo, rows = 0, len(offsets) - 1
-    while lo < rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
-        yield lo, min(hi, rows)
-        lo = hi
-
-
 def signature(h: np.ndarray, first: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """(numbers of the rows with n-grams, their band hashes)."""
     filled = np.flatnonzero(np.diff(first) > 0)
@@ -92,7 +84,7 @@ def _bands(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) ->
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         flat, sizes = [np.empty((0, bands), U64)], np.zeros(batch.num_rows, np.int32)
-        for lo, hi in slices(offsets):
+        for lo, hi in row_slices(offsets, SLICE):
             h, first = shingles(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], n)
             filled, sig = signature(h, first, bands, rows)
             flat.append(sig)

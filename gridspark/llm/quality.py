@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import U64, folded_values, mix, separators_but_letters, utf8, words
+from gridspark.llm._text import U64, folded_values, mix, row_slices, separators_but_letters, utf8, words
 
 BITS = 18
 #: At most so many labelled rows of each grade are fitted, from texts of at most so many bytes in all.
@@ -38,14 +38,6 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
-    lo, rows = 0, len(offsets) - 1
-    while lo < rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
-        yield lo, min(hi, rows)
-        lo = hi
-
-
 def counted(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, hash, count) of the different hashes of each row."""
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -172,7 +164,7 @@ def rate(docs: DataFrame, model: Model | None, select_from: int = 1, least: floa
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             tails = np.full((batch.num_rows, 1 if model is None else len(model.thresholds)), np.nan)
-            for lo, hi in slices(offsets):
+            for lo, hi in row_slices(offsets, SLICE):
                 if model is not None:
                     row, at, value = features(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                     tails[lo:hi] = model.tails(model.scores(row, at, value, hi - lo))

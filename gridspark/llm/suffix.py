@@ -7,7 +7,7 @@ hash among all that fit in the window (leftmost on ties). Equal windows choose t
 windows that repeat always meet under one key, a hash of those SEED bytes. A run is a row of neighbouring windows with one
 suffix; its body is the bytes of all its windows, known here by a 64-bit hash.
 
-**Index family.** Every Arrow batch of texts yields the sampled suffixes of its runs sorted by key: the suffix array of a new
+**Index family.** Every batch of some megabytes of text yields the sampled suffixes of its runs sorted by key: the suffix array of a new
 batch, cut by key into buckets. In a bucket's task it is merge-scanned against the existing levels for suffixes that
 share their first SEED bytes; then it becomes the lowest level, and levels of about equal size are merged, so that a
 suffix is merged a logarithmic number of times. Runs that met no other leave here: most of the corpus.
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import BLOCK, BYTE_VALUES, U64, mix, powers, utf8
+from gridspark.llm._text import BLOCK, BYTE_VALUES, U64, mix, powers, row_slices, utf8
 from gridspark.session import materialize
 
 LENGTH, SEED = 100, 24
@@ -43,6 +43,8 @@ LOWEST = -(1 << 63)
 HOT_LEAST, HOT_KEYS, KEY_RUNS = 4096, 1 << 16, 16
 PLACE, KEY_BITS = U64((1 << 24) - 1), U64(16)
 RANGE, VERIFY, FREQUENT = 0, 1, 2
+#: Bytes of text that a task indexes, and from which it gathers bodies, at a time.
+INDEX_BYTES, GATHER_BYTES = 16 << 20, 8 << 20
 
 RUN = np.dtype([("key", "u8"), ("body", "u8"), ("doc", "i8"), ("tie", "i8"), ("start", "i8"), ("size", "i8"), ("count", "i8")])
 PART = np.dtype([("key", "u8"), ("doc", "i8"), ("tie", "i8"), ("start", "i8"), ("size", "i8")])
@@ -172,17 +174,20 @@ def _blobs(groups: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return _blob_batch(*out)
 
 
-def _sorted_batch(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-    doc, tie = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
-    order = np.lexsort((tie, doc))
-    return batch.take(pa.array(order)), doc[order], tie[order]
+def _sorted_parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
+    """(rows, doc, tie, text bytes, offsets) in the documents' order, about `size` bytes of text at a time."""
+    for batch in batches:
+        order = np.lexsort((batch.column("tie").to_numpy(), batch.column("doc").to_numpy()))
+        batch = batch.take(pa.array(order))
+        _, offsets = utf8(batch.column("text"))
+        for lo, hi in row_slices(offsets, size):
+            part = batch.slice(lo, hi - lo)
+            yield part, part.column("doc").to_numpy(), part.column("tie").to_numpy(), *utf8(part.column("text"))
 
 
 def _index(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Suffix arrays of a batch by bucket (kind 0), whole repeats inside the batch (kind 1), surplus bodies of a key (2)."""
-    for batch in batches:
-        batch, doc, tie = _sorted_batch(batch)
-        data, offsets = utf8(batch.column("text"))
+    for _, doc, tie, data, offsets in _sorted_parts(batches, INDEX_BYTES):
         key, body, row, start, size = runs(data, offsets, length)
         if len(key) == 0:
             continue
@@ -308,9 +313,7 @@ def _ranges(marks: np.ndarray, run: np.ndarray, at: np.ndarray, part: np.ndarray
 def _gather(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Bodies of the runs to be verified, by bucket (kind 0); ranges of windows repeated in the same batch (kind 1)."""
     many = U64(buckets)
-    for batch in batches:
-        batch, doc, tie = _sorted_batch(batch)
-        data, offsets = utf8(batch.column("text"))
+    for batch, doc, tie, data, offsets in _sorted_parts(batches, GATHER_BYTES):
         lists = batch.column("runs")
         row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
         fields = lists.flatten()
