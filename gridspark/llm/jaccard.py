@@ -34,6 +34,8 @@ def plan(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MOST_
     """(bands, rows): the most rows a band whose bands reach the recall at the threshold with at most `most` hashes."""
     best = None
     for rows in range(1, most + 1):
+        if threshold ** rows < 1e-9:
+            break
         bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))) if threshold < 1 else 1
         if bands * rows <= most:
             best = bands, rows
@@ -94,12 +96,12 @@ def _bands(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) ->
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("id"), lists], ["doc_id", "id", "bands"])
 
 
-def link_tile(sets: list[np.ndarray], bands: np.ndarray, band: int, side: np.ndarray, copies: np.ndarray,
+def link_tile(sets: list[np.ndarray], bands: np.ndarray, band: int, side: np.ndarray, across: bool, copies: np.ndarray,
               threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(links of each member, number of the first member of its local component) of one tile.
 
-    Pairs of one tile side are compared if there is one side only, else pairs across. A pair is compared in the first band that
-    its members share.
+    Pairs `across` the two sides are compared, in a tile on the diagonal all pairs. A pair is compared in the first band that its
+    members share.
     """
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -116,10 +118,9 @@ def link_tile(sets: list[np.ndarray], bands: np.ndarray, band: int, side: np.nda
             x = root[x]
         return x
 
-    both = bool((side != side[0]).any())
     for x in range(m):
         y = np.arange(x + 1, m)
-        if both:
+        if across:
             y = y[side[y] != side[x]]
         y = y[np.minimum(sizes[y], sizes[x]) >= threshold * np.maximum(sizes[y], sizes[x])]
         y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
@@ -159,7 +160,7 @@ def _link(batches: Iterator[pa.RecordBatch], n: int, threshold: float) -> Iterat
         bands = rows.column("bands").combine_chunks()
         bands = bands.flatten().to_numpy().reshape(len(chosen), -1)
         links, root = link_tile(sets, bands, rows.column("band")[0].as_py(), rows.column("side").to_numpy(),
-                                rows.column("copies").to_numpy(), threshold)
+                                rows.column("a")[0].as_py() != rows.column("b")[0].as_py(), rows.column("copies").to_numpy(), threshold)
         ids = [ids[i] for i in chosen]
         linked = np.flatnonzero(links)
         if len(linked) == 0:
