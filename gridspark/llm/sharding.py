@@ -1,10 +1,10 @@
 """Sharding by largest differencing (Karmarkar and Karp): shards of nearly equal bytes from indivisible groups.
 
-Groups are equal texts. A partial partition is a tuple of `shards` byte sums in falling order. Again and again the two
-partial partitions with the largest spread (first minus last sum) are combined, one in falling and one in rising order. Each
-bucket of groups is differenced in its own task, which leaves one partial partition a bucket; these are differenced
-once more and say which part of a bucket goes to which shard. Buckets are as many as the shuffle partitions, so what
-the last step sees does not grow with the rows in a bucket.
+Groups are equal texts. A partial partition is a tuple of `shards` byte sums in falling order. Again and again the two partial
+partitions with the largest spread (first minus last sum) are combined, one in falling and one in rising order. First
+each of some thousand buckets of groups is differenced in a task of its own, into as many parts as there are shards. The
+parts of all buckets are then indivisible in a last differencing, whose input is bounded by the number of buckets: so a
+heavy group, which stands alone in its part, can be made up for by the parts of other buckets.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gridspark.session import materialize
 
-MAX_BUCKETS = 1 << 16
+BUCKETS, MAX_BUCKETS = 1 << 10, 1 << 13
 
 
 def difference(partials: list[list[int]]) -> list[list[int]]:
@@ -66,12 +66,10 @@ def _bucket_parts(shards: int):
 
 def _place(shards: int):
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = pdf.pivot(index="bucket", columns="part", values="bytes").reindex(columns=range(shards)).fillna(0)
-        values = table.to_numpy().astype(np.int64)
-        falling = np.argsort(-values, axis=1, kind="stable")
-        goes = difference(np.take_along_axis(values, falling, 1).tolist())
-        return pd.DataFrame({"bucket": np.repeat(table.index.to_numpy(), shards), "part": falling.ravel().astype(np.int32),
-                             "shard": np.array(goes, np.int32).ravel()})
+        pdf = pdf.sort_values(["bytes", "bucket", "part"], ascending=[False, True, True])
+        rest = [0] * (shards - 1)
+        goes = difference([[b, *rest] for b in pdf["bytes"].tolist()])
+        return pd.DataFrame({"bucket": pdf["bucket"], "part": pdf["part"], "shard": np.array([g[0] for g in goes], np.int32)})
 
     return place
 
@@ -86,7 +84,7 @@ def assign(docs: DataFrame, shards: int = 8, buckets: int | None = None) -> Data
     """
     spark = docs.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(buckets or slices, MAX_BUCKETS)
+    buckets = min(buckets or max(BUCKETS, slices), MAX_BUCKETS)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("key"))
