@@ -69,11 +69,9 @@ def annual(spark, sf):
                        "obs_date", "obs_val")
 
 
-_FUELS = ["ECONOMY", "LARGE", "PROMO", "ALL"]
-_MATRIX = """SELECT replace(trim(split_part(name, ':', 3)), 'NATION_', '') AS state,
-    sum(val) FILTER (trim(split_part(name, ':', 2)) = 'ECONOMY') AS "ECONOMY",
-    sum(val) FILTER (trim(split_part(name, ':', 2)) = 'LARGE') AS "LARGE",
-    sum(val) FILTER (trim(split_part(name, ':', 2)) = 'PROMO') AS "PROMO", sum(val) AS "ALL"
+_FUELS = [*TYPES, "ALL"]
+_CELL = ", ".join(f"sum(val) FILTER (trim(split_part(name, ':', 2)) = '{t}') AS \"{t}\"" for t in TYPES)
+_MATRIX = f"""SELECT replace(trim(split_part(name, ':', 3)), 'NATION_', '') AS state, {_CELL}, sum(val) AS "ALL"
     FROM fx_monthly WHERE period[1:4] = '1999' GROUP BY ALL"""
 
 
@@ -82,11 +80,12 @@ def state_fuel_pivot(spark, sf):
     return stats.state_fuel_pivot(stats.elec_gen_rows(annual(spark, sf)), 1999, _FUELS)
 
 
-@query("fuel_share", f"""SELECT state, {r('"ECONOMY" / "ALL"', '"ECONOMY"')}, {r('"LARGE" / "ALL"', '"LARGE"')},
-    {r('"PROMO" / "ALL"', '"PROMO"')} FROM ({_MATRIX})""", ("fx_monthly",))
+_SHARES = ", ".join(r(f'"{t}" / "ALL"', f'"{t}"') for t in TYPES)
+
+
+@query("fuel_share", f"SELECT state, {_SHARES} FROM ({_MATRIX})", ("fx_monthly",))
 def fuel_share(spark, sf):
-    out = stats.fuel_share(state_fuel_pivot(spark, sf), _FUELS[:-1])
-    return rounded(out, *_FUELS[:-1])
+    return rounded(stats.fuel_share(state_fuel_pivot(spark, sf), TYPES), *TYPES)
 
 
 @query("minmax_fill", f"""SELECT source, max_val, {r('(coalesce(max_val, lo) - lo) / (hi - lo)', 'shade')} FROM (

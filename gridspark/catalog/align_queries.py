@@ -102,6 +102,20 @@ def calendar_fill(spark, sf):
     return fx.calendar(spark, sf).select("series", "ts", "slot", "val")
 
 
+@query("calendar_fill_null_key", """SELECT CAST(NULL AS VARCHAR) AS series, ts, CAST(NULL AS BIGINT) AS slot, val, 'key' AS reason FROM fx_hourly WHERE hour(ts) = 3
+    UNION ALL SELECT series, ts, CAST(slot AS BIGINT), val, NULL FROM (SELECT c.series, c.ts, c.slot,
+    CASE WHEN hour(c.ts) <> 3 THEN c.val END AS val, min(c.ts) FILTER (hour(c.ts) <> 3 AND h.ts IS NOT NULL) OVER (PARTITION BY c.series) AS lo,
+    max(c.ts) FILTER (hour(c.ts) <> 3 AND h.ts IS NOT NULL) OVER (PARTITION BY c.series) AS hi
+    FROM fx_cal c LEFT JOIN fx_hourly h ON h.series = c.series AND h.ts = c.ts) WHERE ts BETWEEN lo AND hi""", ("fx_cal", "fx_hourly"))
+def calendar_fill_null_key(spark, sf):
+    """Rows that lost their key are returned as rejects, beside the calendars of the others."""
+    rows = fx.hourly(spark, sf).withColumn("series", F.when(F.hour("ts") != 3, F.col("series")))
+    rejects = align.calendar_rejects(rows, ["series"]).withColumn("slot", F.lit(None).cast("long"))
+    filled = align.calendar_fill(rows, ["series"], ["val"]).withColumn("reason", F.lit(None).cast("string"))
+    names = ["series", "ts", "slot", "val", "reason"]
+    return filled.select(*names).unionByName(rejects.select(*names))
+
+
 @query("calendar_fill_daily", """SELECT c.series, c.ts, d.val FROM (SELECT series,
     unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) AS ts FROM fx_daily GROUP BY series) c
     LEFT JOIN fx_daily d ON d.series = c.series AND d.ts = c.ts""", ("fx_daily",))

@@ -98,13 +98,13 @@ def temp_gradient(spark, sf):
     return rounded(rounded(out, "d_ap", "d_an", places=4), "cost", places=3)
 
 
-def _descent_sql(alpha: float, nmax: int, rtol: float = 1e-6) -> str:
+def _descent_sql(alpha: float, nmax: int, rtol: float = 1e-6, rows: str = "fx_joint") -> str:
     def total(expr: str) -> str:
         return f"list_sum(list_transform(range(1, len(t) + 1), lambda i: {expr}))"
 
     hot, cold = "greatest(t[i] - tp, 0)", "greatest(tn - t[i], 0)"
     return f"""WITH RECURSIVE g AS (SELECT series, CAST(temp AS DOUBLE) AS t, count(*) AS n, sum(val) AS y, sum(val * val) AS y2,
-        min(val) AS lo, max(val) AS hi FROM fx_joint GROUP BY series, temp),
+        min(val) AS lo, max(val) AS hi FROM {rows} GROUP BY series, temp),
     p AS (SELECT series, list(t ORDER BY t) AS t, list(n ORDER BY t) AS n, list(y ORDER BY t) AS y, CAST(sum(n) AS DOUBLE) AS m, sum(y2) AS y2,
         sum(y) / sum(n) AS a0, 0.5 * (max(hi) - min(lo)) / greatest(max(t) - min(t), 1) AS slope, sum(n * t) / sum(n) AS mt FROM g GROUP BY series),
     w AS (SELECT series, t, n, y, m, y2, 0 AS steps, a0, slope AS ap, slope AS an, mt AS tp, mt AS tn, NULL::DOUBLE AS previous,
@@ -131,6 +131,16 @@ def temp_fit(spark, sf):
     return rounded(out, *temp_response.PARAMS, "cost", places=4)
 
 
+_QUARTERS = "(SELECT series, val, temp + 0.25 * (slot % 4) AS temp FROM fx_joint)"
+
+
+@query("temp_fit_fraction", _descent_sql(1e-4, 200, rows=_QUARTERS), ("fx_joint",))
+def temp_fit_fraction(spark, sf):
+    """Temperatures with a fraction of their unit."""
+    rows = fx.joint(spark, sf).withColumn("temp", F.col("temp") + 0.25 * (F.col("slot") % 4))
+    return rounded(temp_response.fit(rows, K, alpha=1e-4, nmax=200), *temp_response.PARAMS, "cost", places=4)
+
+
 def _init_sql(temp: bool) -> str:
     resid = "val - (0.4 * greatest(temp - 200, 0) + 0.6 * greatest(150 - temp, 0))" if temp else "val"
     level = "first_value(y) OVER w" if temp else "avg(y) OVER p"
@@ -312,7 +322,7 @@ def _detrend_sql(segment: int, width: float, smooth: int) -> str:
         return f"""list_transform(range(0, n), lambda j: {t}[j + 1] + CASE WHEN j >= {smooth} AND j < n - {smooth}
             THEN list_sum({rest}[j - {smooth} + 2 : j + {smooth} + 1]) / {2 * smooth} ELSE 0 END)"""
 
-    return f"""WITH seg AS (SELECT series, slot // {segment} AS g, count(*) AS n, list(val ORDER BY slot) AS x, list(ts ORDER BY slot) AS tss
+    return f"""WITH seg AS (SELECT series, least(rn // {segment}, greatest(n // {segment}, 1) - 1) AS g, count(*) AS n, list(val ORDER BY slot) AS x, list(ts ORDER BY slot) AS tss
         FROM fx_joint GROUP BY ALL),
     p0 AS (SELECT *, list_transform(range(0, n), lambda j: {sign} * list_sum(list_transform(range(0, n), lambda m: x[m + 1] * cos({wave})))) AS rr,
         list_transform(range(0, n), lambda j: -{sign} * list_sum(list_transform(range(0, n), lambda m: x[m + 1] * sin({wave})))) AS ri,

@@ -71,6 +71,13 @@ def moving_avg(spark, sf):
     return rounded(out.select("series", "ts", "smooth"), "smooth")
 
 
+@query("moving_avg_holes", f"""SELECT series, ts, {r('''CASE WHEN rn >= 6 AND rn < n - 6 THEN avg(val) OVER (PARTITION BY series ORDER BY rn
+    ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING) ELSE 0 END''', 'smooth')} FROM fx_dirty""", ("fx_dirty",))
+def moving_avg_holes(spark, sf):
+    out = series.moving_avg(fx.dirty(spark, sf), K, width=6)
+    return rounded(out.select("series", "ts", "smooth"), "smooth")
+
+
 def _decompose_sql(p: int) -> str:
     even = p % 2 == 0
     taps = p if even else p - 1
@@ -227,6 +234,18 @@ def sample_windows(spark, sf):
     return series.sample_windows(fx.joint(spark, sf), K, 200, 48).select("series", "sample", "step", "ts", "val", "temp")
 
 
+@query("sample_windows_short", """WITH p AS (SELECT series, min(slot) AS lo, count(*) AS n FROM fx_joint WHERE series <> 'view' OR ts < TIMESTAMP '2024-01-02 06:00:00' GROUP BY series),
+    s AS (SELECT series, k AS sample, lo + CAST('0x' || md5(concat_ws('-', series, k, 7653))[1:8] AS BIGINT) % (n - 48) AS start
+          FROM p, (SELECT unnest(range(0, 9)) AS k) WHERE n > 48)
+    SELECT s.series, CAST(sample AS INTEGER) AS sample, CAST(slot - start AS INTEGER) AS step, ts, val
+    FROM s JOIN fx_joint j ON j.series = s.series AND j.slot >= start AND j.slot < start + 48
+    UNION ALL SELECT series, NULL, NULL, NULL, NULL FROM p WHERE n < 48""", ("fx_joint",))
+def sample_windows_short(spark, sf):
+    """A series shorter than the window stays, with NULLs."""
+    rows = fx.joint(spark, sf).where("series <> 'view' or ts < timestamp_ntz '2024-01-02 06:00:00'")
+    return series.sample_windows(rows, K, 9, 48).select("series", "sample", "step", "ts", "val")
+
+
 @query("sample_days", """WITH p AS (SELECT series, min(slot) AS lo, max(slot) AS hi FROM fx_joint
         WHERE ts > TIMESTAMP '2024-01-03 05:00:00' AND ts <= TIMESTAMP '2024-01-27' GROUP BY series),
     q AS (SELECT series, hi, CAST(ceil(lo / 24.0) * 24 AS BIGINT) AS f FROM p),
@@ -251,6 +270,18 @@ def block_score(spark, sf):
     return rounded(out.select("series", timefn.slot_ts("slot").alias("ts"), "pred"), "pred")
 
 
+@query("block_score_partial", f"""SELECT series, ts, {r('''CASE WHEN count(*) OVER (PARTITION BY series, slot // 24) = 24 THEN
+    0.5 * val + 0.5 * avg(val) OVER (PARTITION BY series, slot // 24) + 0.1 * temp END''', 'pred')}
+    FROM fx_joint WHERE ts >= TIMESTAMP '2024-01-01 05:00:00' AND ts < TIMESTAMP '2024-01-29 17:00:00'""", ("fx_joint",))
+def block_score_partial(spark, sf):
+    """The first and the last day are incomplete: their rows stay, unscored."""
+    def model(x):
+        return 0.5 * x[..., 0] + 0.5 * x[..., 0].mean(axis=1, keepdims=True) + 0.1 * x[..., 1]
+
+    out = series.block_score(fx.joint(spark, sf).where(timefn.half_open("ts", "2024-01-01 04:00:00", "2024-01-29 16:00:00")), K, ["val", "temp"], model)
+    return rounded(out.select("series", timefn.slot_ts("slot").alias("ts"), "pred"), "pred")
+
+
 @query("minmax_train", f"""SELECT series, ts, part, {r('(val - lo) / (hi - lo)', 'scaled')}, val AS back FROM (SELECT *,
     CASE WHEN rn < n // 2 THEN 'train' ELSE 'test' END AS part, min(val) FILTER (rn < n // 2) OVER (PARTITION BY series) AS lo,
     max(val) FILTER (rn < n // 2) OVER (PARTITION BY series) AS hi FROM fx_joint)""", ("fx_joint",))

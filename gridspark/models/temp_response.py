@@ -65,15 +65,15 @@ def _descend(t: np.ndarray, n: np.ndarray, y: np.ndarray, y2: np.ndarray, start:
 
 
 def fit(df: DataFrame, keys: list[str], val: str = "val", temp: str = "temp", alpha: float = 0.01,
-        rtol: float = 1e-6, nmax: int = 200) -> DataFrame:
-    """Fit all series by gradient descent from the reference's starting point.
+        rtol: float = 1e-6, nmax: int = 200, parts: int = 100) -> DataFrame:
+    """Fit all series by gradient descent from the means, with half the span of the demand over that of the temperature.
 
-    Temperatures are whole tenths of a degree, so the rows of a series are first summed per temperature (map-side).
-    What reaches the per-series descent is one row per distinct temperature, a couple of thousand at most however
-    long the series, and no iteration reads the observations again.
+    Rows of a series are first summed per temperature, to the `parts`-th part of its unit (map-side). What reaches the
+    per-series descent is one row per such temperature, whose number depends on the climate and not on the length
+    of the series, and no iteration reads the observations again.
     Output: keys, a0, ap, an, tp, tn, cost, steps.
     """
-    t, y = F.col(temp).cast("int"), F.col(val)
+    t, y = F.round(F.col(temp).cast("double") * parts) / parts, F.col(val)
     groups = (df.where(F.col(temp).isNotNull() & y.isNotNull())
               .groupBy(*keys, t.alias("t"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("y"), F.sum(y * y).alias("y2"),

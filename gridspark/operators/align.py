@@ -12,6 +12,13 @@ from gridspark.functions import timefn
 from gridspark.operators import grid
 
 
+def calendar_rejects(df: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+    """The rows that no calendar can hold, with all their columns and a `reason`: 'key' or 'time' is NULL."""
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    reason = F.when(no_key, F.lit("key")).when(F.col(ts).isNull(), F.lit("time"))
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def calendar_fill(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts", step: int = timefn.HOUR,
                   common: bool = False, size: int = grid.CHUNK) -> DataFrame:
     """Put each series on a regular calendar; missing steps become rows with NULL values.
@@ -21,10 +28,11 @@ def calendar_fill(df: DataFrame, keys: list[str], values: list[str], ts: str = "
 
     The rows are shuffled once, by (series, chunk). Inside a chunk each row also produces the empty steps since
     the row before it, and the last one those up to the chunk's end; chunks without rows come from the spans.
+    Rows with a NULL key or time belong to no calendar: `calendar_rejects` returns them.
     Output: keys, chunk number, slot, ts, values.
     """
     chunk = grid.chunk_col(size)
-    facts = df.select(*keys, timefn.slot_of(ts, step).alias("at"), *values)
+    facts = df.select(*keys, timefn.slot_of(ts, step).alias("at"), *values).dropna(subset=[*keys, "at"])
     spans = facts.groupBy(*keys).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     if common:
         spans = spans.select(*keys, facts.agg(F.min("at")).scalar().alias("lo"),

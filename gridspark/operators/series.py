@@ -23,13 +23,13 @@ def lagged(df: DataFrame, keys: list[str], val: str, lags: list[int], prefix: st
 
 def moving_avg(df: DataFrame, keys: list[str], val: str = "val", width: int = 2, out: str = "smooth",
                size: int = grid.CHUNK) -> DataFrame:
-    """Mean of positions i-width+1 .. i+width; 0 for i < width and i >= n - width."""
+    """Mean of the values at positions i-width+1 .. i+width, NULLs left out; 0 for i < width and i >= n - width."""
     spans = grid.series_stats(df, keys)
     rows = grid.with_halo(df, before=width - 1, after=width, size=size)
     rows = grid.attach(rows, spans, keys, size, before=width - 1, after=width, windowed=True)
     w = grid.halo_window(keys, size).rowsBetween(-(width - 1), width)
     inner = (F.col("slot") - F.col("lo") >= width) & (F.col("hi") - F.col("slot") >= width)
-    rows = rows.withColumn(out, F.when(inner, F.sum(val).over(w) / (2 * width)).otherwise(F.lit(0.0)))
+    rows = rows.withColumn(out, F.when(inner, F.avg(val).over(w)).otherwise(F.lit(0.0)))
     return grid.own_rows(rows).drop("lo", "hi")
 
 
@@ -278,14 +278,16 @@ def sample_starts(spans: DataFrame, keys: list[str], n_samples: int, length: int
                   every: int = 1) -> DataFrame:
     """`n_samples` start slots per series drawn from md5(keys, i, seed): repeatable on any cluster.
 
-    `every=24` draws among midnights only.
+    `every=24` draws among midnights only. A series too short for a window gives one row with NULL sample and start.
     """
     text = F.concat_ws("-", *keys, F.col("sample"), F.lit(seed))
     draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     first = F.ceil(F.col("lo") / every) * every
     room = F.floor((F.col("hi") + 1 - length - first + every - 1) / every)
-    return (spans.where(room > 0).withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
-            .select(*keys, "sample", (first + draw % room * every).alias("start")))
+    none = F.array(F.lit(None).cast("int"))
+    samples = F.when(room > 0, F.sequence(F.lit(0), F.lit(n_samples - 1))).otherwise(none)
+    start = F.when(room > 0, first + draw % F.greatest(room, F.lit(1)) * every)
+    return spans.withColumn("sample", F.explode(samples)).select(*keys, "sample", start.alias("start"))
 
 
 def sample_windows(df: DataFrame, keys: list[str], n_samples: int, length: int, seed: int = 7653, every: int = 1,
@@ -293,14 +295,15 @@ def sample_windows(df: DataFrame, keys: list[str], n_samples: int, length: int,
     """Random training windows in long form: keys, sample, step (0..length-1) and the sampled row's columns.
 
     Windows lie within `(after, until]` when given. Each window is spelled out as the slots it covers and
-    equi-joined, so no range join is needed.
+    equi-joined, so no range join is needed. A series too short for a window gives one row with NULL sample and step.
     """
     if after and until:
         df = df.where(timefn.half_open("ts", after, until))
     starts = sample_starts(grid.series_stats(df, keys), keys, n_samples, length, seed, every)
-    cover = (starts.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(length - 1))))
+    steps = F.when(F.col("start").isNotNull(), F.sequence(F.lit(0), F.lit(length - 1))).otherwise(F.array(F.lit(None).cast("int")))
+    cover = (starts.withColumn("step", F.explode(steps))
              .select(*keys, "sample", "step", (F.col("start") + F.col("step")).alias("slot")))
-    return cover.join(df, [*keys, "slot"])
+    return cover.join(df, [*keys, "slot"], "left")
 
 
 def blocks(df: DataFrame, keys: list[str], columns: list[str], steps: int = 24, size: int = grid.CHUNK) -> DataFrame:
@@ -308,16 +311,18 @@ def blocks(df: DataFrame, keys: list[str], columns: list[str], steps: int = 24,
     rows = grid.with_chunk(df, size).withColumn("block", day_block(steps))
     inside = [grid.chunk_col(size)] if size % steps == 0 else []
     packed = rows.groupBy(*keys, *inside, "block").agg(F.sort_array(F.collect_list(F.struct("slot", *columns))).alias("r"))
-    return packed.select(*keys, "block", F.size("r").alias("n"), *[F.col(f"r.{c}").alias(c) for c in columns])
+    return packed.select(*keys, "block", F.size("r").alias("n"), F.col("r.slot").alias("slots"),
+                         *[F.col(f"r.{c}").alias(c) for c in columns])
 
 
 def block_score(df: DataFrame, keys: list[str], columns: list[str], model, steps: int = 24) -> DataFrame:
     """Consecutive block inference: `model` maps an array (blocks, steps, columns) to (blocks, steps).
 
-    Incomplete blocks are left unscored. Output: keys, slot, pred.
+    Rows of incomplete blocks have NULL predictions. Output: keys, slot, pred.
     """
-    packed = blocks(df, keys, columns, steps).where(F.col("n") == steps)
-    whole = packed.select(*keys, "block", *columns)
+    packed = blocks(df, keys, columns, steps)
+    part = packed.where(F.col("n") != steps).select(*keys, F.explode("slots").alias("slot"), F.lit(None).cast("double").alias("pred"))
+    whole = packed.where(F.col("n") == steps).select(*keys, "block", *columns)
     schema = whole.select(*keys, "block", F.lit(None).cast("array<double>").alias("preds")).schema
 
     def score(batches):
@@ -328,7 +333,7 @@ def block_score(df: DataFrame, keys: list[str], columns: list[str], model, steps
 
     scored = whole.mapInPandas(score, schema)
     return (scored.select(*keys, "block", F.posexplode("preds").alias("step", "pred"))
-            .select(*keys, (F.col("block") * steps + F.col("step")).alias("slot"), "pred"))
+            .select(*keys, (F.col("block") * steps + F.col("step")).alias("slot"), "pred").unionByName(part))
 
 
 def minmax_train(df: DataFrame, keys: list[str], val: str = "val", ratio: float = 0.5,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +29,13 @@ def get_spark(app: str = "gridspark", master: str | None = None, shuffle_partiti
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by the session; only a local session may fall back to a temp dir."""
+    """Folder all executors can reach, as named by the session. A local session that names none uses its warehouse."""
     path = spark.conf.get(SHARED_DIR_CONF, None)
     if path:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="gridspark-")
-    spark.conf.set(SHARED_DIR_CONF, path)
-    return path
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

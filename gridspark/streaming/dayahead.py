@@ -19,11 +19,12 @@ def online_dayahead(stream: DataFrame, states: DataFrame, keys: list[str], param
                     val: str = "val", level: str = "mean") -> DataFrame:
     """Predict the next day after each closed day of a stream of hourly rows (keys, slot, val).
 
-    `states` gives each series its start state (keys, state array) and the stream is joined to it. A day closes
-    when its 24 hours are there or a later day begins; rows of closed days come too late and are ignored.
+    `states` gives each series its start state (keys, state array); a series without one starts level at the mean of its
+    first batch. A day closes when its 24 hours are there or a later day begins; days without rows close too, with
+    the state as it is, so every day from the second on is predicted. Rows of closed days come too late and are ignored.
     Output (append): keys, slot, pred.
     """
-    rows = stream.join(states.select(*keys, "state"), keys)
+    rows = stream.join(states.select(*keys, "state"), keys, "left")
     key_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
     p = np.array([getattr(params, n) for n in smoothing.PARAM_NAMES])
 
@@ -38,7 +39,12 @@ def online_dayahead(stream: DataFrame, states: DataFrame, keys: list[str], param
             day, y, state = group.get
             y, state = np.asarray(y, float), np.asarray(state, float)
         else:
-            day, y, state = None, np.full(HOURS, np.nan), np.asarray(pdf["state"].iloc[0], float)
+            day, y, start = None, np.full(HOURS, np.nan), pdf["state"].iloc[0]
+            state = np.zeros(smoothing.STATE)
+            if start is None:
+                state[0] = np.nan_to_num(pdf[val].astype(float).mean())
+            else:
+                state = np.asarray(start, float)
         out = []
 
         def emit(d: int, preds: np.ndarray) -> None:
@@ -48,9 +54,9 @@ def online_dayahead(stream: DataFrame, states: DataFrame, keys: list[str], param
         for d, rows_of_day in pdf.groupby("day"):
             if day is not None and d < day:
                 continue
-            if day is not None and d > day and np.isfinite(y).any():
-                state, preds = close(day, y, state)
-                emit(day, preds)
+            for open_day in range(day, d) if day is not None else ():
+                state, preds = close(open_day, y, state)
+                emit(open_day, preds)
                 y = np.full(HOURS, np.nan)
             day = d
             y[rows_of_day["hour"].to_numpy()] = rows_of_day[val].to_numpy(float)

@@ -119,7 +119,7 @@ def test_fft_detrend_parts_add_up_and_flatten_the_day(spark, shape):
     x = list(100 + 20 * np.sin(2 * np.pi * t / 24) + np.random.default_rng(0).normal(0, 1, n))
     hole = list(x)
     hole[3] = None
-    out = spectral.fft_detrend(frame(spark, {"a": x, "hole": hole}), K, segment=n, origin=MONDAY, width=0.15, smooth=5,
+    out = spectral.fft_detrend(frame(spark, {"a": x, "hole": hole}), K, segment=n, width=0.15, smooth=5,
                                shape=shape)
     got = {c: values(out.where("series = 'a'"), c)["a"] for c in ("trend", "detrend")}
     np.testing.assert_allclose(np.add(got["trend"], got["detrend"]), x, rtol=1e-9)
@@ -128,6 +128,20 @@ def test_fft_detrend_parts_add_up_and_flatten_the_day(spark, shape):
     assert all(v is None or v != v for v in values(out.where("series = 'hole'"), "trend")["hole"])
 
 
+def test_detrend_cuts_from_the_series_own_start(spark):
+    """One span that crosses a multiple of the segment length is transformed whole; the rest of a long one joins its last piece."""
+    rng = np.random.default_rng(1)
+    x = list(50 + rng.normal(0, 5, 100))
+    whole = spectral.fft_detrend(frame(spark, {"a": x}), K, segment=64, width=0.3, smooth=3)
+    want = spectral.detrend_segment(np.array(x), 0.3, "square", 3, 24)
+    np.testing.assert_allclose(values(whole, "trend")["a"], want, rtol=1e-9)
+    two = values(spectral.fft_detrend(frame(spark, {"a": x}), K, segment=40, width=0.3, smooth=3), "trend")["a"]
+    np.testing.assert_allclose(two[:40], spectral.detrend_segment(np.array(x[:40]), 0.3, "square", 3, 24), rtol=1e-9)
+    np.testing.assert_allclose(two[40:], spectral.detrend_segment(np.array(x[40:]), 0.3, "square", 3, 24), rtol=1e-9)
+    short = spectral.fft_detrend(frame(spark, {"a": x[:7]}), K)
+    assert all(v is not None and np.isfinite(v) for v in values(short, "trend")["a"])
+
+
 def test_square_filter_against_the_stated_steps():
     """The reference's sequence written out on the shifted spectrum, with whole bins."""
     rng = np.random.default_rng(3)

@@ -170,3 +170,37 @@ def test_boosted_trees_train_on_all_series(spark):
     rows = features.joint_features(frame(spark, y, temp=temp), K)
     model = features.gbt_forecaster(rows, "val", maxIter=2, maxDepth=3)
     assert model.transform(rows.dropna()).where("pred is not null").count() > 0
+
+
+def test_holes_at_the_ends_of_the_first_stretch(spark):
+    y, _ = data()
+    ninit = 14 * 24
+    y["s1"][ninit - 1] = y["s1"][0] = None
+    y["s2"][:ninit] = [None] * ninit
+    df = frame(spark, y)
+    state = {r.series: r for r in smoothing.init_state(df, K, ninit=ninit).collect()}
+    assert abs(state["s1"].b - (y["s1"][ninit - 2] - y["s1"][1]) / (ninit - 2)) < 1e-12 and state["s2"].lv is None
+    walk = smoothing.walk_forward(df, K, P, ninit=ninit)
+    assert walk.count() == 3 * (42 * 24 - ninit)
+    assert walk.where("pred is null").select("series").distinct().collect() == [("s2",)]
+    best = {r.series: r.rmse for r in smoothing.rate_search(df, K, [P, replace(P, alpha=0.4)], ninit=ninit).collect()}
+    assert set(best) == {"s0", "s1", "s2"} and best["s2"] is None and best["s1"] > 0
+
+
+@pytest.mark.parametrize("level", ["mean", "first"])
+@pytest.mark.parametrize("weekend", [0, 1])
+def test_a_day_in_two_matrices(level, weekend):
+    """The maps against the correction written out."""
+    rng = np.random.default_rng(5)
+    p = np.array([getattr(P, n) for n in smoothing.PARAM_NAMES])
+    state, y, k = rng.normal(size=smoothing.STATE), rng.normal(size=24), np.arange(24)
+    pred, after = smoothing.day_step(state, y, weekend, p, level)
+    s = state[2:].reshape(2, 24)
+    np.testing.assert_allclose(pred, state[0] + state[1] * k + s[weekend])
+    e = y - pred
+    off = e.mean() if level == "mean" else e[0]
+    rise = (e[-1] - e[0]) / 24
+    np.testing.assert_allclose(after[:2], [state[0] + P.alpha * off, state[1] + P.beta * rise])
+    rest = e - off - rise * k
+    np.testing.assert_allclose(after[2:26], s[0] + p[2 + weekend] * rest)
+    np.testing.assert_allclose(after[26:], s[1] + p[4 + weekend] * rest)
