@@ -32,8 +32,3 @@ def temp_shift(tenths: Column | str, centre: float = 150.0) -> Column:
 
 def sinc(x: Column) -> Column:
     return F.when(F.abs(x) > 1e-16, F.sin(x) / x).otherwise(F.lit(1.0))
-
-
-def weight(value: Column, total: Column) -> Column:
-    """value / total, NULL when total is 0 or missing."""
-    return F.when(total != 0, value / total)

@@ -6,7 +6,6 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from gridspark.functions import text, timefn
 from gridspark.operators import grid
@@ -105,9 +104,3 @@ def season_profile(df: DataFrame, keys: list[str], val: str = "val", ts: str = "
     """Mean per day type (1 = weekend) and hour."""
     return df.groupBy(*keys, timefn.is_weekend(ts).cast("int").alias("weekend"), F.hour(ts).alias("hour")).agg(
         F.avg(val).alias("mean"))
-
-
-def share_of_total(df: DataFrame, keys: list[str], val: str) -> DataFrame:
-    """val as a share of its key's sum; for small aggregated frames."""
-    total = F.sum(val).over(W.partitionBy(*keys))
-    return df.withColumn("share", F.when(total != 0, F.col(val) / total))

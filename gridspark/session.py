@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
+SHIPPED_CONF = "spark.gridspark.shipped"
 
 
 def get_spark(app: str = "gridspark", master: str | None = None, shuffle_partitions: int | None = None,
@@ -25,7 +31,28 @@ def get_spark(app: str = "gridspark", master: str | None = None, shuffle_partiti
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to all Python workers, once a session: grouped functions are unpickled there by module name."""
+    if spark.conf.get(SHIPPED_CONF, None):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # the driver serves this file to the executors as long as it lives
+    folder = tempfile.mkdtemp(prefix="gridspark-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "gridspark.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for at, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(at, name)
+                    out.write(file, os.path.join("gridspark", os.path.relpath(file, root)))
+    spark.sparkContext.addPyFile(path)
+    spark.conf.set(SHIPPED_CONF, "true")
 
 
 def shared_dir(spark: SparkSession) -> str:

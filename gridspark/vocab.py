@@ -44,9 +44,6 @@ FORECAST_PREFIX = {"temp": "YEU", "wdir": "YBU", "wspd": "YCU", "sky": "YAU"}
 FORECAST_LEVEL = "Z98"
 FORECAST_START = "2020-04-16"
 
-# fixed values: annual generation fuel codes
-FUELS = ["HYC", "TSN", "WND", "COW", "NUC", "NG", "ALL"]
-
 # fixed values: state -> power region
 STATE_REGION = {
     "AL": "Southeast", "AK": "AK", "AZ": "Southwest", "AR": "Midwest", "CA": "California",
