@@ -11,14 +11,16 @@ def last_wins(df: DataFrame, keys: list[str], value: str, order: Column) -> Data
     return df.groupBy(*keys).agg(F.max_by(value, order).alias(value))
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: list[str], value: str, order: str | None = None) -> DataFrame:
+def upsert(existing: DataFrame, new: DataFrame, keys: list[str], value: str, order: str | None = None,
+           spread: list[str] | None = None) -> DataFrame:
     """Existing rows overwritten by new ones on equal keys, new keys added.
 
     `order` ranks several new rows of one key; without it they must be unique. Applying the same update twice
-    changes nothing.
+    changes nothing. `spread` names some of the keys to shuffle by.
     """
     rank = F.col(order) if order else F.lit(0)
     old = existing.select(*keys, value, F.struct(F.lit(0).alias("new"), F.lit(None).cast(
         new.schema[order].dataType if order else "int").alias("rank")).alias("prio"))
     upd = new.select(*keys, value, F.struct(F.lit(1).alias("new"), rank.alias("rank")).alias("prio"))
-    return last_wins(old.unionByName(upd), keys, value, F.col("prio"))
+    rows = old.unionByName(upd)
+    return last_wins(rows.repartition(*spread) if spread else rows, keys, value, F.col("prio"))

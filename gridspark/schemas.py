@@ -50,13 +50,31 @@ ISD = T.StructType([
     T.StructField("val", T.DoubleType()),
 ])
 
+EBA_REJECT = T.StructType([
+    T.StructField("series_id", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("pair", T.ArrayType(T.StringType())),
+    T.StructField("reason", T.StringType()),
+])
+
+ISD_REJECT = T.StructType([
+    T.StructField("file_name", T.StringType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
+# First day of the month of `ts`; the warehouse derives it, so frames need not carry it
+MONTH = T.StructField("month", T.DateType())
+
 # Table name -> (schema, partition columns)
 WAREHOUSE = {
-    "eba": (EBA, ["measure"]),
-    "eba_inter": (EBA_INTER, ["source"]),
+    "eba": (T.StructType([*EBA.fields, MONTH]), ["measure", "month"]),
+    "eba_inter": (T.StructType([*EBA_INTER.fields, MONTH]), ["month"]),
+    "eba_rejects": (EBA_REJECT, []),
     "eba_meta": (DIM, []),
     "eba_measure": (DIM, []),
-    "isd": (ISD, ["measure"]),
+    "isd": (T.StructType([*ISD.fields, MONTH]), ["measure", "month"]),
+    "isd_rejects": (ISD_REJECT, []),
     "isd_meta": (T.StructType([
         T.StructField("id", T.IntegerType()),
         T.StructField("name", T.StringType()),

@@ -41,7 +41,7 @@ def category_lines(docs: DataFrame) -> DataFrame:
 
 def category_names(docs: DataFrame, order: Column) -> DataFrame:
     """abbr -> full name from category documents; of several names the one with the highest `order` counts."""
-    named = category_lines(docs).select(order.alias("pos"), text.meta_name("name").alias("m")).where("m is not null")
+    named = docs.where(F.col("category_id").isNotNull()).select(order.alias("pos"), text.meta_name("name").alias("m")).where("m is not null")
     return named.groupBy(F.col("m.abbr").alias("abbr")).agg(F.max_by("m.full_name", "pos").alias("full_name"))
 
 
@@ -50,13 +50,19 @@ def explode_observations(docs: DataFrame, zero_as_null: bool = False) -> DataFra
 
     Ids that do not parse give NULL source and measure; route those to a reject table.
     """
-    parts = text.series_id_parts("series_id")
-    pairs = docs.select("series_id", "name", parts.alias("p"), F.explode("data").alias("d"))
-    val = F.get("d", F.lit(1)).try_cast("double")
+    rows = observations(docs.select("series_id", "name", F.explode("data").alias("pair")), zero_as_null)
+    return rows.select("ts", "source", "dest", "measure", "val", "series_id", "name")
+
+
+def observations(pairs: DataFrame, zero_as_null: bool = False) -> DataFrame:
+    """Long rows from exploded pairs (series_id, name, pair); all columns are kept."""
+    pairs = pairs.withColumn("p", text.series_id_parts("series_id"))
+    d = F.col("pair")
+    val = F.get(d, F.lit(1)).try_cast("double")
     return pairs.select(
-        timefn.parse_hour(F.get("d", F.lit(0))).alias("ts"),
+        timefn.parse_hour(F.get(d, F.lit(0))).alias("ts"),
         F.col("p.source").alias("source"), F.col("p.dest").alias("dest"), F.col("p.tag").alias("measure"),
-        (numeric.zero_to_null(val) if zero_as_null else val).alias("val"), "series_id", "name")
+        (numeric.zero_to_null(val) if zero_as_null else val).alias("val"), *[c for c in pairs.columns if c != "p"])
 
 
 def store_documents(docs: DataFrame, path: str) -> None:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
 
-from gridspark.operators import upsert
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridspark.functions import timefn
+from gridspark.operators import grid, upsert
 from gridspark.schemas import WAREHOUSE
 from gridspark.session import materialize
 
@@ -37,20 +41,70 @@ def drop_tables(spark: SparkSession, tables: list[str] | None = None, database:
     return statements
 
 
+def month_of(ts: Column | str) -> Column:
+    return F.trunc(F.col(ts) if isinstance(ts, str) else ts, "month")
+
+
+def shaped(df: DataFrame, table: str, database: str = "default") -> DataFrame:
+    """The columns of a table in its order; a partition column `month` is derived from `ts`."""
+    columns = df.sparkSession.table(f"{database}.{table}").columns
+    if "month" in columns and "month" not in df.columns:
+        df = df.withColumn("month", month_of("ts"))
+    return df.select(*columns)
+
+
+def time_slice(spark: SparkSession, table: str, after: str, until: str, database: str = "default") -> DataFrame:
+    """Rows of `(after, until]`; only the months in question are read."""
+    def month(text: str) -> Column:
+        return month_of(F.lit(text).cast("timestamp_ntz"))
+
+    rows = spark.table(f"{database}.{table}").where(timefn.half_open("ts", after, until))
+    return rows.where(F.col("month").between(month(after), month(until)))
+
+
 def append(df: DataFrame, table: str, database: str = "default", sort_by: list[str] | None = None) -> None:
     """Append by column name in one job with one commit."""
-    spark = df.sparkSession
-    columns = spark.table(f"{database}.{table}").columns
-    rows = df.select(*columns)
+    rows = shaped(df, table, database)
     if sort_by:
         rows = rows.sortWithinPartitions(*sort_by)
     rows.write.insertInto(f"{database}.{table}")
 
 
+def _equal(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def append_new(df: DataFrame, table: str, database: str = "default") -> None:
+    """Append the rows that the table does not hold yet, so that a repeated load adds nothing."""
+    rows, current = shaped(df, table, database), df.sparkSession.table(f"{database}.{table}")
+    rows = rows.join(current, _equal(rows, current, rows.columns), "left_anti")
+    materialize(rows, f"new-{table}").write.insertInto(f"{database}.{table}")
+
+
+def merge_dim(df: DataFrame, table: str, keys: list[str], database: str = "default") -> DataFrame:
+    """Upsert a dimension: known keys keep their id and take the new names, new keys get ids after the largest.
+
+    Returns the merged dimension. Ids in facts loaded before stay valid.
+    """
+    spark = df.sparkSession
+    current = spark.table(f"{database}.{table}")
+    rest = [c for c in current.columns if c != "id"]
+    new = df.select(*rest).dropDuplicates(keys)
+    match = _equal(current, new, keys)
+    kept = current.join(new, match, "left").select(
+        current["id"], *[F.coalesce(new[c], current[c]).alias(c) for c in rest])
+    last = current.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    added = new.join(current, match, "left_anti").withColumn("key", F.concat_ws("-", *keys))
+    added = grid.dense_ids(added, "key").select((F.col("id") + last).cast("int").alias("id"), *rest)
+    merged = materialize(kept.unionByName(added), f"dim-{table}")
+    merged.select(*current.columns).write.insertInto(f"{database}.{table}", overwrite=True)
+    return merged
+
+
 def replace_partitions(df: DataFrame, table: str, database: str = "default") -> None:
     """Overwrite only the partitions present in `df`."""
     spark = df.sparkSession
-    rows = df.select(*spark.table(f"{database}.{table}").columns)
+    rows = shaped(df, table, database)
     # insertInto takes the mode from the session, not from a writer option
     previous = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "dynamic")
@@ -62,16 +116,24 @@ def replace_partitions(df: DataFrame, table: str, database: str = "default") ->
 
 def upsert_table(new: DataFrame, table: str, keys: list[str], value: str, database: str = "default",
                  order: str | None = None) -> None:
-    """Replace values on equal keys and add new keys, touching only the partitions `new` falls into.
+    """Replace values on equal keys and add new keys, touching only the partitions `new` falls into: for facts, months.
 
-    The merged rows are written to the shared folder first: a table cannot be overwritten while it is read.
+    The merged rows are written to the shared folder first: a table cannot be overwritten while it is read. They are
+    spread by all keys but the time, so that a partition gets a file per task and not one task per partition.
     """
     spark = new.sparkSession
     current = spark.table(f"{database}.{table}")
     parts = WAREHOUSE[table][1] if table in WAREHOUSE else []
+    if "month" in parts and "month" not in new.columns:
+        new = new.withColumn("month", month_of("ts"))
     if parts:
-        current = current.join(new.select(*parts).distinct(), parts, "left_semi")
-    merged = materialize(upsert.upsert(current, new, keys, value, order), f"upsert-{table}")
+        # an equality join prunes partitions at run time, but loses those of NULL keys
+        lost = reduce(lambda a, b: a | b, [F.col(p).isNull() for p in parts])
+        touched = current.join(new.select(*parts).distinct(), parts, "left_semi")
+        current = touched.unionByName(current.where(lost))
+    keys = [*keys, *[p for p in parts if p not in keys]]
+    spread = [k for k in keys if k != "ts"]
+    merged = materialize(upsert.upsert(current, new, keys, value, order, spread), f"upsert-{table}")
     replace_partitions(merged, table, database)
 
 

@@ -10,10 +10,16 @@ from gridspark.functions import numeric, text, timefn
 from gridspark.operators import select
 
 
-def read_isd(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Hourly station files (gz allowed, one task per file) with the file name of each line."""
+def read_isd(spark: SparkSession, path: str | list[str], expected: DataFrame | None = None) -> DataFrame:
+    """Hourly station files (gz allowed, one task per file) with the file name of each line.
+
+    `expected` (file_name and other columns) leaves the lines of other files unparsed and adds its columns and the text.
+    """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
-    return parse_isd_lines(lines, ["file_name"])
+    if expected is None:
+        return parse_isd_lines(lines, ["file_name"])
+    lines = lines.join(expected, "file_name")
+    return parse_isd_lines(lines, lines.columns)
 
 
 def parse_isd_lines(lines: DataFrame, keep: list[str] | None = None, missing: list[int] | None = None) -> DataFrame:

@@ -52,6 +52,14 @@ def test_series_documents(spark, eba_file):
 def test_load_eba_job(spark, eba_file):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_eba")
     load.load_eba(spark, eba_file, "t_eba", drop=True)
+    ids = {r.abbr: r.id for r in spark.table("t_eba.eba_meta").collect()}
+    load.load_eba(spark, eba_file, "t_eba")  # a second run changes nothing
+    assert {r.abbr: r.id for r in spark.table("t_eba.eba_meta").collect()} == ids and "BPAT" in ids
+    assert [warehouse.count(spark, t, "t_eba") for t in ("eba", "eba_inter", "eba_rejects")] == [4, 1, 1]
+    assert [(r.series_id, r.pair, r.reason) for r in spark.table("t_eba.eba_rejects").collect()] == [
+        ("EBA.BROKEN.D.H", ["x", "y"], "series_id")]
+    cut = warehouse.time_slice(spark, "eba", "2020-01-02 03:00:00", "2020-01-31", "t_eba")
+    assert sorted(r.ts.hour for r in cut.collect()) == [4, 5]
     assert {(r.source, r.measure, r.val) for r in spark.table("t_eba.eba").collect()} == {
         ("PGE", "D", 10.0), ("PGE", "D", 0.0), ("PGE", "D", None), ("PGE", "NG-COL", 1.5)}
     inter = spark.table("t_eba.eba_inter").collect()
@@ -64,11 +72,38 @@ def test_load_eba_job(spark, eba_file):
     assert dims["BPAT"] == "Bonneville Power, Inc." and dims["MEX"] == "Mexico (region)"
     assert out["unknown"].count() == 0
     assert [r.series_id for r in out["rejects"].collect()] == ["EBA.BROKEN.D.H"]
+    assert out["eba"].where("source_id is null or measure_id is null").count() == 0
     wide = matrix.measure_record(out["eba"], out["eba_meta"], out["eba_measure"], "Demand", "2020-01-01", "2020-01-03",
                                  ["PGE"])
     assert [r.PGE for r in wide.orderBy("ts").collect()] == [10.0, 0.0]
 
 
+def test_load_eba_updates_and_refuses(spark, eba_file, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_eba2")
+    load.load_eba(spark, eba_file, "t_eba2", drop=True)
+    ids = {r.abbr: r.id for r in spark.table("t_eba2.eba_meta").collect()}
+    new = [{"series_id": "EBA.AAA-ALL.D.H", "name": "Demand for A new region (AAA), Hourly, UTC time",
+            "data": [["20200102T03Z", 5], ["bad time", 6]]},
+           {"series_id": "EBA.PGE-ALL.D.H", "name": "Demand for Portland General (PGE), Hourly, UTC time",
+            "data": [["20200102T03Z", 11], ["20200302T03Z", 12]]}]
+    path = tmp_path / "new.txt"
+    path.write_text("\n".join(json.dumps(d) for d in new))
+    for _ in range(2):
+        load.load_eba(spark, str(path), "t_eba2")
+    after = {r.abbr: r.id for r in spark.table("t_eba2.eba_meta").collect()}
+    assert {k: after[k] for k in ids} == ids and after["AAA"] == max(ids.values()) + 1
+    got = {(r.source, r.measure, r.ts.month, r.ts.hour): r.val for r in spark.table("t_eba2.eba").collect()}
+    assert got == {("PGE", "D", 1, 3): 11.0, ("PGE", "D", 1, 4): 0.0, ("PGE", "D", 1, 5): None, ("PGE", "D", 3, 3): 12.0,
+                   ("PGE", "NG-COL", 1, 3): 1.5, ("AAA", "D", 1, 3): 5.0}
+    assert {(r.series_id, r.reason) for r in spark.table("t_eba2.eba_rejects").collect()} == {
+        ("EBA.BROKEN.D.H", "series_id"), ("EBA.AAA-ALL.D.H", "time")}
+    strange = [{"series_id": "EBA.ZZZ-ALL.XX.H", "name": "Something without a name, UTC time", "data": [["20200102T03Z", 5]]}]
+    path.write_text("\n".join(json.dumps(d) for d in strange))
+    with pytest.raises(load.UnknownKeys, match="measure XX, source ZZZ"):
+        load.load_eba(spark, str(path), "t_eba2")
+    assert warehouse.count(spark, "eba", "t_eba2") == len(got)
+
+
 def test_warehouse_upsert_and_drop(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_wh")
     warehouse.drop_tables(spark, None, "t_wh", execute=True)
@@ -122,6 +157,8 @@ def test_isd_files(spark, tmp_path, stations):
     assert report == {"KPDX": (9, 1), "KSLE": (9, 0)}
     got = {(r.ts.hour, r.measure): r.val for r in spark.table("t_isd.isd").collect()}
     assert got[(3, "temp")] == -11.0 and got[(4, "temp")] == 0.0 and len(got) == 6
+    load.load_isd(spark, str(folder), stations, "t_isd")  # a second run changes nothing
+    assert [warehouse.count(spark, t, "t_isd") for t in ("isd", "isd_meta", "isd_rejects")] == [6, 2, 0]
     have = listing.existing_files(weather.with_file_names(stations), listing.list_files(spark, str(folder)))
     assert [r.file_name for r in have.collect()] == ["726980-24229-2016.gz"]
     framed = weather.station_frame(weather.read_isd(spark, str(folder)).withColumn("callsign", F.lit("KPDX")), stations)
