@@ -27,7 +27,8 @@ def staged_rows(docs: DataFrame) -> DataFrame:
     Documents without pairs keep one row with a NULL pair; titles repeat, which dictionary pages make cheap.
     """
     pairs = F.transform("data", lambda d: F.coalesce(d, F.array().cast("array<string>")))
-    return materialize(docs.select("series_id", "category_id", "name", F.explode_outer(pairs).alias("pair")), "series-rows")
+    parts = text.series_id_parts("series_id").alias("p")
+    return materialize(docs.select("series_id", "category_id", "name", parts, F.explode_outer(pairs).alias("pair")), "series-rows")
 
 
 def eba_rows(staged: DataFrame, zero_as_null: bool = False) -> DataFrame:

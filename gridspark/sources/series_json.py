@@ -50,13 +50,13 @@ def explode_observations(docs: DataFrame, zero_as_null: bool = False) -> DataFra
 
     Ids that do not parse give NULL source and measure; route those to a reject table.
     """
-    rows = observations(docs.select("series_id", "name", F.explode("data").alias("pair")), zero_as_null)
+    parts = text.series_id_parts("series_id").alias("p")
+    rows = observations(docs.select("series_id", "name", parts, F.explode("data").alias("pair")), zero_as_null)
     return rows.select("ts", "source", "dest", "measure", "val", "series_id", "name")
 
 
 def observations(pairs: DataFrame, zero_as_null: bool = False) -> DataFrame:
-    """Long rows from exploded pairs (series_id, name, pair); all columns are kept."""
-    pairs = pairs.withColumn("p", text.series_id_parts("series_id"))
+    """Long rows from exploded pairs (p, the parts of the id, and pair); all other columns are kept."""
     d = F.col("pair")
     val = F.get(d, F.lit(1)).try_cast("double")
     return pairs.select(
