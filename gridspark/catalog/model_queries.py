@@ -353,11 +353,11 @@ def power_bins(spark, sf):
     return rounded(rounded(out, "freq"), "power", places=8)
 
 
-def _regression_sql() -> str:
+def _regression_steps() -> str:
     """Least squares by Gram-Schmidt: each regressor is removed from all later columns with weights from the training
     rows, on every row; what is left of the target is the prediction's error."""
     cols = ["one", *features.FEATURES, "y"]
-    steps = [f"""g0 AS (SELECT *, part = 'train' AS fit, 1.0::DOUBLE AS one, val AS y FROM (SELECT series, val, rn,
+    steps = [f"""g0 AS (SELECT *, part = 'train' AS fit, 1.0::DOUBLE AS one, val AS y FROM (SELECT series, ts, val, rn,
         CASE WHEN rn < n // 2 THEN 'train' ELSE 'test' END AS part, hour(ts) / 23.0::DOUBLE AS hour_frac,
         (isodow(ts) - 1) / 6.0::DOUBLE AS week_frac, dayofyear(ts) / (364.0::DOUBLE + CASE WHEN year(ts) % 4 = 0 AND
         (year(ts) % 100 <> 0 OR year(ts) % 400 = 0) THEN 1 ELSE 0 END) AS year_frac, CAST(temp AS DOUBLE) AS temp,
@@ -366,9 +366,13 @@ def _regression_sql() -> str:
     for i, c in enumerate(cols[:-1], start=1):
         left = ", ".join(f"""{o} - {c} * (sum({o} * {c}) FILTER (fit) OVER (PARTITION BY series)
             / sum({c} * {c}) FILTER (fit) OVER (PARTITION BY series)) AS {o}""" for o in cols[i:])
-        steps.append(f"g{i} AS (SELECT series, part, fit, val, {left} FROM g{i - 1})")
-    return f"""WITH {", ".join(steps)} SELECT series, part, count(*) AS n, {r('sqrt(sum(y * y) / count(*))', 'rmse', 4)},
-        {r('avg(abs(y / val)) FILTER (val <> 0)', 'mape', 4)} FROM g{len(cols) - 1} GROUP BY ALL"""
+        steps.append(f"g{i} AS (SELECT series, ts, part, fit, val, {left} FROM g{i - 1})")
+    return ", ".join([*steps, f"learned AS (SELECT * FROM g{len(cols) - 1})"])
+
+
+def _regression_sql() -> str:
+    return f"""WITH {_regression_steps()} SELECT series, part, count(*) AS n, {r('sqrt(sum(y * y) / count(*))', 'rmse', 4)},
+        {r('avg(abs(y / val)) FILTER (val <> 0)', 'mape', 4)} FROM learned GROUP BY ALL"""
 
 
 @query("lag_regression", _regression_sql(), ("fx_joint",))
@@ -405,6 +409,38 @@ def scoreboard_by_hour(spark, sf):
     return rounded(score.scoreboard(rows, ["hour"], "val", _METHODS), "rmse", "mape")
 
 
+def _models_sql(group: str) -> str:
+    return f"""WITH RECURSIVE {_walk_ctes(RATES, False)}, {_regression_steps()},
+    base AS (SELECT *, CASE WHEN rn < n // 2 THEN 'train' ELSE 'test' END AS part,
+        CASE WHEN rn < n // 2 OR rn >= n // 2 + 24 THEN lag(val, 24) OVER (PARTITION BY series ORDER BY rn) END AS persist FROM fx_joint),
+    smooth AS (SELECT w.series, d.tss[i] AS ts, w.pred[i] AS pred FROM walk w JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS}
+        WHERE w.day >= {NINIT // 24}),
+    l AS (SELECT series, ts, rn, part, val, 'persistence' AS method, persist AS pred FROM base
+        UNION ALL SELECT series, ts, rn, part, val, 'utility', fore FROM base
+        UNION ALL SELECT b.series, b.ts, rn, b.part, b.val, 'smoothing', m.pred FROM base b JOIN smooth m ON m.series = b.series AND m.ts = b.ts
+        UNION ALL SELECT b.series, b.ts, rn, b.part, b.val, 'regression', b.val - g.y FROM base b JOIN learned g ON g.series = b.series AND g.ts = b.ts)
+    SELECT {group}, method, count(*) AS n, {r('sqrt(sum((pred - val) ** 2) / count(*))', 'rmse', 4)},
+        {r('avg(abs(1 - pred / val)) FILTER (val <> 0)', 'mape', 4)} FROM l WHERE pred IS NOT NULL AND rn >= {NINIT} GROUP BY ALL"""
+
+
+def _models(spark, sf, by=None):
+    from gridspark.plans import forecast
+
+    out = forecast.day_ahead_scores(fx.joint(spark, sf), K, RATES, NINIT, forecast="fore", regress="temp", by=by)
+    return rounded(out, "rmse", "mape", places=4)
+
+
+@query("scoreboard_models", _models_sql("series, part"), ("fx_joint",))
+def scoreboard_models(spark, sf):
+    """Utility, persistence, smoothing and lag regression over the same hours, per series and half."""
+    return _models(spark, sf)
+
+
+@query("scoreboard_models_by_hour", _models_sql("CAST(hour(ts) AS INTEGER) AS hour"), ("fx_joint",))
+def scoreboard_models_by_hour(spark, sf):
+    return _models(spark, sf, [F.hour("ts").alias("hour")])
+
+
 def _clean_forecast_sql() -> str:
     from gridspark.catalog.series_queries import _extremes_sql, _remove_na_sql
 

@@ -165,10 +165,21 @@ def day_grad(spark, sf):
     FROM events)) GROUP BY ALL""")
 def run_boundaries(spark, sf):
     ev = fx.table(spark, sf, "events").select("ts", "event_id", "event_type", "value")
-    runs = series.run_boundaries(ev, "event_type", ["ts", "event_id"], timefn.slot_of("ts"))
+    runs = series.run_boundaries(ev, "event_type", ["ts", "event_id"])
     return rounded(series.run_series(runs, "event_type", "ts", "value"), "total", places=4)
 
 
+@query("meter_runs", f"""SELECT CAST(run_id AS BIGINT) AS run_id, user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows,
+    {r('sum(value)', 'total', 4)} FROM (SELECT *, sum(s) OVER (ORDER BY user_id, ts, event_id ROWS UNBOUNDED PRECEDING) - 1 AS run_id
+    FROM (SELECT *, CASE WHEN user_id IS DISTINCT FROM lag(user_id) OVER (ORDER BY user_id, ts, event_id)
+        OR lag(event_id) OVER (ORDER BY user_id, ts, event_id) IS NULL THEN 1 ELSE 0 END AS s FROM events)) GROUP BY ALL""")
+def meter_runs(spark, sf):
+    """Readings sorted by meter and time: one run per meter, the last reading included."""
+    ev = fx.table(spark, sf, "events").select("ts", "event_id", "user_id", "value")
+    runs = series.run_boundaries(ev, "user_id", ["user_id", "ts", "event_id"])
+    return rounded(series.run_series(runs, "user_id", "ts", "value"), "total", places=4)
+
+
 _QUARTERS = f"""q AS (SELECT concat('S', user_id % 10) AS source, time_bucket(INTERVAL 15 MINUTE, ts) AS ts,
     CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS val FROM events GROUP BY ALL)"""
 

@@ -8,18 +8,17 @@ from pyspark.sql import functions as F
 from gridspark.operators import stats
 
 
-def unpivot_forecasts(df: DataFrame, ids: list[str], actual: str, methods: dict[str, str]) -> DataFrame:
+def unpivot_forecasts(df: DataFrame, ids: list[str | Column], actual: str, methods: dict[str, str]) -> DataFrame:
     """One row per observation and method; `methods` maps forecast column -> method name."""
     cells = [F.struct(F.lit(name).alias("method"), F.col(c).cast("double").alias("pred"))
              for c, name in methods.items()]
-    return (df.select(*ids, F.col(actual).alias("actual"), F.explode(F.array(*cells)).alias("m"))
-            .select(*ids, "actual", "m.method", "m.pred"))
+    rows = df.select(*ids, F.col(actual).alias("actual"), F.explode(F.array(*cells)).alias("m"))
+    return rows.select(*rows.columns[:-1], "m.method", "m.pred")
 
 
 def scoreboard(df: DataFrame, by: list[str | Column], actual: str, methods: dict[str, str]) -> DataFrame:
     """RMSE and MAPE per method and group, over the rows where both sides exist."""
-    ids = [F.col(b) if isinstance(b, str) else b for b in by]
-    long = unpivot_forecasts(df, ids, actual, methods)
+    long = unpivot_forecasts(df, by, actual, methods)
     names = [c for c in long.columns if c not in ("actual", "pred", "method")]
     rows = long.where(F.col("actual").isNotNull() & F.col("pred").isNotNull())
     return rows.groupBy(*names, "method").agg(

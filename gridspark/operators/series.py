@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from gridspark.functions import timefn
 from gridspark.operators import grid
+from gridspark.session import materialize
 
 
 def lagged(df: DataFrame, keys: list[str], val: str, lags: list[int], prefix: str = "lag_",
@@ -207,13 +208,18 @@ def day_grad(df: DataFrame, keys: list[str], val: str = "val", steps: int = 24,
     return rows.withColumn(out, slope * F.pmod(F.col("slot"), F.lit(steps))).drop("block")
 
 
-def run_boundaries(df: DataFrame, label: str, order: list[str], chunk: Column) -> DataFrame:
+def run_boundaries(df: DataFrame, label: str, order: list[str], chunk: Column | None = None) -> DataFrame:
     """Number the runs of equal `label` along `order`; adds `run_id` (0-based) and `starts`.
 
-    `chunk` must grow with `order`. The last label of each chunk is handed to the next non-empty one, and runs
-    are counted per chunk and summed up: only one row per chunk meets in one task.
+    The rows are cut into ranges of `order` of equal size, as many as the session has shuffle partitions, and written once
+    with their range number; so neither a busy hour nor a busy label fills a task. (`chunk`, which must grow
+    with `order`, is for input that has such a column.) The last label of each range is handed to the next
+    non-empty one, and runs are counted per range and summed up: only one row per range meets in one task.
     """
-    df = df.withColumn("chunk", chunk)
+    if chunk is None:
+        df = materialize(df.repartitionByRange(*order).withColumn("chunk", F.spark_partition_id()), "ranges")
+    else:
+        df = df.withColumn("chunk", chunk)
     this = F.struct(F.col(label).alias("label"))
     ends = df.groupBy("chunk").agg(F.max_by(this, F.struct(*order)).alias("end"))
     ends = ends.withColumn("before", F.lag("end").over(W.orderBy("chunk"))).drop("end")
@@ -255,7 +261,8 @@ def seq_windows(df: DataFrame, keys: list[str], inputs: str, label: str, length:
                 stride: int | None = None, label_length: int | None = None, size: int = grid.CHUNK) -> DataFrame:
     """Windows of `length` inputs with the labels starting `offset` steps after the window's first row.
 
-    By default the labels start right after the inputs and windows do not overlap (stride = length).
+    By default the labels start right after the inputs and windows do not overlap (stride = length). Each row is sent to the
+    windows it belongs to, which are grouped: no list is built that the stride does not keep.
     Output: keys, slot of the first input, arrays x and y.
     """
     offset = length if offset is None else offset
@@ -263,15 +270,27 @@ def seq_windows(df: DataFrame, keys: list[str], inputs: str, label: str, length:
     label_length = label_length or length
     ahead = max(length, offset + label_length) - 1
     spans = grid.series_stats(df, keys)
-    rows = grid.with_halo(df, before=0, after=ahead, size=size)
-    rows = grid.attach(rows, spans, keys, size, after=ahead, windowed=True)
-    w = grid.halo_window(keys, size)
-    # NULLs must keep their place, so values travel inside structs
-    x = F.collect_list(F.struct(F.col(inputs).alias("v"))).over(w.rowsBetween(0, length - 1))
-    y = F.collect_list(F.struct(F.col(label).alias("v"))).over(w.rowsBetween(offset, offset + label_length - 1))
-    rows = rows.withColumn("x", x["v"]).withColumn("y", y["v"])
-    starts = (F.pmod(F.col("slot") - F.col("lo"), F.lit(stride)) == 0) & (F.col("slot") + ahead <= F.col("hi"))
-    return grid.own_rows(rows.where(starts)).select(*keys, "slot", "x", "y")
+    rows = grid.attach(df.select(*dict.fromkeys([*keys, "slot", inputs, label])), spans, keys, size)
+    at = F.col("slot") - F.col("lo")
+    windows = F.floor((F.col("hi") - F.col("lo") - ahead) / stride)
+
+    def starts(first: int, n: int) -> Column:
+        """Numbers of the windows whose positions first .. first + n - 1 hold this row."""
+        begin = F.greatest(F.ceil((at - (first + n - 1)) / stride), F.lit(0))
+        end = F.least(F.floor((at - first) / stride), windows)
+        return F.when(begin <= end, F.sequence(begin, end)).otherwise(F.array().cast("array<bigint>"))
+
+    # one list of (window, place, input, label): NULLs keep their place inside structs
+    def cells(first: int, n: int, is_label: bool) -> Column:
+        return F.transform(starts(first, n), lambda k: F.struct(
+            k.alias("k"), F.lit(is_label).alias("is_label"), F.col("slot").alias("at"),
+            F.col(inputs).alias("x"), F.col(label).alias("y")))
+
+    cell = F.explode(F.concat(cells(0, length, False), cells(offset, label_length, True))).alias("m")
+    x = F.sort_array(F.collect_list(F.when(~F.col("m.is_label"), F.struct("m.at", "m.x"))))
+    y = F.sort_array(F.collect_list(F.when(F.col("m.is_label"), F.struct("m.at", "m.y"))))
+    return (rows.select(*keys, "lo", cell).groupBy(*keys, (F.col("lo") + F.col("m.k") * stride).alias("slot"))
+            .agg(x["x"].alias("x"), y["y"].alias("y")))
 
 
 def sample_starts(spans: DataFrame, keys: list[str], n_samples: int, length: int, seed: int = 7653,

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions import timefn
-from gridspark.models import score, smoothing
+from gridspark.models import features, score, smoothing
 from gridspark.operators import align, quality, series
 from gridspark.session import materialize
 
@@ -22,15 +22,23 @@ def clean(df: DataFrame, keys: list[str], values: dict[str, int], ts: str = "ts"
 
 
 def day_ahead_scores(df: DataFrame, keys: list[str], params: smoothing.Params, ninit: int, val: str = "val",
-                     temp: str | None = None, forecast: str | None = None) -> DataFrame:
-    """Walk the smoothing model forward and score it against persistence and, if given, the utility's forecast,
-    on the first and second half of each series. `df` must be clean (see `clean`); it is written once, since both
-    forecasts read it."""
-    needed = [*keys, "slot", val] + [c for c in (temp, forecast) if c]
-    df = materialize(df.select(*needed), "clean")
-    columns = [*keys, "slot", "rn", "part", "persist", val] + ([forecast] if forecast else [])
-    base = series.persistence(df, keys, val).select(*columns)
+                     temp: str | None = None, forecast: str | None = None, regress: str | None = None,
+                     by: list[str | Column] | None = None) -> DataFrame:
+    """Walk the smoothing model forward and score it against persistence and, if given, the utility's forecast and a lag
+    regression on the temperature column `regress` (which needs `ts`).
+
+    Scores are per series and half, or per group of `by`. All methods are scored after the initial stretch. `df` must be
+    clean (see `clean`); it is written once, since all forecasts read it.
+    """
+    extra = [c for c in (temp, forecast, regress) if c] + (["ts"] if "ts" in df.columns else [])
+    df = materialize(df.select(*dict.fromkeys([*keys, "slot", val, *extra])), "clean")
+    given = [c for c in (forecast, "ts") if c in df.columns]
+    base = series.persistence(df, keys, val).select(*keys, "slot", "rn", "part", "persist", val, *given)
     model = smoothing.walk_forward(df, keys, params, val, temp, ninit).select(*keys, "slot", "pred")
     rows = base.join(model, [*keys, "slot"], "left")
     methods = {"pred": "smoothing", "persist": "persistence"} | ({forecast: "utility"} if forecast else {})
-    return score.scoreboard(rows.where(F.col("rn") >= ninit), [*keys, "part"], val, methods)
+    if regress:
+        learned = features.lag_regression(df, keys, val, regress).select(*keys, "slot", F.col("pred").alias("learned"))
+        rows = rows.join(learned, [*keys, "slot"], "left")
+        methods["learned"] = "regression"
+    return score.scoreboard(rows.where(F.col("rn") >= ninit), by or [*keys, "part"], val, methods)

@@ -72,6 +72,10 @@ def test_lags_windows_and_scaling(spark, size):
     win = series.seq_windows(df, K, "val", "val", 10, size=size).where("series = 's1'").orderBy("slot").collect()
     assert [r.slot - MONDAY for r in win] == list(range(0, 77, 10))
     assert win[2].x == d["s1"][20:30] and win[2].y == d["s1"][30:40]
+    win = series.seq_windows(df, K, "val", "slot", 10, offset=4, stride=3, label_length=2, size=size)
+    win = win.where("series = 's1'").orderBy("slot").collect()
+    assert [r.slot - MONDAY for r in win] == list(range(0, 87, 3))
+    assert all(r.x == d["s1"][i:i + 10] and r.y == [MONDAY + i + 4, MONDAY + i + 5] for r, i in zip(win, range(0, 87, 3)))
     scaled = series.minmax_train(df, K, size=size)
     back = scaled.withColumn("back", series.minmax_inverse(F.col("scaled"), F.col("train_min"), F.col("train_max")))
     same(values(back, "back"), d)
@@ -102,6 +106,8 @@ def test_run_boundaries_with_empty_chunks_and_null_labels(spark):
     rows = spark.createDataFrame(list(zip(places, labels)), "pos int, label string")
     out = series.run_boundaries(rows, "label", ["pos"], F.floor(F.col("pos") / 10)).orderBy("pos").collect()
     assert [r.run_id for r in out] == [0, 0, 1, 1, 1, 2, 2, 3, 3, 4]
+    ranges = series.run_boundaries(rows, "label", ["pos"]).orderBy("pos").collect()
+    assert [(r.run_id, r.starts) for r in ranges] == [(r.run_id, r.starts) for r in out]
 
 
 def test_sample_windows_repeat_and_stay_inside(spark):
