@@ -22,8 +22,7 @@ def event_stream(spark, sf):
     count(*) FILTER (value = 0) AS n_zero, {r('sum(value)', 'total', 4)} FROM events GROUP BY ALL""")
 def stream_hourly(spark, sf):
     path, checkpoint = scratch_path(spark, "hourly"), scratch_path(spark, "hourly-checkpoint")
-    hours = hourly.hourly_quality(event_stream(spark, sf), ["event_type"])
-    hourly.write_hours(hours, path, checkpoint).awaitTermination()
+    hourly.write_hours(event_stream(spark, sf), ["event_type"], path, checkpoint).awaitTermination()
     return rounded(hourly.read_hours(spark, path, ["event_type"]), "total", places=4)
 
 

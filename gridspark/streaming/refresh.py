@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridspark.streaming import batches
+
 
 def _newest(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(value, order).alias(value), F.max(order).alias(order))
@@ -18,18 +20,16 @@ def refresh(stream: DataFrame, path: str, checkpoint: str, keys: list[str], valu
     so neither a retry nor the order of batches changes the result.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _newest(batch, keys, value, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batches.write_batch(_newest(batch, keys, value, order), path, batch_id)
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str], value: str, order: str) -> DataFrame:
-    rows = spark.read.parquet(path).drop("batch")
-    return _newest(rows, keys, value, order).drop(order)
+    return _newest(batches.read_batches(spark, path), keys, value, order).drop(order)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: list[str], value: str, order: str) -> None:
-    """Rewrite the current state as one folder at a new path."""
-    rows = spark.read.parquet(path).drop("batch")
-    _newest(rows, keys, value, order).write.mode("errorifexists").parquet(f"{target}/batch=0")
+def compact(spark: SparkSession, path: str, keys: list[str], value: str, order: str) -> None:
+    """Merge all batches but the newest into a snapshot that `read_current` uses from then on."""
+    batches.compact(spark, path, lambda rows: _newest(rows, keys, value, order))

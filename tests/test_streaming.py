@@ -29,9 +29,15 @@ def test_refresh_is_order_free_and_idempotent(spark):
     # a repeated batch overwrites its folder
     refresh._newest(rows.where("version = 1"), ["k"], "val", "version").write.mode("overwrite").parquet(f"{out}/batch=1")
     assert {r.k: r.val for r in refresh.read_current(spark, out, ["k"], "val", "version").collect()} == want
-    target = scratch_path(spark, "compact")
-    refresh.compact(spark, out, target, ["k"], "val", "version")
-    assert {r.k: r.val for r in refresh.read_current(spark, target, ["k"], "val", "version").collect()} == want
+    for _ in range(2):  # the second time there is nothing to merge
+        refresh.compact(spark, out, ["k"], "val", "version")
+    assert {r.k: r.val for r in refresh.read_current(spark, out, ["k"], "val", "version").collect()} == want
+    # the snapshot is read, not the folders that it holds; later batches still count
+    rows.where("k = 'b'").drop("k").selectExpr("'z' AS k", "val", "version").write.mode("overwrite").parquet(f"{out}/batch=0")
+    rows.limit(1).selectExpr("'b' AS k", "7.0D AS val", "9 AS version").write.parquet(f"{out}/batch=4")
+    for _ in range(2):
+        assert {r.k: r.val for r in refresh.read_current(spark, out, ["k"], "val", "version").collect()} == want | {"b": 7.0}
+        refresh.compact(spark, out, ["k"], "val", "version")
 
 
 def test_hourly_quality_over_batches_equals_the_table(spark):
@@ -41,12 +47,15 @@ def test_hourly_quality_over_batches_equals_the_table(spark):
         F.when(F.col("id") % 11 == 0, F.lit(None).cast("double")).otherwise((F.col("id") % 5).cast("double")).alias("value"))
     src, out, cp = (scratch_path(spark, n) for n in ("src", "out", "cp"))
     hour = F.hour("ts")
-    stream = feed(rows, src, [hour < 4, (hour >= 4) & (hour < 9), hour >= 9])
-    hourly.write_hours(hourly.hourly_quality(stream, ["kind"]), out, cp).awaitTermination()
-    got = hourly.read_hours(spark, out, ["kind"])
+    # the last hours come first, and one hour is spread over two batches
+    stream = feed(rows, src, [hour >= 9, (hour < 4) | (F.minute("ts") < 10) & (hour < 9), (hour >= 4) & (hour < 9) & (F.minute("ts") >= 10)])
+    hourly.write_hours(stream, ["kind"], out, cp).awaitTermination()
     want = hourly.hourly_quality(rows, ["kind"])
-    assert got.count() == want.count()
-    assert got.select(*want.columns).exceptAll(want).count() == 0
+    for _ in range(2):
+        got = hourly.read_hours(spark, out, ["kind"])
+        assert got.count() == want.count()
+        assert got.select(*want.columns).exceptAll(want).count() == 0
+        hourly.compact_hours(spark, out, ["kind"])
 
 
 @pytest.mark.parametrize("batches,gap", [(1, ()), (3, ()), (1, (17, 18)), (3, (16, 17, 20))])
