@@ -2,7 +2,8 @@
 
 Every page becomes a list of text lines (blocks). Pages of one host and folder are sorted by URL path, each is paired with its
 neighbours, the lines of both are aligned by longest common subsequence, and the shared lines are deleted: what
-neighbouring pages repeat in the same order is the site's frame. Differencing alone can't give the article: a frame may
+neighbouring pages repeat in the same order is the site's frame. Copies are no neighbours: a page is paired with the nearest
+pages that differ from it. Differencing alone can't give the article: a frame may
 differ from page to page, and an article may quote a line that its neighbour also has. So lines inside an `article` or `main`
 element are never deleted, and lines inside elements that name themselves as frame (navigation, footers, notices, ...) are
 never kept. Where a page has an `article` or `main`, only its lines are text; elsewhere the differencing decides.
@@ -163,33 +164,46 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first, lines, kinds, size = i + 1, [], [], 0
 
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit(row: dict, shared: set[int]) -> dict:
-        article = ARTICLE in row["kinds"]
-        kept = [line for i, (line, kind) in enumerate(zip(row["lines"], row["kinds"]))
-                if kind == ARTICLE or kind == OPEN and not article and i not in shared]
-        return {"page_id": row["page_id"], "url": row["url"], "text": "\n\n".join(kept), "n_lines": len(row["lines"]),
-                "n_shared": len(shared)}
+def _decided(row: dict) -> tuple:
+    """What makes two pages copies of each other: the lines that differencing decides, or all lines and their kinds where it
+    decides none. Pairing copies would delete all their lines as shared."""
+    if ARTICLE in row["kinds"]:
+        return tuple(row["kinds"]), tuple(row["lines"])
+    return (), tuple(line for line, kind in zip(row["lines"], row["kinds"]) if kind == OPEN)
+
 
+def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pages of a piece in runs of copies; each page is paired with the nearest page before and the nearest page behind
+    that is no copy of it, which is the last one of the run before and the first one of the run behind."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_lines", pa.int32()),
                         ("n_shared", pa.int32())])
-    last, shared_last = None, set()
+
+    def emit(run: list[dict], partners: list[dict]) -> Iterator[dict]:
+        for row in run:
+            free, shared = row["free"], set()
+            for other in partners:
+                shared |= {free[i] for i in common([row["lines"][i] for i in free], [other["lines"][i] for i in other["free"]])[0]}
+            article = ARTICLE in row["kinds"]
+            kept = [line for i, (line, kind) in enumerate(zip(row["lines"], row["kinds"]))
+                    if kind == ARTICLE or kind == OPEN and not article and i not in shared]
+            yield {"page_id": row["page_id"], "url": row["url"], "text": "\n\n".join(kept), "n_lines": len(row["lines"]),
+                   "n_shared": len(shared)}
+
+    run, before = [], None
     for batch in batches:
         out = []
         for row in batch.to_pylist():
             row["free"] = [i for i, kind in enumerate(row["kinds"]) if kind != ARTICLE]
-            shared: set[int] = set()
-            if last is not None:
-                if all(last[k] == row[k] for k in ("host", "folder", "piece")):
-                    a, b = common([last["lines"][i] for i in last["free"]], [row["lines"][i] for i in row["free"]])
-                    shared_last |= {last["free"][i] for i in a}
-                    shared = {row["free"][i] for i in b}
-                out.append(emit(last, shared_last))
-            last, shared_last = row, shared
+            row["decided"] = _decided(row)
+            near = bool(run) and all(run[-1][k] == row[k] for k in ("host", "folder", "piece"))
+            if run and not (near and run[-1]["decided"] == row["decided"]):
+                out += emit(run, [x for x in (before, row if near else None) if x])
+                before, run = run[-1] if near else None, []
+            run.append(row)
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
-    if last is not None:
-        yield pa.RecordBatch.from_pylist([emit(last, shared_last)], schema)
+    if run:
+        yield pa.RecordBatch.from_pylist(list(emit(run, [before] if before else [])), schema)
 
 
 def extract(pages: DataFrame, pair_rows: int = PAIR_ROWS) -> DataFrame:

@@ -35,6 +35,18 @@ def test_differencing_of_pages_without_an_article(spark):
     assert got[9] == "Welcome to the site\n\nx\n\ny\n\nWrite to us"
 
 
+def test_copies_are_no_partners(spark):
+    frame = "<html><body><div>Welcome</div><nav>seen {} times</nav><p>{}</p><p>{}</p><div>Write to us</div></body></html>"
+    copy = [(1, "http://h/a/1?x=1"), (1, "http://h/a/1?x=1"), (2, "http://h/a/1?x=2"), (3, "http://h/a/1?x=3"), (4, "http://h/a/2")]
+    rows = [(i, u, frame.format(k, "own", "more")) for k, (i, u) in enumerate(copy)]
+    rows += [(9, "http://h/a/9", frame.format(7, "other", "text")), (20, "http://all/b/1", frame.format(0, "x", "y")),
+             (21, "http://all/b/2", frame.format(0, "x", "y"))]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), pair_rows=1000).collect()
+    texts = {(r["page_id"], r["text"]) for r in got}
+    assert len(got) == len(rows) and texts == {*((i, "own\n\nmore") for i in (1, 2, 3, 4)), (9, "other\n\ntext"),
+                                               *((i, "Welcome\n\nx\n\ny\n\nWrite to us") for i in (20, 21))}
+
+
 @pytest.mark.parametrize("a,b,size", [("abcbdab", "bdcaba", 4), ("", "a", 0), ("aaaa", "aa", 2), ("xyz", "abc", 0)])
 def test_common_lines(a, b, size):
     left, right = html.common(list(a), list(b))
