@@ -1,27 +1,33 @@
 """Main text of web pages by nearest-URL page differencing.
 
-Every page becomes a list of text lines (blocks). Pages of one host and folder are sorted by URL path, each is paired with its
+Every page becomes a list of text lines (blocks). Pages of one host are sorted by URL path, each is paired with its
 neighbours, the lines of both are aligned by longest common subsequence, and the shared lines are deleted: what
 neighbouring pages repeat in the same order is the site's frame. Copies are no neighbours: a page is paired with the nearest
 pages that differ from it. Differencing alone can't give the article: a frame may
 differ from page to page, and an article may quote a line that its neighbour also has. So lines inside an `article` or `main`
 element are never deleted, and lines inside elements that name themselves as frame (navigation, footers, notices, ...) are
 never kept. Where a page has an `article` or `main`, only its lines are text; elsewhere the differencing decides.
+
+The order of all pages is cut into ranges, a task each. A range gets the lines (as hashes) of the last page before it and of
+the first page behind it, and of the nearest pages that differ from those, so that pairs do not depend on the cuts.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
+from hashlib import blake2b
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAIR_ROWS, MOST_FOLDERS = 250, 5000
+PAIR_ROWS, MOST_RANGES, SAMPLE_PER_RANGE = 250, 5000, 20
 OUT_BYTES = 16 << 20
 FRAME, OPEN, ARTICLE = 0, 1, 2
 
@@ -118,9 +124,9 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
     return lines, kinds
 
 
-def common(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
+def common(a: list, b: list) -> tuple[set[int], set[int]]:
     """Positions in a and in b of one longest common subsequence (Hunt and Szymanski)."""
-    places: dict[str, list[int]] = defaultdict(list)
+    places: dict[object, list[int]] = defaultdict(list)
     for j, line in enumerate(b):
         places[line].append(j)
     tails: list[int] = []
@@ -142,14 +148,23 @@ def common(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     return left, right
 
 
-LINES = "page_id long, url string, host string, folder string, path string, piece int, lines array<string>, kinds array<int>"
+ORDER = ["host", "path", "url", "page_id", "digest", "copy"]
+KEYS = "host string, path string, url string, page_id long, digest long, copy long"
+LINES = f"range int, {KEYS}, lines array<string>, kinds array<int>"
 TEXT = "page_id long, url string, text string, n_lines int, n_shared int"
+EDGES = "range int, edge int, host string, decided binary, marks array<binary>"
+HEAD, AFTER_HEAD, TAIL, BEFORE_TAIL = 0, 1, 2, 3
+
+
+def place(values: Iterator) -> tuple:
+    """A row's values of ORDER as Spark sorts them: nulls first."""
+    return tuple((v is not None, v) for v in values)
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterator[pa.RecordBatch], bounds: Broadcast) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch.schema.names
-        rest = [n for n in names if n != "html"]
+        keys = [batch.column(n) for n in ORDER]
+        ranges = pa.array([bisect_right(bounds.value, place(row)) for row in zip(*(k.to_pylist() for k in keys))], pa.int32())
         first, lines, kinds, size = 0, [], [], 0
         for i, page in enumerate(batch.column("html")):
             text, kind = page_lines(page.as_py() or "")
@@ -157,75 +172,162 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds.append(kind)
             size += sum(map(len, text))
             if size >= OUT_BYTES or i + 1 == batch.num_rows:
-                part = batch.slice(first, len(lines))
+                part = slice(first, i + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in rest), pa.array(lines, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int32()))],
-                    [*rest, "lines", "kinds"])
+                    [ranges[part], *(k[part] for k in keys), pa.array(lines, pa.list_(pa.string())),
+                     pa.array(kinds, pa.list_(pa.int32()))], ["range", *ORDER, "lines", "kinds"])
                 first, lines, kinds, size = i + 1, [], [], 0
 
 
-def _decided(row: dict) -> tuple:
+def _digest(*texts: str) -> bytes:
+    return blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _decided(row: dict) -> bytes:
     """What makes two pages copies of each other: the lines that differencing decides, or all lines and their kinds where it
-    decides none. Pairing copies would delete all their lines as shared."""
+    decides none (a hash; lines hold no line feed). Pairing copies would delete all their lines as shared."""
     if ARTICLE in row["kinds"]:
-        return tuple(row["kinds"]), tuple(row["lines"])
-    return (), tuple(line for line, kind in zip(row["lines"], row["kinds"]) if kind == OPEN)
+        return _digest("article", *map(str, row["kinds"]), *row["lines"])
+    return _digest("open", *(line for line, kind in zip(row["lines"], row["kinds"]) if kind == OPEN))
+
+
+def _marked(row: dict) -> dict:
+    """Adds `free`, the numbers of the lines outside article and main, `marks`, their hashes, and `decided`."""
+    row["free"] = [i for i, kind in enumerate(row["kinds"]) if kind != ARTICLE]
+    row["marks"] = [_digest(row["lines"][i]) for i in row["free"]]
+    row["decided"] = _decided(row)
+    return row
+
+
+def _light(batches: Iterator[pa.RecordBatch], bounds: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Of each page its place, `decided` and `marks`."""
+    for batch in _lines(batches, bounds):
+        rows = [_marked(row) for row in batch.select(["lines", "kinds"]).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(n) for n in ("range", *ORDER)), pa.array([r["decided"] for r in rows], pa.binary()),
+             pa.array([r["marks"] for r in rows], pa.list_(pa.binary()))], ["range", *ORDER, "decided", "marks"])
+
 
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each range the first and the last page, and of their hosts the next page behind and before that is no copy of them."""
+    schema = pa.schema([("range", pa.int32()), ("edge", pa.int32()), ("host", pa.string()), ("decided", pa.binary()),
+                        ("marks", pa.list_(pa.binary()))])
+    last, found = None, {}
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages of a piece in runs of copies; each page is paired with the nearest page before and the nearest page behind
+    def give() -> pa.RecordBatch:
+        rows = [row | {"edge": edge} for edge, row in {**found, TAIL: last}.items() if row is not None]
+        return pa.RecordBatch.from_pylist(rows, schema)
+
+    for batch in batches:
+        for row in batch.select(["range", "host", "decided", "marks"]).to_pylist():
+            if last is None or last["range"] != row["range"]:
+                if last is not None:
+                    yield give()
+                found = {HEAD: row, AFTER_HEAD: None, BEFORE_TAIL: None}
+            elif last["host"] != row["host"]:
+                found[BEFORE_TAIL] = None
+            elif last["decided"] != row["decided"]:
+                found[BEFORE_TAIL] = last
+                if found[AFTER_HEAD] is None and row["host"] == found[HEAD]["host"]:
+                    found[AFTER_HEAD] = row
+            last = row
+    if last is not None:
+        yield give()
+
+
+def outside(edges: dict[tuple[int, int], tuple], ranges: int) -> list[tuple]:
+    """Of each range (before, behind): the (host, decided, marks) of the page next to it and of the nearest page of that
+    page's host, further away, that is no copy of it; None where there is none."""
+    sides = []
+    for order, near, second, far in ((range(ranges), TAIL, BEFORE_TAIL, HEAD), (range(ranges)[::-1], HEAD, AFTER_HEAD, TAIL)):
+        seen: tuple = (None, None)
+        side: list[tuple] = [seen] * ranges
+        for r in order:
+            side[r] = seen
+            page, other = edges.get((r, near)), edges.get((r, second))
+            if page is None:
+                continue
+            if other is None and edges[r, far][0] == page[0]:  # one host, all copies: the other page lies beyond
+                other = next((x for x in seen if x and x[0] == page[0] and x[1] != page[1]), None)
+            seen = page, other
+        sides.append(side)
+    return list(zip(*sides))
+
+
+def _difference(batches: Iterator[pa.RecordBatch], context: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Sorted pages of a range in runs of copies; each page is paired with the nearest page before and the nearest page behind
     that is no copy of it, which is the last one of the run before and the first one of the run behind."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_lines", pa.int32()),
                         ("n_shared", pa.int32())])
 
-    def emit(run: list[dict], partners: list[dict]) -> Iterator[dict]:
+    def emit(run: list[dict], partners: list[list[bytes]]) -> Iterator[dict]:
         for row in run:
-            free, shared = row["free"], set()
-            for other in partners:
-                shared |= {free[i] for i in common([row["lines"][i] for i in free], [other["lines"][i] for i in other["free"]])[0]}
+            shared: set[int] = set()
+            for marks in partners:
+                shared |= {row["free"][i] for i in common(row["marks"], marks)[0]}
             article = ARTICLE in row["kinds"]
             kept = [line for i, (line, kind) in enumerate(zip(row["lines"], row["kinds"]))
                     if kind == ARTICLE or kind == OPEN and not article and i not in shared]
             yield {"page_id": row["page_id"], "url": row["url"], "text": "\n\n".join(kept), "n_lines": len(row["lines"]),
                    "n_shared": len(shared)}
 
-    run, before = [], None
+    def beyond(row: dict, side: int) -> list[list[bytes]]:
+        """Marks of the nearest page outside the row's range with its host that is no copy of it."""
+        pages = (x for x in context.value[row["range"]][side] if x)
+        return next(([m] for host, decided, m in pages if host == row["host"] and decided != row["decided"]), [])
+
+    run: list[dict] = []
+    before: list[list[bytes]] = []
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            row["free"] = [i for i, kind in enumerate(row["kinds"]) if kind != ARTICLE]
-            row["decided"] = _decided(row)
-            near = bool(run) and all(run[-1][k] == row[k] for k in ("host", "folder", "piece"))
-            if run and not (near and run[-1]["decided"] == row["decided"]):
-                out += emit(run, [x for x in (before, row if near else None) if x])
-                before, run = run[-1] if near else None, []
+            _marked(row)
+            last = run[-1] if run else None
+            if last is None or last["range"] != row["range"]:
+                if last is not None:
+                    out += emit(run, before + beyond(last, 1))
+                before, run = beyond(row, 0), []
+            elif last["host"] != row["host"]:
+                out += emit(run, before)
+                before, run = [], []
+            elif last["decided"] != row["decided"]:
+                out += emit(run, [*before, row["marks"]])
+                before, run = [last["marks"]], []
             run.append(row)
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
     if run:
-        yield pa.RecordBatch.from_pylist(list(emit(run, [before] if before else [])), schema)
+        yield pa.RecordBatch.from_pylist(list(emit(run, before + beyond(run[-1], 1))), schema)
 
 
 def extract(pages: DataFrame, pair_rows: int = PAIR_ROWS) -> DataFrame:
     """(page_id, url, text, n_chars, n_lines, n_shared) of every row of (page_id, url, html).
 
-    Null or empty html gives the empty text; a null url is a host of its own. Hosts are cut into folders, and large folders
-    (over `pair_rows` pages and a 5000th of all) into pieces of about `pair_rows` pages by a hash of path and page_id;
-    only pages of one piece are paired, so no task holds a host. Repeated rows stay. A page without a partner loses no lines to differencing.
+    Null or empty html gives the empty text; a null url is a host of its own. Pages are sorted by host and path over all
+    folders and dealt in ranges of about `pair_rows` pages, at most MOST_RANGES; the size of the ranges changes no result.
+    Repeated rows stay. A page without another page of its host that differs loses no lines to differencing.
     """
+    spark = pages.sparkSession
     url = F.coalesce(F.col("url"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z][\w+.-]*://[^/?#]*", ""), r"[?#].*$", "")
-    folder = F.regexp_extract(path, r"^(.*/)[^/]+/?$", 1)
-    keyed = [host.alias("host"), folder.alias("folder")]
-    sizes = pages.select(*keyed).groupBy("host", "folder").count()
-    # fewer than MOST_FOLDERS folders can hold more than this share of all pages, which bounds what is broadcast
-    large = sizes.where(F.col("count") > max(pair_rows, -(-pages.count() // MOST_FOLDERS)))
-    large = F.broadcast(large.withColumn("pieces", F.ceil(F.col("count") / pair_rows)).drop("count"))
-    rows = (pages.select("page_id", "url", "html", *keyed, path.alias("path")).join(large, ["host", "folder"], "left")
-            .select("page_id", "url", "host", "folder", "path",
-                    F.pmod(F.xxhash64("path", "page_id"), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece"), "html"))
-    order = ["host", "folder", "piece", "path", "url", "page_id"]
-    return (rows.mapInArrow(_lines, LINES).repartition("host", "folder", "piece").sortWithinPartitions(*order)
-            .mapInArrow(_difference, TEXT)
+    # `copy` tells repeated rows apart, so that many of them are cut into ranges like any others
+    rows = pages.select(host.alias("host"), path.alias("path"), "url", F.col("page_id").cast("long").alias("page_id"),
+                        F.xxhash64("html").alias("digest"), F.monotonically_increasing_id().alias("copy"), "html")
+    n = pages.count()
+    ranges = max(1, min(-(-n // pair_rows), MOST_RANGES))
+    bounds: list[tuple] = []
+    if ranges > 1:
+        sample = sorted(place(r) for r in rows.select(*ORDER).sample(min(1.0, ranges * SAMPLE_PER_RANGE / n), 3).collect())
+        bounds = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
+    cuts = spark.sparkContext.broadcast(bounds)
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("range").sortWithinPartitions("range", *ORDER)
+
+    light = rows.mapInArrow(partial(_light, bounds=cuts), f"range int, {KEYS}, decided binary, marks array<binary>")
+    edges = {(r["range"], r["edge"]): (r["host"], bytes(r["decided"]), [bytes(m) for m in r["marks"]])
+             for r in dealt(light).mapInArrow(_edges, EDGES).collect()}  # four rows a range at most
+    context = spark.sparkContext.broadcast(outside(edges, len(bounds) + 1))
+    return (dealt(rows.mapInArrow(partial(_lines, bounds=cuts), LINES)).mapInArrow(partial(_difference, context=context), TEXT)
             .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared"))

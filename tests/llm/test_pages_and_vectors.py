@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -47,6 +48,33 @@ def test_copies_are_no_partners(spark):
                                                *((i, "Welcome\n\nx\n\ny\n\nWrite to us") for i in (20, 21))}
 
 
+def plain_texts(rows):
+    """Each page less what it shares, in order, with the nearest differing pages of its host on both sides."""
+    split = lambda u: ("", "") if u is None else (u.split("/")[2], u.split("?")[0].partition(u.split("/")[2])[2])
+    order = sorted(rows, key=lambda r: (split(r[1]), r[1] or "", r[0]))
+    out = []
+    for k, (i, u, lines) in enumerate(order):
+        shared = set()
+        for side in (order[:k][::-1], order[k + 1:]):
+            other = next((x[2] for x in side if split(x[1])[0] == split(u)[0] and x[2] != lines), [])
+            shared |= html.common(lines, other)[0]
+        out.append((i, "\n\n".join(x for j, x in enumerate(lines) if j not in shared)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("pair_rows", [1, 3, 1000])
+def test_pairs_cross_folders_and_ranges(spark, pair_rows):
+    rng = random.Random(5)
+    rows = [(i, f"http://h{rng.randrange(3)}/2024/{rng.randrange(12)}/{rng.randrange(30)}/p?x={i}",
+             ["Menu", *rng.choices("abcdef", k=2), "Foot"]) for i in range(50)]
+    rows += [(60 + i // 3, "http://h1/2024/5/copy", ["Menu", "c", "Foot"]) for i in range(9)]  # thrice each
+    rows += [(80 + i, None, ["Menu", f"own {i}"]) for i in range(3)] + [(90, "http://alone/x", ["Menu", "own"])]
+    pages = spark.createDataFrame([(i, u, "".join(f"<p>{x}</p>" for x in lines)) for i, u, lines in rows],
+                                  "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["text"]) for r in html.extract(pages, pair_rows=pair_rows).collect())
+    assert got == plain_texts(rows)
+
+
 @pytest.mark.parametrize("a,b,size", [("abcbdab", "bdcaba", 4), ("", "a", 0), ("aaaa", "aa", 2), ("xyz", "abc", 0)])
 def test_common_lines(a, b, size):
     left, right = html.common(list(a), list(b))
