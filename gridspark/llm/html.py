@@ -6,7 +6,8 @@ neighbouring pages repeat in the same order is the site's frame. Copies are no n
 pages that differ from it. Differencing alone can't give the article: a frame may
 differ from page to page, and an article may quote a line that its neighbour also has. So lines inside an `article` or `main`
 element are never deleted, and lines inside elements that name themselves as frame (navigation, footers, notices, ...) are
-never kept. Where a page has an `article` or `main`, only its lines are text; elsewhere the differencing decides.
+never kept. A class or id word or a form hides no element that is or holds the page's `article` or `main`.
+Where a page has an `article` or `main`, only its lines are text; elsewhere the differencing decides.
 
 The order of all pages is cut into ranges, a task each. A range gets the lines (as hashes) of the last page before it and of
 the first page behind it, and of the nearest pages that differ from those, so that pairs do not depend on the cuts.
@@ -48,31 +49,79 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
 ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.S)
-WORD = re.compile(r"[a-z]+")
+PART = re.compile(r"[a-z]+")
+#: Parts of a class name that tell of a state or a layout, not of what the element is: no-sidebar, comments-open.
+STATES = frozenset("has no not with without is hide show open closed on off enabled disabled".split())
+#: Words that count as a name's leading part only: page builders end every block's name with them.
+LEADING = frozenset("widget widgets".split())
+PAGE_PARTS = frozenset("nav header footer".split())
+TEXT_PARTS = frozenset("p h1 h2 h3".split())
+
+
+def names_frame(names: str) -> bool:
+    """Whether a class or id, or its leading or trailing part, is a word for frame."""
+    for name in names.split():
+        parts = PART.findall(name)
+        if not parts or parts[0] in STATES or parts[-1] in STATES:
+            continue
+        if parts[0] in FRAME_WORDS or parts[-1] in FRAME_WORDS - LEADING:
+            return True
+    return False
 
 
-def is_frame(name: str, attrs: str, inside_article: bool) -> bool:
-    if name in FRAMES or name == "header" and not inside_article:
-        return True
+def frame_marks(name: str, attrs: str) -> tuple[bool, bool]:
+    """(frame whatever it holds, frame unless it holds the page's article or main) by the element's name and attributes."""
+    if name in FRAMES and name != "form":
+        return True, False
     if not attrs.strip(" /\t\r\n"):
-        return False
+        return False, name == "form"
     found = {k.lower(): (v or "").strip("\"'").lower() for k, v in ATTR.findall(attrs)}
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-        return True
-    if found.get("role") in ROLES:
-        return True
-    if name in ("body", "html", "main"):
-        return False
-    return any(w in FRAME_WORDS for w in WORD.findall(found.get("class", "") + " " + found.get("id", "")))
+        return True, False
+    role = found.get("role")
+    if role in ROLES and role != "form":
+        return True, False
+    if name == "form" or role == "form":
+        return False, True
+    return False, name not in ("body", "html", "main") and names_frame(found.get("class", "") + " " + found.get("id", ""))
+
+
+class Element:
+    """An open tag. Its kind is known when the page has been read, since it depends on what the element holds."""
+    __slots__ = ("name", "hard", "soft", "above", "holds", "parts")
+
+    def __init__(self, name: str, attrs: str, above: Element | None) -> None:
+        self.name, self.above = name, above
+        self.hard, self.soft = frame_marks(name, attrs)
+        self.holds = self.parts = False
+
+
+def kinds_of(elements: list[Element]) -> dict[Element | None, int]:
+    """FRAME, OPEN or ARTICLE of each element; elements come after those that hold them. Within an article, a class or id word
+    or a form is frame even if it holds articles (readers' comments); elsewhere not if it is or holds an article or main."""
+    kinds: dict[Element | None, int] = {None: OPEN}
+    articles: set[Element | None] = set()
+    for e in elements:
+        kind = kinds[e.above]
+        inside = e.above in articles
+        if kind != FRAME:
+            if e.hard or e.name == "header" and kind != ARTICLE or e.soft and (inside or not (e.holds or e.parts)):
+                kind = FRAME
+            elif e.name in ("article", "main"):
+                kind = ARTICLE
+        kinds[e] = kind
+        if inside or e.name == "article" and kind == ARTICLE:
+            articles.add(e)
+    return kinds
 
 
 def page_lines(page: str) -> tuple[list[str], list[int]]:
     """Text lines of a page in order, each with FRAME, OPEN or ARTICLE."""
     lines: list[str] = []
-    kinds: list[int] = []
+    owners: list[Element | None] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []
-    kind = OPEN
+    stack: list[Element] = []
+    elements: list[Element] = []
 
     def flush() -> None:
         if held:
@@ -80,7 +129,7 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
             held.clear()
             if line:
                 lines.append(line)
-                kinds.append(kind)
+                owners.append(stack[-1] if stack else None)
 
     at = 0
     for token in TOKEN.finditer(page):
@@ -98,30 +147,33 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
         elif name in ("br", "td", "th"):
             held.append(" ")
         if token["close"]:
-            if any(x[0] == name for x in stack):
-                while stack.pop()[0] != name:
+            if any(x.name == name for x in stack):
+                while stack.pop().name != name:
                     pass
-                kind = stack[-1][1] if stack else OPEN
             continue
         attrs = token["attrs"]
         if name in VOID or attrs.endswith("/") and name not in BLOCKS:
             continue
         if name == "body":
             stack.clear()
-            kind = OPEN
-        while name in ("p", "li") and stack and stack[-1][0] == name:
+        while name in ("p", "li") and stack and stack[-1].name == name:
             stack.pop()
-            kind = stack[-1][1] if stack else OPEN
-        if kind != FRAME:
-            if is_frame(name, attrs, kind == ARTICLE):
-                kind = FRAME
-            elif name in ("article", "main"):
-                kind = ARTICLE
-        stack.append((name, kind))
+        element = Element(name, attrs, stack[-1] if stack else None)
+        stack.append(element)
+        elements.append(element)
+        if name in ("article", "main") and not any(x.hard or x.name == "header" for x in stack):
+            for x in stack:
+                x.holds = True
+        elif name in PAGE_PARTS or name in TEXT_PARTS:
+            # a form with parts of a page in it, or all of the body's text, wraps the page
+            for x, above in zip(stack, [None, *stack]):
+                if x.name == "form" and (name in PAGE_PARTS or above is None or above.name == "body"):
+                    x.parts = True
     if at < len(page):
         held.append(page[at:])
     flush()
-    return lines, kinds
+    kinds = kinds_of(elements)
+    return lines, [kinds[e] for e in owners]
 
 
 def common(a: list, b: list) -> tuple[set[int], set[int]]:

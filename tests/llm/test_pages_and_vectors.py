@@ -48,6 +48,19 @@ def test_copies_are_no_partners(spark):
                                                *((i, "Welcome\n\nx\n\ny\n\nWrite to us") for i in (20, 21))}
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="content has-sidebar"><article>{}</article></div>', '<body class="x"><div class="no-sidebar"><main>{}</main></div>',
+    '<div class="elementor-widget"><article>{}</article></div>', '<article class="comments-open">{}</article>',
+    '<form id="aspnetForm"><div id="page"><nav>Menu</nav><article>{}</article></div></form>',
+    '<div class="popup"><div id="comments"><main class="widget">{}</main></div></div><div class="cookie-bar">Cookies</div>',
+    '<article>{}<section class="comments-area"><article class="comment">Reader</article></section></article>',
+    '<div class="has-sidebar elementor-widget no-comments">{}</div><div id="main-sidebar">Side</div><p class="comment-list">Reader</p>',
+    '<body><form><div>{}</div></form><div class="site-footer">Foot</div>', '<div class="header-ad-top left">{}</div>'])
+def test_class_words_hide_no_article(page):
+    lines, kinds = html.page_lines(page.format("<p>One</p><p>Two</p>"))
+    assert [line for line, kind in zip(lines, kinds) if kind != html.FRAME] == ["One", "Two"]
+
+
 def plain_texts(rows):
     """Each page less what it shares, in order, with the nearest differing pages of its host on both sides."""
     split = lambda u: ("", "") if u is None else (u.split("/")[2], u.split("?")[0].partition(u.split("/")[2])[2])
