@@ -5,10 +5,10 @@ then those with the largest inner product. Lists: a bounded sample is halved aga
 of largest spread, until `list_size` rows of the whole table would fall to each part; part means are the centroids, so
 lists are of about equal size. A graph in memory joins each centroid to its nearest ones; best-first search in that graph finds
 the lists of a vector. A vector goes to its nearest list and, if it lies near a border, to further ones whose distance
-is within a ratio. A query scans the lists within a ratio of its nearest distance, at least so many and so many vectors.
+is within a ratio. A query scans the lists within a ratio of its nearest distance, at least so many and so many ids.
 
-The scan runs list by list; lists above PIECE vectors (copies of one vector, say) are cut into pieces by a hash of vec_id and a
-query visits all pieces. Scores are inner products of the vectors as given, in double precision.
+The scan runs list by list; lists above PIECE vectors (copies of one vector, say) are cut into pieces by a hash of vec_id
+and vector; a query visits all pieces. Scores are inner products of the vectors as given, in double precision.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def replicas(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
 
 
 def probes(graph: Graph, x: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Lists that each query scans: those within the ratio, at least LEAST_LISTS and LEAST_VECTORS vectors. The beam is half
+    """Lists that each query scans: those within the ratio, at least LEAST_LISTS and LEAST_VECTORS ids. The beam is half
     of all lists if that is more, since in data without clusters the true neighbours lie in a large part of the lists."""
     pool, dist = graph.search(x, max(PROBE_BEAM, len(counts) // 2))
     out = []
@@ -131,7 +131,7 @@ def probes(graph: Graph, x: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
 
 
 class Best:
-    """The k best found so far of each query, over all lists that one task scans."""
+    """The k best ids found so far of each query, over all lists that one task scans."""
 
     def __init__(self, k: int) -> None:
         self.k, self.parts, self.size = k, [], 0
@@ -143,12 +143,14 @@ class Best:
     def prune(self) -> int:
         if self.parts:
             query, ids, scores = (np.concatenate(c) for c in zip(*self.parts))
-            order = np.lexsort((ids, -scores, query))
+            # one row of each id, the best, before the cut: an id may stand in two lists, or have several vectors
+            order = np.lexsort((-scores, ids, query))
             query, ids, scores = query[order], ids[order], scores[order]
-            # a vector that stands in two lists has one score, so its rows are neighbours
             new = np.ones(len(ids), bool)
             new[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
             query, ids, scores = query[new], ids[new], scores[new]
+            order = np.lexsort((ids, -scores, query))
+            query, ids, scores = query[order], ids[order], scores[order]
             heads = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
             rank = np.arange(len(query)) - np.repeat(heads, np.diff(np.append(heads, len(query))))
             self.parts = [(query[rank < self.k], ids[rank < self.k], scores[rank < self.k])]
@@ -178,21 +180,29 @@ def _matrix(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def top(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query, ids, scores) of the k best of x for each query, its own id left out, ties to smaller ids. Equal vectors get
-    equal scores: what the matrix product finds is summed anew in one order."""
+    """(query, ids, scores) of the k best ids of x for each query, its own id left out first, ties to smaller ids; of rows with
+    one id the best counts. Equal vectors get equal scores: what the matrix product finds is summed anew in one order."""
+    by_id = np.argsort(ids, kind="stable")
+    x, ids = x[by_id], ids[by_id]
+    heads = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    names, repeated = ids[heads], len(heads) < len(ids)
     for i, (q, name) in enumerate(zip(queries, query_ids)):
         if i % 256 == 0:
             products = queries[i:i + 256] @ x.T
         score = products[i % 256]
-        if len(score) > k + 1:
-            edge = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-            near = np.flatnonzero(score >= edge - 1e-9 * (1 + abs(edge)))
+        best = np.maximum.reduceat(score, heads) if repeated else score.copy()
+        best[names == name] = -np.inf
+        if len(best) > k:
+            edge = np.partition(best, len(best) - k)[len(best) - k]
+            near = np.flatnonzero(score >= edge - 1e-9 * (1 + abs(edge))) if np.isfinite(edge) else np.arange(len(score))
         else:
             near = np.arange(len(score))
         near = near[ids[near] != name]
         exact = (x[near] * q).sum(axis=1)
-        order = np.lexsort((ids[near], -exact))[:k]
-        yield name, ids[near][order], exact[order]
+        order = np.lexsort((ids[near], -exact))
+        if repeated:  # the best row of each id
+            order = order[np.sort(np.unique(ids[near][order], return_index=True)[1])]
+        yield name, ids[near][order[:k]], exact[order[:k]]
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIST_SIZE, fit_rows: int = FIT_ROWS,
@@ -218,7 +228,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at)), pa.array((x ** 2).sum(axis=1)),
                                               pa.array([v.tobytes() for v in x], pa.binary())], ["vec_id", "square", "vector"])
 
-    usable = materialize(rows.mapInArrow(measured, "vec_id long, square double, vector binary"), "vectors")
+    # rows repeated as a whole are one candidate
+    usable = materialize(rows.mapInArrow(measured, "vec_id long, square double, vector binary").dropDuplicates(["vec_id", "vector"]),
+                         "vectors")
     n, most = usable.agg(F.count("*"), F.max("square")).first()
     if not n:
         return spark.createDataFrame([], schema)
@@ -241,10 +253,11 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
                  batch.column("vector").take(pa.array(row))], ["list", "vec_id", "vector"])
 
     posted = materialize(usable.select("vec_id", "vector").mapInArrow(dealt, "list int, vec_id long, vector binary"), "lists")
-    counts = np.zeros(lists, np.int64)
-    for r in posted.groupBy("list").count().collect():  # one row a list
-        counts[r["list"]] = r["count"]
-    pieces = np.maximum(1, -(-counts // piece))
+    counts, sizes = np.zeros(lists, np.int64), np.zeros(lists, np.int64)
+    for r in posted.groupBy("list", "vec_id").count().groupBy("list").agg(
+            F.count("*").alias("ids"), F.sum("count").alias("rows")).collect():  # one row a list
+        counts[r["list"]], sizes[r["list"]] = r["ids"], r["rows"]
+    pieces = np.maximum(1, -(-sizes // piece))
     held = spark.sparkContext.broadcast((counts, pieces))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +282,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
     # lists of over `piece` vectors are few (their number is bounded by the number of lists): literals, no join
     large = F.create_map(*[F.lit(int(v)) for i in np.flatnonzero(pieces > 1) for v in (i, pieces[i])]) if (pieces > 1).any() else None
     cut = F.lit(1) if large is None else F.coalesce(large[F.col("list")], F.lit(1))
-    posts = posted.select("list", F.pmod(F.xxhash64("vec_id"), cut).cast("int").alias("piece"), F.lit(False).alias("query"),
+    posts = posted.select("list", F.pmod(F.xxhash64("vec_id", "vector"), cut).cast("int").alias("piece"), F.lit(False).alias("query"),
                           "vec_id", "vector")
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

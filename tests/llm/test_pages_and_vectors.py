@@ -157,6 +157,31 @@ def test_search_odd_rows(spark):
     assert neighbours.search(table.where("vec_id in (20, 21)"), k=5).count() == 1
 
 
+def test_repeated_rows_take_one_place(spark):
+    rng = np.random.default_rng(2)
+    plain = [(i, rng.normal(size=8).tolist()) for i in range(60)]
+    rows = plain + plain[20:21] * 30 + [(7, (9 * np.array(plain[0][1])).tolist())] * 40  # the query's own row and a near one
+    rows += [(11, (np.array(plain[40][1]) + rng.normal(size=8) / 10).tolist()) for _ in range(50)]  # one id, many vectors
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {}
+    for q, v in plain[::20]:
+        best = {}
+        for j, w in rows:
+            if j != q:
+                best[j] = max(best.get(j, -np.inf), float((np.array(v) * np.array(w)).sum()))
+        want[q] = [j for _, j in sorted((-s, j) for j, s in best.items())[:5]]
+    got = {}
+    for r in neighbours.search(table, k=5, piece=7).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == want
+    x, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    assert [found.tolist() for _, found, _ in neighbours.top(x, ids, x[:60:20], ids[:60:20], 5)] == list(want.values())
+    best = neighbours.Best(2)
+    best.add(1, np.array([5, 5, 5, 6]), np.array([.9, .8, .7, .6]))
+    best.prune()
+    assert best.give().column("vec_id").to_pylist() == [5, 6]
+
+
 def test_recall(spark):
     table = parquet(spark, "/root/testdata/sf0.1", "embeddings")
     found = neighbours.search(table).toPandas()
