@@ -16,8 +16,8 @@ PATTERN = public_tokenizers.PATTERN
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model, _ = toxicity.fit_on(docs, parquet(spark, sf_dir, "labels"))
-    return toxicity.drop_toxic(docs, model)
+    model, thresholds = toxicity.fit_on(docs, parquet(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, model, thresholds=thresholds)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

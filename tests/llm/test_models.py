@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridspark.llm import quality, toxicity
@@ -68,6 +69,36 @@ def test_a_long_text_scores_like_its_words(spark):
     assert toxicity.scores(model, pa.array(["", None]))[0] == toxicity.scores(model, pa.array(["", None]))[1]
 
 
+def test_thresholds_come_from_rows_left_out_of_the_fit_and_decide(spark, make_docs, monkeypatch):
+    seen = []
+
+    class Half:
+        """A model that knows the toxic texts but scores them low."""
+        def score(self, ids, first):
+            return np.array([0.2 if b - a == 3 + toxicity.PADS else 0.1 for a, b in zip(first, first[1:])])
+
+    monkeypatch.setattr(toxicity, "fit", lambda texts, **options: seen.append(len(texts)) or Half())
+    docs = make_docs([(i, "three short words" if i % 2 else "two words") for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    fitted = docs.where(~toxicity.held_out() & ~toxicity.calibrates()).count()
+    model, cuts = toxicity.fit_on(docs, labels)
+    assert seen == [fitted] and fitted < docs.where(~toxicity.held_out()).count() and math.isclose(cuts["en"], 0.15)
+    assert toxicity.fit_on(docs, labels, max_bytes=300)[0] and seen[1] < seen[0]
+    assert toxicity.cuts_by_language(["a"] * 6 + ["b"], np.array([.1, .1, .1, .2, .2, .2, .2]), np.array([0, 0, 0, 1, 1, 1, 1]))["b"] < 0.2
+
+
+def test_drop_by_the_threshold_of_the_language(spark, make_docs, monkeypatch):
+    model = toxicity.fit([(toxicity.word_ids(*toxicity.utf8(pa.array([t])))[0], y)
+                          for t, y in [("bad bad word", 1), ("fine good word", 0)] * 4], least_steps=50)
+    texts = ["bad bad word", "fine good word", "bad fine word"]
+    docs = make_docs(list(enumerate(texts)))
+    scores = toxicity.scores(model, pa.array(texts))
+    assert scores[1] < scores[0]
+    low, high = (docs.transform(toxicity.drop_toxic, model, thresholds={"en": t}) for t in (scores[1], 1.0))
+    assert low.count() == 0 and high.count() == 3
+    assert docs.transform(toxicity.drop_toxic, model, thresholds={"de": 0.0}).count() == int((scores < toxicity.CUT).sum())
+
+
 def test_best_cut():
     assert toxicity.best_cut(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0])) == 0.5
     assert toxicity.best_cut(np.array([0.9]), np.array([1])) == toxicity.CUT
