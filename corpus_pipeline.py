@@ -1,5 +1,5 @@
 """From raw documents to token ids: toxic texts go, one of each group of near copies stays, long repeats are cut out, benchmark
-leaks go, and what remains is encoded. Each stage is written as Parquet and read again as the next one's documents."""
+leaks go, and what remains is encoded, decoded again and compared with the text. Each stage is written as Parquet and read again as the next one's documents."""
 
 from __future__ import annotations
 
@@ -33,8 +33,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return (bpe.encode(docs, RANKS, PATTERN, keep=("doc_id", "lang", "source"))
-            .select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids"))
+    given = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("text_sha256")
+    decoded = F.sha2(F.col("decoded"), 256)
+    return (bpe.round_trip(docs.select("doc_id", "lang", "source", "text", given), RANKS, PATTERN,
+                           keep=("doc_id", "lang", "source", "text_sha256"))
+            .select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
+                    decoded.alias("decoded_sha256"), (decoded == F.col("text_sha256")).alias("round_trips")))
 
 
 STAGES = [("toxicity", drop_toxic), ("n-gram Jaccard join", drop_near_copies), ("suffix-array dedup", cut_repeats),

@@ -113,11 +113,12 @@ def _round_trip(batches: Iterator[pa.RecordBatch], rank_file: str, pattern: str,
     yield from _decode(_encode(batches, rank_file, pattern, piece), rank_file, pattern)
 
 
-def round_trip(docs: DataFrame, rank_file: str, pattern: str, piece: int = PIECE) -> DataFrame:
-    """(doc_id, token_ids, decoded): `encode`, then `decode`, in one Python worker instead of two."""
-    rows = docs.select("doc_id", F.col("text").alias("_text"))
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, piece: int = PIECE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(`keep` columns, token_ids, decoded): `encode`, then `decode`, in one Python worker instead of two."""
+    rows = docs.select(*keep, F.col("text").alias("_text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(partial(_round_trip, rank_file=rank_file, pattern=pattern, piece=piece),
-                           f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, token_ids array<int>, decoded binary")
+                           f"{kinds}, token_ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:

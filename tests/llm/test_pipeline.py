@@ -1,8 +1,11 @@
 """The pipeline keeps clean documents and drops planted ones; its queries are registered."""
 
+import hashlib
+
 import corpus_pipeline
+from pyspark.sql import functions as F
 
-from gridspark.llm import decontaminate, jaccard
+from gridspark.llm import bpe, decontaminate, jaccard
 from gridspark.llm._text import parquet
 from gridspark.llm.queries import QUERIES
 
@@ -17,6 +20,17 @@ def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and len(corpus_pipeline.STAGES) == 5
 
 
+def test_last_stage_decodes(spark, make_docs, monkeypatch):
+    texts = ["one text", "é 水 \x00 x", "", None]
+    docs = make_docs(list(enumerate(texts)))
+    got = {r["doc_id"]: r for r in corpus_pipeline.encode(spark, docs, SF).collect()}
+    for i, text in enumerate(texts):
+        assert got[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest() and got[i]["round_trips"]
+    trip = bpe.round_trip
+    monkeypatch.setattr(bpe, "round_trip", lambda *a, **b: trip(*a, **b).withColumn("decoded", F.lit(b"other")))
+    assert not any(r["round_trips"] for r in corpus_pipeline.encode(spark, docs, SF).collect())
+
+
 def test_stages(spark):
     docs = parquet(spark, SF, "documents")
     kept = docs
