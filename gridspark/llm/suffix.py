@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import BLOCK, BYTE_VALUES, U64, mix, powers, row_slices, utf8
+from gridspark.llm._text import BASE, BLOCK, BYTE_VALUES, U64, mix, powers, row_slices, utf8
 from gridspark.session import materialize
 
 LENGTH, SEED = 100, 24
@@ -163,6 +163,14 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[part[0]]), part
 
 
+def scattered(rows: np.ndarray, many: np.uint64) -> np.ndarray:
+    """Buckets of settled rows, which need no other: by document and place, so that copies of one text fall into all."""
+    h = mix(rows["doc"].view(U64) + U64(BASE))
+    for name in ("tie", "start"):
+        h = mix(h ^ rows[name].view(U64))
+    return h % many
+
+
 def _blobs(groups: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """One blob for each kind and bucket of (kind, bucket of each row, rows)."""
     out: tuple[list, list, list] = ([], [], [])
@@ -204,7 +212,7 @@ def _index(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iter
         surplus = np.arange(len(entries)) - first_of(new) >= KEY_RUNS
         main, more = entries[~surplus], entries[surplus]
         many = U64(buckets)
-        yield _blobs([(0, main["key"] % many, main), (1, rest["start"].view(U64) % many, rest),
+        yield _blobs([(0, main["key"] % many, main), (1, scattered(rest, many), rest),
                       (2, (more["key"] ^ more["body"]) % many, more)])
 
 
@@ -337,7 +345,7 @@ def _gather(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: n
             out[2].append(len(head).to_bytes(8, "little") + head
                           + data[spread(first[rows], sent["size"][rows] + length - 1)].tobytes())
         repeats = parts[known]
-        for b, rows in _by_bucket((repeats["start"].view(U64) % many).astype(np.int64)):
+        for b, rows in _by_bucket(scattered(repeats, many).astype(np.int64)):
             out[0].append(b)
             out[1].append(1)
             out[2].append(pack(repeats[rows]))

@@ -86,6 +86,19 @@ def test_cut_texts(spark, make_docs, hard_rows):
     assert suffix.remove_repeats(make_docs([])).count() == 0 and suffix.report(make_docs([])).count() == 0
 
 
+def test_settled_rows_of_one_text_fall_into_all_buckets():
+    rows = np.zeros(2000, suffix.PART)
+    rows["doc"], rows["start"] = np.arange(2000), 7
+    assert np.bincount(suffix.scattered(rows, np.uint64(20)).astype(int), minlength=20).min() > 50
+    import pyarrow as pa
+
+    notice = "".join(chr(97 + i % 26) + str(i) for i in range(40))
+    batch = pa.RecordBatch.from_pydict({"doc": np.arange(500), "tie": np.zeros(500, np.int64), "text": [notice] * 500})
+    rest = [(b, len(suffix.unpack(blob, suffix.RUN))) for out in suffix._index([batch], 100, 20)
+            for b, kind, blob in zip(*(out.column(n).to_pylist() for n in ("bucket", "kind", "blob"))) if kind == 1]
+    assert len(rest) == 20 and max(n for _, n in rest) < 3 * sum(n for _, n in rest) / 20
+
+
 def test_family_merges_geometrically():
     family, rng = suffix.Family(), np.random.default_rng(0)
     for _ in range(64):
