@@ -1,4 +1,4 @@
-"""Exact removal of long repeated byte strings with a logarithmic family of sparse suffix arrays.
+"""Exact removal of long repeated byte strings with a logarithmic family of hashed anchor indexes.
 
 A byte goes if a string of `length` bytes covers it that also starts earlier (smaller doc_id, or earlier in the same text).
 
@@ -7,8 +7,8 @@ hash among all that fit in the window (leftmost on ties). Equal windows choose t
 windows that repeat always meet under one key, a hash of those SEED bytes. A run is a row of neighbouring windows with one
 suffix; its body is the bytes of all its windows, known here by a 64-bit hash.
 
-**Index family.** Every batch of some megabytes of text yields the sampled suffixes of its runs sorted by key: the suffix array of a new
-batch, cut by key into buckets. In a bucket's task it is merge-scanned against the existing levels for suffixes that
+**Index family.** Every batch of some megabytes of text yields the sampled suffixes of its runs sorted by key (a hash, so not in the
+order of their text: this replaces the suffix array of a new batch), cut by key into buckets. In a bucket's task it is merge-scanned against the existing levels for suffixes that
 share their first SEED bytes; then it becomes the lowest level, and levels of about equal size are merged, so that a
 suffix is merged a logarithmic number of times. Runs that met no other leave here: most of the corpus.
 
