@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, quality, sharding, suffix, toxicity
+from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, quality, sharding, suffix, toxicity, whitening
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op7_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(parquet(spark, sf, "documents"), parquet(spark, sf, "labels"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(parquet(spark, sf, "embeddings"), most=32)
