@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, quality, sharding, suffix, toxicity, whitening
+from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, packing, quality, sharding, suffix, toxicity, whitening
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
@@ -80,3 +81,8 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query("op11_whitening")
 def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whiten(parquet(spark, sf, "embeddings"), most=32)
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(parquet(spark, sf, "documents"), WORD_TOKENIZER, end=1, capacity=4096)
