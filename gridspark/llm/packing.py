@@ -30,7 +30,7 @@ from gridspark.session import materialize
 CAPACITY = 4096
 TRIALS = ((96, 8), (256, 4), (256, 3), (512, 2))    # (groups, small lengths go up to this part of the capacity)
 SLICE = 2 << 20           # bytes of text encoded at a time
-WORDS = 1 << 17           # words remembered by a worker
+WORDS = 1 << 19           # words remembered by a worker, some 100 MB
 EPS = 1e-9
 
 
@@ -44,43 +44,63 @@ def tokenizer(path: str):
     return loaded
 
 
-def word_ids(path: str, words: list[str], known: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """Ids of single words, remembered in `known`."""
-    missing = [w for w in words if w not in known]
-    if len(known) + len(missing) > WORDS:
-        known.clear()
-        missing = words
-    for at in range(0, len(missing), 4096):
-        part = missing[at:at + 4096]
-        for word, got in zip(part, tokenizer(path).encode_batch(part, add_special_tokens=False)):
-            known[word] = np.array(got.ids, np.uint32)
-    return [known[w] for w in words]
+class Words:
+    """Ids of single words, remembered in flat arrays; forgets all of them beyond WORDS."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.begins = self.sizes = np.empty(0, np.int64)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Places of the words in `begins` and `sizes`."""
+        words = [w.lower() if w.isascii() else w for w in words]     # in other words marks may join letters before lower case
+        if len(self.number) > WORDS:
+            self.forget()
+        missing = list({w for w in words if w not in self.number})
+        parts, sizes = [self.flat], []
+        for at in range(0, len(missing), 4096):
+            got = [e.ids for e in tokenizer(self.path).encode_batch_fast(missing[at:at + 4096], add_special_tokens=False)]
+            sizes += map(len, got)
+            parts.append(np.fromiter((i for ids in got for i in ids), np.uint32))
+        self.number.update(zip(missing, range(len(self.number), len(self.number) + len(missing))))
+        sizes = np.array(sizes, np.int64)
+        self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate(parts)
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
-def encode(texts: pa.Array, path: str, end: int, known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def remembered(path: str) -> Words:
+    """The words of this worker, kept over its tasks."""
+    return Words(path)
+
+
+def encode(texts: pa.Array, end: int, known: Words) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets of the texts); each text's ids are followed by `end`.
 
-    The tokenizer's pattern never reaches across white space and drops it, so a text's ids are those of its words: only
-    different words are encoded.
+    The tokenizer's pattern never reaches across white space and drops it, and letters before a sign are a match of their
+    own, so a text's ids are those of its words and signs: only different ones are encoded.
     """
-    split = pc.ascii_split_whitespace(texts)
+    split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, "([a-zA-Z])([.,;:!?])", r"\1 \2"))
     flat = split.flatten().dictionary_encode()
-    ids = word_ids(path, flat.dictionary.to_pylist(), known)
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    table = np.concatenate([*ids, np.empty(0, np.uint32)])
-    begins = np.cumsum(sizes) - sizes
-    which = flat.indices.to_numpy()
-    runs = sizes[which]
+    which = known.numbers(flat.dictionary.to_pylist())[flat.indices.to_numpy()]
+    runs = known.sizes[which]
     ends = np.cumsum(runs)
     total = int(ends[-1]) if len(ends) else 0
-    source = np.repeat(begins[which] - (ends - runs), runs) + np.arange(total)
+    source = np.repeat(known.begins[which] - (ends - runs), runs) + np.arange(total)
     first = np.cumsum(np.r_[0, split.value_lengths().to_numpy(zero_copy_only=False)])
     per_text = np.diff(np.r_[0, ends][first])
     offsets = np.cumsum(np.r_[0, per_text + 1])
     out = np.full(offsets[-1], end, np.uint32)
     keep = np.ones(len(out), bool)
     keep[offsets[1:] - 1] = False
-    out[keep] = table[source]
+    out[keep] = known.flat[source]
     return out, offsets
 
 
@@ -88,13 +108,13 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: in
     """Pieces of every text; `place` counts those of the same length in this task, `part` is the task."""
     part = TaskContext.get().partitionId()
     met = [0] * (capacity + 1)
-    known: dict[str, np.ndarray] = {}
+    known = remembered(path)
     for batch in batches:
         data, offsets = utf8(batch.column("_text"))
         for lo, hi in row_slices(offsets, SLICE):
             texts = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(offsets[lo:hi + 1] - offsets[lo]),
                                                      pa.py_buffer(data[offsets[lo]:offsets[hi]]))
-            tokens, at = encode(texts, path, end, known)
+            tokens, at = encode(texts, end, known)
             rows = []
             for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist()), lo):
                 for piece, start in enumerate(range(a, b, capacity)):

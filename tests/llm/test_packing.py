@@ -105,7 +105,7 @@ def test_plan_does_not_grow():
     counts = {n: 1 + n % 7 for n in range(1, 4097)}
     few, many = packing.plan(counts, 4096, 64, 4), packing.plan({n: c * 10 ** 9 for n, c in counts.items()}, 4096, 64, 4)
     assert len(many.rows) < 3 * len(few.rows) and many.sequences <= few.sequences * 10 ** 9
-    assert sum(n * c for n, c in counts.items()) * 10 ** 9 > 0.99 * 4096 * many.sequences
+    assert sum(n * c for n, c in counts.items()) * 10 ** 9 > 0.97 * 4096 * many.sequences
 
 
 def test_configurations_reach_the_bound():
@@ -131,9 +131,9 @@ def test_words_give_the_ids_of_the_text(monkeypatch):
     monkeypatch.setattr(packing, "WORDS", 50)
     rng = random.Random(3)
     bits = ["don't", "It's", "we'LL", "12ab", "…", "é", "é", "́", "ß", "İ", "Σ", "日本", "a.b,c", "'", "''s", " ", "x y", "\x85",
-            "<|endoftext|>", "\x1c", "\x00", "️", "👍🏽", "ﬁ", "Ǆ", "'s", "-", "_", " ", "\n", "\t", "\r\n", "\x0b", "\x0c", "w" * 300]
+            "<|endoftext|>", "\x1c", "\x00", "️", "👍🏽", "ﬁ", "Ǆ", "'s", "H\u0331", "h\u0331.", "a.\u0301", "I\u0307", "Ab!?", "A'S.", "-", "_", " ", "\n", "\t", "\r\n", "\x0b", "\x0c", "w" * 300]
     texts = ["".join(rng.choice(bits) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randrange(40))) for _ in range(300)]
-    ids, at = packing.encode(pa.array(texts, pa.large_string()), PATH, 1, {})
+    ids, at = packing.encode(pa.array(texts, pa.large_string()), 1, packing.Words(PATH))
     for i, text in enumerate(texts):
         assert ids[at[i]:at[i + 1]].tolist() == plain_ids(text), repr(text)
 
