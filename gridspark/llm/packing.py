@@ -16,6 +16,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from gridspark.session import materialize
 
 CAPACITY = 4096
 TRIALS = ((96, 8), (256, 4), (256, 3), (512, 2))    # (groups, small lengths go up to this part of the capacity)
-SLICE = 2 << 20           # bytes of text encoded at a time
+SLICE = 8 << 20           # bytes of text encoded at a time
 WORDS = 1 << 19           # words remembered by a worker, some 100 MB
+TOGETHER = 256            # words encoded at once
 EPS = 1e-9
 
 
@@ -44,6 +46,15 @@ def tokenizer(path: str):
     return loaded
 
 
+@lru_cache(maxsize=2)
+def word_ends(path: str) -> np.ndarray:
+    """Whether an id ends a match of the tokenizer's pattern."""
+    vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return out
+
+
 class Words:
     """Ids of single words, remembered in flat arrays; forgets all of them beyond WORDS."""
 
@@ -61,12 +72,21 @@ class Words:
         words = [w.lower() if w.isascii() else w for w in words]     # in other words marks may join letters before lower case
         if len(self.number) > WORDS:
             self.forget()
-        missing = list({w for w in words if w not in self.number})
+        missing = list(set(words).difference(self.number))
+        plain = [w.isalpha() for w in missing]
+        missing = [*compress(missing, plain), *(w for w, p in zip(missing, plain) if not p)]
         parts, sizes = [self.flat], []
-        for at in range(0, len(missing), 4096):
-            got = [e.ids for e in tokenizer(self.path).encode_batch_fast(missing[at:at + 4096], add_special_tokens=False)]
-            sizes += map(len, got)
-            parts.append(np.fromiter((i for ids in got for i in ids), np.uint32))
+        for at in range(0, len(missing), TOGETHER):
+            some = missing[at:at + TOGETHER]
+            ids = np.array(tokenizer(self.path).encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            lasts = np.flatnonzero(word_ends(self.path)[ids])
+            if len(lasts) == len(some):                               # every word is one match
+                sizes += np.diff(np.r_[-1, lasts]).tolist()
+                parts.append(ids)
+                continue
+            for e in tokenizer(self.path).encode_batch_fast(some, add_special_tokens=False):
+                sizes.append(len(e.ids))
+                parts.append(np.array(e.ids, np.uint32))
         self.number.update(zip(missing, range(len(self.number), len(self.number) + len(missing))))
         sizes = np.array(sizes, np.int64)
         self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
@@ -87,6 +107,7 @@ def encode(texts: pa.Array, end: int, known: Words) -> tuple[np.ndarray, np.ndar
     The tokenizer's pattern never reaches across white space and drops it, and letters before a sign are a match of their
     own, so a text's ids are those of its words and signs: only different ones are encoded.
     """
+    texts = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts)
     split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, "([a-zA-Z])([.,;:!?])", r"\1 \2"))
     flat = split.flatten().dictionary_encode()
     which = known.numbers(flat.dictionary.to_pylist())[flat.indices.to_numpy()]
