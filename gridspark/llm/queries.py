@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, packing, quality, sharding, suffix, toxicity, whitening
+from gridspark.llm import archive, bpe, decontaminate, html, jaccard, neighbours, packing, phrases, quality, sharding, suffix, toxicity, whitening
 from gridspark.llm._text import parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_packing")
 def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(parquet(spark, sf, "documents"), WORD_TOKENIZER, end=1, capacity=4096)
+
+
+@query("op13_collocations")
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine(parquet(spark, sf, "documents"), least=100, top=2000)

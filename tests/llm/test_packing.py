@@ -16,10 +16,12 @@ from gridspark.llm import packing
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
+WHOLE = Tokenizer.from_file(PATH)
+WHOLE.encode_special_tokens = True
+
+
 def plain_ids(text):
-    whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
-    return [*whole.encode(text or "", add_special_tokens=False).ids, 1]
+    return [*WHOLE.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def slots(made):
