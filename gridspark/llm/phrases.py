@@ -28,7 +28,7 @@ from gridspark.llm._text import BASE, U64, mix, row_slices, utf8
 from gridspark.session import materialize
 
 LONGEST = 5
-SHARD = 16 << 20                  # bytes of text a transducer is built from
+SHARD = 6 << 20                   # bytes of text a transducer is built from
 RANGE = 8 << 20                   # bytes of text a range stands for
 MOST_RANGES = 200_000
 SAMPLED = 16                      # n-grams sampled for each range
@@ -260,8 +260,10 @@ class Shard:
         piece = np.cumsum(BREAK[data] | edge[:-1], dtype=np.int32)[begin]
         self.glued = np.zeros(len(begin), bool)
         self.glued[1:] = piece[1:] == piece[:-1]
-        run = np.cumsum(solid, dtype=np.int64)
-        starts = np.r_[run[begin] - 1, run[-1] if len(run) else 0].astype(np.int64)
+        end = solid.copy()
+        end[:-1] &= ~solid[1:] | edge[1:-1]
+        starts = np.zeros(len(begin) + 1, np.int64)
+        np.cumsum(np.flatnonzero(end) + 1 - begin, out=starts[1:])
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(starts), pa.py_buffer(data[solid])])
         coded = column.dictionary_encode()
         self.words = coded.dictionary.cast(pa.binary())
