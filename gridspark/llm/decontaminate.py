@@ -28,6 +28,9 @@ RATE, MOST_Q = 0.1, 8
 BLOCK_BYTES = 16 << 20
 SLICE = 1 << 20
 ALIGN_CELLS = 4 << 20
+CHUNK = 1 << 21           # (text place, item place) pairs written out at once
+HEAVY = 1 << 23           # pairs of one item and one slice of text beyond which equal grams are taken together
+MERGE = 1 << 22
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LOWER[ASCII_SPACE] = 32
@@ -100,15 +103,9 @@ class Index:
             row = np.searchsorted(starts, at, "right") - 1
             inside = at - starts[row] + q <= sizes[row]
             at, k, row = at[inside], k[inside], row[inside]
-            counts = first[k + 1] - first[k]
-            ends = np.cumsum(counts)
-            listed = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[k] - (ends - counts), counts)
-            item = owners[listed]
-            # rows lie a gap apart, so that no cell holds diagonals of two rows
-            diagonal = np.repeat(at + (row + 1) * gap, counts) - places[listed]
-            width = self.edits[item] + 1
             span = len(x) + (len(starts) + 2) * gap
-            key, tally = np.unique(item * span + diagonal // width, return_counts=True)
+            # rows lie a gap apart, so that no cell holds diagonals of two rows
+            key, tally = self.tallied(at + (row + 1) * gap, k, first, owners, places, span)
             nearby = np.append(np.where(np.diff(key) == 1, tally[1:], 0), 0)
             item = key // span
             good = tally + nearby >= self.bound[item]
@@ -122,6 +119,73 @@ class Index:
             found.append((row, item, lowest - virtual[row]))
         return tuple(np.concatenate(c) for c in zip(*found))
 
+    def tallied(self, at: np.ndarray, k: np.ndarray, first: np.ndarray, owners: np.ndarray, places: np.ndarray,
+                span: int) -> tuple[np.ndarray, np.ndarray]:
+        """(item * span + cell, shared grams) of all cells met; a cell holds the diagonals of one band's width.
+
+        Pairs of a text place and an item place are written out CHUNK at a time. An item with more than HEAVY pairs (a text and
+        an item that repeat the same grams) takes equal grams of a band's width of text at once and counts them to both
+        cells they may fall into: more cells reach the bound then, none fewer, and the alignment decides.
+        """
+        kept = Tally()
+        hits = np.bincount(k, minlength=len(first) - 1)
+        load = np.bincount(owners, weights=np.repeat(hits, np.diff(first)), minlength=len(self.sizes))
+        heavy = load > HEAVY
+        light = ~heavy[owners]
+        begin = np.r_[0, np.cumsum(light)][first]
+        item, place, width = owners[light], places[light], self.edits + 1
+        for some, listed in written_out(begin[k], begin[k + 1]):
+            mine = item[listed]
+            kept.add(mine * span + (at[some] - place[listed]) // width[mine], None)
+        for one in np.flatnonzero(heavy).tolist():
+            mine = owners == one
+            begin, place, w = np.r_[0, np.cumsum(mine)][first], places[mine], int(width[one])
+            met = begin[k + 1] > begin[k]
+            block, many = np.unique(at[met] // w * len(first) + k[met], return_counts=True)
+            gram, low = block % len(first), block // len(first) * w
+            for some, listed in written_out(begin[gram], begin[gram + 1]):
+                diagonal = low[some] - place[listed]
+                cell = one * span + diagonal // w
+                split = diagonal % w > 0
+                kept.add(np.r_[cell, cell[split] + 1], np.r_[many[some], many[some][split]])
+        return kept.total()
+
+
+class Tally:
+    """Sums by key, merged whenever MERGE entries wait."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts, self.waiting = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None) -> None:
+        found, inverse = np.unique(keys, return_inverse=True)
+        self.keys.append(found)
+        self.counts.append(np.bincount(inverse, weights=counts, minlength=len(found)).astype(np.int64))
+        self.waiting += len(found)
+        if self.waiting > MERGE:
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.keys) > 1:
+            found, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
+            self.counts = [np.bincount(inverse, weights=np.concatenate(self.counts), minlength=len(found)).astype(np.int64)]
+            self.keys, self.waiting = [found], 0
+        return self.keys[0], self.counts[0]
+
+
+def written_out(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of the range, member) of all members of the ranges low .. high, CHUNK or one range at a time."""
+    counts = high - low
+    ends = np.cumsum(counts)
+    at = 0
+    while at < len(counts):
+        done = ends[at] - counts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+        part = counts[at:stop]
+        which = np.repeat(np.arange(at, stop), part)
+        yield which, np.arange(len(which)) + np.repeat(low[at:stop] - (ends[at:stop] - part - done), part)
+        at = stop
+
 
 def align(items: list[np.ndarray], regions: np.ndarray, lowest_free: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(fewest edits, end in the region) of each item against its row of `regions`, which is as wide as the longest item plus
@@ -166,11 +230,15 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[i
     at = 0
     while at < len(row):
         # items of about one length together, within a bounded number of cells
-        k = index.edits[item[at:]]
+        k = index.edits[item[at:at + 4096]]
         cells = np.maximum.accumulate(4 * (k + 1)) * np.arange(1, len(k) + 1)
         n = max(1, int(np.searchsorted(cells, max(1, ALIGN_CELLS // max(1, int(index.sizes[item[at]]))))))
-        part = slice(at, at + n)
+        part = np.arange(at, min(at + n, len(row)))
         at += n
+        # a match without an edit is the best of its pair: bands further on bring nothing better
+        part = part[[best.get(pair, (1,))[0] > 0 for pair in zip(row[part].tolist(), item[part].tolist())]]
+        if not len(part):
+            continue
         r, i = row[part], item[part]
         width = int(4 * (index.edits[i].max() + 1)) + int(index.sizes[i].max())
         lo = starts[r] + lowest[part] - index.edits[i]

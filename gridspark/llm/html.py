@@ -18,11 +18,12 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 PAIR_ROWS, MOST_RANGES, SAMPLE_PER_RANGE = 250, 5000, 20
 OUT_BYTES = 16 << 20
+MOST_PAIRS = 1 << 16        # pairs of equal lines aligned one by one
 FRAME, OPEN, ARTICLE = 0, 1, 2
 
 #: Fixed names of HTML elements and of the roles and class words by which pages mark what is not the article.
@@ -45,9 +47,10 @@ FRAME_WORDS = frozenset("""ad ads advert adverts advertisement advertising spons
     overlay comment comments disqus replies respond share sharing social related recommended recommendations newsletter
     subscribe subscription signup login search widget widgets toolbar masthead pagination pager copyright""".split())
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+OPENER = re.compile(rf"(?:{RAW})(?=[\s/>])", re.I)
+CLOSERS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
+SIGN = re.compile("[>\"']")
 ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.S)
 PART = re.compile(r"[a-z]+")
 #: Parts of a class name that tell of a state or a layout, not of what the element is: no-sidebar, comments-open.
@@ -115,12 +118,123 @@ def kinds_of(elements: list[Element]) -> dict[Element | None, int]:
     return kinds
 
 
+class Tags:
+    """Tokens of a page in one pass: (start, end, name, closes, attributes, text). Whatever is not closed is not looked for
+    twice, so a page of n characters takes about n steps however malformed it is. A `<` that starts no tag is text."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last = page, page.rfind(">")
+        self.open_quotes: set[int] = set()                            # quotes after which no tag ends
+        self.name: tuple[int, int] = (0, 0)
+
+    def tag_end(self, at: int) -> int:
+        """Behind the first > outside quotes from `at` on, or -1."""
+        passed = []
+        while at <= self.last:
+            sign = SIGN.search(self.page, at)
+            if sign is None:
+                break
+            if sign[0] == ">":
+                return sign.end()
+            if sign.start() in self.open_quotes:
+                break
+            passed.append(sign.start())
+            close = self.page.find(sign[0], sign.end())
+            if close < 0:
+                break
+            at = close + 1
+        self.open_quotes.update(passed)
+        return -1
+
+    def name_end(self, at: int) -> int:
+        """End of the name that starts at `at`, or -1."""
+        if not ("a" <= self.page[at:at + 1].lower() <= "z" and self.page[at].isascii()):
+            return -1
+        if not self.name[0] <= at < self.name[1]:
+            self.name = at, NAME.match(self.page, at).end()
+        return self.name[1]
+
+    def __iter__(self) -> Iterator[tuple[int, int, str | None, bool, str, str]]:
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                at = len(page) if end < 0 else end + 3
+                yield start, at, None, False, "", ""
+                continue
+            if page[start:start + 9].upper() == "<![CDATA[":
+                end = page.find("]]>", start + 9)
+                at = len(page) if end < 0 else end + 3
+                yield start, at, None, False, "", page[start + 9:len(page) if end < 0 else end]
+                continue
+            if start > self.last:
+                continue
+            raw = OPENER.match(page, start + 1)
+            if raw is not None:
+                end = page.find(">", raw.end()) + 1
+                close = CLOSERS[raw[0].lower()].search(page, end)
+                at = len(page) if close is None else close.end()
+                yield start, at, None, False, "", ""
+                continue
+            if page.startswith(("<!", "<?"), start):
+                at = page.find(">", start) + 1
+                yield start, at, None, False, "", ""
+                continue
+            closes = page.startswith("/", start + 1)
+            first = start + 1 + closes
+            name_end = self.name_end(first)
+            end = self.tag_end(name_end) if name_end > 0 else -1
+            if end > 0:
+                at = end
+                yield start, at, page[first:name_end], closes, page[name_end:end - 1], ""
+
+
+class Stack:
+    """Open elements, with what is asked about all of them kept as counts."""
+
+    def __init__(self) -> None:
+        self.items: list[Element] = []
+        self.names: Counter[str] = Counter()
+        self.hiding = 0                                               # elements no article counts in
+        self.forms: list[Element] = []                                # forms not yet known to wrap the page
+
+    def push(self, e: Element) -> None:
+        self.items.append(e)
+        self.names[e.name] += 1
+        self.hiding += e.hard or e.name == "header"
+        if e.name == "form":
+            self.forms.append(e)
+
+    def pop(self) -> Element:
+        e = self.items.pop()
+        self.names[e.name] -= 1
+        self.hiding -= e.hard or e.name == "header"
+        if self.forms and self.forms[-1] is e:
+            self.forms.pop()
+        return e
+
+    def holds_article(self) -> None:
+        for e in reversed(self.items):
+            if e.holds:
+                break
+            e.holds = True
+
+    def holds_part(self, of_page: bool) -> None:
+        """A form with parts of a page in it, or all of the body's text, wraps the page."""
+        wraps = self.forms if of_page else [e for e in self.items[:2] if e.name == "form" and (e.above is None or e.above.name == "body")]
+        for e in wraps:
+            e.parts = True
+        if of_page:
+            self.forms.clear()
+
+
 def page_lines(page: str) -> tuple[list[str], list[int]]:
     """Text lines of a page in order, each with FRAME, OPEN or ARTICLE."""
     lines: list[str] = []
     owners: list[Element | None] = []
     held: list[str] = []
-    stack: list[Element] = []
+    stack = Stack()
     elements: list[Element] = []
 
     def flush() -> None:
@@ -129,46 +243,40 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
             held.clear()
             if line:
                 lines.append(line)
-                owners.append(stack[-1] if stack else None)
+                owners.append(stack.items[-1] if stack.items else None)
 
     at = 0
-    for token in TOKEN.finditer(page):
-        if token.start() > at:
-            held.append(page[at:token.start()])
-        at = token.end()
-        name = token["name"]
+    for start, end, name, closes, attrs, text in Tags(page):
+        if start > at:
+            held.append(page[at:start])
+        at = end
         if name is None:
-            if token["raw"] is None and token[0].startswith("<![CDATA["):
-                held.append(html.escape(token[0][9:-3], quote=False))
+            if text:
+                held.append(html.escape(text, quote=False))
             continue
         name = name.lower()
         if name in BLOCKS:
             flush()
         elif name in ("br", "td", "th"):
             held.append(" ")
-        if token["close"]:
-            if any(x.name == name for x in stack):
+        if closes:
+            if stack.names[name]:
                 while stack.pop().name != name:
                     pass
             continue
-        attrs = token["attrs"]
         if name in VOID or attrs.endswith("/") and name not in BLOCKS:
             continue
         if name == "body":
-            stack.clear()
-        while name in ("p", "li") and stack and stack[-1].name == name:
+            stack = Stack()
+        while name in ("p", "li") and stack.items and stack.items[-1].name == name:
             stack.pop()
-        element = Element(name, attrs, stack[-1] if stack else None)
-        stack.append(element)
+        element = Element(name, attrs, stack.items[-1] if stack.items else None)
+        stack.push(element)
         elements.append(element)
-        if name in ("article", "main") and not any(x.hard or x.name == "header" for x in stack):
-            for x in stack:
-                x.holds = True
+        if name in ("article", "main") and not stack.hiding:
+            stack.holds_article()
         elif name in PAGE_PARTS or name in TEXT_PARTS:
-            # a form with parts of a page in it, or all of the body's text, wraps the page
-            for x, above in zip(stack, [None, *stack]):
-                if x.name == "form" and (name in PAGE_PARTS or above is None or above.name == "body"):
-                    x.parts = True
+            stack.holds_part(name in PAGE_PARTS)
     if at < len(page):
         held.append(page[at:])
     flush()
@@ -177,7 +285,59 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
 
 
 def common(a: list, b: list) -> tuple[set[int], set[int]]:
-    """Positions in a and in b of one longest common subsequence (Hunt and Szymanski)."""
+    """Positions in a and in b of one longest common subsequence. Equal ends are cut off; what is left is halved until few
+    enough pairs of equal lines remain."""
+    left: set[int] = set()
+    right: set[int] = set()
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        lo, hi, start, stop = todo.pop()
+        while lo < hi and start < stop and a[lo] == b[start]:
+            left.add(lo)
+            right.add(start)
+            lo, start = lo + 1, start + 1
+        while lo < hi and start < stop and a[hi - 1] == b[stop - 1]:
+            hi, stop = hi - 1, stop - 1
+            left.add(hi)
+            right.add(stop)
+        if lo == hi or start == stop:
+            continue
+        held = Counter(b[start:stop])
+        if hi - lo == 1 or sum(held[line] for line in a[lo:hi]) <= MOST_PAIRS:
+            one, other = few_pairs(a[lo:hi], b[start:stop])
+            left.update(i + lo for i in one)
+            right.update(j + start for j in other)
+            continue
+        half = (lo + hi) // 2
+        ahead = prefix_lengths(a[lo:half], b[start:stop])
+        behind = prefix_lengths(a[half:hi][::-1], b[start:stop][::-1])[::-1]
+        cut = start + int((ahead + behind).argmax())
+        todo += [(lo, half, start, cut), (half, hi, cut, stop)]
+    return left, right
+
+
+def prefix_lengths(a: list, b: list) -> np.ndarray:
+    """Length of the longest common subsequence of a and b[:j] for j = 0 .. len(b), all j at once as bits of a number."""
+    places: dict[object, int] = defaultdict(int)
+    marks: dict[object, list[int]] = defaultdict(list)
+    for j, line in enumerate(b):
+        marks[line].append(j)
+    for line in set(a) & marks.keys():
+        bits = np.zeros(len(b), np.uint8)
+        bits[marks[line]] = 1
+        places[line] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    full = (1 << len(b)) - 1
+    rows = full
+    for line in a:
+        if line in places:
+            met = rows & places[line]
+            rows = ((rows + met) | (rows - met)) & full
+    steps = np.unpackbits(np.frombuffer((full & ~rows).to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)]
+    return np.r_[0, np.cumsum(steps, dtype=np.int64)]
+
+
+def few_pairs(a: list, b: list) -> tuple[set[int], set[int]]:
+    """`common` by the pairs of equal lines (Hunt and Szymanski)."""
     places: dict[object, list[int]] = defaultdict(list)
     for j, line in enumerate(b):
         places[line].append(j)

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -206,3 +207,44 @@ def test_graph_search_finds_the_nearest():
     true = ((x[:, None] - nodes) ** 2).sum(axis=2).argmin(axis=1)
     assert (pool[:, 0] == true).mean() > 0.95 and (np.diff(dist, axis=1) >= 0).all()
     assert all(len(set(p[p >= 0])) == (p >= 0).sum() for p in pool)
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<a " * 100_000 + "end", ["<a " * 100_000 + "end"]), ("<script " * 40_000, ["<script " * 40_000]), ("<b><p>x" * 50_000, ["x"] * 50_000),
+    ("<a \"<a '" * 40_000 + ">", None), ("<a" * 150_000 + " \">", None), ("<form><p>x" * 40_000, None), ("<b></i>" * 50_000, []),
+    ("<!-- " * 60_000, []), ("<b><article>x" * 30_000, None), ("<div>" * 40_000 + "x" + "</div>" * 40_000, ["x"])])
+def test_malformed_pages_take_linear_time(page, want):
+    begin = time.process_time()
+    lines, _ = html.page_lines(page.strip())
+    assert time.process_time() - begin < 4
+    assert want is None or lines == [line.strip() for line in want]
+
+
+def test_unclosed_parts():
+    assert html.page_lines("a<![CDATA[b<c")[0] == ["ab<c"]
+    assert html.page_lines("a <? b <!-- c")[0] == ["a <? b"]
+    assert html.page_lines("<p title='x>'>a<p title='>b")[0] == ["a<p title='>b"]
+
+
+@pytest.mark.parametrize("most", [0, 6, 1 << 16])
+def test_common_is_longest(monkeypatch, most):
+    monkeypatch.setattr(html, "MOST_PAIRS", most)
+    rng = random.Random(most)
+    for _ in range(150):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randrange(30))] for _ in range(2))
+        left, right = html.common(a, b)
+        assert [a[i] for i in sorted(left)] == [b[j] for j in sorted(right)]
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert len(left) == best[-1][-1]
+
+
+def test_common_of_many_equal_lines():
+    begin = time.process_time()
+    assert len(html.common(["a"] * 4000, ["b"] + ["a"] * 4000 + ["c"])[0]) == 4000
+    rng = random.Random(1)
+    a, b = ([rng.choice("abc") for _ in range(20_000)] for _ in range(2))
+    assert len(html.common(a, b)[0]) > 12_000
+    assert time.process_time() - begin < 10

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -184,10 +185,13 @@ def edit_distance_inside(item, text):
     return min(now)
 
 
-def test_leaks_against_plain_alignment():
+@pytest.mark.parametrize("heavy,chunk,merge", [(1 << 23, 1 << 21, 1 << 22), (0, 7, 3), (20, 50, 100)])
+def test_leaks_against_plain_alignment(monkeypatch, heavy, chunk, merge):
+    for name, value in [("HEAVY", heavy), ("CHUNK", chunk), ("MERGE", merge)]:
+        monkeypatch.setattr(decontaminate, name, value)
     rng = random.Random(1)
     for trial in range(20):
-        letters = "abcd " if trial % 2 else "abcdefghijklmnop é \n"
+        letters = "abcdefghijklmnop é \n" if trial % 2 == 0 else "abcd " if trial % 4 == 1 else "ab"
         items = [(i, "".join(rng.choice(letters) for _ in range(rng.choice([3, 9, 15, 25, 60, 120])))) for i in range(6)]
         docs = []
         for _ in range(10):
@@ -211,6 +215,17 @@ def test_leaks_against_plain_alignment():
                     assert got.get((a, i)) == (e if e <= int(len(n) * 0.1 + 1e-9) else None)
 
 
+def test_leaks_in_periodic_texts():
+    tracemalloc.start()
+    for text, item, want in [("x" * 1_000_000, "x" * 2000, (0, 0, 2000)), ("ab" * 100_000, "ba" * 500, (0, 1, 1001)),
+                             ("x" * 20_000, "x" * 299 + "y", (1, 0, 299)), ("xy " * 50_000, "z" * 90, None)]:
+        index = decontaminate.Index([(1, item)], 0.1)
+        got = decontaminate.all_matches(index, pa.array(["clean text", text]))
+        assert got == ([(1, 0, *want)] if want else [])
+    assert tracemalloc.get_traced_memory()[1] < 1 << 30
+    tracemalloc.stop()
+
+
 def test_leaks_in_a_table(spark, make_docs, hard_rows):
     item = "Which of these answers, if any, is the right one to the question asked above by the examiner in the hall?"
     edited = item.replace("right", "wrong").replace("  ", " ").upper()
