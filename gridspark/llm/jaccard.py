@@ -18,7 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm._graph import components
@@ -221,10 +221,13 @@ def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("id", "band", "hash", "side", F.least("side", "other").alias("a"), F.greatest("side", "other").alias("b")))
     tiles = tiles.join(nodes.select("id", "copies", "bands", "least"), "id")
-    # the text comes from the row with the smallest doc_id; that id is in the join's key, so copies don't meet in one task
-    texts = keyed.select(F.col("id").alias("own"), "doc_id", "text")
+    # the text comes from the row with the smallest doc_id; that id is in the join's key, so copies don't meet in one task, and rows
+    # that repeat id and text are one before they are sent
+    named = [F.coalesce("least", F.lit(0)).alias("_least"), F.col("least").isNull().alias("_none")]
+    texts = (keyed.select(F.col("id"), F.coalesce("doc_id", F.lit(0)).alias("_least"), F.col("doc_id").isNull().alias("_none"), "text")
+             .dropDuplicates(["id", "_least", "_none"]))
     linked = materialize(
-        tiles.join(texts, (F.col("id") == F.col("own")) & F.col("least").eqNullSafe(F.col("doc_id")))
+        tiles.select("id", "copies", "bands", "side", *TILE, *named).join(texts, ["id", "_least", "_none"])
         .select("id", "text", "copies", "bands", "side", *TILE)
         .repartition(*TILE).sortWithinPartitions(*TILE)
         .mapInArrow(partial(_link, n=n, threshold=threshold), "id binary, root binary, links long"), "jaccard-links")
@@ -248,6 +251,5 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows, with all their columns, that stand for their classes, one for each; exact repetitions of a row go too."""
     kept = join(docs, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5")).distinct()
     rows = docs.withColumn("_text_md5", F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    once = F.row_number().over(Window.partitionBy("doc_id", "_text_md5").orderBy("doc_id"))
     return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_md5") == F.col("_md5")), "left_semi")
-            .withColumn("_once", once).where("_once = 1").select(*docs.columns))
+            .dropDuplicates(["doc_id", "_text_md5"]).select(*docs.columns))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from gridspark.session import materialize
 
 K = 20
+FIT_BYTES = 128 << 20
 LIST_SIZE, FIT_ROWS, FIT_ROWS_PER_LIST = 128, 100_000, 16
 REPLICAS, REPLICA_RATIO, ASSIGN_BEAM = 2, 1.05, 24
 LEAST_LISTS, PROBE_RATIO, LEAST_VECTORS, PROBE_BEAM = 8, 1.18, 400, 64
@@ -234,7 +235,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
     n, most = usable.agg(F.count("*"), F.max("square")).first()
     if not n:
         return spark.createDataFrame([], schema)
-    # the index is fitted on the rows with the lowest hashes of vec_id, a bounded number
+    # the index is fitted on the rows with the lowest hashes of vec_id, a bounded number of rows and bytes
+    fit_rows = max(FIT_ROWS_PER_LIST, min(fit_rows, FIT_BYTES // (8 * size)))
     lists = max(1, min(n // list_size, fit_rows // FIT_ROWS_PER_LIST))
     sample = (usable.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(min(fit_rows, lists * FIT_ROWS_PER_LIST))
               .select("vector").collect())
@@ -276,7 +278,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
                 ["list", "pieces", "vec_id", "vector"])
 
     queries = (usable.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id").mapInArrow(asked, "list int, pieces int, vec_id long, vector binary")
+               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(asked, "list int, pieces int, vec_id long, vector binary")
                .select("list", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(True).alias("query"),
                        "vec_id", "vector"))
     # lists of over `piece` vectors are few (their number is bounded by the number of lists): literals, no join

@@ -44,7 +44,7 @@ HOT_LEAST, HOT_KEYS, KEY_RUNS = 4096, 1 << 16, 16
 PLACE, KEY_BITS = U64((1 << 24) - 1), U64(16)
 RANGE, VERIFY, FREQUENT = 0, 1, 2
 #: Bytes of text that a task indexes, and from which it gathers bodies, at a time.
-INDEX_BYTES, GATHER_BYTES = 16 << 20, 8 << 20
+INDEX_BYTES, GATHER_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20, 32 << 20
 
 RUN = np.dtype([("key", "u8"), ("body", "u8"), ("doc", "i8"), ("tie", "i8"), ("start", "i8"), ("size", "i8"), ("count", "i8")])
 PART = np.dtype([("key", "u8"), ("doc", "i8"), ("tie", "i8"), ("start", "i8"), ("size", "i8")])
@@ -431,7 +431,8 @@ def keyed(docs: DataFrame, *more) -> DataFrame:
 def repeated_ranges(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, tie, ranges array<struct<start, size>>): the windows of each text that occur earlier."""
     spark: SparkSession = rows.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     blobs = "bucket int, kind int, blob binary"
     found = materialize(
         rows.select("doc", "tie", "text").mapInArrow(partial(_index, length=length, buckets=buckets), blobs)
@@ -447,7 +448,8 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     def repeats_of(table: pa.Table) -> pa.Table:
         return _repeats(table, length)
 
-    repeats = (rows.select("doc", "tie", "text").join(runs_of, ["doc", "tie"])
+    # rows equal in id and text are one document: one of them is gathered
+    repeats = (rows.select("doc", "tie", "text").dropDuplicates(["doc", "tie"]).join(runs_of, ["doc", "tie"])
                .mapInArrow(partial(_gather, length=length, buckets=buckets, hot=hot), blobs)
                .groupBy("bucket").applyInArrow(repeats_of, "doc long, tie long, start long, size int"))
     whole = found.where(F.col("what") == RANGE).select("doc", "tie", "start", "size")
