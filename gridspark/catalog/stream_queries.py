@@ -13,6 +13,14 @@ from gridspark.session import materialize, scratch_path
 from gridspark.streaming import dayahead, hourly, refresh
 
 
+def streaming_session(spark):
+    """A session of the same cluster whose streams use the state store that the event-time model needs."""
+    other = spark.newSession()
+    for key, value in {**dayahead.STORE, "spark.sql.session.timeZone": "UTC"}.items():
+        other.conf.set(key, value)
+    return other
+
+
 def event_stream(spark, sf):
     schema = fx.table(spark, sf, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -49,9 +57,10 @@ def stream_dayahead(spark, sf):
     rows = fx.joint(spark, sf)
     state = smoothing.init_state(rows, ["series"], ninit=NINIT)
     later = grid.attach(rows, state.select("series", "lo", "hi", "first"), ["series"])
-    feed = materialize(later.where(F.col("slot") >= F.col("first") + NINIT).select("series", "slot", "val"), "hours-feed")
+    feed, source = later.where(F.col("slot") >= F.col("first") + NINIT).select("series", "slot", "val"), scratch_path(spark, "hours-feed")
+    feed.write.parquet(source)
     states = materialize(state.select("series", smoothing.state_array().alias("state")), "start-states")
-    stream = spark.readStream.schema(feed.schema).parquet(feed.inputFiles()[0].rsplit("/", 1)[0])
+    stream = streaming_session(spark).readStream.schema(feed.schema).parquet(source)
     path, checkpoint = scratch_path(spark, "dayahead"), scratch_path(spark, "dayahead-checkpoint")
     out = dayahead.online_dayahead(stream, states, ["series"], RATES)
     (out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

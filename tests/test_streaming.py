@@ -58,25 +58,94 @@ def test_hourly_quality_over_batches_equals_the_table(spark):
         hourly.compact_hours(spark, out, ["kind"])
 
 
-@pytest.mark.parametrize("batches,gap", [(1, ()), (3, ()), (1, (17, 18)), (3, (16, 17, 20))])
-def test_online_dayahead_equals_the_walk(spark, batches, gap):
-    """Days without rows (gap) are predicted too, from the state as it is."""
-    rng = np.random.default_rng(7)
-    y = {f"s{i}": list(50 + rng.normal(0, 5, 24 * 28)) for i in range(2)}
-    y = {k: [None if h // 24 in gap else x for h, x in enumerate(v)] for k, v in y.items()}
-    p, ninit = Params(alpha=0.2, beta=0.05), 14 * 24
-    df = frame(spark, y)
-    walk = smoothing.walk_forward(df, K, p, ninit=ninit).where(F.col("slot") >= MONDAY + ninit + 24)
-    states = smoothing.init_state(df, K, ninit=ninit).select("series", smoothing.state_array().alias("state"))
-    later = df.select("series", "slot", "val").where((F.col("slot") >= MONDAY + ninit) & F.col("val").isNotNull())
+@pytest.fixture
+def store(spark):
+    for key, value in dayahead.STORE.items():
+        spark.conf.set(key, value)
+    yield
+    for key in dayahead.STORE:
+        spark.conf.unset(key)
+
+
+def run_online(spark, rows, states, parts, params, **options):
+    """Predictions (series, slot, pred) of the online model over a stream cut into `parts`, and the checkpoint's folder."""
     src, out, cp = (scratch_path(spark, n) for n in ("src", "out", "cp"))
-    cut = [0, 100, 250, 10**9] if batches == 3 else [0, 10**9]
-    pos = F.col("slot") - MONDAY - ninit
-    stream = feed(later, src, [(pos >= a) & (pos < b) for a, b in zip(cut, cut[1:])])
-    online = dayahead.online_dayahead(stream, states, K, p)
+    online = dayahead.online_dayahead(feed(rows, src, parts), states, K, params, **options)
     (online.writeStream.format("parquet").option("path", out).option("checkpointLocation", cp)
      .trigger(availableNow=True).start().awaitTermination())
-    got = spark.read.schema(online.schema).parquet(out).where(F.col("slot") < MONDAY + 28 * 24)
-    a, b = values(got, "pred"), values(walk, "pred")
-    for k in b:
-        np.testing.assert_allclose(a[k], b[k], rtol=1e-9)
+    return spark.read.schema(online.schema).parquet(out), cp
+
+
+def loop_online(y, params, state, last_closed):
+    """Predictions by day of one series of whole days, from the second day to the one after `last_closed`."""
+    p = np.array([getattr(params, n) for n in smoothing.PARAM_NAMES])
+    out = []
+    y = np.array([np.nan if v is None else v for v in y] + [np.nan] * 24 * (last_closed + 1))
+    for d in range(last_closed + 1):
+        day = y[24 * d:24 * d + 24]
+        if state is None:
+            state = np.r_[np.nanmean(day), np.zeros(smoothing.STATE - 1)]
+        _, state = smoothing.day_step(state, day, int(d % 7 >= 5), p, "mean")
+        out += smoothing.day_step(state, np.full(24, np.nan), int((d + 1) % 7 >= 5), p, "mean")[0].tolist()
+    return out
+
+
+def between(a, b):
+    return f"slot - {MONDAY} >= {a} and slot - {MONDAY} < {b}"
+
+
+@pytest.mark.parametrize("cuts", [[10**9], [100, 250, 10**9], [30, 31, 60, 200, 10**9]])
+@pytest.mark.parametrize("gap", [(), (3, 4), (2, 6, 12)])
+def test_online_dayahead_whatever_the_cut(spark, store, cuts, gap):
+    """Days without rows are predicted too; a series that falls silent closes its days; one has no start state."""
+    rng = np.random.default_rng(7)
+    y = {f"s{i}": list(50 + rng.normal(0, 5, 24 * 14)) for i in range(3)}
+    y = {k: [None if h // 24 in gap else x for h, x in enumerate(v)] for k, v in y.items()}
+    y["s2"] = y["s2"][:24 * 8 + 5]
+    rows = frame(spark, y).where("val is not null").select("series", "slot", "val")
+    start = np.r_[50.0, 0.1, rng.normal(0, 1, 48)]
+    states = spark.createDataFrame([("s0", start.tolist()), ("s2", start.tolist())], "series string, state array<double>")
+    p = Params(alpha=0.2, beta=0.05)
+    edges = [0, *cuts]
+    got, _ = run_online(spark, rows, states, [between(a, b) for a, b in zip(edges, edges[1:])], p, delay="1 day")
+    a = values(got, "pred")
+    # the watermark ends a day before the last row: day 12 has passed, day 13 is complete
+    for k, silent in (("s0", False), ("s1", False), ("s2", True)):
+        # the watermark ends within day 12, which closes if it is complete, and day 13 after it
+        last = 11 if silent or 12 in gap else 13
+        want = loop_online(y[k], p, None if k == "s1" else start, last)
+        np.testing.assert_allclose(a[k], want, rtol=1e-9)
+
+
+def test_online_dayahead_out_of_order(spark, store):
+    rng = np.random.default_rng(3)
+    y = {"a": list(50 + rng.normal(0, 5, 24 * 10))}
+    rows = frame(spark, y).select("series", "slot", "val")
+    shuffled = [f"{between(0, 48)} and pmod(xxhash64(slot), 3) = {i}" for i in range(3)]
+    shuffled += [f"{between(48, 96)} and slot % 2 = {i}" for i in range(2)] + [between(96, 10**9)]
+    states = spark.createDataFrame([], "series string, state array<double>")
+    got, _ = run_online(spark, rows, states, shuffled, Params(alpha=0.2), delay="3 days")
+    np.testing.assert_allclose(values(got, "pred")["a"], loop_online(y["a"], Params(alpha=0.2), None, 9), rtol=1e-9)
+
+
+def test_online_state_expires(spark, store):
+    """A series silent for longer than `idle_days` leaves no state; when it comes back it starts anew."""
+    rng = np.random.default_rng(5)
+    quiet = [x if h // 24 < 3 or h // 24 >= 12 else None for h, x in enumerate(50 + rng.normal(0, 5, 24 * 15))]
+    y = {"on": list(50 + rng.normal(0, 5, 24 * 23)), "back": quiet, "gone": quiet[:24 * 3]}
+    rows = frame(spark, y).where("val is not null").select("series", "slot", "val")
+    states = spark.createDataFrame([], "series string, state array<double>")
+    p = Params(alpha=0.2)
+    results = []
+    for cuts in ([0, 10**9], [0, 60, 200, 300, 10**9]):
+        got, cp = run_online(spark, rows, states, [between(a, b) for a, b in zip(cuts, cuts[1:])], p, delay="1 day", idle_days=4)
+        left = spark.read.format("statestore").option("stateVarName", "model").load(cp).selectExpr("key.series").collect()
+        assert [r.series for r in left] == ["on"]
+        results.append(values(got, "pred"))
+    assert results[0] == results[1]
+    first = loop_online(quiet, p, None, 6)                            # days 0 to 2, then four silent ones
+    again = loop_online(quiet[24 * 12:], p, None, 6)
+    assert results[0]["gone"] == pytest.approx(first)
+    np.testing.assert_allclose(results[0]["back"][:len(first)], first)
+    weekend = [values(got, "slot")["back"][len(first)], len(results[0]["back"])]
+    assert weekend == [MONDAY + 13 * 24, len(first) + len(again)]
