@@ -179,25 +179,29 @@ _STATE0 = """st AS (SELECT series, any_value(lv) AS lv, any_value(b) AS b, list(
     list(s ORDER BY hour) FILTER (weekend = 1) AS s1 FROM i2 GROUP BY series)"""
 
 
-def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None) -> str:
+def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None, name: str = "walk", own: str | None = None) -> str:
     """`d`: whole days as lists; `walk`: state after each day, with that day's prediction and trend. With `cands`
-    every series is walked once per candidate, whose rates are carried along as columns."""
+    every series is walked once per candidate, whose rates are carried along as columns. `own` names a table of candidates by
+    series; then only the walk is returned, under `name`."""
     tpart = "0.4 * greatest(temp - 200, 0) + 0.6 * greatest(150 - temp, 0)" if temp else "0.0::DOUBLE"
     el = "eps[1]" if temp else "list_avg(eps)"
     rates = {n: f"{getattr(p, n)}::DOUBLE" for n in ("alpha", "beta", "g00", "g01", "g10", "g11")}
     carry, carry_w, source = "", "", "st"
-    if cands:
+    if cands or own:
         carry = "cand, alpha, beta, g00, g11, "
         carry_w = "w.cand, w.alpha, w.beta, w.g00, w.g11, "
         rates |= {n: n for n in ("alpha", "beta", "g00", "g11")}
+        source = f"st JOIN {own} USING (series)"
+    if cands:
         rows = ", ".join(f"({i}, {c.alpha}::DOUBLE, {c.beta}::DOUBLE, {c.g00}::DOUBLE, {c.g11}::DOUBLE)"
                          for i, c in enumerate(cands))
         source = f"st, (VALUES {rows}) c(cand, alpha, beta, g00, g11)"
     flat = "(eps[i] - el - eb * (i - 1))"
-    return f"""{_init_sql(temp)}, {_STATE0},
+    days = f"""{_init_sql(temp)}, {_STATE0},
     d AS (SELECT series, rn // 24 AS day, list(val - ({tpart}) ORDER BY rn) AS y, list(({tpart}) ORDER BY rn) AS tt,
         list(ts ORDER BY rn) AS tss, list(val ORDER BY rn) AS vs, any_value(isodow(ts) >= 6) AS we FROM fx_joint GROUP BY ALL HAVING count(*) = 24),
-    walk AS (
+    """
+    return f"""{"" if own else days}{name} AS (
         SELECT series, {carry}CAST({NINIT // 24 - 1} AS BIGINT) AS day, lv, b, s0, s1, CAST([] AS DOUBLE[]) AS pred, CAST([] AS DOUBLE[]) AS trend
         FROM {source}
         UNION ALL
@@ -209,7 +213,7 @@ def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None) -> str:
             SELECT w.series, {carry_w}d.day, w.lv, w.b, w.s0, w.s1, d.y, d.we,
                 list_transform(range(1, 25), lambda i: w.lv + w.b * (i - 1)) AS trend,
                 list_transform(range(1, 25), lambda i: w.lv + w.b * (i - 1) + (CASE WHEN d.we THEN w.s1[i] ELSE w.s0[i] END)) AS pred
-            FROM walk w JOIN d ON d.series = w.series AND d.day = w.day + 1)))))"""
+            FROM {name} w JOIN d ON d.series = w.series AND d.day = w.day + 1)))))"""
 
 
 _HOURS = "(SELECT unnest(range(1, 25)) AS i)"
@@ -277,6 +281,51 @@ def rate_search(spark, sf):
     return rounded(out, "rmse", places=4)
 
 
+_REFINED = ("alpha", "beta", "g00", "g11")
+REFINED_ROUNDS, REFINED_LR, REFINED_ETA = 2, 0.05, 0.001
+
+
+def _refined_sql() -> str:
+    """The best of the grid, then rounds of finite differences: q0, q1, ... hold each series' present set, its best and their costs."""
+    def nudge(n: str) -> str:
+        return f"(CASE WHEN n_{n} = 0 THEN {REFINED_ETA} ELSE {REFINED_ETA} * n_{n} END)"
+
+    def step(i: int, n: str) -> str:
+        slope = f"((js[{i + 2}] - js[1]) / {nudge(n)})"
+        to = f"n_{n} - lr * ({slope} - trunc({slope}))"
+        return f"CASE WHEN {to} > 1 THEN least(n_{n} + 0.5 * (1 - n_{n}), 0.99) WHEN {to} < 0 THEN 0.25 * n_{n} ELSE {to} END"
+
+    fixed = ", ".join(f"{getattr(RATES, n)}::DOUBLE AS \"{n}\"" for n in ("g01", "g10", "An", "Ap", "Tn", "Tp"))
+    parts = [_walk_ctes(RATES, False, rate_grid(RATES)), f"""e AS (SELECT w.series, w.cand, w.alpha, w.beta, w.g00, w.g11,
+        sqrt(sum((w.pred[i] - d.vs[i]) ** 2) / count(*)) AS e FROM walk w JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS}
+        WHERE w.day >= {NINIT // 24} GROUP BY ALL),
+    q0 AS (SELECT series, {", ".join(f"{n} AS n_{n}, {n} AS b_{n}" for n in _REFINED)}, NULL::DOUBLE AS cost, {REFINED_LR}::DOUBLE AS lr FROM e
+        QUALIFY row_number() OVER (PARTITION BY series ORDER BY e, cand) = 1)"""]
+    for t in range(REFINED_ROUNDS + 1):
+        nudged = ", ".join(f"n_{n} + CASE WHEN cand = {i} THEN {nudge(n)} ELSE 0 END AS {n}" for i, n in enumerate(_REFINED, 1))
+        better, back = "cost IS NULL OR js[1] < cost", "js[1] > 1.2 * cost"
+        moves = ", ".join([*(f"CASE WHEN NOT ({better}) AND {back} THEN b_{n} ELSE {step(i, n)} END AS n_{n}" for i, n in enumerate(_REFINED)),
+                           *(f"CASE WHEN {better} THEN n_{n} ELSE b_{n} END AS b_{n}" for n in _REFINED)])
+        parts += [f"c{t} AS (SELECT series, cand, {nudged} FROM q{t}, (SELECT unnest(range({1 if t == REFINED_ROUNDS else 1 + len(_REFINED)})) AS cand))",
+                  _walk_ctes(RATES, False, name=f"walk{t}", own=f"c{t}"),
+                  f"""j{t} AS (SELECT series, list(e ORDER BY cand) AS js FROM (SELECT w.series, w.cand,
+        sqrt(sum((w.pred[i] - d.vs[i]) ** 2) / count(*)) AS e FROM walk{t} w JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS}
+        WHERE w.day >= {NINIT // 24} GROUP BY ALL) GROUP BY series)""",
+                  f"""q{t + 1} AS (SELECT series, {moves}, CASE WHEN {better} THEN js[1] ELSE cost END AS cost,
+        CASE WHEN NOT ({better}) AND {back} THEN 0.8 * lr ELSE lr END AS lr FROM q{t} JOIN j{t} USING (series))"""]
+    return f"""WITH RECURSIVE {", ".join(parts)} SELECT series, {r('cost', 'rmse', 4)}, {REFINED_ROUNDS + 1} AS rounds,
+        {", ".join(r(f'b_{n}', n, 4) for n in _REFINED)}, {fixed} FROM q{REFINED_ROUNDS + 1}"""
+
+
+@query("rate_search_refined", _refined_sql(), ("fx_joint",))
+def rate_search_refined(spark, sf):
+    """Descent of each series from its best set of the grid."""
+    rows = fx.joint(spark, sf)
+    best = smoothing.rate_search(rows, K, rate_grid(RATES), ninit=NINIT)
+    out = smoothing.rate_search_refined(rows, K, best, list(_REFINED), REFINED_ROUNDS, ninit=NINIT, lr=REFINED_LR, eta=REFINED_ETA, rtol=0.0)
+    return rounded(out, "rmse", *_REFINED, places=4)
+
+
 @query("rate_gradient", f"""WITH g AS (SELECT *, first_value(eps) OVER w AS level,
         (last_value(eps) OVER w - first_value(eps) OVER w) / 23 * (slot % 24) AS grad FROM (
             SELECT *, fore - val AS eps, CAST(isodow(ts) >= 6 AS INTEGER) AS we FROM fx_joint)

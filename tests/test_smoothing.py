@@ -1,6 +1,7 @@
 from dataclasses import asdict, replace
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import MONDAY, frame, same, values
 from pyspark.sql import functions as F
@@ -204,3 +205,78 @@ def test_a_day_in_two_matrices(level, weekend):
     rest = e - off - rise * k
     np.testing.assert_allclose(after[2:26], s[0] + p[2 + weekend] * rest)
     np.testing.assert_allclose(after[26:], s[1] + p[4 + weekend] * rest)
+
+
+def test_start_states_equal_the_aggregation(spark):
+    y, temp = data(21)
+    y["s1"][3] = y["s1"][100] = None
+    df = frame(spark, y, temp=temp)
+    for p, t in [(P, None), (replace(P, An=0.6, Ap=0.4, Tn=150.0, Tp=200.0), "temp")]:
+        want = {r.series: r for r in smoothing.init_state(df, K, temp=t, params=p, ninit=14 * 24).collect()}
+        for k, r in want.items():
+            values_ = np.array([np.nan if v is None else v for v in y[k][:14 * 24]], float)
+            got = smoothing.start_states(values_, np.array(temp[k][:14 * 24], float), r["first"] // 24,
+                                         np.array([[getattr(p, n) for n in smoothing.PARAM_NAMES]]), t is not None)[0]
+            np.testing.assert_allclose(got, [r.lv, r.b, *r.s[0], *r.s[1]], rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("level,hole", [("mean", False), ("first", True)])
+def test_candidates_at_once_equal_one_by_one(level, hole):
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"slot": np.arange(24 * 9) + 24 * 19723, "y": rng.normal(50, 5, 24 * 9), "t": rng.uniform(0, 300, 24 * 9)})
+    if hole:
+        pdf.loc[60, "y"] = np.nan
+    sets = np.abs(rng.normal(0.2, 0.1, (4, 10)))
+    sets[:, 8:] = 150, 200
+    states = rng.normal(size=(4, smoothing.STATE))
+    maps = smoothing.chunk_maps(pdf, sets, "day", level)
+    sse, n = smoothing.chunk_scores(pdf, states, sets, "day", level)
+    for i, p in enumerate(sets):
+        np.testing.assert_allclose(maps[i], smoothing.chunk_map(pdf, p, "day", level), atol=1e-9)
+        err = smoothing.chunk_predict(pdf, states[i], p, "day", level)[:, 0] - pdf["y"].to_numpy()
+        np.testing.assert_allclose([sse[i], n[i]], [np.nansum(err ** 2), np.isfinite(err).sum()])
+
+
+@pytest.mark.parametrize("temp_col", [None, "temp"])
+def test_refined_search_against_a_plain_loop(spark, temp_col):
+    y, temp = data(28, n=2)
+    y["s9"] = [None] * len(y["s0"])
+    temp["s9"] = temp["s0"]
+    df, ninit, rounds = frame(spark, y, temp=temp), 14 * 24, 4
+    begin = Params(An=0.5, Ap=0.3, Tn=140.0, Tp=190.0) if temp_col else Params()
+    names = ["alpha", "g00", "Ap", "Tp"] if temp_col else ["alpha", "beta", "g00", "g11"]
+    got = {r.series: r for r in smoothing.rate_search_refined(df, K, begin, names, rounds, temp=temp_col, ninit=ninit, lr=0.2, size=168).collect()}
+    assert got["s9"].rmse is None and got["s9"].alpha is None
+    level = "first" if temp_col else "mean"
+    for k in ("s0", "s1"):
+        v, t = np.array(y[k], float), np.array(temp[k], float)
+
+        def cost(p):
+            p = np.array([getattr(p, n) for n in smoothing.PARAM_NAMES])
+            state = smoothing.start_states(v[:ninit], t[:ninit], 19723, p[None], temp_col is not None)[0]
+            net, errors = v - (smoothing.temp_values(t, p) if temp_col else 0), []
+            for d in range(14, 28):
+                pred, state = smoothing.day_step(state, net[24 * d:24 * d + 24], int(d % 7 >= 5), p, level)
+                errors.append(net[24 * d:24 * d + 24] - pred)
+            return float(np.sqrt(np.mean(np.square(errors))))
+
+        now, best, low, lr = begin, begin, None, 0.2
+        first = cost(begin)
+        for turn in range(rounds + 1):
+            j = cost(now)
+            if low is None or j < low:
+                best, low = now, j
+            elif j > 1.2 * low:
+                now, lr = best, 0.8 * lr
+                continue
+            if turn == rounds:
+                break
+            moved = {}
+            for n in names:
+                at = getattr(now, n)
+                slope = (cost(replace(now, **{n: at + (0.001 * at or 0.001)})) - j) / (0.001 * at or 0.001)
+                moved[n] = smoothing.within_limits(n, at - lr * (np.fmod(slope, 1) if n in smoothing.PARAM_NAMES[:6] else slope), at)
+            now = replace(now, **moved)
+        assert got[k].rmse <= first and got[k].rmse == pytest.approx(low, rel=1e-6)
+        for n in smoothing.PARAM_NAMES:
+            assert got[k][n] == pytest.approx(getattr(best, n), rel=1e-4, abs=1e-6)
