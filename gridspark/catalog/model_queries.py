@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridspark import fixtures as fx
 from gridspark.catalog.base import query, r, rounded
 from gridspark.functions import timefn
-from gridspark.models import features, fourier, score, smoothing, spectral, temp_response
+from gridspark.models import localdays, features, fourier, score, smoothing, spectral, temp_response
 from gridspark.models.smoothing import Params
 from gridspark.operators import quality, series, stats
 
@@ -239,6 +239,62 @@ def walk_forward_temp(spark, sf):
     return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "pred"), "pred", places=5)
 
 
+#: Days by which the fixture is moved into the weeks of a clock change.
+SHIFTS = {"spring": 50, "autumn": 290}
+
+
+def _local_sql(shift: int, p: Params = RATES) -> str:
+    """The walk over local days of US Pacific time in 2024: lists of 23, 24 or 25 hours with their clock times."""
+    def season(kind: int) -> str:
+        rate = f"CASE WHEN we THEN {getattr(p, f'g{kind}1')} ELSE {getattr(p, f'g{kind}0')} END"
+        left = "(eps[i] - el - eb * (i - 1))"
+        return f"""list_transform(range(1, 25), lambda k: s{kind}[k] + ({rate}) * coalesce(list_avg(list_transform(
+            list_filter(range(1, n + 1), lambda i: hs[i] = k - 1), lambda i: {left})), 0)) AS s{kind}"""
+
+    return f"""WITH RECURSIVE u AS (SELECT series, ts + INTERVAL {shift} DAY AS ts, val FROM fx_joint),
+    m AS (SELECT *, CAST(lts AS DATE) AS day, CAST(hour(lts) AS INTEGER) AS hour FROM (SELECT *, ts - to_hours(CASE
+        WHEN ts >= TIMESTAMP '2024-03-10 10:00:00' AND ts < TIMESTAMP '2024-11-03 09:00:00' THEN 7 ELSE 8 END) AS lts FROM u)),
+    w AS (SELECT m.*, date_diff('day', first, day) AS dn, row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS pos, isodow(day) >= 6 AS we
+        FROM m JOIN (SELECT series, min(day) FILTER (hour = 0) AS first FROM m GROUP BY series) USING (series) WHERE day >= first),
+    i1 AS (SELECT *, avg(val) OVER p AS lv, (last_value(val) OVER q - first_value(val) OVER q) / count(*) OVER p AS b FROM w
+        WHERE dn < {NINIT // 24} WINDOW p AS (PARTITION BY series),
+        q AS (PARTITION BY series ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    i2 AS (SELECT series, lv, b, we, hour, avg(val - lv - b * pos) AS s FROM i1 GROUP BY ALL),
+    st AS (SELECT series, any_value(lv) AS lv, any_value(b) AS b, list(s ORDER BY hour) FILTER (NOT we) AS s0,
+        list(s ORDER BY hour) FILTER (we) AS s1 FROM i2 GROUP BY series),
+    d AS (SELECT series, dn, list(val ORDER BY ts) AS y, list(hour ORDER BY ts) AS hs, list(ts ORDER BY ts) AS tss, any_value(we) AS we,
+        count(*) AS n FROM w WHERE dn >= {NINIT // 24} GROUP BY ALL),
+    walk AS (
+        SELECT series, CAST({NINIT // 24 - 1} AS BIGINT) AS dn, lv, b, s0, s1, CAST([] AS DOUBLE[]) AS pred FROM st
+        UNION ALL
+        SELECT series, dn, lv + {p.alpha} * el, b + {p.beta} * eb, {season(0)}, {season(1)}, pred
+        FROM (SELECT *, list_avg(eps) AS el, (eps[n] - eps[1]) / n AS eb FROM (
+            SELECT *, list_transform(range(1, n + 1), lambda i: y[i] - pred[i]) AS eps FROM (
+            SELECT w.series, d.dn, w.lv, w.b, w.s0, w.s1, d.y, d.hs, d.we, d.n, list_transform(range(1, d.n + 1), lambda i: w.lv + w.b * (i - 1)
+                + CASE WHEN d.we THEN w.s1[d.hs[i] + 1] ELSE w.s0[d.hs[i] + 1] END) AS pred
+            FROM walk w JOIN d ON d.series = w.series AND d.dn = w.dn + 1))))
+    SELECT series, ts, hour, val, {r('pred', 'pred', 5)} FROM (SELECT w.series, unnest(d.tss) AS ts, unnest(d.hs) AS hour, unnest(d.y) AS val,
+        unnest(w.pred) AS pred FROM walk w JOIN d ON d.series = w.series AND d.dn = w.dn)"""
+
+
+def _walk_local(spark, sf, shift: int):
+    rows = fx.joint(spark, sf).withColumn("slot", F.col("slot") + 24 * shift)
+    out = localdays.walk_forward_local(rows, K, "US/Pacific", RATES, init_days=NINIT // 24)
+    return rounded(smoothing.wall_ts(out).select("series", "ts", "hour", "val", "pred"), "pred", places=5)
+
+
+@query("walk_forward_local_spring", _local_sql(SHIFTS["spring"]), ("fx_joint",))
+def walk_forward_local_spring(spark, sf):
+    """Local days across a day of 23 hours."""
+    return _walk_local(spark, sf, SHIFTS["spring"])
+
+
+@query("walk_forward_local_autumn", _local_sql(SHIFTS["autumn"]), ("fx_joint",))
+def walk_forward_local_autumn(spark, sf):
+    """Local days across a day of 25 hours."""
+    return _walk_local(spark, sf, SHIFTS["autumn"])
+
+
 @query("walk_components", _walk_sql(TEMP_RATES, True, ", ".join([
     r("w.trend[i]", "trend", 5), r("w.pred[i]", "trend_season", 5), r("d.y[i]", "net", 5)])), ("fx_joint",))
 def walk_components(spark, sf):

@@ -108,6 +108,15 @@ def strip_quotes(spark, sf):
                                                    F.length(clean).alias("n_chars"))
 
 
+@query("to_local_changes", """SELECT event_id, ts + INTERVAL 50 DAY - to_hours(CASE WHEN ts + INTERVAL 50 DAY >= TIMESTAMP '2024-03-10 10:00:00'
+        THEN 7 ELSE 8 END) AS spring, ts + INTERVAL 290 DAY - to_hours(CASE WHEN ts + INTERVAL 290 DAY < TIMESTAMP '2024-11-03 09:00:00'
+        THEN 7 ELSE 8 END) AS autumn FROM events""")
+def to_local_changes(spark, sf):
+    """Wall clock in weeks in which clocks change."""
+    return fx.table(spark, sf, "events").select("event_id", *[timefn.to_local(F.expr(f"ts + INTERVAL {days} DAY")).alias(name)
+                                                              for name, days in (("spring", 50), ("autumn", 290))])
+
+
 @query("to_local", "SELECT event_id, ts - INTERVAL 8 HOUR AS local_ts FROM events")
 def to_local(spark, sf):
     return fx.table(spark, sf, "events").select("event_id", timefn.to_local("ts").alias("local_ts"))
