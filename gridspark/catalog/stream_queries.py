@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridspark import fixtures as fx
@@ -10,7 +12,7 @@ from gridspark.catalog.model_queries import NINIT, RATES, _walk_ctes
 from gridspark.models import smoothing
 from gridspark.operators import grid
 from gridspark.session import materialize, scratch_path
-from gridspark.streaming import dayahead, hourly, refresh
+from gridspark.streaming import dayahead, hourly, merge, refresh
 
 
 def streaming_session(spark):
@@ -48,6 +50,34 @@ def stream_refresh(spark, sf):
     return refresh.read_current(spark, path, ["ts", "event_type"], "val", "event_id")
 
 
+@query("stream_merge", """SELECT date_trunc('hour', ts) AS ts, event_type, max_by(value, event_id) AS val, max(event_id) AS event_id
+    FROM events GROUP BY ALL""")
+def stream_merge(spark, sf):
+    """The newest value of each hour, merged batch by batch into a table by month."""
+    table, keys = f"merged_{uuid.uuid4().hex}", ["ts", "event_type"]
+    rows = event_stream(spark, sf).select(fx.hour_of().alias("ts"), "event_type", F.col("value").alias("val"), "event_id")
+    merge.create(spark, table, rows, keys, "val", "event_id")
+    merge.merge_stream(rows, table, scratch_path(spark, "merge-checkpoint"), keys, "val", "event_id").awaitTermination()
+    out = materialize(spark.table(table).drop("month"), "merged")
+    for name in (table, table + merge.LEDGER):
+        spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query("stream_windows", f"""SELECT date_trunc('hour', ts) AS ts, event_type, CASE WHEN passed THEN count(*) ELSE 0 END AS n_final,
+    0::BIGINT AS n_late, CASE WHEN passed THEN 0 ELSE count(*) END AS n_open, {r('sum(value)', 'total', 4)}
+    FROM (SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR AS passed FROM events)
+    GROUP BY date_trunc('hour', ts), event_type, passed""")
+def stream_windows(spark, sf):
+    """Hours by event-time windows: final ones, late rows and hours still open."""
+    final, path = scratch_path(spark, "final-hours"), scratch_path(spark, "all-hours")
+    events = event_stream(spark, sf)
+    hourly.write_final_hours(events, ["event_type"], final, scratch_path(spark, "final-checkpoint")).awaitTermination()
+    hourly.write_hours(events, ["event_type"], path, scratch_path(spark, "all-checkpoint")).awaitTermination()
+    reached = fx.table(spark, sf, "events").agg(F.expr("max(ts) - INTERVAL 2 HOURS")).first()[0]
+    return rounded(hourly.settled_hours(spark, final, path, ["event_type"], reached), "total", places=4)
+
+
 @query("stream_dayahead", f"""WITH RECURSIVE {_walk_ctes(RATES, False)}, z AS (SELECT min(ts) AS origin FROM fx_joint)
     SELECT series, origin + to_days(CAST(day + 1 AS INTEGER)) + to_hours(i - 1) AS ts, {r('''lv + b * (i - 1) +
         CASE WHEN isodow(origin + to_days(CAST(day + 1 AS INTEGER))) >= 6 THEN s1[i] ELSE s0[i] END''', 'pred', 5)}

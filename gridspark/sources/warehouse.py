@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import timefn
 from gridspark.operators import grid, upsert
 from gridspark.schemas import WAREHOUSE
-from gridspark.session import materialize
+from gridspark.session import materialize, scratch_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -102,24 +102,24 @@ def merge_dim(df: DataFrame, table: str, keys: list[str], database: str = "defau
 
 
 def replace_partitions(df: DataFrame, table: str, database: str = "default") -> None:
-    """Overwrite only the partitions present in `df`."""
+    """Overwrite only the partitions present in `df`, which may read the table itself: the rows are written to the shared folder
+    first. The overwrite runs in a session of its own, since insertInto takes its mode from the session, not from a
+    writer option."""
     spark = df.sparkSession
-    rows = shaped(df, table, database)
-    # insertInto takes the mode from the session, not from a writer option
-    previous = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        rows.write.insertInto(f"{database}.{table}", overwrite=True)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, previous)
+    rows, path = shaped(df, table, database), scratch_path(spark, f"replace-{table}")
+    rows.write.mode("errorifexists").parquet(path)
+    own = spark.newSession()
+    own.conf.set(OVERWRITE_MODE, "dynamic")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.read.schema(rows.schema).parquet(path).write.insertInto(f"{database}.{table}", overwrite=True)
+    spark.catalog.refreshTable(f"{database}.{table}")
 
 
 def upsert_table(new: DataFrame, table: str, keys: list[str], value: str, database: str = "default",
                  order: str | None = None) -> None:
     """Replace values on equal keys and add new keys, touching only the partitions `new` falls into: for facts, months.
 
-    The merged rows are written to the shared folder first: a table cannot be overwritten while it is read. They are
-    spread by all keys but the time, so that a partition gets a file per task and not one task per partition.
+    The merged rows are spread by all keys but the time, so that a partition gets a file per task and not one task per partition.
     """
     spark = new.sparkSession
     current = spark.table(f"{database}.{table}")
@@ -133,8 +133,7 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], value: str, databa
         current = touched.unionByName(current.where(lost))
     keys = [*keys, *[p for p in parts if p not in keys]]
     spread = [k for k in keys if k != "ts"]
-    merged = materialize(upsert.upsert(current, new, keys, value, order, spread), f"upsert-{table}")
-    replace_partitions(merged, table, database)
+    replace_partitions(upsert.upsert(current, new, keys, value, order, spread), table, database)
 
 
 def columns(spark: SparkSession, table: str, database: str = "default") -> list[tuple[str, int, str]]:

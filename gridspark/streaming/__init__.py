@@ -1,3 +1,3 @@
-from gridspark.streaming import batches, dayahead, hourly, refresh
+from gridspark.streaming import batches, dayahead, hourly, merge, refresh
 
-__all__ = ["batches", "dayahead", "hourly", "refresh"]
+__all__ = ["batches", "dayahead", "hourly", "merge", "refresh"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gridspark.models import smoothing
 from gridspark.models.smoothing import Params
 from gridspark.session import scratch_path
-from gridspark.streaming import dayahead, hourly, refresh
+from gridspark.streaming import dayahead, hourly, merge, refresh
 
 K = ["series"]
 
@@ -58,6 +58,54 @@ def test_hourly_quality_over_batches_equals_the_table(spark):
         hourly.compact_hours(spark, out, ["kind"])
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1), (1, 0, 2)])
+def test_merged_batches_leave_the_table_of_one_load(spark, order):
+    rows = spark.range(600).select(
+        (F.timestamp_seconds(F.lit(1704067200) + (F.col("id") % 97) * 3600 * 20)).cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("id") % 7 > 0, (F.col("id") % 3).cast("string")).alias("k"), F.col("id").cast("double").alias("val"),
+        (F.col("id") * 7 % 600).alias("version"))
+    src, cp, table = scratch_path(spark, "src"), scratch_path(spark, "cp"), f"merge_{'_'.join(map(str, order))}"
+    stream = feed(rows, src, [f"pmod(xxhash64(val), 3) = {i}" for i in order])
+    merge.create(spark, table, stream, ["ts", "k"], "val", "version")
+    merge.merge_stream(stream, table, cp, ["ts", "k"], "val", "version").awaitTermination()
+    want = sorted(map(str, rows.groupBy("ts", "k").agg(F.max_by("val", "version").alias("val"), F.max("version").alias("version")).collect()))
+
+    def table_rows():
+        return sorted(map(str, spark.table(table).drop("month").collect()))
+
+    assert table_rows() == want
+    assert [r.batch for r in spark.table(table + merge.LEDGER).orderBy("batch").collect()] == [0, 1, 2]
+    # an old batch merged again, and a whole run without its checkpoint
+    merge.merge_batch(rows.where("pmod(xxhash64(val), 3) = 1"), table, ["ts", "k"], "val", "version")
+    assert table_rows() == want
+    merge.merge_stream(stream, table, scratch_path(spark, "cp"), ["ts", "k"], "val", "version").awaitTermination()
+    assert table_rows() == want and spark.table(table + merge.LEDGER).count() == 3
+    for name in (table, table + merge.LEDGER):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_final_late_and_open_rows_are_all_rows(spark):
+    rows = spark.range(500).select(
+        (F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 97)).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 3).cast("string").alias("kind"), F.when(F.col("id") % 11 > 0, F.col("id") % 5).cast("double").alias("value"))
+    src, final, out = (scratch_path(spark, n) for n in ("src", "final", "out"))
+    # hours 0 to 3 in two parts; a part of hour 1 and all of hour 5 come after their windows have closed
+    late = "hour(ts) = 1 and minute(ts) < 20 or hour(ts) = 5"
+    stream = feed(rows, src, [f"hour(ts) < 4 and not ({late})", f"hour(ts) >= 4 and hour(ts) < 10 and not ({late})", "hour(ts) = 10", late,
+                              "hour(ts) > 10"])
+    hourly.write_final_hours(stream, ["kind"], final, scratch_path(spark, "cp"), "2 hours").awaitTermination()
+    hourly.write_hours(stream, ["kind"], out, scratch_path(spark, "cp")).awaitTermination()
+    reached = rows.agg(F.expr("max(ts) - INTERVAL 2 HOURS")).first()[0]
+    got = hourly.settled_hours(spark, final, out, ["kind"], reached).collect()
+    want = {(r.ts, r.kind): r.n_rows for r in hourly.hourly_quality(rows, ["kind"]).collect()}
+    assert {(r.ts, r.kind): r.n_final + r.n_late + r.n_open for r in got} == want
+    for r in got:
+        assert (r.n_late > 0) == (r.ts.hour in (1, 5)) and (r.n_open > 0) == (r.ts.hour + 1 > reached.hour)
+        assert r.ts.hour != 5 or r.n_final == 0
+    ends = spark.read.parquet(final)
+    assert ends.groupBy("ts", "kind").count().where("count > 1").count() == 0
+
+
 @pytest.fixture
 def store(spark):
     for key, value in dayahead.STORE.items():
