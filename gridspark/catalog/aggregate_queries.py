@@ -121,6 +121,16 @@ def corr_matrix(spark, sf):
     return rounded(stats.corr_matrix(_wide(spark, sf), _NAMES), "r")
 
 
+@query("corr_series", f"""SELECT a.s AS a, b.s AS b, {r('corr(a.v, b.v)', 'r')} FROM (SELECT concat('S', user_id % 40) AS s, date_trunc('hour', ts) AS ts,
+    sum(value) AS v FROM events GROUP BY ALL) a JOIN (SELECT concat('S', user_id % 40) AS s, date_trunc('hour', ts) AS ts, sum(value) AS v
+    FROM events GROUP BY ALL) b ON a.ts = b.ts GROUP BY ALL""")
+def corr_series(spark, sf):
+    """Correlations of all pairs of a long frame's series, by blocks."""
+    rows = (fx.table(spark, sf, "events").groupBy(F.concat(F.lit("S"), F.col("user_id") % 40).alias("s"), fx.hour_of().alias("ts"))
+            .agg(F.sum("value").alias("v")))
+    return rounded(stats.corr_series(rows, "s", "ts", "v", block=16), "r")
+
+
 @query("rmse", f"""SELECT series, {r('sqrt(sum((fore - val) ** 2) / count(*))', 'rmse')} FROM fx_joint GROUP BY series""",
        ("fx_joint",))
 def rmse(spark, sf):

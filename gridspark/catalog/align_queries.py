@@ -57,8 +57,8 @@ def star_isd(spark, sf):
     return out.orderBy("callsign", "ts").select("ts", "callsign", "state", "val")
 
 
-@query("join_dedup_first", """SELECT n_name AS "CALL", r_name AS "City", CAST(min(s_suppkey + 700000) AS INTEGER) AS "USAF",
-    CAST(min_by(s_suppkey * 7 % 100000, s_suppkey) AS INTEGER) AS "WBAN" FROM nation JOIN region ON r_regionkey = n_regionkey
+@query("join_dedup_first", """SELECT n_name AS "CALL", r_name AS "City", CAST(min(s_suppkey + 700000) AS VARCHAR) AS "USAF",
+    lpad(CAST(min_by(s_suppkey * 7 % 100000, s_suppkey) AS VARCHAR), 5, '0') AS "WBAN" FROM nation JOIN region ON r_regionkey = n_regionkey
     JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL""")
 def join_dedup_first(spark, sf):
     nat = fx.table(spark, sf, "nation").withColumnRenamed("n_regionkey", "r_regionkey")

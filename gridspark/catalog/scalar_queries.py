@@ -108,6 +108,20 @@ def strip_quotes(spark, sf):
                                                    F.length(clean).alias("n_chars"))
 
 
+@query("sinc", f"SELECT event_id, {r('CASE WHEN abs(value - 1) > 1e-16 THEN sin(value - 1) / (value - 1) ELSE 1 END', 'v')} FROM events")
+def sinc(spark, sf):
+    return rounded(fx.table(spark, sf, "events").select("event_id", numeric.sinc(F.col("value") - 1).alias("v")), "v")
+
+
+@query("forecast_days", f"""SELECT DISTINCT o_orderdate AS day, CASE WHEN o_orderdate + INTERVAL 20 YEAR >= DATE '{vocab.FORECAST_START}'
+    THEN o_orderdate + INTERVAL 20 YEAR <= DATE '2020-06-30' END AS there FROM orders""")
+def forecast_days(spark, sf):
+    """Whether a forecast file may exist for a day: unknown before the archive, not for the future."""
+    days = fx.table(spark, sf, "orders").select(F.col("o_orderdate").alias("day")).distinct()
+    later = F.expr("cast(day + INTERVAL 20 YEARS AS date)")
+    return days.select("day", text.forecast_day_state(later, F.lit("2020-06-30").cast("date")).alias("there"))
+
+
 @query("to_local_changes", """SELECT event_id, ts + INTERVAL 50 DAY - to_hours(CASE WHEN ts + INTERVAL 50 DAY >= TIMESTAMP '2024-03-10 10:00:00'
         THEN 7 ELSE 8 END) AS spring, ts + INTERVAL 290 DAY - to_hours(CASE WHEN ts + INTERVAL 290 DAY < TIMESTAMP '2024-11-03 09:00:00'
         THEN 7 ELSE 8 END) AS autumn FROM events""")

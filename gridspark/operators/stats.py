@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions import text, timefn
 from gridspark.operators import grid
+from gridspark.session import materialize
 
 
 def series_stats(df: DataFrame, keys: list[str], val: str = "val") -> DataFrame:
@@ -53,6 +56,53 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 
+PAIR_SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def corr_series(df: DataFrame, key: str, time: str, val: str = "val", block: int = 256, chunk: int = 16_128) -> DataFrame:
+    """Pearson correlation (a, b, r) of every pair of series of a long frame, over the times at which both have a value.
+
+    Series are numbered and cut into blocks; a task multiplies two blocks over one stretch of `chunk` hours, so that the plan does not
+    grow with the series and no series or time meets in one task. Values are taken relative to the series' mean first. A series
+    repeats at most one value per time. A NULL key takes no part; a pair without two common times or without spread gives NULL.
+    """
+    rows = df.select(F.col(key).cast("string").alias("k"), timefn.slot_of(time).alias("slot"), F.col(val).cast("double").alias("v")).where(
+        "k is not null and v is not null and not isnan(v)")
+    series = materialize(grid.dense_ids(rows.groupBy("k").agg(F.avg("v").alias("mean")), "k", "id", 0), "series-numbers")
+    blocks = series.agg(F.max("id")).first()[0]
+    blocks = 0 if blocks is None else blocks // block + 1
+    at = F.floor(F.col("id") / block).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(max(blocks - 1, 0))), lambda b: F.struct(F.least(at, b).alias("a"), F.greatest(at, b).alias("b")))
+    spread = (rows.join(series, "k").select((F.col("v") - F.col("mean")).alias("v"), "id", "slot", F.floor(F.col("slot") / chunk).alias("part"),
+                                            F.explode(pairs).alias("p")).select("v", "id", "slot", "part", "p.a", "p.b"))
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
+        times, row = np.unique(pdf["slot"].to_numpy(), return_inverse=True)
+        ids, v = pdf["id"].to_numpy(), pdf["v"].to_numpy()
+
+        def side(k: int) -> tuple[np.ndarray, np.ndarray]:
+            own = ids // block == k
+            x, there = np.zeros((len(times), block)), np.zeros((len(times), block))
+            x[row[own], ids[own] - k * block], there[row[own], ids[own] - k * block] = v[own], 1
+            return x, there
+
+        (x, mx), (y, my) = side(a), side(b)
+        n = mx.T @ my
+        i, j = np.nonzero(n)
+        sums = [n, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y]
+        return pd.DataFrame(dict(zip(["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"], [i + a * block, j + b * block, *(m[i, j] for m in sums)])))
+
+    sums = spread.groupBy("part", "a", "b").applyInPandas(multiply, PAIR_SUMS).where("i <= j")
+    total = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    vx, vy = F.col("n") * F.col("sxx") - F.col("sx") ** 2, F.col("n") * F.col("syy") - F.col("sy") ** 2
+    r = F.when((F.col("n") > 1) & (vx > 0) & (vy > 0), (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(vx) / F.sqrt(vy))
+    total = total.select("i", "j", r.alias("r"))
+    both = total.unionByName(total.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    names = series.select(F.col("id").alias("i"), F.col("k").alias("a")), series.select(F.col("id").alias("j"), F.col("k").alias("b"))
+    return both.join(names[0], "i").join(names[1], "j").select("a", "b", "r")
+
+
 def rmse(pred: Column, actual: Column) -> Column:
     """Root mean square error; the divisor counts every row, NULLs too."""
     return F.sqrt(F.sum((pred - actual) * (pred - actual)) / F.count(F.lit(1)))

@@ -28,7 +28,8 @@ def staged_rows(docs: DataFrame) -> DataFrame:
     """
     pairs = F.transform("data", lambda d: F.coalesce(d, F.array().cast("array<string>")))
     parts = text.series_id_parts("series_id").alias("p")
-    return materialize(docs.select("series_id", "category_id", "name", parts, F.explode_outer(pairs).alias("pair")), "series-rows")
+    origin = F.col("origin") if "origin" in docs.columns else F.lit(None).cast("string").alias("origin")
+    return materialize(docs.select("series_id", "category_id", "name", origin, parts, F.posexplode_outer(pairs).alias("pos", "pair")), "series-rows")
 
 
 def eba_rows(staged: DataFrame, zero_as_null: bool = False) -> DataFrame:
@@ -103,13 +104,14 @@ def load_eba(spark: SparkSession, path: str, database: str = "default", drop: bo
 
     Names of sources come from categories, fixed regions and titles, in this order; known sources keep their ids. Unknown
     sources or measures stop the load before any fact is written. Rows without a readable id or time go to
-    `eba_rejects`. Of several values of one key in the files the largest counts.
+    `eba_rejects`. Of several values of one key the last counts: that of the newest file, and there
+    the last of its document.
     """
     tables = ["eba", "eba_inter", "eba_meta", "eba_measure", "eba_rejects"]
     if drop:
         warehouse.drop_tables(spark, tables, database, execute=True)
     warehouse.create_tables(spark, tables, database)
-    docs = series_json.read_series(spark, path)
+    docs = series_json.read_series(spark, path, origin=True)
     if n_series:
         series = select.route_series(docs).orderBy("series_id").limit(n_series).drop("target")
         docs = series.unionByName(docs.where("category_id is not null"))
@@ -124,11 +126,11 @@ def load_eba(spark: SparkSession, path: str, database: str = "default", drop: bo
         raise UnknownKeys(", ".join(f"{r.kind} {r.abbr}" for r in missing))
     rows = eba_rows(staged, zero_as_null)
     warehouse.append_new(eba_rejects(rows), "eba_rejects", database)
-    good = rows.where("reason is null")
-    facts = good.where("target = 'eba'").select("ts", "source", "measure", "val")
-    warehouse.upsert_table(facts, "eba", ["ts", "source", "measure"], "val", database, order="val")
-    flows = good.where("target = 'eba_inter'").select("ts", "source", "dest", "val")
-    warehouse.upsert_table(flows, "eba_inter", ["ts", "source", "dest"], "val", database, order="val")
+    good = rows.where("reason is null").withColumn("at", F.struct("origin", "pos"))
+    facts = good.where("target = 'eba'").select("ts", "source", "measure", "val", "at")
+    warehouse.upsert_table(facts, "eba", ["ts", "source", "measure"], "val", database, order="at")
+    flows = good.where("target = 'eba_inter'").select("ts", "source", "dest", "val", "at")
+    warehouse.upsert_table(flows, "eba_inter", ["ts", "source", "dest"], "val", database, order="at")
 
 
 def load_isd(spark: SparkSession, folder: str, stations: DataFrame, database: str = "default", drop: bool = False,

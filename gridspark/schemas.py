@@ -81,8 +81,8 @@ WAREHOUSE = {
         T.StructField("city", T.StringType()),
         T.StructField("state", T.StringType()),
         T.StructField("callsign", T.StringType()),
-        T.StructField("usaf", T.IntegerType()),
-        T.StructField("wban", T.IntegerType()),
+        T.StructField("usaf", T.StringType()),
+        T.StructField("wban", T.StringType()),
         T.StructField("lat", T.DoubleType()),
         T.StructField("lng", T.DoubleType()),
     ]), []),

@@ -12,7 +12,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
-SHIPPED_CONF = "spark.gridspark.shipped"
+SHIPPED = "_gridspark_shipped"
 
 
 def get_spark(app: str = "gridspark", master: str | None = None, shuffle_partitions: int | None = None,
@@ -37,8 +37,9 @@ def get_spark(app: str = "gridspark", master: str | None = None, shuffle_partiti
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to all Python workers, once a session: grouped functions are unpickled there by module name."""
-    if spark.conf.get(SHIPPED_CONF, None):
+    """Send this package to all Python workers, once a context: grouped functions are unpickled there by module name."""
+    context = spark.sparkContext
+    if getattr(context, SHIPPED, False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     # the driver serves this file to the executors as long as it lives
@@ -51,8 +52,8 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     file = os.path.join(at, name)
                     out.write(file, os.path.join("gridspark", os.path.relpath(file, root)))
-    spark.sparkContext.addPyFile(path)
-    spark.conf.set(SHIPPED_CONF, "true")
+    context.addPyFile(path)
+    setattr(context, SHIPPED, True)
 
 
 def shared_dir(spark: SparkSession) -> str:

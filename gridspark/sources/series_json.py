@@ -9,9 +9,14 @@ from gridspark.functions import numeric, text, timefn
 from gridspark.schemas import SERIES_DOC
 
 
-def read_series(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Series and category documents. Plain files are split across tasks; a missing field is NULL."""
-    return spark.read.schema(SERIES_DOC).json(path)
+def read_series(spark: SparkSession, path: str | list[str], origin: bool = False) -> DataFrame:
+    """Series and category documents. Plain files are split across tasks; a missing field is NULL.
+
+    `origin` adds a column that orders documents by the time of their file, its name and the place of the part read.
+    """
+    docs = spark.read.schema(SERIES_DOC).json(path)
+    place = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+    return docs.select("*", place.alias("origin")) if origin else docs
 
 
 def parse_series_lines(lines: DataFrame, column: str = "value") -> DataFrame:

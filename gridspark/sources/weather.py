@@ -90,11 +90,11 @@ def airport_filter(airports: DataFrame) -> DataFrame:
 
 
 def merge_stations(airports: DataFrame, history: DataFrame, order: list[str]) -> DataFrame:
-    """Airports joined with stations on callsign, first match per callsign by `order`, codes as integers."""
+    """Airports joined with stations on callsign, first match per callsign by `order`. Codes stay text: some hold a letter, and
+    leading zeros are part of a file's name."""
     joined = airports.join(history, "CALL")
     columns = [c for c in joined.columns if c != "CALL" and c not in order] + order
-    first = select.first_per_key(joined, ["CALL"], F.struct(*order), columns)
-    return first.withColumn("USAF", F.col("USAF").try_cast("int")).withColumn("WBAN", F.col("WBAN").try_cast("int"))
+    return select.first_per_key(joined, ["CALL"], F.struct(*order), columns)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

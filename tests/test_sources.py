@@ -184,7 +184,7 @@ def test_station_history_and_airports(spark, tmp_path):
     air = weather.airport_filter(weather.read_airports(spark, str(tmp_path / "air.csv")))
     assert [tuple(r) for r in air.collect()] == [("Portland Intl", "Portland", "KPDX")]
     merged = weather.merge_stations(air, history, ["USAF"]).collect()
-    assert len(merged) == 1 and (merged[0].USAF, merged[0].WBAN) == (726980, 24229)
+    assert len(merged) == 1 and (merged[0].USAF, merged[0].WBAN) == ("726980", "24229")
 
 
 def test_lists_and_sinks(spark, tmp_path, stations):
@@ -234,3 +234,20 @@ def test_vocabulary(spark):
     assert vocab.region_dim(spark).count() == 50 and vocab.state_dim(spark).count() == 50
     assert vocab.city_dim(spark).count() == 150
     assert vocab.literal_table(spark, [("it's", 1.5)], ["a", "b"]).collect()[0].a == "it's"
+
+
+def test_the_last_value_of_a_key_counts(spark, tmp_path):
+    import os
+
+    def line(values):
+        return ('{"series_id":"EBA.PACE-ALL.D.H","name":"Demand for PacifiCorp East (PACE), Hourly, UTC time","f":"H","data":'
+                + str([[h, v] for h, v in values]).replace("'", '"') + "}\n")
+
+    folder = tmp_path / "eba"
+    folder.mkdir()
+    (folder / "b.txt").write_text(line([("20240101T00Z", 9.0), ("20240101T01Z", 9.0)]))
+    (folder / "a.txt").write_text(line([("20240101T00Z", 5.0), ("20240101T00Z", 3.0)]))
+    os.utime(folder / "b.txt", (1, 1))
+    load.load_eba(spark, str(folder), drop=True)
+    got = {r.ts.hour: r.val for r in spark.table("eba").collect()}
+    assert got == {0: 3.0, 1: 9.0}
