@@ -88,6 +88,24 @@ def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(parquet(spark, sf, "documents"), WORD_TOKENIZER, end=1, capacity=4096)
 
 
-@query("op13_collocations")
+_COLLOCATIONS = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+    total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+    grams AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+        lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, (SELECT unnest(range(1, 6)) AS k)) GROUP BY ALL),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ps FROM grams WHERE k > 1 AND f >= 100),
+    cuts AS (SELECT lang, phrase, a, ps, unnest(range(1, k)) AS j FROM c),
+    parts AS (SELECT lang, phrase, a, j, array_to_string(ps[1:j], ' ') AS x, array_to_string(ps[j + 1:], ' ') AS y FROM cuts),
+    scored AS (SELECT p.lang, p.phrase, p.a, g.f AS l, h.f AS r, n, CAST(1000::HUGEINT * p.a * n // (g.f::HUGEINT * h.f) AS BIGINT) AS score
+        FROM parts p JOIN grams g ON g.lang = p.lang AND g.phrase = p.x JOIN grams h ON h.lang = p.lang AND h.phrase = p.y
+        JOIN total t ON t.lang = p.lang QUALIFY row_number() OVER (PARTITION BY p.lang, p.phrase ORDER BY score, j) = 1),
+    inside AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, unnest(list_transform(range(1, k - m + 2),
+        lambda i: array_to_string(ps[i:i + m - 1], ' '))) AS phrase FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k) GROUP BY ALL)
+    SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, l, r, n, score
+    FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase WHERE i.a IS NULL OR i.a < s.a QUALIFY rank <= 2000"""
+
+
+@query("op13_collocations", _COLLOCATIONS)
 def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.mine(parquet(spark, sf, "documents"), least=100, top=2000)
