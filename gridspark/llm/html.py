@@ -47,6 +47,9 @@ FRAME_WORDS = frozenset("""ad ads advert adverts advertisement advertising spons
     overlay comment comments disqus replies respond share sharing social related recommended recommendations newsletter
     subscribe subscription signup login search widget widgets toolbar masthead pagination pager copyright""".split())
 
+#: Well-formed tags; a try ends at the next sign of another tag, so all tries together are linear too.
+PLAIN = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)(?:\s+[\w:.-]+(?:=\"[^\"<>]*\")?)*\s*/?>", re.A)
+RAWS = frozenset(RAW.split("|"))
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 OPENER = re.compile(rf"(?:{RAW})(?=[\s/>])", re.I)
 CLOSERS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
@@ -158,6 +161,11 @@ class Tags:
         page, at = self.page, 0
         while (start := page.find("<", at)) >= 0:
             at = start + 1
+            tag = PLAIN.match(page, start)
+            if tag is not None and ((closes := page[at] == "/") or tag[1].lower() not in RAWS):
+                at = tag.end()
+                yield start, at, tag[1], closes, page[tag.end(1):at - 1], ""
+                continue
             if page.startswith("<!--", start):
                 end = page.find("-->", start + 4)
                 at = len(page) if end < 0 else end + 3
