@@ -144,3 +144,19 @@ def test_long_text_is_cut_behind_breaks():
     parts = list(phrases.pieces(data, offsets, ["en"], 100))
     assert b"".join(p.tobytes() for p, _, _ in parts) == text and len(parts) > 20
     assert all(p.tobytes().rstrip().endswith(b",") for p, _, _ in parts[:-1])
+
+
+def test_sql_says_the_same(spark, tmp_path):
+    """The registered SQL over a few documents, with its own least count."""
+    import duckdb
+
+    from gridspark.llm.queries import ORACLES
+
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(some_rows(9, 900))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    got = phrases.mine(frame).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
+    want = con.execute(f"SELECT lang, rank, phrase, a, l, r, n, score FROM ({ORACLES['op13_collocations']})").fetchall()
+    assert got and sorted(map(tuple, got)) == sorted(want) == plain([(lang, text) for _, text, lang in rows], 100, 2000)

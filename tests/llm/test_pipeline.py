@@ -16,7 +16,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and len(corpus_pipeline.STAGES) == 5
 
 
