@@ -1,6 +1,7 @@
 """Repeats, near copies, leaks, tokens and shards against plain versions."""
 
 import hashlib
+import itertools
 import random
 import tracemalloc
 import zlib
@@ -290,3 +291,20 @@ def test_differencing_combines_largest_spreads():
     for size, where in zip([8, 7, 6, 5, 4], goes):
         sums[where[0]] += size
     assert sorted(sums) == [14, 16]
+
+
+@pytest.mark.parametrize("width", [2, 3])
+def test_differencing_against_every_partition(width):
+    """Two shards of at most four groups come out best; never is the spread above the best one by more than the largest group."""
+    rng = random.Random(width)
+    for _ in range(60):
+        sizes = [rng.randint(1, 40) for _ in range(rng.randint(1, 4 if width == 2 else 7))]
+        goes = sharding.difference([[s, *[0] * (width - 1)] for s in sizes])
+        sums = [0] * width
+        for s, g in zip(sizes, goes):
+            sums[g[0]] += s
+        best = min(max(t) - min(t) for t in (
+            [sum(s for s, p in zip(sizes, parts) if p == k) for k in range(width)]
+            for parts in itertools.product(range(width), repeat=len(sizes))))
+        assert best <= max(sums) - min(sums) <= best + max(sizes)
+        assert width > 2 or max(sums) - min(sums) == best
