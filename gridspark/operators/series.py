@@ -73,34 +73,53 @@ def seasonal_decompose(df: DataFrame, keys: list[str], val: str = "val", period:
         ((F.col(val) - F.col("trend") - seasonal) / F.col("mean")).alias("residual"))
 
 
-def compact_index(df: DataFrame, keys: list[str], val: str = "val", size: int = grid.CHUNK) -> DataFrame:
-    """Drop NULLs and renumber `slot` without holes, as the correlation functions expect."""
-    rows = df.where(F.col(val).isNotNull())
-    rows = grid.row_index(rows, keys, ["slot"], grid.chunk_of(F.col("slot"), size), out="rn")
-    return rows.drop("slot", grid.chunk_col(size)).withColumnRenamed("rn", "slot")
+def _join_chunks(chunks: pd.DataFrame, nlags: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Chunk sums to series sums: values counted, centred products for lags 0..nlags, first and last nlags centred values."""
+    mean = np.average(chunks["mean"], weights=chunks["n"])
+    products, head, tail = np.zeros(nlags + 1), np.empty(0), np.empty(0)
+    for row in chunks.sort_values("chunk").itertuples():
+        shift, lags = row.mean - mean, np.arange(min(row.n, nlags + 1))
+        first, last = np.asarray(row.head, float), np.asarray(row.tail, float)
+        # a chunk's deviations sum to 0, so a shifted sum is minus what falls off both ends
+        off = np.concatenate([[0.0], np.cumsum(first)])[lags] + np.concatenate([[0.0], np.cumsum(last[::-1])])[lags]
+        products[lags] += np.asarray(row.products, float)[lags] - shift * off + (row.n - lags) * shift**2
+        first, last = first + shift, last + shift
+        for k in range(1, nlags + 1):
+            i = np.arange(max(0, k - len(tail)), min(k, len(first)))
+            products[k] += first[i] @ tail[len(tail) + i - k]
+        head = np.concatenate([head, first])[:nlags] if len(head) < nlags else head
+        tail = np.concatenate([tail, last])
+        tail = tail[max(0, len(tail) - nlags):]
+    return int(chunks["n"].sum()), products, head, tail
 
 
 def _lag_products(df: DataFrame, keys: list[str], val: str, nlags: int, size: int) -> DataFrame:
-    """Per series: n, mean and the sums of centred products for lags 0..nlags (`products`), NULLs dropped.
+    """Per series: n, the sums of centred products for lags 0..nlags (`products`), and the first and last nlags centred
+    values (`head`, `tail`). NULLs are dropped and lags count what is left.
 
-    `head` and `tail` hold the first and last rows, nlags and 2*nlags of them, for edge corrections.
+    Rows are shuffled once, by (series, chunk): a chunk sums its own pairs about its own mean and keeps its ends. The second
+    shuffle brings one row per chunk together, where products move to the series' mean and pairs over the borders are added.
     """
-    rows = compact_index(df, keys, val, size)
-    # positions run from 0 to n - 1, so the spans need no look at the numbered rows
-    stats = df.groupBy(*keys).agg(F.avg(val).alias("mean"), F.count(val).alias("hi")).where("hi > 0").select(
-        *keys, F.lit(0).cast("long").alias("lo"), (F.col("hi") - 1).alias("hi"), "mean")
-    rows = grid.with_halo(rows.select(*keys, "slot", val), before=nlags, size=size)
-    rows = grid.attach(rows, stats, keys, size, before=nlags, windowed=True)
-    rows = rows.withColumn("c", F.col(val) - F.col("mean"))
-    w = grid.halo_window(keys, size)
+    chunk = grid.chunk_col(size)
+    rows = grid.with_chunk(df.where(F.col(val).isNotNull()), size).select(*keys, chunk, "slot", F.col(val).cast("double").alias("v"))
+    inside, w = W.partitionBy(*keys, chunk), grid.halo_window(keys, size)
+    rows = rows.withColumn("at", F.row_number().over(w)).withColumns(
+        {"mean": F.avg("v").over(inside), "n": F.count("v").over(inside)}).withColumn("c", F.col("v") - F.col("mean"))
     lags = [F.col("c") * (F.col("c") if k == 0 else F.lag("c", k).over(w)) for k in range(nlags + 1)]
-    rows = grid.own_rows(rows.select("*", *[p.alias(f"p{k}") for k, p in enumerate(lags)]))
-    pair = F.struct("slot", "c")
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.max("mean").alias("mean"),
+    rows, pair = rows.select("*", *[p.alias(f"p{k}") for k, p in enumerate(lags)]), F.struct("at", "c")
+    sums = rows.groupBy(*keys, chunk).agg(
+        F.first("n").alias("n"), F.first("mean").alias("mean"),
         F.array(*[F.coalesce(F.sum(f"p{k}"), F.lit(0.0)) for k in range(nlags + 1)]).alias("products"),
-        F.sort_array(F.collect_list(F.when(F.col("slot") < nlags, pair))).alias("head"),
-        F.sort_array(F.collect_list(F.when(F.col("slot") > F.col("hi") - 2 * nlags, pair))).alias("tail"))
+        F.sort_array(F.collect_list(F.when(F.col("at") <= nlags, pair)))["c"].alias("head"),
+        F.sort_array(F.collect_list(F.when(F.col("at") > F.col("n") - nlags, pair)))["c"].alias("tail"))
+    sums = sums.withColumnRenamed(chunk, "chunk")
+    schema = sums.select(*keys, "n", "products", "head", "tail").schema
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, products, head, tail = _join_chunks(pdf, nlags)
+        return pdf.iloc[:1][keys].assign(n=n, products=[products], head=[head], tail=[tail])
+
+    return sums.groupBy(*keys).applyInPandas(join, schema)
 
 
 def acf(df: DataFrame, keys: list[str], val: str = "val", nlags: int = 24, size: int = grid.CHUNK) -> DataFrame:
@@ -145,8 +164,7 @@ def pacf(df: DataFrame, keys: list[str], val: str = "val", nlags: int = 24, size
     Spark sums the lag products; Python only solves the small normal equations, one row per series.
     """
     sums = _lag_products(df, keys, val, nlags, size)
-    edge = sums.select(*keys, "n", "products", F.col("head.c").alias("head"), F.col("tail.c").alias("tail"))
-    out_schema = edge.select(*keys, F.lit(None).cast("array<double>").alias("pacf")).schema
+    out_schema = sums.select(*keys, F.lit(None).cast("array<double>").alias("pacf")).schema
 
     def solve(batches):
         for pdf in batches:
@@ -154,7 +172,7 @@ def pacf(df: DataFrame, keys: list[str], val: str = "val", nlags: int = 24, size
                       for n, p, h, t in zip(pdf["n"], pdf["products"], pdf["head"], pdf["tail"])]
             yield pd.concat([pdf[keys], pd.Series(values, name="pacf", index=pdf.index, dtype=object)], axis=1)
 
-    solved = edge.mapInPandas(solve, out_schema)
+    solved = sums.mapInPandas(solve, out_schema)
     return solved.select(*keys, F.posexplode("pacf").alias("lag", "pacf"))
 
 

@@ -45,10 +45,12 @@ def test_seasonal_decompose(spark, period, size):
         same(values(out, name), want[name])
 
 
-@pytest.mark.parametrize("size", [24, 16128])
+@pytest.mark.parametrize("size", [5, 24, 16128])
 def test_acf_and_pacf(spark, size):
     d = data()
     d["s0"][5] = d["s0"][70] = None
+    d["s1"][30:61] = [None] * 31  # whole chunks without a value
+    d["s2"] = [v + 1e6 for v in d["s2"]]
     acf = values(series.acf(frame(spark, d), K, nlags=8, size=size), "acf", "lag")
     pacf = values(series.pacf(frame(spark, d), K, nlags=8, size=size), "pacf", "lag")
     for k, x in d.items():
@@ -62,6 +64,15 @@ def test_acf_and_pacf(spark, size):
         np.testing.assert_allclose(pacf[k], want, rtol=1e-6, atol=1e-8)
 
 
+@pytest.mark.parametrize("size", [24, 16128])
+def test_correlations_shuffle_twice(spark, size):
+    plan = series.acf(frame(spark, data()), K, nlags=8, size=size)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
+    odd = frame(spark, {"none": [None, None], "one": [3.0], "flat": [2.5] * 30})
+    assert {(r.series, r.lag, r.acf) for r in series.acf(odd, K, nlags=2, size=size).collect()} == {
+        ("one", 0, None), ("flat", 0, None), ("flat", 1, None), ("flat", 2, None)}
+
+
 @pytest.mark.parametrize("size", [24, 16128])
 def test_lags_windows_and_scaling(spark, size):
     d = data(96)
