@@ -280,3 +280,15 @@ def test_refined_search_against_a_plain_loop(spark, temp_col):
         assert got[k].rmse <= first and got[k].rmse == pytest.approx(low, rel=1e-6)
         for n in smoothing.PARAM_NAMES:
             assert got[k][n] == pytest.approx(getattr(best, n), rel=1e-4, abs=1e-6)
+
+
+@pytest.mark.parametrize("holes", [[], [0], [3, 4, 23], list(range(24))])
+def test_a_day_of_hourly_steps_is_one_map(holes):
+    rng = np.random.default_rng(5)
+    y, p = rng.normal(50, 5, 24), np.abs(rng.normal(0.2, 0.1, 10))
+    y[holes] = np.nan
+    for state in (rng.normal(size=smoothing.STATE), rng.normal(size=(3, smoothing.STATE))):
+        for weekend in (0, 1):
+            want = smoothing.hour_steps(state, y, weekend, p)
+            for got, plain in zip(smoothing.hourly_day_step(state, y, weekend, p, "mean"), want):
+                np.testing.assert_allclose(got, plain, rtol=1e-9, atol=1e-9)
