@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridspark import fixtures as fx
@@ -10,7 +12,8 @@ from gridspark.catalog.base import query, rounded
 from gridspark.functions import text, timefn
 from gridspark.operators import align, upsert
 from gridspark.plans import load, matrix
-from gridspark.sources import elec, listing, meter, series_json, weather
+from gridspark.session import materialize
+from gridspark.sources import elec, listing, meter, series_json, warehouse, weather
 
 
 def json_lines(docs):
@@ -150,6 +153,24 @@ def schema_union(spark, sf):
     return elec.union_chunks(a, b)
 
 
+@query("elec_growing", """SELECT p_name AS name, 'M' AS f, CAST(p_size AS VARCHAR) AS size, NULL AS childseries, NULL AS units
+    FROM part UNION ALL SELECT s_name, NULL, NULL, concat('["', s_suppkey, '"]'), NULL FROM supplier
+    UNION ALL SELECT c_name, 'A', NULL, NULL, c_mktsegment FROM customer""")
+def elec_growing(spark, sf):
+    """A managed table that three loads with different fields make wider; the middle one is run again and adds nothing."""
+    table = f"elec_{uuid.uuid4().hex}"
+    part = fx.table(spark, sf, "part").select(F.col("p_name").alias("name"), F.lit("M").alias("f"), F.col("p_size").alias("size"))
+    supplier = fx.table(spark, sf, "supplier").select(F.col("s_name").alias("name"),
+                                                      F.array(F.col("s_suppkey").cast("string")).alias("childseries"))
+    customer = fx.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("units"), F.col("c_name").alias("name"), F.lit("A").alias("f"))
+    warehouse.append_growing(elec.as_text(part), table)
+    for chunk in (supplier, supplier, customer):
+        warehouse.append_growing(elec.as_text(chunk), table, new_only=True)
+    out = materialize(spark.table(table), "elec")
+    warehouse.drop_tables(spark, [table], execute=True)
+    return out
+
+
 def file_listing(spark, sf):
     """Stand-in for a folder listing: some station-years are absent, some are empty."""
     files = weather.with_file_names(fx.station(spark, sf))

@@ -9,7 +9,7 @@ from gridspark import vocab
 from gridspark.functions import text
 from gridspark.operators import align, grid, select
 from gridspark.session import materialize
-from gridspark.sources import listing, series_json, warehouse, weather
+from gridspark.sources import elec, listing, series_json, warehouse, weather
 
 
 def source_dim(docs: DataFrame, order: Column | None = None) -> DataFrame:
@@ -154,3 +154,13 @@ def load_isd(spark: SparkSession, folder: str, stations: DataFrame, database: st
     rows = weather.to_long(wide.where("ts is not null"), zero_as_null=zero_as_null)
     warehouse.upsert_table(rows, "isd", ["ts", "callsign", "measure"], "val", database, order="val")
     return listing.expected_files(expected, listing.list_files(spark, folder), ["callsign"])
+
+
+def load_elec(spark: SparkSession, paths: list[str], table: str = "elec", database: str = "default", drop: bool = False) -> list[str]:
+    """JSON-lines chunks to one table of text columns that grows by the fields a load brings; returns the columns added.
+
+    Rows of earlier loads have NULL in later columns. A repeated load adds nothing; `drop` starts anew.
+    """
+    if drop:
+        warehouse.drop_tables(spark, [table], database, execute=True)
+    return warehouse.append_growing(elec.read_elec(spark, paths), table, database, new_only=True)

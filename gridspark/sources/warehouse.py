@@ -50,7 +50,7 @@ def shaped(df: DataFrame, table: str, database: str = "default") -> DataFrame:
     columns = df.sparkSession.table(f"{database}.{table}").columns
     if "month" in columns and "month" not in df.columns:
         df = df.withColumn("month", month_of("ts"))
-    return df.select(*columns)
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def time_slice(spark: SparkSession, table: str, after: str, until: str, database: str = "default") -> DataFrame:
@@ -70,6 +70,36 @@ def append(df: DataFrame, table: str, database: str = "default", sort_by: list[s
     rows.write.insertInto(f"{database}.{table}")
 
 
+def grow(df: DataFrame, table: str, database: str = "default") -> list[str]:
+    """Add the columns of `df` that a table lacks, creating it if need be; returns the names added. Rows stored before
+    have NULL there. A column that exists keeps its type."""
+    spark = df.sparkSession
+    name = f"{database}.{table}"
+    ddl = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields}
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({', '.join(ddl.values())}) USING parquet")
+        return list(ddl)
+    known = {c.lower() for c in spark.table(name).columns}
+    added = [c for c in ddl if c.lower() not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(ddl[c] for c in added)})")
+    return added
+
+
+def append_growing(df: DataFrame, table: str, database: str = "default", new_only: bool = False) -> list[str]:
+    """Append rows whose columns may be more or fewer than the table's; absent ones are NULL. Returns the columns added.
+
+    `new_only` leaves out rows that the table holds already, so that a repeated load adds nothing.
+    """
+    added = grow(df, table, database)
+    given = {c.lower(): c for c in df.columns}
+    fields = df.sparkSession.table(f"{database}.{table}").schema.fields
+    rows = df.select(*[(F.col(f"`{given[f.name.lower()]}`") if f.name.lower() in given else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in fields])
+    (append_new if new_only else append)(rows, table, database)
+    return added
+
+
 def _equal(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
@@ -101,17 +131,26 @@ def merge_dim(df: DataFrame, table: str, keys: list[str], database: str = "defau
     return merged
 
 
-def replace_partitions(df: DataFrame, table: str, database: str = "default") -> None:
+def replace_partitions(df: DataFrame, table: str, database: str = "default", cluster: list[str] | None = None) -> None:
     """Overwrite only the partitions present in `df`, which may read the table itself: the rows are written to the shared folder
     first. The overwrite runs in a session of its own, since insertInto takes its mode from the session, not from a
-    writer option."""
+    writer option.
+
+    `cluster` names columns by whose ranges the rows are dealt to files and sorted, partition columns first: each file then
+    holds few values of them, and Parquet's statistics let a query on one value pass over most of a partition.
+    """
     spark = df.sparkSession
     rows, path = shaped(df, table, database), scratch_path(spark, f"replace-{table}")
     rows.write.mode("errorifexists").parquet(path)
     own = spark.newSession()
+    for key, setting in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, setting)
     own.conf.set(OVERWRITE_MODE, "dynamic")
-    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    own.read.schema(rows.schema).parquet(path).write.insertInto(f"{database}.{table}", overwrite=True)
+    rows = own.read.schema(rows.schema).parquet(path)
+    if cluster:
+        rows = rows.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
+    rows.write.insertInto(f"{database}.{table}", overwrite=True)
     spark.catalog.refreshTable(f"{database}.{table}")
 
 
@@ -119,7 +158,8 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], value: str, databa
                  order: str | None = None) -> None:
     """Replace values on equal keys and add new keys, touching only the partitions `new` falls into: for facts, months.
 
-    The merged rows are spread by all keys but the time, so that a partition gets a file per task and not one task per partition.
+    The merged rows are spread by all keys but the time, so that no partition is one task, and stored by ranges of (partition,
+    other keys, time), so that a slice of one source reads a few files of a month.
     """
     spark = new.sparkSession
     current = spark.table(f"{database}.{table}")
@@ -133,7 +173,8 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], value: str, databa
         current = touched.unionByName(current.where(lost))
     keys = [*keys, *[p for p in parts if p not in keys]]
     spread = [k for k in keys if k != "ts"]
-    replace_partitions(upsert.upsert(current, new, keys, value, order, spread), table, database)
+    cluster = [*parts, *[k for k in spread if k not in parts], *[k for k in keys if k == "ts"]]
+    replace_partitions(upsert.upsert(current, new, keys, value, order, spread), table, database, cluster)
 
 
 def columns(spark: SparkSession, table: str, database: str = "default") -> list[tuple[str, int, str]]:

@@ -251,3 +251,42 @@ def test_the_last_value_of_a_key_counts(spark, tmp_path):
     load.load_eba(spark, str(folder), drop=True)
     got = {r.ts.hour: r.val for r in spark.table("eba").collect()}
     assert got == {0: 3.0, 1: 9.0}
+
+
+def test_elec_table_grows(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_grow")
+    (tmp_path / "c0").write_text(json.dumps({"name": "a", "f": "M", "data": [["201603", 1.5]]}) + "\n" + json.dumps({"name": "b"}))
+    (tmp_path / "c1").write_text(json.dumps({"name": "p", "childseries": ["x"], "odd name": 1}))
+    assert load.load_elec(spark, [str(tmp_path / "c0")], database="t_grow", drop=True) == ["data", "f", "name"]
+    for _ in range(2):  # a repeated load adds neither columns nor rows
+        added = load.load_elec(spark, [str(tmp_path / "c1")], database="t_grow")
+    assert added == []
+    assert warehouse.columns(spark, "elec", "t_grow")[3:] == [("childseries", 4, "string"), ("odd name", 5, "string")]
+    got = {r.name: (r.f, r.childseries, r["odd name"]) for r in spark.table("t_grow.elec").collect()}
+    assert got == {"a": ("M", None, None), "b": (None, None, None), "p": (None, '["x"]', "1")}
+    assert warehouse.count(spark, "elec", "t_grow") == 3
+    assert load.load_elec(spark, [str(tmp_path / "c1")], database="t_grow", drop=True) == ["childseries", "name", "odd name"]
+
+
+def test_files_of_a_month_are_cut_by_source(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sorted")
+    warehouse.drop_tables(spark, ["eba"], "t_sorted", execute=True)
+    warehouse.create_tables(spark, ["eba"], "t_sorted")
+    rows = spark.range(48 * 744).select(
+        (F.lit("2020-01-01").cast("timestamp") + F.make_dt_interval(hours=F.expr("int(id % 744)"))).alias("ts"),
+        F.format_string("S%02d", F.expr("int(id / 744)")).alias("source"), F.lit("D").alias("measure"), F.col("id").cast("double").alias("val"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        warehouse.replace_partitions(warehouse.shaped(rows, "eba", "t_sorted"), "eba", "t_sorted", ["measure", "month", "source", "ts"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    table = spark.table("t_sorted.eba")
+    files = table.select(F.input_file_name().alias("file"), "source").groupBy("file").agg(
+        F.min("source").alias("lo"), F.max("source").alias("hi")).collect()
+    wanted = [f for f in files if f.lo <= "S17" <= f.hi]
+    assert table.count() == 48 * 744 and len(files) >= 30 and len(wanted) < len(files) / 10
+    got = warehouse.time_slice(spark, "eba", "2020-01-05", "2020-01-06", "t_sorted").where("source = 'S17'")
+    assert got.count() == 24
+    warehouse.drop_tables(spark, ["eba"], "t_sorted", execute=True)
