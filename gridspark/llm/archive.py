@@ -7,7 +7,9 @@ record identifier from the record's content (so a retried task makes the same on
 date, a type from the content type, and SHA-1 digests of the block and of the payload behind the HTTP header.
 
 Files are written with Spark's text sink, whose line separator is the separator between records, so they lie in any store
-that Spark reaches; they are read back whole, a bounded number of records a file, with the binary file source.
+that Spark reaches. A row of the sink is a block of records, closed at BLOCK_BYTES or BLOCK_RECORDS, and a file holds
+BLOCKS_PER_FILE of them: no file passes 64 MB by more than its blocks' last records, so it can be read back whole with the binary file
+source.
 """
 
 from __future__ import annotations
@@ -27,9 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm._text import utf8
-from gridspark.session import scratch_path
+from gridspark.session import materialize, scratch_path
 
-RECORDS_PER_FILE = 2048
+BLOCK_BYTES, BLOCK_RECORDS, BLOCKS_PER_FILE = 16 << 20, 512, 4
 #: Fixed values of the formats: field names of the header lines by version, WARC profile of a revisit.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -37,6 +39,7 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 OUT_BYTES = 16 << 20
+ARC_GAP, WARC_GAP = b"\n", b"\r\n\r\n"
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -187,51 +190,61 @@ def warc_record(row: dict, kept: dict | None) -> bytes:
     return "".join(["WARC/1.1\r\n", *(f"{k}: {v}\r\n" for k, v in fields), "\r\n"]).encode() + body
 
 
+def _blocks(rows: Iterator, gap: bytes, render, start=None) -> Iterator[pa.RecordBatch]:
+    """Records `render(row, file number)` joined to blocks; `start(file number)` gives what opens a file."""
+    held, size, n = [], 0, 0
+
+    def block() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([gap.join(held)], pa.binary())], ["block"])
+
+    for row in rows:
+        file = n // BLOCKS_PER_FILE
+        if start and not held and n % BLOCKS_PER_FILE == 0:
+            held.append(start(file))
+        held.append(render(row, file))
+        size += len(held[-1])
+        if size >= BLOCK_BYTES or len(held) >= BLOCK_RECORDS:
+            yield block()
+            held, size, n = [], 0, n + 1
+    if held:
+        yield block()
+
+
 def _render_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def records() -> Iterator[dict]:
+    def records() -> Iterator[tuple[ArcRecord, dict | None]]:
         for file, data in _contents(batches):
             revisits = {x["seq"]: x for x in file["revisits"] or ()}
             for i, r in enumerate(parse_arc(data)):
-                yield {"record": warc_record(convert_record(r), revisits.get(i))}
+                yield r, revisits.get(i)
 
-    yield from _batches(records(), _arrow("record binary"), lambda row: len(row["record"]))
+    yield from _blocks(records(), WARC_GAP, lambda row, file: warc_record(convert_record(row[0]), row[1]))
 
 
-def _render_arc(batches: Iterator[pa.RecordBatch], date: str, per_file: int) -> Iterator[pa.RecordBatch]:
-    n, out, size = 0, [], 0
-    for batch in batches:
-        data, offsets = utf8(batch.column("html"))
-        for i, (page, url) in enumerate(zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist())):
-            version = 1 + n // per_file % 2
-            if n % per_file == 0:
-                out.append(version_block(version, date))
-                n += 1
-            url = quote(url, safe=":/?#[]@!$&'()*+,;=%~-._") if url else f"urn:page:{page}"
-            out.append(arc_record(version, url, date, http_block(data[offsets[i]:offsets[i + 1]].tobytes(), page)))
-            n += 1
-            size += len(out[-1])
-            if size >= OUT_BYTES:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-                out, size = [], 0
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-
-
-def _write(records: DataFrame, path: str, gap: str, per_file: int) -> None:
-    (records.select(F.col("record").cast("string").alias("value")).write
-     .option("lineSep", gap).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-     .option("maxRecordsPerFile", per_file).text(path))
+def _render_arc(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[pa.RecordBatch]:
+    def pages() -> Iterator[tuple[str, bytes]]:
+        for batch in batches:
+            data, offsets = utf8(batch.column("html"))
+            for i, (page, url) in enumerate(zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist())):
+                url = quote(url, safe=":/?#[]@!$&'()*+,;=%~-._") if url else f"urn:page:{page}"
+                yield url, http_block(data[offsets[i]:offsets[i + 1]].tobytes(), page)
+
+    yield from _blocks(pages(), ARC_GAP, lambda row, file: arc_record(1 + file % 2, row[0], date, row[1]),
+                       lambda file: version_block(1 + file % 2, date))
+
+
+def _write(blocks: DataFrame, path: str, gap: bytes) -> None:
+    (blocks.select(F.col("block").cast("string").alias("value")).write
+     .option("lineSep", gap.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+     .option("maxRecordsPerFile", BLOCKS_PER_FILE).text(path))
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
-def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", per_file: int = RECORDS_PER_FILE) -> None:
+def write_arc(pages: DataFrame, path: str, date: str = "20240101000000") -> None:
     """ARC files of (page_id, url, html), versions 1 and 2 in turn; a null html is an empty payload."""
-    rows = pages.select("page_id", "url", "html").mapInArrow(
-        partial(_render_arc, date=date, per_file=per_file), "record binary")
-    _write(rows, path, "\n", per_file)
+    _write(pages.select("page_id", "url", "html").mapInArrow(partial(_render_arc, date=date), "block binary"), path, ARC_GAP)
 
 
 def convert(spark: SparkSession, arc_path: str, blocks: bool = True) -> DataFrame:
@@ -240,22 +253,23 @@ def convert(spark: SparkSession, arc_path: str, blocks: bool = True) -> DataFram
     return _files(spark, arc_path).mapInArrow(partial(_convert, ddl=ddl), ddl)
 
 
-def write_warc(spark: SparkSession, arc_path: str, warc_path: str, min_payload: int = 0,
-               per_file: int = RECORDS_PER_FILE) -> None:
+def write_warc(spark: SparkSession, arc_path: str, warc_path: str, min_payload: int = 0) -> None:
     """Convert all ARC records below a folder into WARC files.
 
     Of records with equal payloads of at least `min_payload` bytes the one with the largest page_id (null: lowest) becomes a
     response, the others revisits of it; records that tie for the largest id are all responses.
     """
-    small = convert(spark, arc_path, blocks=False).select("path", "seq", "page_id", "payload_digest", "payload_bytes", "record_id", "url")
+    # the archives are read twice, for these small rows and for the records; payloads are never shuffled
+    small = materialize(convert(spark, arc_path, blocks=False).select(
+        "path", "seq", "page_id", "payload_digest", "payload_bytes", "record_id", "url"), "arc-records")
     first = (small.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest")
              .agg(F.count("*").alias("n"), F.max(F.struct("page_id", "record_id", "url")).alias("kept"))
              .where("n > 1").select("payload_digest", "kept"))
-    # one list a file, of at most `per_file` records: whole files are joined, in compressed form, not their records
+    # one list a file, of a bounded number of records: whole files are joined, in compressed form, not their records
     revisits = (small.join(first, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("kept.page_id")))
                 .groupBy("path").agg(F.collect_list(F.struct("seq", "kept.record_id", "kept.url")).alias("revisits")))
     rows = _files(spark, arc_path).join(revisits, "path", "left").select("content", "revisits")
-    _write(rows.mapInArrow(_render_warc, "record binary"), warc_path, "\r\n\r\n", per_file)
+    _write(rows.mapInArrow(_render_warc, "block binary"), warc_path, WARC_GAP)
 
 
 WARC_ROW = ("record_type string, record_id string, refers_to_id string, url string, warc_date string, "
@@ -305,7 +319,7 @@ def archive_pages(pages: DataFrame, min_payload: int = 0) -> DataFrame:
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc)
     write_warc(spark, arc, warc, min_payload)
-    records = read_warc(spark, warc)
+    records = materialize(read_warc(spark, warc), "warc-records")
     kept = (records.where("record_type = 'response'").groupBy(F.col("record_id").alias("id"))
             .agg(F.max("page_id").alias("refers_to")))
     responses = records.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))

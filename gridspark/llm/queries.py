@@ -38,9 +38,21 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign(parquet(spark, sf, "documents"), shards=8)
 
 
-@query("op4_warc")
+# base32: twenty bits, five hexadecimal digits, are four letters of the RFC 4648 alphabet
+_ARCHIVES = """WITH d AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+    v AS (SELECT *, list_transform(range(0, 8), lambda i: list_sum(list_transform(range(1, 6),
+        lambda j: (instr('0123456789abcdef', substr(x, 5 * i + j, 1)) - 1) << (4 * (5 - j))))::INTEGER) AS parts FROM d),
+    b AS (SELECT page_id, payload_bytes, array_to_string(list_transform(parts, lambda p: array_to_string(list_transform([15, 10, 5, 0],
+        lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((p >> k) & 31) + 1, 1)), '')), '') AS payload_digest FROM v),
+    g AS (SELECT payload_digest, max(page_id) AS top FROM b GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to FROM b JOIN g USING (payload_digest)"""
+
+
+@query("op4_warc", _ARCHIVES)
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
-    return archive.archive_pages(parquet(spark, sf, "pages"), min_payload=0)
+    rows = archive.archive_pages(parquet(spark, sf, "pages"), min_payload=0)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op8_html")

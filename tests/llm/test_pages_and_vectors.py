@@ -6,9 +6,11 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from compare import compare, connect
 
-from gridspark.llm import archive, html, neighbours
+from gridspark.llm import archive, html, neighbours, queries
 from gridspark.llm._text import parquet
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body>
@@ -122,6 +124,23 @@ def test_archives_round_trip(spark, least):
     assert archive.archive_pages(pages.where("false")).count() == 0
 
 
+def test_archive_files_are_closed_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(archive, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(archive, "BLOCK_RECORDS", 7)
+    pages = [{"page_id": i, "url": f"http://h/{i}", "html": "x" * (i * 37 % 1500)} for i in range(200)]
+    table = pa.RecordBatch.from_pylist(pages, pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())]))
+    blocks = [b.column(0)[0].as_py() for b in archive._render_arc(iter([table]), "20240101000000")]
+    files = [b"\n".join(blocks[i:i + archive.BLOCKS_PER_FILE]) for i in range(0, len(blocks), archive.BLOCKS_PER_FILE)]
+    assert len(files) > 5 and all(f.startswith(b"filedesc:") for f in files) and max(map(len, files)) < 4 * (4000 + 2000)
+    read = [r for f in files for r in archive.parse_arc(f)]
+    assert [r.url for r in read] == [p["url"] for p in pages] and {r.version for r in read} == {1, 2} and all(r.whole for r in read)
+    assert [archive.split_http(r.block)[1].decode() for r in read] == [p["html"] for p in pages]
+
+
+def test_archives_match_sql(spark, sf):
+    assert compare(queries.QUERIES["op4_warc"](spark, sf), queries.ORACLES["op4_warc"], connect(sf)) == []
+
+
 def test_arc_versions_lengths_and_damage():
     block = archive.http_block(b"one\ntwo", 5)
     for version in (1, 2):
