@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,11 @@ from gridspark.session import materialize
 K = 20
 FIT_BYTES = 128 << 20
 LIST_SIZE, FIT_ROWS, FIT_ROWS_PER_LIST = 128, 100_000, 16
-REPLICAS, REPLICA_RATIO, ASSIGN_BEAM = 2, 1.05, 24
-LEAST_LISTS, PROBE_RATIO, LEAST_VECTORS, PROBE_BEAM = 8, 1.18, 400, 64
+REPLICAS, REPLICA_RATIO, ASSIGN_BEAM = 4, 1.2, 24
+LEAST_LISTS, PROBE_RATIO, LEAST_VECTORS, PROBE_BEAM = 8, 1.18, 400, 48
+#: A query visits at most PROBE_SHARE * lists ** PROBE_POWER lists, or that number raised by halves until FIT_RECALL of the
+#: neighbours of FIT_QUERIES sample rows within the sample are found.
+PROBE_SHARE, PROBE_POWER, FIT_QUERIES, FIT_RECALL = 0.4, 0.75, 400, 0.97
 DEGREE, ENTRIES = 16, 16
 PIECE, HELD_ROWS = 4096, 1_000_000
 
@@ -81,34 +85,39 @@ class Graph:
         return ((self.nodes[nodes] - x[:, None]) ** 2).sum(axis=2)
 
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, squared distances) of the best `beam` nodes of each row of x, nearest first; -1 and inf where fewer."""
-        rows = len(x)
+        """(nodes, squared distances) of the best `beam` nodes of each row of x, nearest first; -1 and inf where fewer.
+        A step opens the nearest nodes not opened yet, a sixteenth of the beam at once."""
+        rows, wide = len(x), max(4, beam // 16)
         pool = np.full((rows, beam), -1)
         dist = np.full((rows, beam), np.inf)
-        seen = np.zeros((rows, beam), bool)
-        fresh = np.tile(self.entries, (rows, 1))
-        live = np.arange(rows)
+        opened = np.zeros((rows, beam), bool)
+        named = np.zeros((rows, len(self.nodes)), bool)
+        fresh, live = np.tile(self.entries, (rows, 1)), np.arange(rows)
         while len(live):
-            d = self.distances(x[live], fresh)
-            for k in range(fresh.shape[1]):  # a node named twice counts once
-                d[:, k][(fresh[:, :k] == fresh[:, k:k + 1]).any(axis=1) | (pool[live] == fresh[:, k:k + 1]).any(axis=1)] = np.inf
-            all_nodes = np.concatenate([pool[live], np.where(np.isinf(d), -1, fresh)], axis=1)
+            fresh = np.sort(fresh, axis=1)
+            old = named[live[:, None], fresh]
+            old[:, 1:] |= fresh[:, 1:] == fresh[:, :-1]
+            named[live[:, None], fresh] = True
+            d = np.where(old, np.inf, self.distances(x[live], fresh))
+            all_nodes = np.concatenate([pool[live], np.where(old, -1, fresh)], axis=1)
             all_dist = np.concatenate([dist[live], d], axis=1)
-            all_seen = np.concatenate([seen[live], np.zeros(d.shape, bool)], axis=1)
+            all_opened = np.concatenate([opened[live], np.zeros(d.shape, bool)], axis=1)
             order = np.argsort(all_dist, axis=1, kind="stable")[:, :beam]
             pool[live] = np.take_along_axis(all_nodes, order, 1)
             dist[live] = np.take_along_axis(all_dist, order, 1)
-            seen[live] = np.take_along_axis(all_seen, order, 1)
-            todo = ~seen[live] & (pool[live] >= 0)
-            going = todo.any(axis=1)
-            live, spot = live[going], todo[going].argmax(axis=1)
-            seen[live, spot] = True
-            fresh = self.edges[pool[live, spot]]
+            opened[live] = np.take_along_axis(all_opened, order, 1)
+            todo = ~opened[live] & (pool[live] >= 0)
+            live, todo = live[todo.any(axis=1)], todo[todo.any(axis=1)]
+            spots = np.argsort(~todo, axis=1, kind="stable")[:, :wide]
+            more = np.take_along_axis(todo, spots, 1)
+            opened[live[:, None], spots] = True
+            # rows with fewer to open repeat a node that is known
+            fresh = self.edges[np.where(more, pool[live[:, None], spots], self.entries[0])].reshape(len(live), more.shape[1] * self.edges.shape[1])
         return pool, dist
 
 
 def replicas(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
-    """Lists of each row: the nearest, and others within the ratio unless one taken before is nearer to them than the row."""
+    """Lists of each row: the nearest, and the next ones within the ratio."""
     pool, dist = graph.search(x, ASSIGN_BEAM)
     out = []
     for nodes, d in zip(pool, np.sqrt(dist)):
@@ -117,10 +126,43 @@ def replicas(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def probes(graph: Graph, x: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Lists that each query scans: those within the ratio, at least LEAST_LISTS and LEAST_VECTORS ids. The beam is half
-    of all lists if that is more, since in data without clusters the true neighbours lie in a large part of the lists."""
-    pool, dist = graph.search(x, max(PROBE_BEAM, len(counts) // 2))
+def nearest_lists(graph: Graph, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best `most` lists of a search whose beam is half as wide again."""
+    pool, dist = graph.search(x, min(len(graph.nodes), most + most // 2))
+    return pool[:, :most], dist[:, :most]
+
+
+def lists_to_visit(graph: Graph, sample: np.ndarray, most: float, k: float, seed: int = 7) -> int:
+    """How many lists a query visits at most, tried on the sample: its `k` nearest (k times the sample's share of the table)
+    of some rows have to be found. In data without clusters the number grows with a power of all lists below one."""
+    n, lists = len(sample), len(graph.nodes)
+    asked = np.random.default_rng(seed).permutation(n)[:FIT_QUERIES]
+    k = min(max(1, ceil(k)), n - 1)
+    if k < 1:
+        return lists
+    near = []
+    for lo in range(0, len(asked), 64):
+        part = asked[lo:lo + 64]
+        score = sample[part] @ sample.T
+        score[np.arange(len(part)), part] = -np.inf
+        near.append(np.argpartition(-score, k - 1, axis=1)[:, :k])
+    need, place = np.unique(np.concatenate(near), return_inverse=True)
+    homes = [h for lo in range(0, len(need), 1024) for h in replicas(graph, augmented(sample[need[lo:lo + 1024]], most))]
+    homes = np.stack([np.pad(h, (0, REPLICAS - len(h)), mode="edge") for h in homes])[place.reshape(-1, k)]
+    queries, visit = augmented(sample[asked], 0.0), max(PROBE_BEAM, ceil(PROBE_SHARE * lists ** PROBE_POWER))
+    while visit < lists:
+        pool, _ = nearest_lists(graph, queries, visit)
+        seen = np.zeros((len(asked), lists + 1), bool)
+        np.put_along_axis(seen, np.where(pool < 0, lists, pool), True, 1)
+        if seen[np.arange(len(asked))[:, None, None], homes].any(axis=2).mean() >= FIT_RECALL:
+            return visit
+        visit += visit // 2
+    return lists
+
+
+def probes(graph: Graph, x: np.ndarray, counts: np.ndarray, most: int) -> list[np.ndarray]:
+    """Lists that each query scans: those within the ratio, at least LEAST_LISTS and LEAST_VECTORS ids, at most `most`."""
+    pool, dist = nearest_lists(graph, x, most)
     out = []
     for nodes, d in zip(pool, np.sqrt(dist)):
         nodes, d = nodes[nodes >= 0], d[nodes >= 0]
@@ -215,6 +257,12 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
     counts; the least vector is the query.
     """
     spark = vectors.sparkSession
+    # single floats are carried as such, which loses nothing; all sums are taken in doubles
+    kind = np.dtype(np.float32 if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else np.float64)
+
+    def decoded(column) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, size).astype(np.float64)
+
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding")).where(
         "vec_id is not null and embedding is not null")
     lengths = rows.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
@@ -227,7 +275,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
         for batch in batches:
             at, x = _matrix(batch.column("embedding"), size)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at)), pa.array((x ** 2).sum(axis=1)),
-                                              pa.array([v.tobytes() for v in x], pa.binary())], ["vec_id", "square", "vector"])
+                                              pa.array([v.tobytes() for v in x.astype(kind)], pa.binary())], ["vec_id", "square", "vector"])
 
     # rows repeated as a whole are one candidate
     usable = materialize(rows.mapInArrow(measured, "vec_id long, square double, vector binary").dropDuplicates(["vec_id", "vector"]),
@@ -240,14 +288,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
     lists = max(1, min(n // list_size, fit_rows // FIT_ROWS_PER_LIST))
     sample = (usable.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(min(fit_rows, lists * FIT_ROWS_PER_LIST))
               .select("vector").collect())
-    sample = np.stack([np.frombuffer(r["vector"], np.float64) for r in sample])
-    graph = spark.sparkContext.broadcast(Graph.over(halve(augmented(sample, most), lists)))
+    sample = np.stack([np.frombuffer(r["vector"], kind).astype(np.float64) for r in sample])
+    fitted = Graph.over(halve(augmented(sample, most), lists))
+    visit = lists_to_visit(fitted, sample, most, k * len(sample) / n)
+    graph = spark.sparkContext.broadcast(fitted)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.float64).reshape(-1, size)
+            x = decoded(batch.column("vector"))
             chosen = [r for lo in range(0, len(x), 1024) for r in replicas(graph.value, augmented(x[lo:lo + 1024], most))]
             row = np.repeat(np.arange(len(x)), [len(r) for r in chosen])
             yield pa.RecordBatch.from_arrays(
@@ -267,9 +317,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.float64).reshape(-1, size)
+            x = decoded(batch.column("vector"))
             x = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
-            chosen = [r for lo in range(0, len(x), 512) for r in probes(graph.value, x[lo:lo + 512], counts)]
+            chosen = [r for lo in range(0, len(x), 512) for r in probes(graph.value, x[lo:lo + 512], counts, visit)]
             row = np.repeat(np.arange(len(x)), [len(r) for r in chosen])
             lists = np.concatenate(chosen)
             yield pa.RecordBatch.from_arrays(
@@ -294,7 +344,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
             rows = pa.Table.from_batches(parts)
             ask = rows.column("query").to_numpy()
             ids = rows.column("vec_id").to_numpy()
-            x = np.frombuffer(b"".join(rows.column("vector").to_pylist()), np.float64).reshape(-1, size)
+            x = decoded(rows.column("vector"))
             if ask.any() and not ask.all():
                 for found in top(x[~ask], ids[~ask], x[ask], ids[ask], k):
                     best.add(*found)

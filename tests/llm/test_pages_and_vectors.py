@@ -228,6 +228,29 @@ def test_graph_search_finds_the_nearest():
     assert all(len(set(p[p >= 0])) == (p >= 0).sum() for p in pool)
 
 
+@pytest.mark.parametrize("kind,n", [("plain", 6000), ("plain", 30000), ("clusters", 30000), ("norms", 30000)])
+def test_lists_to_visit_hold_recall(kind, n):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 32))
+    if kind == "clusters":
+        x = 0.4 * x + rng.normal(size=(60, 32))[rng.integers(0, 60, n)]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "norms":
+        x *= rng.lognormal(0, 0.3, n)[:, None]
+    most, lists = (x ** 2).sum(axis=1).max(), n // 128
+    sample = x[rng.permutation(n)[:16 * lists]]
+    graph = neighbours.Graph.over(neighbours.halve(neighbours.augmented(sample, most), lists))
+    visit = neighbours.lists_to_visit(graph, sample, most, 20 * len(sample) / n)
+    asked = x[:200]
+    score = asked @ x.T
+    score[np.arange(200), np.arange(200)] = -np.inf
+    near = np.argsort(-score, axis=1)[:, :20]
+    homes = neighbours.replicas(graph, neighbours.augmented(x[near.ravel()], most))
+    seen = neighbours.probes(graph, neighbours.augmented(asked, 0.0), np.full(lists, 512), visit)
+    hits = [bool(set(home) & set(seen[i // 20])) for i, home in enumerate(homes)]
+    assert np.mean(hits) > 0.93 and (kind == "norms" or np.mean([len(p) for p in seen]) <= max(48, 0.9 * lists ** 0.75))
+
+
 @pytest.mark.parametrize("page,want", [
     ("<a " * 100_000 + "end", ["<a " * 100_000 + "end"]), ("<script " * 40_000, ["<script " * 40_000]), ("<b><p>x" * 50_000, ["x"] * 50_000),
     ("<a \"<a '" * 40_000 + ">", None), ("<a" * 150_000 + " \">", None), ("<form><p>x" * 40_000, None), ("<b></i>" * 50_000, []),
