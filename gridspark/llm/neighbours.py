@@ -31,7 +31,7 @@ REPLICAS, REPLICA_RATIO, ASSIGN_BEAM = 4, 1.2, 24
 LEAST_LISTS, PROBE_RATIO, LEAST_VECTORS, PROBE_BEAM = 8, 1.18, 400, 48
 #: A query visits at most PROBE_SHARE * lists ** PROBE_POWER lists, or that number raised by halves until FIT_RECALL of the
 #: neighbours of FIT_QUERIES sample rows within the sample are found.
-PROBE_SHARE, PROBE_POWER, FIT_QUERIES, FIT_RECALL = 0.4, 0.75, 400, 0.97
+PROBE_SHARE, PROBE_POWER, FIT_QUERIES, FIT_RECALL = 0.4, 0.75, 400, 0.98
 DEGREE, ENTRIES = 16, 16
 PIECE, HELD_ROWS = 4096, 1_000_000
 
