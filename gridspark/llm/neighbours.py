@@ -30,8 +30,8 @@ LIST_SIZE, FIT_ROWS, FIT_ROWS_PER_LIST = 128, 100_000, 16
 REPLICAS, REPLICA_RATIO, ASSIGN_BEAM = 4, 1.2, 24
 LEAST_LISTS, PROBE_RATIO, LEAST_VECTORS, PROBE_BEAM = 8, 1.18, 400, 48
 #: A query visits at most PROBE_SHARE * lists ** PROBE_POWER lists, or that number raised by halves until FIT_RECALL of the
-#: neighbours of FIT_QUERIES sample rows within the sample are found.
-PROBE_SHARE, PROBE_POWER, FIT_QUERIES, FIT_RECALL = 0.4, 0.75, 400, 0.98
+#: neighbours of FIT_QUERIES rows are found among sampled rows that the lists were not fitted to (a quarter of those that were).
+PROBE_SHARE, PROBE_POWER, FIT_QUERIES, FIT_RECALL, HELD_OUT = 0.4, 0.75, 400, 0.96, 4
 DEGREE, ENTRIES = 16, 16
 PIECE, HELD_ROWS = 4096, 1_000_000
 
@@ -133,8 +133,9 @@ def nearest_lists(graph: Graph, x: np.ndarray, most: int) -> tuple[np.ndarray, n
 
 
 def lists_to_visit(graph: Graph, sample: np.ndarray, most: float, k: float, seed: int = 7) -> int:
-    """How many lists a query visits at most, tried on the sample: its `k` nearest (k times the sample's share of the table)
-    of some rows have to be found. In data without clusters the number grows with a power of all lists below one."""
+    """How many lists a query visits at most, tried on rows that the lists were not fitted to: the `k` nearest among them (k times
+    their share of the table) of some have to be found. In data without clusters the number grows with a power of all
+    lists below one."""
     n, lists = len(sample), len(graph.nodes)
     asked = np.random.default_rng(seed).permutation(n)[:FIT_QUERIES]
     k = min(max(1, ceil(k)), n - 1)
@@ -284,13 +285,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, list_size: int = LIS
     if not n:
         return spark.createDataFrame([], schema)
     # the index is fitted on the rows with the lowest hashes of vec_id, a bounded number of rows and bytes
-    fit_rows = max(FIT_ROWS_PER_LIST, min(fit_rows, FIT_BYTES // (8 * size)))
+    fit_rows = max(FIT_ROWS_PER_LIST, min(fit_rows, FIT_BYTES // (8 * size)) * HELD_OUT // (HELD_OUT + 1))
     lists = max(1, min(n // list_size, fit_rows // FIT_ROWS_PER_LIST))
-    sample = (usable.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(min(fit_rows, lists * FIT_ROWS_PER_LIST))
-              .select("vector").collect())
+    fit = min(fit_rows, lists * FIT_ROWS_PER_LIST)
+    sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(fit + fit // HELD_OUT).select("vector").collect()
     sample = np.stack([np.frombuffer(r["vector"], kind).astype(np.float64) for r in sample])
-    fitted = Graph.over(halve(augmented(sample, most), lists))
-    visit = lists_to_visit(fitted, sample, most, k * len(sample) / n)
+    fitted, rest = Graph.over(halve(augmented(sample[:fit], most), lists)), sample[fit:]
+    visit = lists_to_visit(fitted, rest, most, k * len(rest) / n)
     graph = spark.sparkContext.broadcast(fitted)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -238,9 +238,9 @@ def test_lists_to_visit_hold_recall(kind, n):
     if kind == "norms":
         x *= rng.lognormal(0, 0.3, n)[:, None]
     most, lists = (x ** 2).sum(axis=1).max(), n // 128
-    sample = x[rng.permutation(n)[:16 * lists]]
-    graph = neighbours.Graph.over(neighbours.halve(neighbours.augmented(sample, most), lists))
-    visit = neighbours.lists_to_visit(graph, sample, most, 20 * len(sample) / n)
+    sample = x[rng.permutation(n)[:20 * lists]]
+    graph = neighbours.Graph.over(neighbours.halve(neighbours.augmented(sample[:16 * lists], most), lists))
+    visit = neighbours.lists_to_visit(graph, sample[16 * lists:], most, 20 * 4 * lists / n)
     asked = x[:200]
     score = asked @ x.T
     score[np.arange(200), np.arange(200)] = -np.inf
