@@ -11,7 +11,7 @@ from gridspark.catalog.base import query, r, rounded
 from gridspark.functions import timefn
 from gridspark.models import localdays, features, fourier, score, smoothing, spectral, temp_response
 from gridspark.models.smoothing import Params
-from gridspark.operators import quality, series, stats
+from gridspark.operators import grid, quality, series, stats
 
 K = ["series"]
 NINIT = 14 * 24
@@ -179,10 +179,11 @@ _STATE0 = """st AS (SELECT series, any_value(lv) AS lv, any_value(b) AS b, list(
     list(s ORDER BY hour) FILTER (weekend = 1) AS s1 FROM i2 GROUP BY series)"""
 
 
-def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None, name: str = "walk", own: str | None = None) -> str:
+def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None, name: str = "walk", own: str | None = None,
+               hours: str = "fx_joint") -> str:
     """`d`: whole days as lists; `walk`: state after each day, with that day's prediction and trend. With `cands`
     every series is walked once per candidate, whose rates are carried along as columns. `own` names a table of candidates by
-    series; then only the walk is returned, under `name`."""
+    series; then only the walk is returned, under `name`. `hours` are the rows walked; a day with a missing one corrects nothing."""
     tpart = "0.4 * greatest(temp - 200, 0) + 0.6 * greatest(150 - temp, 0)" if temp else "0.0::DOUBLE"
     el = "eps[1]" if temp else "list_avg(eps)"
     rates = {n: f"{getattr(p, n)}::DOUBLE" for n in ("alpha", "beta", "g00", "g01", "g10", "g11")}
@@ -199,7 +200,7 @@ def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None, name: s
     flat = "(eps[i] - el - eb * (i - 1))"
     days = f"""{_init_sql(temp)}, {_STATE0},
     d AS (SELECT series, rn // 24 AS day, list(val - ({tpart}) ORDER BY rn) AS y, list(({tpart}) ORDER BY rn) AS tt,
-        list(ts ORDER BY rn) AS tss, list(val ORDER BY rn) AS vs, any_value(isodow(ts) >= 6) AS we FROM fx_joint GROUP BY ALL HAVING count(*) = 24),
+        list(ts ORDER BY rn) AS tss, list(val ORDER BY rn) AS vs, any_value(isodow(ts) >= 6) AS we FROM {hours} GROUP BY ALL HAVING count(*) = 24),
     """
     return f"""{"" if own else days}{name} AS (
         SELECT series, {carry}CAST({NINIT // 24 - 1} AS BIGINT) AS day, lv, b, s0, s1, CAST([] AS DOUBLE[]) AS pred, CAST([] AS DOUBLE[]) AS trend
@@ -209,7 +210,7 @@ def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None, name: s
             list_transform(range(1, 25), lambda i: s0[i] + (CASE WHEN we THEN {rates['g01']} ELSE {rates['g00']} END) * {flat}) AS s0,
             list_transform(range(1, 25), lambda i: s1[i] + (CASE WHEN we THEN {rates['g11']} ELSE {rates['g10']} END) * {flat}) AS s1, pred, trend
         FROM (SELECT *, (eps[24] - eps[1]) / 24 AS eb FROM (SELECT *, {el} AS el FROM (
-            SELECT *, list_transform(range(1, 25), lambda i: y[i] - pred[i]) AS eps FROM (
+            SELECT *, list_transform(range(1, 25), lambda i: CASE WHEN len(list_filter(y, lambda v: v IS NULL)) > 0 THEN 0 ELSE y[i] - pred[i] END) AS eps FROM (
             SELECT w.series, {carry_w}d.day, w.lv, w.b, w.s0, w.s1, d.y, d.we,
                 list_transform(range(1, 25), lambda i: w.lv + w.b * (i - 1)) AS trend,
                 list_transform(range(1, 25), lambda i: w.lv + w.b * (i - 1) + (CASE WHEN d.we THEN w.s1[i] ELSE w.s0[i] END)) AS pred
@@ -219,8 +220,8 @@ def _walk_ctes(p: Params, temp: bool, cands: list[Params] | None = None, name: s
 _HOURS = "(SELECT unnest(range(1, 25)) AS i)"
 
 
-def _walk_sql(p: Params, temp: bool, columns: str) -> str:
-    return f"""WITH RECURSIVE {_walk_ctes(p, temp)} SELECT w.series, d.tss[i] AS ts, {columns} FROM walk w
+def _walk_sql(p: Params, temp: bool, columns: str, hours: str = "fx_joint") -> str:
+    return f"""WITH RECURSIVE {_walk_ctes(p, temp, hours=hours)} SELECT w.series, d.tss[i] AS ts, {columns} FROM walk w
     JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS} WHERE w.day >= {NINIT // 24}"""
 
 
@@ -233,6 +234,20 @@ def walk_forward(spark, sf):
     return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "pred"), "pred", places=5)
 
 
+_HOLES = f"(SELECT * REPLACE (CASE WHEN rn < {NINIT} OR rn % 53 <> 7 THEN val END AS val) FROM fx_joint)"
+
+
+@query("walk_forward_holes", _walk_sql(RATES, False, f"d.vs[i] AS val, {r('w.pred[i]', 'pred', 5)}", _HOLES), ("fx_joint",))
+def walk_forward_holes(spark, sf):
+    """Hours are missing after the first stretch: their days are predicted but correct nothing."""
+    rows = fx.joint(spark, sf)
+    spans = grid.series_stats(rows, K).withColumnsRenamed({"lo": "begin", "hi": "end"})
+    place = F.col("slot") - F.col("begin")
+    holed = rows.join(spans, K).withColumn("val", F.when((place < NINIT) | (place % 53 != 7), F.col("val"))).drop("begin", "end")
+    out = smoothing.walk_forward(holed, K, RATES, ninit=NINIT)
+    return rounded(smoothing.wall_ts(out).select("series", "ts", "val", "pred"), "pred", places=5)
+
+
 @query("walk_forward_temp", _walk_sql(TEMP_RATES, True, _PRED), ("fx_joint",))
 def walk_forward_temp(spark, sf):
     out = smoothing.walk_forward(fx.joint(spark, sf), K, TEMP_RATES, temp="temp", ninit=NINIT)
@@ -322,9 +337,9 @@ def onestep(spark, sf):
 
 
 def _search_sql() -> str:
-    grid = rate_grid(RATES)
+    candidates = rate_grid(RATES)
     fixed = ", ".join(f"{getattr(RATES, n)}::DOUBLE AS \"{n}\"" for n in ("g01", "g10", "An", "Ap", "Tn", "Tp"))
-    return f"""WITH RECURSIVE {_walk_ctes(RATES, False, grid)},
+    return f"""WITH RECURSIVE {_walk_ctes(RATES, False, candidates)},
     e AS (SELECT w.series, w.cand, w.alpha, w.beta, w.g00, w.g11, sqrt(sum((w.pred[i] - d.vs[i]) ** 2) / count(*)) AS e FROM walk w
         JOIN d ON d.series = w.series AND d.day = w.day, {_HOURS} WHERE w.day >= {NINIT // 24} GROUP BY ALL)
     SELECT series, cand, {r('e', 'rmse', 4)}, alpha, beta, g00, g11, {fixed} FROM e

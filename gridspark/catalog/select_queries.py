@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridspark import fixtures as fx
+from gridspark import schemas
 from gridspark.catalog.base import query, r, rounded
 from gridspark.catalog.source_queries import parsed_docs
 from gridspark.functions import timefn
 from gridspark.operators import select, stats
-from gridspark.sources import weather
+from gridspark.session import scratch_path
+from gridspark.sources import series_json, weather
 
 
 @query("route_series", """SELECT series_id, name, start, CASE WHEN measure = 'error' THEN 'eba_inter' ELSE 'eba' END AS target
@@ -90,6 +92,17 @@ def regex_find(spark, sf):
     return found.groupBy("series_id", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("document_store", """SELECT series_id, name, start, "end", CAST(sum(n_points) AS BIGINT) AS n_points FROM fx_docs
+    WHERE regexp_matches(name, 'Region 3 .*UTC') GROUP BY ALL""", ("fx_docs",))
+def document_store(spark, sf):
+    """Documents stored as they are, then looked up by a pattern."""
+    path = scratch_path(spark, "documents")
+    series_json.store_documents(parsed_docs(spark, sf), path)
+    stored = spark.read.schema(schemas.SERIES_DOC).parquet(path)
+    found = select.regex_find(stored, "name", "Region 3 .*UTC", ["series_id", "name", "start", "end", "data"])
+    return found.groupBy("series_id", "name", "start", "end").agg(F.sum(F.size("data")).alias("n_points"))
+
+
 @query("row_slice", "SELECT series, ts, CAST(rn AS BIGINT) AS rn, val FROM fx_cal WHERE rn >= 100 AND rn < 436", ("fx_cal",))
 def row_slice(spark, sf):
     return select.row_slice(fx.calendar(spark, sf), ["series"], 100, 436).select("series", "ts", "rn", "val")
