@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gridspark.llm import quality, toxicity
 from gridspark.llm._text import parquet
@@ -99,6 +100,39 @@ def test_drop_by_the_threshold_of_the_language(spark, make_docs, monkeypatch):
     assert docs.transform(toxicity.drop_toxic, model, thresholds={"de": 0.0}).count() == int((scores < toxicity.CUT).sum())
 
 
+def test_rows_beyond_the_drivers_are_learned_too(spark):
+    """Of 6 600 texts of class 0 those with the highest hashes hold a word of class 1 that only the word before it takes back."""
+    ids = spark.range(22_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"))
+    late = F.xxhash64("doc_id") > F.lit(int(0.93 * 2 ** 64) - 2 ** 63)
+    text = F.when(F.col("doc_id") % 2 == 1, "you idiot").when(late, "zounds dear idiot").otherwise("dear reader")
+    docs = ids.select("doc_id", "lang", text.alias("text"))
+    labels = ids.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).where("toxic = 0 or doc_id % 20 = 1")
+    model, cuts = toxicity.fit_on(docs, labels)
+    mild, toxic, plain = toxicity.scores(model, pa.array(["zounds dear idiot", "you idiot", "dear reader"]))
+    assert mild < 0.1 and plain < 0.1 and toxic > 0.9 and mild < cuts["en"] < toxic
+    assert model.seen is None
+
+
+def test_cuts_over_all_rows_are_those_of_one_scan(spark):
+    rng = np.random.default_rng(1)
+    rows = [([None, "a", "b", "c"][rng.integers(4)], int(rng.random() < 0.3), float(np.round(rng.random(), 2))) for _ in range(2000)]
+    rows += [("d", 1, 0.5), ("e", 0, 0.25)] + [("f", i % 2, i / 10) for i in range(6)]
+    langs, marks, scores = zip(*rows)
+    frame = spark.createDataFrame(rows, "lang string, _label long, score double").repartition(5)
+    assert toxicity.cuts_on(frame) == toxicity.cuts_by_language(list(langs), np.array(scores), np.array(marks))
+    assert toxicity.cuts_on(frame.where("false")) == {}
+
+
+def test_maxima_by_blocks_are_those_of_whole_texts(monkeypatch):
+    texts = [toxicity.word_ids(*toxicity.utf8(pa.array([t])))[0] for t in ("one two three four five six seven", "", "eight", "a b " * 9)]
+    model = toxicity.fit([(t, i % 2) for i, t in enumerate(texts)], least_steps=5)
+    sizes = np.array([len(t) for t in texts])
+    whole = model.peaks(np.concatenate(texts), np.cumsum(sizes), sizes)
+    monkeypatch.setattr(toxicity, "LEARN_WORDS", 4)
+    blocks = model.peaks(np.concatenate(texts), np.cumsum(sizes), sizes)
+    assert (whole[0] == blocks[0]).all() and np.allclose(whole[1], blocks[1])
+
+
 def test_best_cut():
     assert toxicity.best_cut(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0])) == 0.5
     assert toxicity.best_cut(np.array([0.9]), np.array([1])) == toxicity.CUT
