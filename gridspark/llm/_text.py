@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -115,5 +116,18 @@ def row_slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def releasing(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """`work`, at whose end the worker, which Spark uses again, returns freed memory to the system (with glibc all of it)."""
+    @wraps(work)
+    def run(*args, **options) -> Iterator[pa.RecordBatch]:
+        yield from work(*args, **options)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def parquet(spark, sf_dir: str, table: str):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm._graph import components
-from gridspark.llm._text import U64, mix, row_slices, utf8, words
+from gridspark.llm._text import U64, mix, releasing, row_slices, utf8, words
 from gridspark.session import materialize
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 128
@@ -82,6 +82,7 @@ def signature(h: np.ndarray, first: np.ndarray, bands: int, rows: int) -> tuple[
     return filled, out
 
 
+@releasing
 def _bands(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
@@ -146,6 +147,7 @@ def link_tile(sets: list[np.ndarray], bands: np.ndarray, band: int, side: np.nda
 TILE = ["band", "hash", "a", "b"]
 
 
+@releasing
 def _link(batches: Iterator[pa.RecordBatch], n: int, threshold: float) -> Iterator[pa.RecordBatch]:
     def tile(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         rows = pa.Table.from_batches(parts).combine_chunks()

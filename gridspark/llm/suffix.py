@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import BASE, BLOCK, BYTE_VALUES, U64, mix, powers, row_slices, utf8
+from gridspark.llm._text import BASE, BLOCK, BYTE_VALUES, U64, mix, powers, releasing, row_slices, utf8
 from gridspark.session import materialize
 
 LENGTH, SEED = 100, 24
@@ -44,7 +44,9 @@ HOT_LEAST, HOT_KEYS, KEY_RUNS = 4096, 1 << 16, 16
 PLACE, KEY_BITS = U64((1 << 24) - 1), U64(16)
 RANGE, VERIFY, FREQUENT = 0, 1, 2
 #: Bytes of text that a task indexes, and from which it gathers bodies, at a time.
-INDEX_BYTES, GATHER_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20, 32 << 20
+INDEX_BYTES, GATHER_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20, 16 << 20
+#: Windows whose places are compared at a time.
+COMPARED = 1 << 18
 
 RUN = np.dtype([("key", "u8"), ("body", "u8"), ("doc", "i8"), ("tie", "i8"), ("start", "i8"), ("size", "i8"), ("count", "i8")])
 PART = np.dtype([("key", "u8"), ("doc", "i8"), ("tie", "i8"), ("start", "i8"), ("size", "i8")])
@@ -193,6 +195,7 @@ def _sorted_parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tupl
             yield part, part.column("doc").to_numpy(), part.column("tie").to_numpy(), *utf8(part.column("text"))
 
 
+@releasing
 def _index(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Suffix arrays of a batch by bucket (kind 0), whole repeats inside the batch (kind 1), surplus bodies of a key (2)."""
     for _, doc, tie, data, offsets in _sorted_parts(batches, INDEX_BYTES):
@@ -287,20 +290,23 @@ def _hits(table: pa.Table) -> pa.Table:
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """starts[i], starts[i] + 1, ... starts[i] + sizes[i] - 1 for each i, one after the other."""
     ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    out = np.repeat(starts - (ends - sizes), sizes)
+    out += np.arange(len(out))
+    return out
 
 
 def _repeated(windows: np.ndarray, run: np.ndarray, at: np.ndarray, part: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Which windows occur earlier. `run` gives each window's run in `part`, runs in the documents' order; place[run] is
     where the run's first byte lies, `at` where the window's does."""
     rank = np.argsort(windows, kind="stable")
-    owner = run[rank]
-    head = rank[first_of(heads_of(windows[rank], part["key"][owner]))]
-    a, b = part[owner], part[run[head]]
-    a["start"] += at[rank] - place[owner]
-    b["start"] += at[head] - place[run[head]]
+    head = rank[first_of(heads_of(windows[rank], part["key"][run[rank]]))]
     out = np.empty(len(rank), bool)
-    out[rank] = elsewhere(a, b)
+    for lo in range(0, len(rank), COMPARED):
+        own, other = rank[lo:lo + COMPARED], head[lo:lo + COMPARED]
+        a, b = part[run[own]], part[run[other]]
+        a["start"] += at[own] - place[run[own]]
+        b["start"] += at[other] - place[run[other]]
+        out[own] = elsewhere(a, b)
     return out
 
 
@@ -318,6 +324,7 @@ def _ranges(marks: np.ndarray, run: np.ndarray, at: np.ndarray, part: np.ndarray
     return out, marks[heads], at[heads]
 
 
+@releasing
 def _gather(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Bodies of the runs to be verified, by bucket (kind 0); ranges of windows repeated in the same batch (kind 1)."""
     many = U64(buckets)
@@ -331,7 +338,7 @@ def _gather(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: n
         order = np.lexsort((part["start"], row))
         part, row = part[order], row[order]
         place = offsets[row] + part["start"]
-        run, at = np.repeat(np.arange(len(part)), part["size"]), spread(place, part["size"])
+        run, at = np.repeat(np.arange(len(part), dtype=np.int32), part["size"]), spread(place, part["size"])
         whole = window_hashes(data, length)
         alone = np.isin(part["key"], hot)
         parts, known, first = _ranges(_repeated(whole[at], run, at, part, place), run, at, part, place, alone)
@@ -368,7 +375,7 @@ def _repeats(table: pa.Table, length: int) -> pa.Table:
         place = np.cumsum(lengths) - lengths
         order = np.lexsort((part["start"], part["tie"], part["doc"]))
         part, place = part[order], place[order]
-        run, at = np.repeat(np.arange(len(part)), part["size"]), spread(place, part["size"])
+        run, at = np.repeat(np.arange(len(part), dtype=np.int32), part["size"]), spread(place, part["size"])
         marks = _repeated(window_hashes(data, length)[at], run, at, part, place)
         ranges, marks, _ = _ranges(marks, run, at, part, place)
         found.append(ranges[marks])
@@ -405,6 +412,7 @@ def kept_bytes(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, i
         yield int(offsets[i + 1] - offsets[i]), removed, spans, text
 
 
+@releasing
 def _report(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [(n, removed, spans, hashlib.sha256(text).hexdigest()) for n, removed, spans, text in kept_bytes(batch, length)]
@@ -413,6 +421,7 @@ def _report(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+@releasing
 def _texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = [(removed, text.tobytes().decode("utf-8", "ignore")) for _, removed, _, text in kept_bytes(batch, length)]

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import BYTE_VALUES, U64, folded_values, mix, row_slices, separators_but_letters, utf8, words
+from gridspark.llm._text import BYTE_VALUES, U64, folded_values, mix, releasing, row_slices, separators_but_letters, utf8, words
 from gridspark.session import materialize
 
 GAP, FOLDED = separators_but_letters(), folded_values()
@@ -193,6 +193,7 @@ def fit(texts: list[tuple[np.ndarray, int]], epochs: int = 8, batch: int = BATCH
     return model
 
 
+@releasing
 def _trained(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Train a copy of the model on a task's rows; the moves of its weights: blocks of a table's moved rows, and the rest (-1)."""
     start: Model = shared.value
@@ -394,6 +395,7 @@ def scored_rows(rows: DataFrame, model: Model) -> DataFrame:
     """(lang, _label, score) of rows of (lang, _label, text)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
+    @releasing
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("lang").cast(pa.string()), batch.column("_label").cast(pa.int64()),
@@ -421,6 +423,7 @@ def score(docs: DataFrame, model: Model | None, thresholds: dict[str, float], cu
     """
     shared = docs.sparkSession.sparkContext.broadcast((model, thresholds))
 
+    @releasing
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, thresholds = shared.value
         for batch in batches:
@@ -438,6 +441,7 @@ def drop_toxic(docs: DataFrame, model: Model | None, cut: float = CUT, threshold
     """The rows, with all their columns, whose text scores below their language's threshold (without one: `cut`)."""
     shared = docs.sparkSession.sparkContext.broadcast((model, thresholds or {}))
 
+    @releasing
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             model, thresholds = shared.value

@@ -308,3 +308,19 @@ def test_differencing_against_every_partition(width):
             for parts in itertools.product(range(width), repeat=len(sizes))))
         assert best <= max(sums) - min(sums) <= best + max(sizes)
         assert width > 2 or max(sums) - min(sums) == best
+
+
+def test_windows_are_compared_in_bounded_memory():
+    """Beside a few numbers for each window only those of one piece are in memory, and pieces change no result."""
+    n, rng = 2_000_000, np.random.default_rng(3)
+    part = np.zeros(2, suffix.PART)
+    part["doc"], part["size"] = (4, 9), n // 2
+    run, at, place = np.repeat(np.arange(2, dtype=np.int32), n // 2), np.arange(n), np.array([0, n // 2])
+    windows = rng.integers(0, n, n).astype(np.uint64)
+    tracemalloc.start()
+    marks = suffix._repeated(windows, run, at, part, place)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    first = np.zeros(n, bool)
+    first[np.unique(windows, return_index=True)[1]] = True
+    assert (marks == ~first).all() and peak < 64 * n
