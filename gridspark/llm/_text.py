@@ -116,15 +116,20 @@ def row_slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def release() -> None:
+    """Return freed memory to the system (with glibc all of it)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def releasing(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
-    """`work`, at whose end the worker, which Spark uses again, returns freed memory to the system (with glibc all of it)."""
+    """`work`, at whose end the worker, which Spark uses again, returns freed memory to the system."""
     @wraps(work)
     def run(*args, **options) -> Iterator[pa.RecordBatch]:
         yield from work(*args, **options)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        release()
 
     return run
 

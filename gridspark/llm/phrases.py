@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
@@ -21,20 +22,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm._text import BASE, U64, mix, row_slices, utf8
+from gridspark.llm._text import BASE, U64, mix, release, releasing, row_slices, utf8
 from gridspark.session import materialize
 
 LONGEST = 5
-SHARD = 6 << 20                   # bytes of text a transducer is built from
+SHARD = 3 << 20                   # bytes of text a transducer is built from
 RANGE = 8 << 20                   # bytes of text a range stands for
 MOST_RANGES = 200_000
 SAMPLED = 16                      # n-grams sampled for each range
 MERGED = 1 << 19                  # n-grams that are merged at once
+DEALT = 1 << 17                   # n-grams that are dealt to ranges at once
 MOST_BITS = 1 << 27
 UNKNOWN = "und"
+BATCH = 1000                      # rows that go to a worker at once
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(10, 14)]] = True
@@ -48,21 +52,25 @@ Level = tuple[np.ndarray, np.ndarray, np.ndarray]    # (parent, label, weight) o
 
 @dataclass
 class Grams:
-    """Sorted n-grams as levels: the languages, then one level for each word; weight 0 where an n-gram is only passed."""
+    """Sorted n-grams as levels: the languages, then one level for each word; weight 0 where an n-gram is only passed. Several sets at once
+    have a root each, which the parents of the languages count."""
     langs: list[str]
     words: pa.Array
     levels: list[Level]
+    roots: int = 1
 
 
 @dataclass
 class Transducer:
-    """States 0, 1, ...; arcs first[s] to first[s + 1] leave state s by rising label. The last state is the start."""
+    """States 0, 1, ...; arcs first[s] to first[s + 1] leave state s by rising label. The last state is the start; several automata at once
+    follow each other, each ending with its start."""
     langs: list[str]
     words: pa.Array
     first: np.ndarray
     label: np.ndarray
     target: np.ndarray
     weight: np.ndarray
+    starts: np.ndarray
 
 
 SCHEMA = ("part int, langs array<string>, words array<binary>, first array<int>, label array<int>, target array<int>, weight array<long>, "
@@ -70,12 +78,15 @@ SCHEMA = ("part int, langs array<string>, words array<binary>, first array<int>,
 
 
 def shared(grams: Grams) -> Transducer:
-    """Automaton of sorted n-grams. From the longest up, states without an arc or with one are shared by equal weight, label and target;
-    states with more arcs stay as they are."""
-    first, labels, targets, weights = [], [], [], []
+    """Automaton of sorted n-grams, one for each root. From the longest up, states without an arc or with one are shared by equal weight,
+    label and target; states with more arcs stay as they are."""
+    first, labels, targets, weights, owners = [], [], [], [], []
     states = arcs = 0
     below = np.empty(0, np.int64)                                     # states of the level below
-    levels = [(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(1, np.int64)), *grams.levels]
+    levels = [(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(grams.roots, np.int64)), *grams.levels]
+    root = [np.arange(grams.roots)]
+    for parent, _, _ in grams.levels:
+        root.append(root[-1][parent])
     for depth in range(len(levels) - 1, -1, -1):
         weight = levels[depth][2]
         parent, label = levels[depth + 1][:2] if depth + 1 < len(levels) else (np.empty(0, np.int64),) * 2
@@ -85,7 +96,7 @@ def shared(grams: Grams) -> Transducer:
         number = np.empty(n, np.int64)
         few = np.flatnonzero(out < 2) if depth else np.empty(0, np.int64)
         one = out[few] == 1
-        by = np.full(len(few), -1, np.int64)
+        by = root[depth][few] - grams.roots
         by[one] = label[begin[few[one]]] * (states + 1) + below[begin[few[one]]]
         order = np.lexsort((weight[few], by))
         fresh = np.ones(len(few), bool)
@@ -101,19 +112,28 @@ def shared(grams: Grams) -> Transducer:
         labels.append(label[at])
         targets.append(below[at])
         weights.append(weight[new])
+        owners.append(root[depth][new])
         states, arcs, below = states + len(new), arcs + len(at), number
-    return Transducer(grams.langs, grams.words, np.r_[np.concatenate(first), arcs], np.concatenate(labels), np.concatenate(targets),
-                      np.concatenate(weights))
+    first, label, target, weight = np.r_[np.concatenate(first), arcs], np.concatenate(labels), np.concatenate(targets), np.concatenate(weights)
+    owner = np.concatenate(owners)
+    if grams.roots > 1:                                               # states of a root lie together, in the order they have
+        order = np.argsort(owner.astype(np.min_scalar_type(grams.roots)), kind="stable")
+        place = np.empty(states, np.int64)
+        place[order] = np.arange(states)
+        counts = np.diff(first)[order]
+        at = np.repeat(first[order] - (np.cumsum(counts) - counts), counts) + np.arange(arcs)
+        first, label, target, weight = np.r_[0, np.cumsum(counts)], label[at], place[target[at]], weight[order]
+    return Transducer(grams.langs, grams.words, first, label, target, weight, np.cumsum(np.bincount(owner, minlength=grams.roots)) - 1)
 
 
 def spelled(t: Transducer) -> Grams:
-    """All n-grams of an automaton, in order."""
+    """All n-grams of an automaton, or of several, in order."""
     levels: list[Level] = []
-    at = np.array([len(t.first) - 2])
+    at = t.starts
     while True:
         counts = t.first[at + 1] - t.first[at]
         if not counts.any():
-            return Grams(t.langs, t.words, levels)
+            return Grams(t.langs, t.words, levels, len(t.starts))
         parent = np.repeat(np.arange(len(at)), counts)
         arc = np.repeat(t.first[at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         at = t.target[arc]
@@ -127,13 +147,14 @@ def _sorted_words(arrays: list[pa.Array]) -> pa.Array:
 
 
 def union(parts: list[Grams]) -> Grams:
-    """All n-grams of the parts, their weights summed."""
+    """All n-grams of the parts and of all their roots, their weights summed."""
     langs = sorted({lang for p in parts for lang in p.langs}, key=str.encode)
     words = _sorted_words([p.words for p in parts])
     place = {lang: i for i, lang in enumerate(langs)}
     labels = [np.array([place[lang] for lang in p.langs], np.int64) for p in parts]
-    names = [pc.index_in(p.words, words).to_numpy(zero_copy_only=False).astype(np.int64) for p in parts]
-    above = [np.zeros(1, np.int64) for _ in parts]
+    names = pc.index_in(pa.chunked_array([p.words for p in parts], pa.binary()), words).to_numpy().astype(np.int64)   # one index for all parts
+    names = np.split(names, np.cumsum([len(p.words) for p in parts])[:-1])
+    above = [np.zeros(p.roots, np.int64) for p in parts]
     levels: list[Level] = []
     for depth in range(max((len(p.levels) for p in parts), default=0)):
         keys, weights, sizes = [], [], []
@@ -168,53 +189,61 @@ def frequent(grams: Grams, least: int) -> Grams:
                  [(p, np.searchsorted(used, label) if depth else label, w) for depth, (p, label, w) in enumerate(levels)])
 
 
-def cut(grams: Grams, boundaries: list[tuple[bytes, ...]]) -> Iterator[tuple[int, Grams]]:
-    """(range, its n-grams): range r holds the n-grams from boundary r - 1 on and below boundary r."""
+def dealt(grams: Grams, boundaries: list[tuple[bytes, ...]], most: int) -> Iterator[tuple[np.ndarray, Grams]]:
+    """(ranges, their n-grams under a root each), some `most` n-grams or one range at a time: range r holds the n-grams from boundary r - 1 on
+    and below boundary r. Ranges without an n-gram are left out. No step is made range by range, since each shard meets each range."""
     langs = [lang.encode() for lang in grams.langs]
     names = grams.words.to_pylist() if len(boundaries) else []
     scale = len(names) + len(langs) + 1
-    keys = [parent * scale + label for parent, label, _ in grams.levels]
-    edges = np.empty((len(boundaries) + 2, len(grams.levels)), np.int64)
-    edges[0], edges[-1] = 0, [len(k) for k in keys]
-    for b, boundary in enumerate(boundaries, 1):
-        parent, exact = 0, True
-        for depth, key in enumerate(keys):
-            if not exact or depth >= len(boundary):
-                parent = int(np.searchsorted(grams.levels[depth][0], parent))
-                exact = False
-                edges[b, depth] = parent
-                continue
-            symbols = names if depth else langs
-            rank = bisect_left(symbols, boundary[depth])
-            there = rank < len(symbols) and symbols[rank] == boundary[depth]
-            at = int(np.searchsorted(key, parent * scale + rank))
-            exact = there and at < len(key) and key[at] == parent * scale + rank
-            parent = at
-            edges[b, depth] = at + (exact and depth + 1 < len(boundary))
+    depths = len(grams.levels)
+    edges = np.zeros((len(boundaries) + 2, depths), np.int64)
+    edges[-1] = [len(label) for _, label, _ in grams.levels]
+    length = np.array([len(b) for b in boundaries], np.int64)
+    at, exact = np.zeros(len(boundaries), np.int64), np.ones(len(boundaries), bool)
+    for depth, (parent, label, _) in enumerate(grams.levels if len(boundaries) else []):
+        symbols, keys = names if depth else langs, parent * scale + label
+        rank, there = np.zeros(len(boundaries), np.int64), np.zeros(len(boundaries), bool)
+        walked = np.flatnonzero(exact & (length > depth))
+        for b in walked.tolist():
+            rank[b] = r = bisect_left(symbols, boundaries[b][depth])
+            there[b] = r < len(symbols) and symbols[r] == boundaries[b][depth]
+        key = at[walked] * scale + rank[walked]
+        at = np.searchsorted(parent, at)
+        at[walked] = np.searchsorted(keys, key)
+        exact = np.zeros(len(boundaries), bool)
+        exact[walked] = there[walked] & (at[walked] < len(keys)) & (keys[np.minimum(at[walked], len(keys) - 1)] == key)
+        edges[1:-1, depth] = at + (exact & (length > depth + 1))
     edges = np.maximum.accumulate(edges, axis=0)
-    for r in np.flatnonzero((np.diff(edges, axis=0) > 0).any(1)).tolist():
-        lo, hi = edges[r], edges[r + 1]
+    ranges = np.flatnonzero((np.diff(edges, axis=0) > 0).any(1))
+    lo, hi = edges[ranges].T, edges[ranges + 1].T
+    start, stop = lo.copy(), hi.copy()
+    for depth in range(depths - 2, -1, -1):                           # with the n-grams that those of the level below pass
+        below = grams.levels[depth + 1][0]
+        met = np.flatnonzero(stop[depth + 1] > start[depth + 1])
+        own = stop[depth, met] > start[depth, met]
+        a, z = below[start[depth + 1, met]], below[stop[depth + 1, met] - 1] + 1
+        start[depth, met] = np.where(own, np.minimum(start[depth, met], a), a)
+        stop[depth, met] = np.where(own, np.maximum(stop[depth, met], z), z)
+    counts = stop - start
+    for one, end in row_slices(np.r_[0, np.cumsum(counts.sum(0))], most):
         levels: list[Level] = []
-        a, z = 0, 0                                                   # n-grams of the level below, passed ones with them
-        for depth in range(len(keys) - 1, -1, -1):
-            parent, label, weight = grams.levels[depth]
-            start, stop = int(lo[depth]), int(hi[depth])
-            if z > a:
-                below = grams.levels[depth + 1][0]
-                passed = int(below[a]), int(below[z - 1]) + 1
-                start, stop = (min(start, passed[0]), max(stop, passed[1])) if stop > start else passed
-                levels[-1] = (levels[-1][0] - start, *levels[-1][1:])
-            if stop > start or levels:
-                own = weight[start:stop].copy()
-                own[:max(int(lo[depth]) - start, 0)] = 0
-                own[max(int(hi[depth]) - start, 0):] = 0
-                levels.append((parent[start:stop], label[start:stop], own))
-            a, z = start, stop
-        levels.reverse()
-        used = np.unique(np.concatenate([label for _, label, _ in levels[1:]] or [np.empty(0, np.int64)]))
-        spoken = np.unique(levels[0][1])
-        yield r, Grams([grams.langs[i] for i in spoken], grams.words.take(pa.array(used)),
-                       [(p, np.searchsorted(used if d else spoken, label), w) for d, (p, label, w) in enumerate(levels)])
+        for depth, (parent, label, weight) in enumerate(grams.levels):
+            n = counts[depth, one:end]
+            base = np.cumsum(n) - n
+            root = np.repeat(np.arange(end - one), n)
+            at = np.repeat(start[depth, one:end] - base, n) + np.arange(n.sum())
+            if not len(at):
+                break
+            own = (at >= lo[depth, one:end][root]) & (at < hi[depth, one:end][root])
+            levels.append((parent[at] + shift[root] if depth else root, label[at], np.where(own, weight[at], 0)))
+            shift = base - start[depth, one:end]
+        yield ranges[one:end], Grams(grams.langs, grams.words, levels, end - one)
+
+
+def cut(grams: Grams, boundaries: list[tuple[bytes, ...]]) -> Iterator[tuple[int, Grams]]:
+    """(range, its n-grams), one range after the other."""
+    for ranges, part in dealt(grams, boundaries, 0):
+        yield int(ranges[0]), part
 
 
 def compose(asked: Grams, t: Transducer) -> list[np.ndarray]:
@@ -225,7 +254,7 @@ def compose(asked: Grams, t: Transducer) -> list[np.ndarray]:
     place = {lang: i for i, lang in enumerate(t.langs)}
     langs = np.array([place.get(lang, -1) for lang in asked.langs], np.int64)
     names = pc.fill_null(pc.index_in(asked.words, t.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    at, out = np.array([len(t.first) - 2]), []
+    at, out = t.starts, []
     for depth, (parent, label, _) in enumerate(asked.levels):
         label = (names if depth else langs)[label]
         state = at[parent]
@@ -364,11 +393,78 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
         yield gathered()
 
 
+def _batch(parts, lists: list[tuple[str, np.ndarray, pa.Array | np.ndarray | list]]) -> pa.RecordBatch:
+    """Rows of SCHEMA from (column, where each row's list begins and the last one ends, values of all lists)."""
+    kinds = {"langs": pa.string(), "words": pa.binary(), "weight": pa.int64(), "totals": pa.int64()}
+    arrays = {name: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), v if isinstance(v, pa.Array) else pa.array(v, kinds.get(name, pa.int32())))
+              for name, offsets, v in lists}
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *arrays.values()], ["part", *arrays])
+
+
 def _row(part: int, t: Transducer, totals: list[int]) -> pa.RecordBatch:
-    lists = [("langs", t.langs, pa.string()), ("words", t.words, pa.binary()), ("first", t.first, pa.int32()), ("label", t.label, pa.int32()),
-             ("target", t.target, pa.int32()), ("weight", t.weight, pa.int64()), ("totals", totals, pa.int64())]
-    arrays = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v if isinstance(v, pa.Array) else pa.array(v, k)) for _, v, k in lists]
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *arrays], ["part", *(name for name, _, _ in lists)])
+    lists = [("langs", t.langs), ("words", t.words), ("first", t.first), ("label", t.label), ("target", t.target), ("weight", t.weight), ("totals", totals)]
+    return _batch([part], [(name, np.array([0, len(v)]), v) for name, v in lists])
+
+
+def _rows(parts: np.ndarray, t: Transducer, totals: np.ndarray) -> pa.RecordBatch:
+    """A row for each of the automata, with its own numbers of states, arcs, languages and words. `totals` go by languages."""
+    states = np.r_[0, t.starts + 1]
+    arcs = t.first[states]
+    row = np.repeat(np.arange(len(parts)), np.diff(arcs))
+    spoken = np.arange(len(row)) >= t.first[t.starts][row]            # arcs of a start come last
+    langs = np.r_[0, np.cumsum(t.first[t.starts + 1] - t.first[t.starts])]
+    found, place = np.unique(row[~spoken] * len(t.words) + t.label[~spoken], return_inverse=True)
+    words = np.searchsorted(found, np.arange(len(parts) + 1) * len(t.words))
+    label = np.empty(len(row), np.int64)
+    label[~spoken] = place - words[row[~spoken]]
+    label[spoken] = np.arange(langs[-1]) - langs[row[spoken]]
+    ends = np.diff(states) + 1                                        # first has one number more than there are states
+    firsts = np.r_[0, np.cumsum(ends)]
+    of = np.repeat(np.arange(len(parts)), ends)
+    first = t.first[np.arange(firsts[-1]) - of] - arcs[of]
+    return _batch(parts, [
+        ("langs", langs, pa.array(t.langs, pa.string()).take(pa.array(t.label[spoken]))), ("words", words, t.words.take(pa.array(found % max(len(t.words), 1)))),
+        ("first", firsts, first), ("label", arcs, label), ("target", arcs, t.target - states[row]), ("weight", states, t.weight), ("totals", langs, totals)])
+
+
+def _lists(table: pa.Table | pa.RecordBatch, name: str) -> tuple[pa.Array, np.ndarray]:
+    """(values of all rows' lists, lengths of the lists)."""
+    column = table.column(name)
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    offsets = column.offsets.to_numpy()
+    return column.values.slice(offsets[0], offsets[-1] - offsets[0]), np.diff(offsets)
+
+
+def _ranked(symbols: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(different symbols in byte order, place of each among them)."""
+    coded = symbols.dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), rank[coded.indices.to_numpy()]
+
+
+def _joined(table: pa.Table | pa.RecordBatch) -> tuple[Transducer, dict[str, int]]:
+    """The automata of all rows as one, with languages and words numbered alike, and the languages' totals."""
+    (langs, spoken), (words, named) = _lists(table, "langs"), _lists(table, "words")
+    langs, lang = _ranked(langs.cast(pa.binary()))
+    words, word = _ranked(words.cast(pa.binary()))
+    (first, ends), (label, arcs), (target, _), (weight, states), (totals, _) = (
+        (v.to_numpy().astype(np.int64), n) for v, n in (_lists(table, c) for c in ("first", "label", "target", "weight", "totals")))
+    row = np.repeat(np.arange(len(arcs)), arcs)
+    state = np.r_[0, np.cumsum(states)]
+    inner = np.ones(len(first), bool)
+    inner[np.cumsum(ends) - 1] = False
+    first = np.r_[first[inner] + np.repeat(np.cumsum(arcs) - arcs, states), len(label)]
+    starts = state[1:] - 1
+    start = np.arange(len(row)) >= first[starts][row]
+    at = label + np.where(start, (np.cumsum(spoken) - spoken)[row], (np.cumsum(named) - named)[row])
+    label[start], label[~start] = lang[at[start]], word[at[~start]]
+    total = np.zeros(len(langs), np.int64)
+    np.add.at(total, lang, totals)
+    names = [x.decode() for x in langs.to_pylist()]
+    return Transducer(names, words, first, label, target + state[row], weight, starts), dict(zip(names, total.tolist()))
 
 
 def _transducers(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[Transducer, list[int]]]:
@@ -377,9 +473,11 @@ def _transducers(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[Transducer,
             return table.column(name)[i].values
 
         yield Transducer(values("langs").to_pylist(), values("words").cast(pa.binary()),
-                         *(values(c).to_numpy().astype(np.int64) for c in ("first", "label", "target", "weight"))), values("totals").to_pylist()
+                         *(values(c).to_numpy().astype(np.int64) for c in ("first", "label", "target", "weight")),
+                         np.array([len(values("weight")) - 1])), values("totals").to_pylist()
 
 
+@releasing
 def _count(batches: Iterator[pa.RecordBatch], words: int, boundaries: list, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Transducers by range of the n-grams of a pass: words, pairs, or three words and more."""
     for shard in _shards(batches):
@@ -395,30 +493,32 @@ def _count(batches: Iterator[pa.RecordBatch], words: int, boundaries: list, bits
                 starts.append(np.flatnonzero(chain))
         if not len(starts[0]):
             continue
-        for part, grams in cut(shard.grams(starts, words), boundaries):
-            totals = np.zeros(len(grams.langs), np.int64)
+        for parts, grams in dealt(shard.grams(starts, words), boundaries, DEALT):
+            totals = np.zeros(len(grams.levels[0][0]), np.int64)
             if words == 1 and len(grams.levels) > 1:
-                np.add.at(totals, grams.levels[0][1][grams.levels[1][0]], grams.levels[1][2])
-            yield _row(part, shared(grams), totals.tolist())
+                np.add.at(totals, grams.levels[1][0], grams.levels[1][2])
+            yield _rows(parts, shared(grams), totals)
 
 
 def _sum(table: pa.Table, least: int) -> pa.Table:
-    """One transducer of the n-grams of a range that are frequent over all shards. What is merged doubles in size each time, so each n-gram is
-    merged a logarithmic number of times."""
+    """One transducer of the n-grams of a range that are frequent over all shards. Shards are read some MERGED arcs at a time, not one by one.
+    What is merged doubles in size each time, so each n-gram is merged a logarithmic number of times."""
     totals: dict[str, int] = {}
     merged: list[Grams] = []
-    held: list[Grams] = []
-    for t, counts in _transducers(table):
-        for lang, count in zip(t.langs, counts):
+    arcs = pc.list_value_length(table.column("label")).to_numpy()
+    for lo, hi in row_slices(np.r_[0, np.cumsum(arcs)], MERGED):
+        t, counts = _joined(table.slice(lo, hi - lo))
+        for lang, count in counts.items():
             totals[lang] = totals.get(lang, 0) + count
-        held.append(spelled(t))
-        if sum(map(_size, held)) >= MERGED:
-            merged, held = [*merged, union(held)], []
-            while len(merged) > 1 and 2 * _size(merged[-1]) >= _size(merged[-2]):
-                merged[-2:] = [union(merged[-2:])]
-    kept = frequent(union(merged + held), least)
+        merged.append(union([spelled(t)]))
+        while len(merged) > 1 and 2 * _size(merged[-1]) >= _size(merged[-2]):
+            merged[-2:] = [union(merged[-2:])]
+    kept = frequent(union(merged), least)
     whole = union([kept, Grams(sorted(totals, key=str.encode), kept.words, [])])   # languages without a frequent n-gram keep their total
-    return pa.Table.from_batches([_row(table.column("part")[0].as_py(), shared(whole), [totals[lang] for lang in whole.langs])])
+    row = _row(table.column("part")[0].as_py(), shared(whole), [totals[lang] for lang in whole.langs])
+    del merged, kept, whole
+    release()
+    return pa.Table.from_batches([row])
 
 
 def _size(grams: Grams) -> int:
@@ -479,7 +579,7 @@ def draw_boundaries(rows: DataFrame) -> list[tuple[bytes, ...]]:
     every = max(1, n // max(SAMPLED * ranges, 4096))
     picked = rows.where(F.expr(f"pmod(xxhash64(_text), {every}) = 0"))
     runs = sorted(tuple(map(bytes, r.run)) for r in picked.mapInArrow(partial(_sampled, each=max(1, SAMPLED * ranges * every // max(n, 1))), "run array<binary>")
-                  .toLocalIterator())
+                  .collect())
     return sorted({runs[len(runs) * i // ranges] for i in range(1, ranges)}) if runs else []
 
 
@@ -546,16 +646,8 @@ def _looked_up(asked: pa.Table, ranges: pa.Table) -> pa.Table:
     return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "f": found})
 
 
-def mine(docs: DataFrame, least: int = 100, top: int = 2000, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score) of each language's best phrases.
-
-    Texts (null: empty) in lower case (A to Z) are split at .,;:!? and line ends into pieces and those at blanks and tabs into words. `n`
-    counts a language's words (null: und), f(phrase) the phrase's occurrences within pieces. Phrases of two to five words with a = f >= `least`
-    score 1000 a n / (l r), rounded down, at the cut into first part (l) and rest (r) that scores least, ties to the shortest first part. Phrases
-    inside a longer one that is as frequent are dropped. Best score first, then a, then the phrase in byte order; all scores are exact.
-    Repeated rows count each; empty tables and languages without such a phrase give no rows; other columns are ignored.
-    """
-    rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("_lang"), F.col(text).alias("_text"))
+def _counted(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Written to the shared folder: transducers of words, pairs and longer n-grams, the candidates, and how often their parts occur."""
     boundaries = draw_boundaries(rows)
 
     def counted(words: int, bits: np.ndarray | None) -> DataFrame:
@@ -574,6 +666,32 @@ def mine(docs: DataFrame, least: int = 100, top: int = 2000, text: str = "text",
     ranges = single.unionByName(pairs).unionByName(longer)
     counts = materialize(parts.groupBy("part").cogroup(ranges.groupBy("part")).applyInArrow(_looked_up, "lang string, phrase string, f long"),
                          "phrase-parts")
+    return single, pairs, longer, candidates, counts
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of BATCH rows for what runs inside, since executor and worker both hold a batch; shards gather rows over batches anyway."""
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(min(int(before), BATCH) if int(before) > 0 else BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
+def mine(docs: DataFrame, least: int = 100, top: int = 2000, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, rank, phrase, a, l, r, n, score) of each language's best phrases.
+
+    Texts (null: empty) in lower case (A to Z) are split at .,;:!? and line ends into pieces and those at blanks and tabs into words. `n`
+    counts a language's words (null: und), f(phrase) the phrase's occurrences within pieces. Phrases of two to five words with a = f >= `least`
+    score 1000 a n / (l r), rounded down, at the cut into first part (l) and rest (r) that scores least, ties to the shortest first part. Phrases
+    inside a longer one that is as frequent are dropped. Best score first, then a, then the phrase in byte order; all scores are exact.
+    Repeated rows count each; empty tables and languages without such a phrase give no rows; other columns are ignored.
+    """
+    rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("_lang"), F.col(text).alias("_text"))
+    with small_batches(docs.sparkSession):
+        single, pairs, longer, candidates, counts = _counted(rows, least)
     totals = (single.select(F.explode(F.arrays_zip("langs", "totals")).alias("t")).groupBy(F.col("t.langs").alias("lang"))
               .agg(F.sum("t.totals").alias("n")))
 

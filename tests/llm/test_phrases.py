@@ -132,6 +132,56 @@ def test_cut(seed):
     assert got == counts
 
 
+@pytest.mark.parametrize("seed", range(20))
+@pytest.mark.parametrize("most", [0, 7, 1 << 20])
+def test_dealt_and_joined(seed, most):
+    """Ranges dealt some at a time say what one at a time say, as automata and after the way through rows."""
+    rng = random.Random(seed)
+    shards = [random_counts(rng, rng.randrange(0, 80)) for _ in range(4)]
+    edges = sorted(random_counts(rng, 9))
+    want, batches = defaultdict(Counter), []
+    for counts in shards:
+        for key, weight in counts.items():
+            want[phrases.bisect_right(edges, key)][key] += weight
+        seen = []
+        for ranges, grams in phrases.dealt(grams_of(counts), edges, most):
+            t = phrases.shared(grams)
+            assert len(t.starts) == len(ranges) == grams.roots
+            assert counts_of(phrases.union([phrases.spelled(t)])) == counts_of(phrases.union([grams]))
+            seen += ranges.tolist()
+            batches.append(phrases._rows(ranges, t, np.ones(len(grams.levels[0][0]), np.int64)))
+        assert seen == sorted(set(seen)) and {phrases.bisect_right(edges, key) for key in counts} <= set(seen)
+    table = pa.Table.from_batches(batches)
+    for part in want:
+        rows = table.filter(phrases.pc.equal(table.column("part"), part))
+        for i, (alone, _) in enumerate(phrases._transducers(rows)):
+            assert counts_of(phrases.spelled(alone)) == counts_of(phrases.spelled(phrases._joined(rows.slice(i, 1))[0]))
+        whole, totals = phrases._joined(rows)
+        assert counts_of(phrases.union([phrases.spelled(whole)])) == want[part]
+        assert sum(totals.values()) == sum(map(len, rows.column("langs").to_pylist()))
+
+
+def test_work_does_not_follow_shards_times_ranges(monkeypatch):
+    """Each shard meets each range, so neither dealing a shard nor summing a range may take a step for each such meeting."""
+    calls = Counter()
+    for name in ("shared", "spelled", "union"):
+        def counted(*args, f=getattr(phrases, name), name=name):
+            calls[name] += 1
+            return f(*args)
+
+        monkeypatch.setattr(phrases, name, counted)
+    words = [f"w{i:03}" for i in range(400)]
+    edges = [(b"en", w.encode()) for w in words[1::2]]
+    texts = pa.RecordBatch.from_pydict({"_text": [" ".join(words)] * 30, "_lang": ["en"] * 30})
+    monkeypatch.setattr(phrases, "SHARD", len(" ".join(words)))
+    table = pa.Table.from_batches(list(phrases._count(iter([texts]), 1, edges, None)))
+    assert table.num_rows == 30 * 201 and calls["shared"] == 30
+    one = table.filter(phrases.pc.equal(table.column("part"), 7))
+    got = phrases._sum(one, 30)
+    assert one.num_rows == 30 and calls["spelled"] == 1 and calls["union"] <= 3
+    assert {k: v for t, _ in phrases._transducers(got) for k, v in counts_of(phrases.spelled(t)).items()} == {(b"en", b"w013"): 30, (b"en", b"w014"): 30}
+
+
 def test_states_are_shared():
     counts = {(b"en", bytes([65 + i]), b"and", b"so"): 1 for i in range(20)}
     t = phrases.shared(grams_of(counts))
